@@ -1,0 +1,26 @@
+"""Lateral unnest of JSON arrays (JOIN-9, JOIN-10).
+
+``FROM t, jsonb_array_elements(a) AS e`` is an inner lateral join: a parent
+whose array is empty or NULL produces no rows. That is ``posexplode`` (not
+``explode_outer``). For an array of arrays two chained ``posexplode`` calls
+are used, not ``flatten``: flattening makes the whole result NULL as soon as
+one inner array is NULL, which would drop the other groups too.
+Positions are kept for deterministic tie-breaks (Q6).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def unnest(df: DataFrame, array_col, keep: list, pos: str = "pos", elem: str = "elem") -> DataFrame:
+    a = F.col(array_col) if isinstance(array_col, str) else array_col
+    return df.select(*keep, F.posexplode(a).alias(pos, elem))
+
+
+def unnest_nested(df: DataFrame, array_col, keep: list, outer_pos: str = "group_pos",
+                  inner_pos: str = "row_pos", elem: str = "elem") -> DataFrame:
+    a = F.col(array_col) if isinstance(array_col, str) else array_col
+    groups = df.select(*keep, F.posexplode(a).alias(outer_pos, "__grp"))
+    return groups.select(*keep, outer_pos, F.posexplode("__grp").alias(inner_pos, elem))
