@@ -82,8 +82,19 @@ def scd1(target: DataFrame, source: DataFrame, key: list, attrs: list, key_col:
     return kept.unionByName(new.select(*target.columns))
 
 
-def _current_split(target: DataFrame, flag: str):
-    return target.filter(F.col(flag)), target.filter(~F.col(flag))
+def scd_initial(source: DataFrame, key: list, attrs: list, key_col: str, run_date=None,
+                from_col="valid_from", to_col="valid_to", flag="is_current",
+                key_type: str = "int") -> DataFrame:
+    """First load of a dimension into an empty target: every source row gets a
+    key in natural-key order; with ``run_date`` (Type 2) it also becomes the
+    current version valid from ``run_date``. Same result as ``scd1`` /
+    ``scd2_apply`` on an empty target without their joins."""
+    cols = [*key, *attrs]
+    if run_date is not None:
+        cols += [_as_date(run_date).alias(from_col), F.lit(END_OF_TIME).cast("date").alias(to_col),
+                 F.lit(True).alias(flag)]
+    keyed = assign_keys(source.select(*cols), key, key_col, 0, key_type)
+    return keyed.select(key_col, *[c for c in keyed.columns if c != key_col])
 
 
 def _classify(target: DataFrame, source: DataFrame, key: list, tracked: list, flag: str):

@@ -7,10 +7,11 @@
    (a distributed sort: partition i holds smaller keys than i+1);
 2. ``monotonically_increasing_id`` puts the partition index in the upper 31
    bits and the row position in the lower 33 bits;
-3. the result is checkpointed to the session's reliable checkpoint dir, so a
-   lost executor or a re-evaluation can never renumber;
-4. one count per partition (at most #partitions rows, a proven bound) gives a
-   prefix-sum offset, broadcast back to the rows.
+3. the rows are written once as a table in the session's checkpoint folder
+   and read back, so a lost executor or a re-evaluation can never renumber;
+4. one count per partition (at most #partitions values, a proven bound) is
+   collected, turned into prefix-sum offsets and applied as a literal map:
+   a narrow projection, no join.
 
 Only *new* rows get keys; existing rows keep theirs (``start`` is the current
 maximum).
@@ -18,7 +19,9 @@ maximum).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
@@ -26,6 +29,15 @@ from strata.session import ensure_checkpoint_dir
 _LOW_BITS = 33
 
 
+def materialize(df: DataFrame, label: str = "t") -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder and read it back:
+    cuts the lineage and fixes any non-deterministic column on storage."""
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/strata-tables/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def next_key_start(df: DataFrame, key_col: str) -> int:
     """Current maximum of ``key_col`` (0 for an empty table): a single scalar."""
     row = df.agg(F.max(key_col).alias("m")).first()
@@ -35,23 +47,22 @@ def next_key_start(df: DataFrame, key_col: str) -> int:
 def assign_keys(df: DataFrame, order_cols: list, key_col: str, start: int = 0,
                 key_type: str = "int", num_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (df.repartitionByRange(n, *order_cols)
                  .sortWithinPartitions(*order_cols)
                  .withColumn("__mid", F.monotonically_increasing_id()))
-    ordered = ordered.checkpoint(eager=True)
+    stored = materialize(ordered, "keys")
     part = F.shiftright(F.col("__mid"), _LOW_BITS)
     pos = F.col("__mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
-    counts = ordered.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
-    # at most one row per partition: a bounded, broadcastable table
-    offsets = counts.select(
-        "__part",
-        (F.sum("__n").over(Window.orderBy("__part")
-                           .rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
-    keyed = ordered.withColumn("__part", part).join(F.broadcast(offsets), "__part")
-    key = (F.lit(start) + F.coalesce(F.col("__off"), F.lit(0)) + pos + F.lit(1))
-    return keyed.withColumn(key_col, key.cast(key_type)).drop("__mid", "__part", "__off")
+    counts = sorted((r["p"], r["n"]) for r in
+                    stored.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    pairs, acc = [], 0
+    for p, c in counts:
+        pairs += [F.lit(p), F.lit(acc)]
+        acc += c
+    offset = F.try_element_at(F.create_map(*pairs), part) if pairs else F.lit(0)
+    key = F.lit(start) + offset + pos + F.lit(1)
+    return stored.withColumn(key_col, key.cast(key_type)).drop("__mid")
 
 
 def date_key(d) -> Column:

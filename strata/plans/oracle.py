@@ -189,3 +189,376 @@ SELECT ff.venue_key, ff.season, CAST(count(*) AS INTEGER) AS home_matches,
   {half_up('100 * count(*) FILTER (WHERE ff.result = 1)', 'count(*)', 5)} AS home_win_pct
 FROM fact_fixture ff WHERE ff.venue_key IS NOT NULL AND ff.result IS NOT NULL
 GROUP BY ff.venue_key, ff.season"""
+
+
+# ---------------------------------------------------------------------------
+# sources
+# ---------------------------------------------------------------------------
+
+ORACLE["envelope_explode"] = """
+SELECT o_orderkey // 100 AS page,
+  CAST(row_number() OVER (PARTITION BY o_orderkey // 100 ORDER BY o_orderkey) - 1 AS INTEGER) AS pos,
+  o_orderkey AS id, o_orderstatus AS status, o_custkey AS customer
+FROM orders
+WHERE NOT ((o_orderkey // 100) % 17 = 8 OR (o_orderkey // 100) % 7 = 3 OR (o_orderkey // 100) % 13 = 6)"""
+
+ORACLE["envelope_errors"] = """
+WITH p AS (SELECT o_orderkey // 100 AS page, count(*) AS n FROM orders GROUP BY 1)
+SELECT page,
+  CASE WHEN page % 17 = 8 THEN NULL ELSE CAST(n AS INTEGER) END AS results,
+  NOT (page % 17 = 8 OR page % 7 = 3 OR page % 13 = 6) AS accepted
+FROM p"""
+
+ORACLE["land_bronze"] = """
+SELECT CAST(row_number() OVER (ORDER BY ts, event_id) AS BIGINT) AS id, props AS payload,
+  '{"user_id":"' || CAST(user_id AS VARCHAR) || '"}' AS source_params, event_type AS source,
+  ts AS loaded_at, md5(props) AS record_hash
+FROM events"""
+
+FIXTURE_V2 = """
+  SELECT CAST(fixture_id AS INTEGER) AS fixture_id, league_id, season,
+    'Round ' || CAST(month(kickoff) AS VARCHAR) AS round, kickoff, status_short,
+    'Match Finished' AS status_long, 90 AS status_elapsed,
+    'Ref ' || CAST(home_team_id % 7 AS VARCHAR) AS referee, venue_id,
+    'Ground ' || CAST(venue_id AS VARCHAR) AS venue_name, 'City ' || CAST(venue_id AS VARCHAR) AS venue_city,
+    home_team_id, 'T' || CAST(home_team_id AS VARCHAR) AS home_team_name,
+    away_team_id, 'T' || CAST(away_team_id AS VARCHAR) AS away_team_name,
+    goals_home > goals_away AS home_winner, goals_away > goals_home AS away_winner,
+    goals_home, goals_away, CAST(goals_home // 2 AS INTEGER) AS ht_home,
+    CAST(goals_away // 2 AS INTEGER) AS ht_away, goals_home AS ft_home, goals_away AS ft_away,
+    CAST(NULL AS INTEGER) AS et_home, CAST(NULL AS INTEGER) AS et_away,
+    CAST(NULL AS INTEGER) AS pen_home, CAST(NULL AS INTEGER) AS pen_away
+  FROM matches WHERE status_short <> 'P'"""
+
+FIXTURE_V1 = """
+  SELECT CAST(fixture_id AS INTEGER) AS fixture_id, league_id, season,
+    'Round ' || CAST(month(kickoff) AS VARCHAR) AS round, kickoff, 'NS' AS status_short,
+    'Not Started' AS status_long, CAST(NULL AS INTEGER) AS status_elapsed,
+    'Ref ' || CAST(home_team_id % 7 AS VARCHAR) AS referee, home_team_id AS venue_id,
+    'Ground ' || CAST(home_team_id AS VARCHAR) AS venue_name,
+    'City ' || CAST(home_team_id AS VARCHAR) AS venue_city,
+    home_team_id, 'T' || CAST(home_team_id AS VARCHAR) AS home_team_name,
+    away_team_id, 'T' || CAST(away_team_id AS VARCHAR) AS away_team_name,
+    CAST(NULL AS BOOLEAN) AS home_winner, CAST(NULL AS BOOLEAN) AS away_winner,
+    CAST(NULL AS INTEGER) AS goals_home, CAST(NULL AS INTEGER) AS goals_away,
+    CAST(NULL AS INTEGER) AS ht_home, CAST(NULL AS INTEGER) AS ht_away,
+    CAST(NULL AS INTEGER) AS ft_home, CAST(NULL AS INTEGER) AS ft_away,
+    CAST(NULL AS INTEGER) AS et_home, CAST(NULL AS INTEGER) AS et_away,
+    CAST(NULL AS INTEGER) AS pen_home, CAST(NULL AS INTEGER) AS pen_away
+  FROM matches WHERE status_short = 'P'"""
+
+ORACLE["json_project_typed"] = f"WITH {MATCHES} {FIXTURE_V2}"
+
+ORACLE["silver_fixtures"] = f"""WITH {MATCHES}
+SELECT *, TIMESTAMP '2024-02-01 06:00:00' AS loaded_at FROM ({FIXTURE_V2})
+UNION ALL
+SELECT *, TIMESTAMP '2024-01-01 06:00:00' AS loaded_at FROM ({FIXTURE_V1})"""
+
+VENUE_ROWS = """
+  SELECT CAST(c_custkey AS INTEGER) AS team_id, c_nationkey AS venue_id,
+    'City ' || CAST(c_nationkey AS VARCHAR) AS city, 'Arena ' || CAST(c_nationkey AS VARCHAR) AS venue_name,
+    CAST(NULL AS VARCHAR) AS image, CAST(c_custkey AS VARCHAR) || ' Road' AS address, 'grass' AS surface,
+    CAST(c_custkey + 1000 + CASE WHEN {v2} THEN 1 ELSE 0 END AS BIGINT) AS capacity
+  FROM customer WHERE c_custkey % 10 <> 0"""
+
+ORACLE["json_fanout"] = VENUE_ROWS.format(v2="false")
+
+ORACLE["silver_venues"] = f"""
+SELECT *, CASE WHEN c_mktsegment = 'BUILDING' THEN TIMESTAMP '2024-02-01 06:00:00'
+               ELSE TIMESTAMP '2024-01-01 06:00:00' END AS loaded_at
+FROM ({VENUE_ROWS.format(v2="c_mktsegment = 'BUILDING'").replace(
+    "FROM customer", ", c_mktsegment FROM customer")})""".replace("SELECT *,", "SELECT * EXCLUDE (c_mktsegment),", 1)
+
+ORACLE["silver_teams"] = """
+SELECT CAST(c_custkey AS INTEGER) AS team_id,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN upper(c_name) ELSE c_name END AS name,
+  substr(c_mktsegment, 1, 3) AS code, 'N' || CAST(c_nationkey AS VARCHAR) AS country,
+  CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_custkey % 150 + 1850 END AS INTEGER) AS founded,
+  c_acctbal < 0 AS national, 'https://team/' || CAST(c_custkey AS VARCHAR) AS logo_url,
+  CASE WHEN c_mktsegment = 'BUILDING' THEN TIMESTAMP '2024-02-01 06:00:00'
+       ELSE TIMESTAMP '2024-01-01 06:00:00' END AS loaded_at
+FROM customer"""
+
+SEASON_ROWS = """
+  SELECT CAST(o_orderkey // 8 AS INTEGER) AS league_id, CAST(o_orderkey AS VARCHAR) AS year,
+    CAST(o_orderdate AS DATE) AS start_date, CAST(o_orderdate AS DATE) + 280 AS end_date,
+    CASE WHEN {flip} THEN o_orderstatus <> 'O' ELSE o_orderstatus = 'O' END AS current,
+    o_orderkey % 2 = 0 AS odds, o_orderkey % 3 = 0 AS players,
+    o_orderpriority = '1-URGENT' AS events, o_custkey % 3 = 0 AS lineups,
+    CAST(NULL AS BOOLEAN) AS statistics_players, CAST(NULL AS BOOLEAN) AS statistics_fixtures,
+    o_custkey % 2 = 0 AS injuries, true AS standings, CAST(NULL AS BOOLEAN) AS top_cards,
+    CAST(NULL AS BOOLEAN) AS predictions, CAST(NULL AS BOOLEAN) AS top_assists,
+    CAST(NULL AS BOOLEAN) AS top_scorers{extra}
+  FROM orders WHERE (o_orderkey // 8) % 9 NOT IN (0, 1, 2)"""
+
+ORACLE["json_unnest"] = SEASON_ROWS.format(flip="false", extra=""",
+    CAST(row_number() OVER (PARTITION BY o_orderkey // 8 ORDER BY o_orderkey) - 1 AS INTEGER) AS pos""")
+
+ORACLE["silver_seasons"] = SEASON_ROWS.format(flip="(o_orderkey // 8) % 3 = 0", extra=""",
+    CASE WHEN (o_orderkey // 8) % 3 = 0 THEN TIMESTAMP '2024-02-01 06:00:00'
+         ELSE TIMESTAMP '2024-01-01 06:00:00' END AS loaded_at""")
+
+ORACLE["silver_leagues"] = """
+WITH l AS (SELECT DISTINCT o_orderkey // 8 AS lid FROM orders)
+SELECT lid AS league_id, 'League ' || CAST(lid AS VARCHAR) || CASE WHEN lid % 3 = 0 THEN ' v2' ELSE '' END AS league_name,
+  CASE WHEN lid % 2 = 0 THEN 'League' ELSE 'Cup' END AS type,
+  'C' || CAST(lid % 20 AS VARCHAR) AS country_name, 'K' || CAST(lid % 20 AS VARCHAR) AS country_code,
+  'https://league/' || CAST(lid AS VARCHAR) AS logo, 'https://flag/' || CAST(lid % 20 AS VARCHAR) AS flag,
+  CASE WHEN lid % 3 = 0 THEN TIMESTAMP '2024-02-01 06:00:00' ELSE TIMESTAMP '2024-01-01 06:00:00' END AS loaded_at
+FROM l"""
+
+STANDING_ROWS = """
+  SELECT league_id, season, team_id,
+    'Team ' || CAST(team_id AS VARCHAR) || ' @' || CAST(month(snapshot_date) AS VARCHAR) AS team_name,
+    rank, points, goals_diff, 'Group ' || CAST(team_id % 2 AS VARCHAR) AS group_name, 'WDL' AS form,
+    played, win, draw, lose, goals_for, goals_against, updated_at, snapshot_date
+  FROM standings"""
+
+ORACLE["json_unnest_nested"] = f"""WITH {MATCHES}, {STANDINGS}
+SELECT * EXCLUDE (snapshot_date), CAST(team_id % 2 AS INTEGER) AS group_pos,
+  CAST(row_number() OVER (PARTITION BY league_id, season, snapshot_date, team_id % 2 ORDER BY team_id) - 1
+       AS INTEGER) AS row_pos
+FROM ({STANDING_ROWS})"""
+
+ORACLE["silver_standings"] = f"""WITH {MATCHES}, {STANDINGS}, sr AS ({STANDING_ROWS}),
+fin AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY league_id, season, team_id
+                                                     ORDER BY snapshot_date DESC) AS rn FROM sr) WHERE rn = 1),
+early AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY league_id, season, team_id
+                                                      ORDER BY snapshot_date DESC) AS rn
+                         FROM sr WHERE snapshot_date < DATE '1999-01-01') WHERE rn = 1)
+SELECT f.league_id, f.season, f.team_id, coalesce(e.team_name, f.team_name) AS team_name, f.rank, f.points,
+  f.goals_diff, f.group_name, f.form, f.played, f.win, f.draw, f.lose, f.goals_for, f.goals_against,
+  f.updated_at, CAST(f.snapshot_date AS TIMESTAMP) AS loaded_at
+FROM fin f LEFT JOIN early e ON e.league_id = f.league_id AND e.season = f.season AND e.team_id = f.team_id"""
+
+# ---------------------------------------------------------------------------
+# MERGE / UPSERT / UPDATE family
+# ---------------------------------------------------------------------------
+
+ORDER_SLICES = """t AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
+  WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+s AS (
+  SELECT o_orderkey, o_custkey, lower(o_orderstatus) AS o_orderstatus, o_totalprice + 1 AS o_totalprice,
+    CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END AS o_orderpriority FROM orders
+  WHERE o_orderdate >= TIMESTAMP '1998-01-01')"""
+
+ORACLE["merge_upsert"] = f"""WITH {ORDER_SLICES}
+SELECT * FROM s UNION ALL SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)"""
+
+ORACLE["merge_partial_update"] = f"""WITH {ORDER_SLICES}
+SELECT s.o_orderkey, s.o_custkey, s.o_orderstatus, s.o_totalprice,
+  CASE WHEN t.o_orderkey IS NOT NULL THEN t.o_orderpriority ELSE s.o_orderpriority END AS o_orderpriority
+FROM s LEFT JOIN t ON t.o_orderkey = s.o_orderkey
+UNION ALL SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM s)"""
+
+ORACLE["insert_absent"] = f"""WITH {ORDER_SLICES}
+SELECT * FROM t UNION ALL SELECT * FROM s WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)"""
+
+ORACLE["update_from"] = f"""WITH {ORDER_SLICES}
+SELECT t.o_orderkey, t.o_custkey,
+  CASE WHEN s.o_orderkey IS NOT NULL AND t.o_orderpriority IS DISTINCT FROM s.o_orderpriority
+       THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+  CASE WHEN s.o_orderkey IS NOT NULL AND t.o_orderpriority IS DISTINCT FROM s.o_orderpriority
+       THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+  t.o_orderpriority
+FROM t LEFT JOIN s ON s.o_orderkey = t.o_orderkey"""
+
+GRAIN_EQ = """u.snapshot_date_key = v.snapshot_date_key AND u.league_key = v.league_key
+  AND u.season = v.season AND u.team_key = v.team_key"""
+
+ORACLE["upsert_fact"] = f"""WITH {GOLD_ALL},
+ft AS (SELECT CAST(row_number() OVER (ORDER BY snapshot_date_key, league_key, season, team_key) AS INTEGER)
+         AS standing_key, * EXCLUDE (standing_key) FROM fact_standing WHERE snapshot_date_key < 19990101),
+fsrc AS (SELECT * EXCLUDE (standing_key, rank), rank + 100 AS rank FROM fact_standing
+         WHERE snapshot_date_key >= 19980101),
+upd AS (SELECT u.standing_key, v.* FROM ft u JOIN fsrc v ON {GRAIN_EQ}),
+keep AS (SELECT u.* FROM ft u WHERE NOT EXISTS (SELECT 1 FROM fsrc v WHERE {GRAIN_EQ})),
+ins AS (SELECT v.* FROM fsrc v WHERE NOT EXISTS (SELECT 1 FROM ft u WHERE {GRAIN_EQ}))
+SELECT standing_key, snapshot_date_key, league_key, team_key, season, rank, points, played, won, draw, lost,
+  goals_for, goals_against, goal_diff FROM upd
+UNION ALL
+SELECT standing_key, snapshot_date_key, league_key, team_key, season, rank, points, played, won, draw, lost,
+  goals_for, goals_against, goal_diff FROM keep
+UNION ALL
+SELECT CAST((SELECT max(standing_key) FROM ft) + row_number() OVER (
+         ORDER BY snapshot_date_key, league_key, season, team_key) AS INTEGER),
+  snapshot_date_key, league_key, team_key, season, rank, points, played, won, draw, lost,
+  goals_for, goals_against, goal_diff FROM ins"""
+
+ORACLE["full_refresh"] = ORACLE["mart_venue_home"]
+
+ORACLE["surrogate_key"] = """
+SELECT c_custkey, c_name, CAST(row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS customer_key FROM customer"""
+
+ORACLE["row_is_distinct"] = """
+SELECT c_custkey,
+  c_name IS DISTINCT FROM (CASE WHEN c_nationkey = 3 THEN upper(c_name) ELSE c_name END)
+  OR (CASE WHEN c_acctbal >= 0 THEN c_mktsegment END) IS DISTINCT FROM (CASE WHEN c_acctbal >= 100 THEN c_mktsegment END)
+  OR c_nationkey IS DISTINCT FROM (CASE WHEN c_nationkey <> 7 THEN c_nationkey END) AS is_distinct
+FROM customer"""
+
+ORACLE["distinct_on_latest"] = """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1"""
+
+# ---------------------------------------------------------------------------
+# SCD
+# ---------------------------------------------------------------------------
+
+SCD1 = """t AS (
+  SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS cust_key, c_custkey, c_name AS name,
+    c_mktsegment AS segment FROM customer WHERE c_nationkey < 15),
+s AS (SELECT c_custkey, upper(c_name) AS name, c_mktsegment AS segment FROM customer WHERE c_nationkey >= 10),
+n AS (SELECT CAST((SELECT max(cust_key) FROM t) + row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS cust_key,
+        c_custkey, name, segment FROM s WHERE c_custkey NOT IN (SELECT c_custkey FROM t))"""
+
+ORACLE["scd1_insert_absent"] = f"WITH {SCD1} SELECT * FROM t UNION ALL SELECT * FROM n"
+
+ORACLE["scd1_overwrite"] = f"""WITH {SCD1}
+SELECT t.cust_key, t.c_custkey,
+  CASE WHEN s.c_custkey IS NOT NULL THEN s.name ELSE t.name END AS name,
+  CASE WHEN s.c_custkey IS NOT NULL THEN s.segment ELSE t.segment END AS segment
+FROM t LEFT JOIN s ON s.c_custkey = t.c_custkey
+UNION ALL SELECT * FROM n"""
+
+SCD2 = """t AS (
+  SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS cust_key, c_custkey, c_name AS name,
+    CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS segment, c_nationkey AS nation,
+    DATE '2024-01-01' AS valid_from, DATE '9999-12-31' AS valid_to, true AS is_current
+  FROM customer WHERE c_nationkey < 20),
+s AS (
+  SELECT c_custkey, CASE WHEN c_nationkey % 4 = 1 THEN upper(c_name) ELSE c_name END AS name,
+    CASE WHEN c_acctbal >= 500 THEN c_mktsegment END AS segment, c_nationkey AS nation
+  FROM customer WHERE c_nationkey <> 0),
+chg AS (
+  SELECT t.c_custkey FROM t JOIN s ON s.c_custkey = t.c_custkey
+  WHERE t.name IS DISTINCT FROM s.name OR t.segment IS DISTINCT FROM s.segment
+     OR t.nation IS DISTINCT FROM s.nation),
+expired AS (
+  SELECT cust_key, c_custkey, name, segment, nation, valid_from,
+    CASE WHEN c_custkey IN (SELECT c_custkey FROM chg) THEN DATE '2024-01-31' ELSE valid_to END AS valid_to,
+    c_custkey NOT IN (SELECT c_custkey FROM chg) AS is_current
+  FROM t),
+ins AS (
+  SELECT CAST((SELECT max(cust_key) FROM t) + row_number() OVER (ORDER BY c_custkey) AS INTEGER) AS cust_key,
+    c_custkey, name, segment, nation, DATE '2024-02-01' AS valid_from, DATE '9999-12-31' AS valid_to,
+    true AS is_current
+  FROM s WHERE c_custkey NOT IN (SELECT c_custkey FROM t) OR c_custkey IN (SELECT c_custkey FROM chg)),
+applied AS (SELECT * FROM expired UNION ALL SELECT * FROM ins)"""
+
+ORACLE["scd2_expire"] = f"WITH {SCD2} SELECT * FROM expired"
+ORACLE["scd2_insert"] = f"WITH {SCD2} SELECT * FROM applied"
+ORACLE["scd2_apply"] = f"WITH {SCD2} SELECT * FROM applied"
+
+ORACLE["scd2_dedup_apply"] = """WITH t AS (
+  SELECT CAST(row_number() OVER (ORDER BY n_nationkey) AS INTEGER) AS venue_key,
+    CAST(n_nationkey AS INTEGER) AS venue_id, n_name || ' Stadium' AS name, n_name AS city,
+    'Main St ' || CAST(n_nationkey AS VARCHAR) AS address,
+    CASE WHEN n_nationkey % 3 = 0 THEN 'artificial' ELSE 'grass' END AS surface,
+    CAST(NULL AS VARCHAR) AS image, CAST((n_nationkey + 1) * 1000 AS BIGINT) AS capacity,
+    DATE '2024-01-01' AS valid_from, DATE '9999-12-31' AS valid_to, true AS is_current
+  FROM nation),
+sv AS (
+  SELECT CAST(s_nationkey AS INTEGER) AS venue_id,
+    'Ground ' || CAST(s_nationkey AS VARCHAR) || '/' || CAST(s_suppkey AS VARCHAR) AS name,
+    'City ' || CAST(s_nationkey AS VARCHAR) AS city, 'Main St ' || CAST(s_nationkey AS VARCHAR) AS address,
+    'grass' AS surface, CAST(NULL AS VARCHAR) AS image, CAST(s_suppkey * 10 AS BIGINT) AS capacity,
+    row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey DESC) AS rn
+  FROM supplier),
+s AS (SELECT * EXCLUDE (rn) FROM sv WHERE rn = 1),
+chg AS (
+  SELECT t.venue_id FROM t JOIN s ON s.venue_id = t.venue_id
+  WHERE t.name IS DISTINCT FROM s.name OR t.city IS DISTINCT FROM s.city OR t.address IS DISTINCT FROM s.address
+     OR t.surface IS DISTINCT FROM s.surface OR t.image IS DISTINCT FROM s.image
+     OR t.capacity IS DISTINCT FROM s.capacity)
+SELECT venue_key, venue_id, name, city, address, surface, image, capacity, valid_from,
+  CASE WHEN venue_id IN (SELECT venue_id FROM chg) THEN DATE '2024-01-31' ELSE valid_to END AS valid_to,
+  venue_id NOT IN (SELECT venue_id FROM chg) AS is_current
+FROM t
+UNION ALL
+SELECT CAST((SELECT max(venue_key) FROM t) + row_number() OVER (ORDER BY venue_id) AS INTEGER), venue_id, name,
+  city, address, surface, image, capacity, DATE '2024-02-01', DATE '9999-12-31', true
+FROM s WHERE venue_id NOT IN (SELECT venue_id FROM t) OR venue_id IN (SELECT venue_id FROM chg)"""
+
+# ---------------------------------------------------------------------------
+# aggregates, scalars, data quality
+# ---------------------------------------------------------------------------
+
+ORACLE["agg_filtered_count"] = """
+SELECT l_returnflag, l_linestatus, count(*) AS n, count(*) FILTER (WHERE l_quantity > 25) AS big_qty,
+  count(*) FILTER (WHERE l_discount = 0) AS no_discount
+FROM lineitem GROUP BY l_returnflag, l_linestatus"""
+
+ORACLE["agg_sum_case"] = """
+SELECT o_orderpriority,
+  CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 3 WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS points
+FROM orders GROUP BY o_orderpriority"""
+
+ORACLE["agg_exact_avg"] = f"""
+SELECT l_returnflag, l_linestatus,
+  {half_up('sum(l_linenumber)', 'count(l_linenumber)', 4)} AS avg_line,
+  {half_up('sum(CASE WHEN l_quantity <= 40 THEN l_linenumber END)',
+           'count(CASE WHEN l_quantity <= 40 THEN l_linenumber END)', 4)} AS avg_line_small
+FROM lineitem GROUP BY l_returnflag, l_linestatus"""
+
+ORACLE["agg_bool_pct"] = f"""
+SELECT o_orderpriority, count(*) AS n,
+  {half_up("100 * count(*) FILTER (WHERE o_orderstatus = 'F')", 'count(*)', 5)} AS pct_finished
+FROM orders GROUP BY o_orderpriority"""
+
+ORACLE["scalar_casts"] = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+  CAST(CAST(event_id AS VARCHAR) AS BIGINT) AS event_id_text, value > 10 AS big_value,
+  CAST(ts AS DATE) AS event_date,
+  CAST(date_trunc('second', ts) + INTERVAL 5 HOUR AS DATE) AS kick_utc_date,
+  strftime(date_trunc('second', ts) + INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S') AS kick_utc
+FROM events"""
+
+ORACLE["scalar_rounding"] = """
+SELECT o_orderkey,
+  CAST(CAST(((o_orderkey % 1000) * 200 + 8) // 16 AS DECIMAL(18,0)) * 0.01 AS DECIMAL(8,2)) AS eighths,
+  CAST(CAST((o_custkey * 200 + 40) // 80 AS DECIMAL(18,0)) * 0.01 AS DECIMAL(10,2)) AS fortieths,
+  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE
+    CAST(CAST(((o_orderkey % 100) * 200 + o_orderkey % 3) // (2 * (o_orderkey % 3)) AS DECIMAL(18,0)) * 0.01
+         AS DECIMAL(8,2)) END AS guarded
+FROM orders"""
+
+ORACLE["scalar_null_logic"] = f"""WITH {MATCHES}
+SELECT CAST(fixture_id AS INTEGER) AS fixture_id,
+  CAST(coalesce(goals_home, 0) + coalesce(goals_away, 0) AS INTEGER) AS goals_total,
+  CAST(CASE WHEN goals_home > goals_away THEN 1 WHEN goals_home < goals_away THEN -1
+            WHEN goals_home = goals_away THEN 0 END AS SMALLINT) AS result,
+  CAST(-(CASE WHEN goals_home > goals_away THEN 1 WHEN goals_home < goals_away THEN -1
+              WHEN goals_home = goals_away THEN 0 END) AS SMALLINT) AS neg_result,
+  nullif(goals_home, 0) AS nz_home, coalesce(venue_id, -1) AS venue_or_default
+FROM matches"""
+
+ORACLE["dq_unique"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+ORACLE["dq_not_null"] = f"""WITH {MATCHES}, c AS (
+  SELECT 'fixture_id' AS column_name, count(*) FILTER (WHERE fixture_id IS NULL) AS null_count FROM matches
+  UNION ALL SELECT 'league_id', count(*) FILTER (WHERE league_id IS NULL) FROM matches
+  UNION ALL SELECT 'season', count(*) FILTER (WHERE season IS NULL) FROM matches
+  UNION ALL SELECT 'kickoff', count(*) FILTER (WHERE kickoff IS NULL) FROM matches
+  UNION ALL SELECT 'venue_id', count(*) FILTER (WHERE venue_id IS NULL) FROM matches
+  UNION ALL SELECT 'goals_home', count(*) FILTER (WHERE goals_home IS NULL) FROM matches
+  UNION ALL SELECT 'goals_away', count(*) FILTER (WHERE goals_away IS NULL) FROM matches)
+SELECT * FROM c WHERE null_count > 0"""
+
+ORACLE["dq_fk_orphans"] = f"""WITH {GOLD}
+SELECT CAST(m.fixture_id AS INTEGER) AS fixture_id, m.venue_id FROM matches m
+WHERE m.venue_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM dim_venue v WHERE v.venue_id = m.venue_id AND v.is_current)"""
+
+ORACLE["dq_one_current"] = """
+SELECT c_custkey, CAST(2 AS BIGINT) AS n FROM customer WHERE c_nationkey = 5"""
+
+ORACLE["fact_rejects"] = f"""WITH {MATCHES}
+SELECT CAST(fixture_id AS INTEGER) AS fixture_id, 'date' AS failed_lookup FROM matches
+WHERE year(kickoff) = (SELECT min(year(o_orderdate)) FROM orders)
+UNION ALL
+SELECT CAST(fixture_id AS INTEGER), 'home_team' FROM matches WHERE home_team_id % 6 = 5"""

@@ -72,7 +72,7 @@ class LayerStore:
         which also cuts the lineage for the steps that depend on it."""
         path = self.table_path(layer, table, version)
         df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def append_bronze(self, table: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.table_path("bronze", table))

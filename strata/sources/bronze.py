@@ -46,7 +46,7 @@ def malformed_payloads(rows: DataFrame, payload_col: str = "payload") -> DataFra
 
 def land_bronze(rows: DataFrame, table: str, loaded_at: Column, start_id: int = 0,
                 order_cols: list | None = None, source_params: Column | None = None,
-                source: str | None = None, payload_col: str = "payload") -> DataFrame:
+                source=None, payload_col: str = "payload") -> DataFrame:
     """Bronze rows for ``rows`` (one per payload). ``source`` defaults to the
     entity name, as the column default does in the reference."""
     check_target(table)
@@ -55,7 +55,7 @@ def land_bronze(rows: DataFrame, table: str, loaded_at: Column, start_id: int =
     staged = rows.select(
         F.col(payload_col).alias("payload"),
         source_params.cast("string").alias("source_params"),
-        F.lit(source or table).alias("source"),
+        (source if isinstance(source, Column) else F.lit(source or table)).alias("source"),
         loaded_at.alias("loaded_at"),
         F.md5(F.col(payload_col)).alias("record_hash"),
         *[F.col(c) for c in (order_cols or []) if c != payload_col],
