@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import iso_day_of_week, row_is_distinct, season_year
-from strata.operators.keys import assign_keys, date_key, next_key_start
+from strata.operators.keys import (assign_keys, date_key, known_rows, next_key_start,
+                                  with_known_rows)
 from strata.operators.merge import insert_absent, update_from
 
 # Fixed values of the reference model: open-ended validity sentinel and the
@@ -94,7 +95,8 @@ def scd_initial(source: DataFrame, key: list, attrs: list, key_col: str, run_dat
         cols += [_as_date(run_date).alias(from_col), F.lit(END_OF_TIME).cast("date").alias(to_col),
                  F.lit(True).alias(flag)]
     keyed = assign_keys(source.select(*cols), key, key_col, 0, key_type)
-    return keyed.select(key_col, *[c for c in keyed.columns if c != key_col])
+    return with_known_rows(keyed.select(key_col, *[c for c in keyed.columns if c != key_col]),
+                           known_rows(keyed))
 
 
 def _classify(target: DataFrame, source: DataFrame, key: list, tracked: list, flag: str):

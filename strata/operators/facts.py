@@ -94,5 +94,5 @@ def upsert_fact(target: DataFrame, rows: DataFrame, keys: list, key_col: str | N
     old = merged.filter(F.col(key_col).isNotNull())
     new = merged.filter(F.col(key_col).isNull()).drop(key_col)
     start = next_key_start(target, key_col)
-    new = assign_keys(new, keys, key_col, start)
+    new = assign_keys(new, keys, key_col, start, local_rows=0)
     return old.unionByName(new.select(*target.columns))

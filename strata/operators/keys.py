@@ -13,6 +13,10 @@
    collected, turned into prefix-sum offsets and applied as a literal map:
    a narrow projection, no join.
 
+Below ``SMALL_KEY_ROWS`` rows (counted first, so the bound is proven) the
+numbering is a plain ``row_number()`` over the order: one small task, no
+write. ``order_cols`` must be unique, so both paths are deterministic.
+
 Only *new* rows get keys; existing rows keep theirs (``start`` is the current
 maximum).
 """
@@ -21,12 +25,24 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
 
 _LOW_BITS = 33
+SMALL_KEY_ROWS = 200_000
+
+
+def with_known_rows(df: DataFrame, n: int) -> DataFrame:
+    """Remember a proven upper bound of the row count on this DataFrame
+    object (used by size-checked broadcasts instead of another count)."""
+    df._strata_rows = int(n)
+    return df
+
+
+def known_rows(df: DataFrame):
+    return getattr(df, "_strata_rows", None)
 
 
 def materialize(df: DataFrame, label: str = "t") -> DataFrame:
@@ -45,8 +61,16 @@ def next_key_start(df: DataFrame, key_col: str) -> int:
 
 
 def assign_keys(df: DataFrame, order_cols: list, key_col: str, start: int = 0,
-                key_type: str = "int", num_partitions: int | None = None) -> DataFrame:
+                key_type: str = "int", num_partitions: int | None = None,
+                local_rows: int = SMALL_KEY_ROWS) -> DataFrame:
+    """``local_rows=0`` skips the count and always takes the distributed path
+    (fact-sized inputs whose lineage should be computed only once)."""
     spark = df.sparkSession
+    rows = df.count() if local_rows > 0 else None
+    if rows is not None and rows <= local_rows:
+        w = Window.orderBy(*order_cols)
+        out = df.withColumn(key_col, (F.lit(start) + F.row_number().over(w)).cast(key_type))
+        return with_known_rows(out, rows)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (df.repartitionByRange(n, *order_cols)
                  .sortWithinPartitions(*order_cols)
@@ -62,7 +86,7 @@ def assign_keys(df: DataFrame, order_cols: list, key_col: str, start: int = 0,
         acc += c
     offset = F.try_element_at(F.create_map(*pairs), part) if pairs else F.lit(0)
     key = F.lit(start) + offset + pos + F.lit(1)
-    return stored.withColumn(key_col, key.cast(key_type)).drop("__mid")
+    return with_known_rows(stored.withColumn(key_col, key.cast(key_type)).drop("__mid"), acc)
 
 
 def date_key(d) -> Column:

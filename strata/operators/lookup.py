@@ -27,6 +27,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
     ``known_rows`` skips the count when the size is proven by construction
     (e.g. a calendar of ``end - start + 1`` days)."""
+    if known_rows is None:
+        known_rows = getattr(df, "_strata_rows", None)
     n = known_rows if known_rows is not None else df.count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -46,13 +48,14 @@ class Lookup:
 
 def _prepared(lk: Lookup, i: int, max_rows: int) -> tuple[DataFrame, list]:
     d = lk.dim
+    bound = lk.broadcast_rows if lk.broadcast_rows is not None else getattr(d, "_strata_rows", None)
     if lk.current_flag:
         d = d.filter(F.col(lk.current_flag))
     names = [f"__lk{i}_{j}" for j in range(len(lk.on))]
     d = d.select(*[F.col(dc).alias(n) for (_, dc), n in zip(lk.on, names)],
                  F.col(lk.key_col).alias(lk.out),
                  *[F.col(c).alias(o) for c, o in lk.extra])
-    return broadcast_if_small(d, max_rows, lk.broadcast_rows), names
+    return broadcast_if_small(d, max_rows, bound), names
 
 
 def _fact_side(fact: DataFrame, lk: Lookup, names: list) -> DataFrame:

@@ -60,5 +60,6 @@ def land_bronze(rows: DataFrame, table: str, loaded_at: Column, start_id: int =
         F.md5(F.col(payload_col)).alias("record_hash"),
         *[F.col(c) for c in (order_cols or []) if c != payload_col],
     )
-    keyed = assign_keys(staged, order_cols or ["record_hash"], "id", start_id, key_type="bigint")
+    keyed = assign_keys(staged, order_cols or ["record_hash"], "id", start_id, key_type="bigint",
+                        local_rows=0)
     return keyed.select(*BRONZE_COLUMNS)
