@@ -173,7 +173,8 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: list, tracked: list, k
 
 
 def empty_like(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    from strata.schemas import empty_frame
+    return empty_frame(spark, schema)
 
 
 __all__ = ["build_dim_date", "scd1", "scd2_apply", "scd2_expire", "scd2_insert",

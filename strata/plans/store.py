@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.schemas import schema_of
+from strata.schemas import empty_frame, schema_of
 
 
 class LayerStore:
@@ -60,11 +60,11 @@ class LayerStore:
         if layer != "bronze":
             version = self.current_version(layer) if version is None else version
             if version == 0:
-                return self.spark.createDataFrame([], schema)
+                return empty_frame(self.spark, schema)
         try:
             df = self.spark.read.schema(schema).parquet(self.table_path(layer, table, version))
         except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
     def write(self, layer: str, table: str, df: DataFrame, version: int) -> DataFrame:

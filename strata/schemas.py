@@ -106,6 +106,15 @@ FOREIGN_KEYS = {
 }
 
 
+def empty_frame(spark, schema: T.StructType):
+    """An empty DataFrame the optimizer can see is empty (``WHERE false`` on a
+    one-row relation), so joins against a first-run target are pruned away
+    instead of shuffling the other side."""
+    from pyspark.sql import functions as F
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name)
+                                   for f in schema.fields]).where(F.lit(False))
+
+
 def schema_of(layer: str, table: str) -> T.StructType:
     if layer == "bronze":
         if table not in BRONZE_TABLES:
