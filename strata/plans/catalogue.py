@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.operators.dims import build_dim_date, scd1, scd2_apply, scd_initial
 from strata.operators.facts import (FACT_STANDING_GRAIN, fact_match, fact_snapshot, upsert_fact)
-from strata.operators.keys import known_rows, materialize, with_known_rows
+from strata.operators.keys import assign_keys
 from strata.operators.lookup import Lookup, lookup_keys
 from strata.operators.marts import (latest_snapshot, mart_league_month, mart_team_season,
                                     mart_venue_home, team_games, team_season_agg)
@@ -45,28 +45,42 @@ def _empty(spark, layer, table):
 # gold chain on the synthetic matches
 # ---------------------------------------------------------------------------
 
+class _Dims(dict):
+    """Dimensions of the gold chain, built on first use only: the calendar
+    (data-derived range), Type 1 league and Type 2 team / venue dimensions as
+    first loads. Keyed dimensions carry the row count proven while keying,
+    which the lookups use as their broadcast bound."""
+
+    def __init__(self, spark: SparkSession, d: str):
+        super().__init__()
+        self.spark, self.d = spark, d
+
+    def __missing__(self, name):
+        spark, d = self.spark, self.d
+        if name in ("dim_date", "date_rows"):
+            bounds = inputs.calendar_bounds(spark, d)
+            b = bounds.first()  # two scalars: the range bounds the calendar size
+            self["date_rows"] = (b["end"] - b["start"]).days + 1
+            self["dim_date"] = build_dim_date(spark, bounds=bounds)
+        elif name == "dim_league":
+            self[name] = scd_initial(inputs.league_source(spark, d), ["league_id"],
+                                     ["name", "type", "country_name", "country_code", "logo_url"],
+                                     "league_key")
+        elif name == "dim_team":
+            self[name] = scd_initial(inputs.team_source(spark, d), ["team_id"],
+                                     ["name", "code", "country", "founded", "national", "logo_url"],
+                                     "team_key", inputs.RUN_DATE_1)
+        elif name == "dim_venue":
+            self[name] = scd_initial(inputs.venue_source(spark, d), ["venue_id"],
+                                     ["name", "city", "address", "surface", "image", "capacity"],
+                                     "venue_key", inputs.RUN_DATE_1)
+        else:
+            raise KeyError(name)
+        return dict.__getitem__(self, name)
+
+
 def dims(spark: SparkSession, d: str) -> dict:
-    """Calendar (data-derived range), Type 1 league and Type 2 team / venue
-    dimensions, each built as a first load into an empty target."""
-    bounds = inputs.calendar_bounds(spark, d)
-    b = bounds.first()  # two scalars: the range, which bounds the calendar size
-    date_rows = (b["end"] - b["start"]).days + 1
-    dim_date = build_dim_date(spark, bounds=bounds)
-    dim_league = scd_initial(inputs.league_source(spark, d), ["league_id"],
-                             ["name", "type", "country_name", "country_code", "logo_url"],
-                             "league_key")
-    dim_team = scd_initial(inputs.team_source(spark, d), ["team_id"],
-                           ["name", "code", "country", "founded", "national", "logo_url"],
-                           "team_key", inputs.RUN_DATE_1)
-    dim_venue = scd_initial(inputs.venue_source(spark, d), ["venue_id"],
-                            ["name", "city", "address", "surface", "image", "capacity"],
-                            "venue_key", inputs.RUN_DATE_1)
-    # written once and read back, as the pipeline does with its gold tables;
-    # the row counts proven while keying travel along for the broadcast check
-    stored = {n: with_known_rows(materialize(df, n), known_rows(df))
-              for n, df in (("dim_league", dim_league), ("dim_team", dim_team),
-                            ("dim_venue", dim_venue))}
-    return {"dim_date": dim_date, "date_rows": date_rows, **stored}
+    return _Dims(spark, d)
 
 
 def _fact_fixture(spark, d, dm=None):
@@ -76,11 +90,14 @@ def _fact_fixture(spark, d, dm=None):
 
 
 def _fact_standing(spark, d, dm=None):
+    """First load of the snapshot fact: every row is new, so the identity key
+    is assigned in grain order (the ``upsert_fact`` query covers the upsert
+    into an existing fact)."""
     dm = dm or dims(spark, d)
     rows = fact_snapshot(inputs.standings(spark, d), dm["dim_date"], dm["dim_league"],
                          dm["dim_team"], dm["date_rows"])
-    return upsert_fact(_empty(spark, "gold", "fact_standing"), rows, FACT_STANDING_GRAIN,
-                       key_col="standing_key"), dm
+    keyed = assign_keys(rows, FACT_STANDING_GRAIN, "standing_key")
+    return keyed.select("standing_key", *rows.columns), dm
 
 
 @query("dim_date")
@@ -134,7 +151,7 @@ def q_fact_match(spark, d):
 
 @query("fact_snapshot")
 def q_fact_snapshot(spark, d):
-    """PIPE-12, SINK-5 with identity key: periodic-snapshot fact."""
+    """PIPE-12, KEY-1: periodic-snapshot fact with its identity key."""
     return _fact_standing(spark, d)[0]
 
 
