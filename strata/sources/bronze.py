@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.keys import assign_keys
+from strata.operators.keys import assign_keys, known_rows, with_known_rows
 
 # The four bronze targets (whitelist, SINK-2).
 BRONZE_TABLES = ("leagues", "teams", "fixtures", "standings")
@@ -62,4 +62,4 @@ def land_bronze(rows: DataFrame, table: str, loaded_at: Column, start_id: int =
     )
     keyed = assign_keys(staged, order_cols or ["record_hash"], "id", start_id, key_type="bigint",
                         local_rows=0)
-    return keyed.select(*BRONZE_COLUMNS)
+    return with_known_rows(keyed.select(*BRONZE_COLUMNS), known_rows(keyed))
