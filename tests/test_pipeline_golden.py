@@ -214,3 +214,32 @@ def test_rejected_envelope_fails_load(spark, tmp_path):
     p.write_text("<html>gateway timeout</html>")
     with pytest.raises(LoadRejected):
         run_pipeline(spark, {"teams": str(p)}, base, dt.datetime(2024, 1, 1))
+
+
+def test_tie_break_same_payload_two_groups(spark):
+    from strata.plans import football
+    payload = json.dumps({"league": {"id": 39, "season": 2023, "standings": [
+        [row(1, "Reds", 1, 91)], [row(1, "Reds", 7, 10)], None]}})
+    older = json.dumps({"league": {"id": 39, "season": 2023, "standings": [[row(1, "Reds", 9, 1)]]}})
+    bronze = spark.createDataFrame(
+        [(1, older, dt.datetime(2024, 1, 1)), (2, payload, dt.datetime(2024, 1, 1))],
+        "id bigint, payload string, loaded_at timestamp")
+    out = football.silver_source(bronze, "standings").collect()
+    assert len(out) == 1 and out[0]["rank"] == 1     # newest bronze id, then first group (Q6)
+
+
+def test_bad_key_or_malformed_int_is_not_published(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    bad_key = copy.deepcopy(TEAMS)
+    bad_key[1]["team"]["id"] = None
+    with pytest.raises(Exception):
+        run_pipeline(spark, write_inputs(str(tmp_path / "a"), teams=bad_key), base,
+                     dt.datetime(2024, 1, 1))
+    store = LayerStore(spark, base)
+    assert store.current_version("silver") == 0
+    bad_int = copy.deepcopy(FIXTURES)
+    bad_int[0]["fixture"]["status"]["elapsed"] = "ninety"
+    with pytest.raises(Exception):
+        run_pipeline(spark, write_inputs(str(tmp_path / "b"), fixtures=bad_int), base,
+                     dt.datetime(2024, 1, 2))
+    assert store.current_version("silver") == 0
