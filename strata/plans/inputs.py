@@ -293,3 +293,32 @@ def envelope_bodies(spark: SparkSession, d: str) -> DataFrame:
         F.lit('"results":'), F.col("n").cast("string"), F.lit(',"paging":{"current":1,"total":1},"response":'),
         F.col("resp"), F.lit("}")))
     return pages.select("page", body.alias("body"))
+
+
+def envelope_lines(payloads: DataFrame, get: str, page) -> DataFrame:
+    """Pack bronze-shaped payloads into API response bodies, one per page.
+    ``page`` must map at most a bounded number of unique ids to one page."""
+    pages = payloads.groupBy(page.alias("page")).agg(
+        F.count(F.lit(1)).alias("n"), F.concat_ws(",", F.collect_list("payload")).alias("items"))
+    return pages.select(F.concat(
+        F.lit(f'{{"get":"{get}","parameters":{{"page":"'), F.col("page").cast("string"),
+        F.lit('"},"errors":[],"results":'), F.col("n").cast("string"),
+        F.lit(',"paging":{"current":1,"total":1},"response":['), F.col("items"), F.lit("]}")).alias("body"))
+
+
+def write_envelopes(spark: SparkSession, d: str, out: str) -> dict:
+    """Newline-delimited envelope files for every entity, derived from the
+    driver tables (100 records per page; one standings table per page)."""
+    out = out.rstrip("/")
+    sets = {
+        "fixtures": envelope_lines(fixture_bronze(spark, d, 1), "fixtures", F.expr("id div 200")),
+        "teams": envelope_lines(team_bronze(spark, d, 1), "teams", F.expr("id div 200")),
+        "leagues": envelope_lines(league_bronze(spark, d).filter(F.col("id") % 2 == 1), "leagues",
+                                  F.expr("id div 200")),
+        "standings": envelope_lines(standing_bronze(spark, d), "standings", F.col("id")),
+    }
+    paths = {}
+    for entity, df in sets.items():
+        paths[entity] = f"{out}/{entity}"
+        df.write.mode("overwrite").text(paths[entity])
+    return paths

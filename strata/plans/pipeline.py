@@ -37,7 +37,8 @@ class LoadRejected(Exception):
     pass
 
 
-def land(spark: SparkSession, store: LayerStore, entity: str, path, run_ts: dt.datetime) -> int:
+def land(spark: SparkSession, store: LayerStore, entity: str, path, run_ts: dt.datetime,
+         line_delimited: bool = False) -> int:
     """SRC-1/2 + SINK-1 for one endpoint; returns the number of landed rows.
 
     Each envelope is parsed once: the gate verdict and the raw ``response``
@@ -45,17 +46,17 @@ def land(spark: SparkSession, store: LayerStore, entity: str, path, run_ts: dt.d
     is checked with a scan of one boolean column, and the bronze rows are
     exploded from the staged arrays without parsing again. Elements of a
     parsed JSON array are valid JSON by construction (Hard 8)."""
-    parsed = parse_envelopes(read_envelopes(spark, path))
-    staged = materialize(parsed.select("source_file", accepted().alias("ok"),
+    parsed = parse_envelopes(read_envelopes(spark, path, line_delimited))
+    staged = materialize(parsed.select("source_file", "body_hash", accepted().alias("ok"),
                                        F.col("env.parameters").alias("source_params"),
                                        F.col("env.response").alias("response")), f"envelopes_{entity}")
     if not staged.filter(~F.col("ok")).select("ok").isEmpty():
         raise LoadRejected(f"{entity}: envelope carries API errors or is not JSON")
-    rows = staged.select("source_file", "source_params",
+    rows = staged.select("source_file", "body_hash", "source_params",
                          F.posexplode("response").alias("pos", "payload"))
     start = next_key_start(store.read("bronze", entity), "id")
     landed = land_bronze(rows, entity, F.lit(run_ts).cast("timestamp"), start,
-                         order_cols=["source_file", "pos"])
+                         order_cols=["source_file", "body_hash", "pos"])
     store.append_bronze(entity, landed)
     return known_rows(landed) if known_rows(landed) is not None else landed.count()
 
@@ -134,15 +135,17 @@ def run_gold(spark: SparkSession, store: LayerStore, run_date: dt.date,
 
 
 def run_pipeline(spark: SparkSession, envelopes: dict, base: str,
-                 run_ts: dt.datetime | None = None, calendar: tuple = DEFAULT_CALENDAR) -> dict:
-    """``envelopes`` maps each bronze entity to its envelope file path(s)."""
+                 run_ts: dt.datetime | None = None, calendar: tuple = DEFAULT_CALENDAR,
+                 line_delimited: bool = False) -> dict:
+    """``envelopes`` maps each bronze entity to its envelope file path(s);
+    ``line_delimited`` reads one envelope per line instead of per file."""
     apply_sql_conf(spark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     store = LayerStore(spark, base)
     landed = {}
     for entity in BRONZE_TABLES:
         if entity in envelopes:
-            landed[entity] = land(spark, store, entity, envelopes[entity], run_ts)
+            landed[entity] = land(spark, store, entity, envelopes[entity], run_ts, line_delimited)
     silver_v = run_silver(spark, store)
     gold_v = run_gold(spark, store, run_ts.date(), calendar)
     return {"landed": landed, "silver_version": silver_v, "gold_version": gold_v}

@@ -34,11 +34,17 @@ ENVELOPE_SCHEMA = T.StructType([
 ACCEPTED_ERROR_TEXTS = ("[]", "{}")
 
 
-def read_envelopes(spark: SparkSession, path) -> DataFrame:
-    """One row per file: ``source_file``, ``body``. Each file is one response
-    body (pages are small and bounded by the API's page size)."""
-    df = spark.read.text(path, wholetext=True)
-    return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body"))
+def read_envelopes(spark: SparkSession, path, line_delimited: bool = False) -> DataFrame:
+    """One row per envelope: ``source_file``, ``body``, ``body_hash``.
+
+    By default each file is one response body (pages are small and bounded
+    by the API's page size). With ``line_delimited`` every line of a file is
+    one body, so many responses can share a file and large files split."""
+    df = spark.read.text(path, wholetext=not line_delimited)
+    if line_delimited:
+        df = df.filter(F.length(F.trim("value")) > 0)
+    return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body"),
+                     F.md5("value").alias("body_hash"))
 
 
 def parse_envelopes(df: DataFrame, body_col: str = "body") -> DataFrame:

@@ -243,3 +243,14 @@ def test_bad_key_or_malformed_int_is_not_published(spark, tmp_path):
         run_pipeline(spark, write_inputs(str(tmp_path / "b"), fixtures=bad_int), base,
                      dt.datetime(2024, 1, 2))
     assert store.current_version("silver") == 0
+
+
+def test_line_delimited_envelopes(spark, tmp_path):
+    from strata.plans.pipeline import land
+    folder = tmp_path / "nd"
+    folder.mkdir()
+    (folder / "part-0.txt").write_text(envelope("teams", TEAMS[:2]) + "\n" + envelope("teams", TEAMS[2:]) + "\n")
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    assert land(spark, store, "teams", str(folder), dt.datetime(2024, 1, 1), line_delimited=True) == 4
+    ids = sorted(r["id"] for r in store.read("bronze", "teams").collect())
+    assert ids == [1, 2, 3, 4]
