@@ -48,8 +48,18 @@ def dq_one_current(dim: DataFrame, key: list, flag: str = "is_current") -> DataF
     return dq_unique(dim.filter(F.col(flag)), key)
 
 
+def failing_checks(checks: dict) -> list:
+    """Names of the checks that found violations, in one Spark action: each
+    check contributes at most one row (its name), the branches are unioned
+    and run as parallel stages of one job."""
+    if not checks:
+        return []
+    parts = [df.select(F.lit(name).alias("check")).limit(1) for name, df in checks.items()]
+    return sorted({r["check"] for r in reduce(DataFrame.unionByName, parts).collect()})
+
+
 def assert_clean(checks: dict) -> None:
     """Raise ``DataQualityError`` naming every check that found violations."""
-    bad = [name for name, df in checks.items() if not df.isEmpty()]
+    bad = failing_checks(checks)
     if bad:
         raise DataQualityError("data-quality checks failed: " + ", ".join(bad))
