@@ -7,20 +7,30 @@ tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.dims import build_dim_date, scd1, scd2_apply, scd_initial
-from strata.operators.facts import (FACT_STANDING_GRAIN, fact_match, fact_snapshot, upsert_fact)
+from strata.functions.exprs import (bool_pct, coalesce0_sum, exact_avg, exact_ratio, result_sign,
+                                    row_is_distinct)
+from strata.functions.jsonpath import project
+from strata.operators.dedup import latest_by
+from strata.operators.dims import (build_dim_date, scd1, scd2_apply, scd2_expire, scd2_insert,
+                                   scd_initial)
+from strata.operators.dq import dq_fk_orphans, dq_not_null, dq_one_current, dq_unique
+from strata.operators.facts import FACT_STANDING_GRAIN, fact_match, fact_snapshot, upsert_fact
 from strata.operators.keys import assign_keys
-from strata.operators.lookup import Lookup, lookup_keys
+from strata.operators.lookup import Lookup, lookup_keys, rejected_rows
 from strata.operators.marts import (latest_snapshot, mart_league_month, mart_team_season,
                                     mart_venue_home, team_games, team_season_agg)
-from strata.plans import inputs
+from strata.operators.merge import insert_absent, merge_upsert, update_from
+from strata.plans import football, inputs
+from strata.plans import gold as gold_plan
+from strata.plans.store import LayerStore
 from strata.schemas import empty_frame, schema_of
-from strata.session import apply_sql_conf
+from strata.session import apply_sql_conf, ensure_checkpoint_dir
+from strata.sources.bronze import land_bronze
+from strata.sources.envelope import explode_response, gate_errors, parse_envelopes
+from strata.sources.tables import read_table
 
 QUERIES: dict = {}
 
@@ -209,24 +219,6 @@ def q_mart_venue_home(spark, d):
 # sources: envelopes, bronze landing, JSON projection and unnesting
 # ---------------------------------------------------------------------------
 
-from strata.functions.exprs import (bool_pct, coalesce0_sum, exact_avg, exact_ratio,  # noqa: E402
-                                    result_sign, row_is_distinct)
-from strata.functions.jsonpath import project  # noqa: E402
-from strata.operators.dedup import latest_by  # noqa: E402
-from strata.operators.dims import scd2_expire, scd2_insert  # noqa: E402
-from strata.operators.dq import dq_fk_orphans, dq_not_null, dq_one_current, dq_unique  # noqa: E402
-from strata.operators.facts import fixture_rejects  # noqa: E402
-from strata.operators.keys import assign_keys  # noqa: E402
-from strata.operators.lookup import rejected_rows  # noqa: E402
-from strata.operators.merge import insert_absent, merge_upsert, update_from  # noqa: E402
-from strata.plans import football  # noqa: E402
-from strata.plans import gold as gold_plan  # noqa: E402
-from strata.plans.store import LayerStore  # noqa: E402
-from strata.session import ensure_checkpoint_dir  # noqa: E402
-from strata.sources.bronze import land_bronze  # noqa: E402
-from strata.sources.envelope import explode_response, gate_errors, parse_envelopes  # noqa: E402
-from strata.sources.tables import read_table  # noqa: E402
-
 ORDER_ITEM_SPEC = [("id", ("id",), "bigint"), ("status", ("status",), None),
                    ("customer", ("customer",), "bigint")]
 
