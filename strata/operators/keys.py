@@ -10,8 +10,8 @@
 3. the rows are written once as a table in the session's checkpoint folder
    and read back, so a lost executor or a re-evaluation can never renumber;
 4. one count per partition (at most #partitions values, a proven bound) is
-   collected, turned into prefix-sum offsets and applied as a literal map:
-   a narrow projection, no join.
+   collected, turned into prefix-sum offsets and broadcast back (a map-side
+   join with a table of at most #partitions rows).
 
 Below ``SMALL_KEY_ROWS`` rows (counted first, so the bound is proven) the
 numbering is a plain ``row_number()`` over the order: one small task, no
@@ -48,8 +48,10 @@ def known_rows(df: DataFrame):
 def materialize(df: DataFrame, label: str = "t") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back:
     cuts the lineage and fixes any non-deterministic column on storage."""
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/strata-tables/{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    # one folder per application: a finished run's intermediates go together
+    path = f"{base}/strata-tables/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -80,13 +82,15 @@ def assign_keys(df: DataFrame, order_cols: list, key_col: str, start: int = 0,
     pos = F.col("__mid").bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
     counts = sorted((r["p"], r["n"]) for r in
                     stored.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
-    pairs, acc = [], 0
+    offsets, acc = [], 0
     for p, c in counts:
-        pairs += [F.lit(p), F.lit(acc)]
+        offsets.append((int(p), acc))
         acc += c
-    offset = F.try_element_at(F.create_map(*pairs), part) if pairs else F.lit(0)
-    key = F.lit(start) + offset + pos + F.lit(1)
-    return with_known_rows(stored.withColumn(key_col, key.cast(key_type)).drop("__mid"), acc)
+    off = spark.createDataFrame(offsets, "__part long, __off long")
+    keyed = stored.withColumn("__part", part).join(F.broadcast(off), "__part", "left")
+    key = F.lit(start) + F.coalesce(F.col("__off"), F.lit(0)) + pos + F.lit(1)
+    out = keyed.withColumn(key_col, key.cast(key_type)).drop("__mid", "__part", "__off")
+    return with_known_rows(out, acc)
 
 
 def date_key(d) -> Column:

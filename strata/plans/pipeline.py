@@ -136,9 +136,11 @@ def run_gold(spark: SparkSession, store: LayerStore, run_date: dt.date,
 
 def run_pipeline(spark: SparkSession, envelopes: dict, base: str,
                  run_ts: dt.datetime | None = None, calendar: tuple = DEFAULT_CALENDAR,
-                 line_delimited: bool = False) -> dict:
+                 line_delimited: bool = False, keep_versions: int | None = None) -> dict:
     """``envelopes`` maps each bronze entity to its envelope file path(s);
-    ``line_delimited`` reads one envelope per line instead of per file."""
+    ``line_delimited`` reads one envelope per line instead of per file;
+    ``keep_versions`` deletes silver/gold versions older than that many
+    published ones after a successful run."""
     apply_sql_conf(spark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     store = LayerStore(spark, base)
@@ -148,4 +150,7 @@ def run_pipeline(spark: SparkSession, envelopes: dict, base: str,
             landed[entity] = land(spark, store, entity, envelopes[entity], run_ts, line_delimited)
     silver_v = run_silver(spark, store)
     gold_v = run_gold(spark, store, run_ts.date(), calendar)
+    if keep_versions:
+        store.vacuum("silver", keep_versions)
+        store.vacuum("gold", keep_versions)
     return {"landed": landed, "silver_version": silver_v, "gold_version": gold_v}

@@ -74,5 +74,37 @@ class LayerStore:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def versions(self, layer: str) -> list:
+        """Published version numbers of ``layer``, ascending."""
+        try:
+            rows = self.spark.read.text(f"{self.base}/{layer}/_published/*").collect()
+        except AnalysisException:
+            return []
+        return sorted({int(r["value"]) for r in rows})
+
+    def vacuum(self, layer: str, keep: int = 2) -> list:
+        """Delete version directories older than the ``keep`` newest published
+        versions (each run writes a whole new version, so old ones must go at
+        scale). Unpublished directories below the oldest kept version are
+        failed runs and go too. Returns the deleted version numbers."""
+        published = self.versions(layer)
+        if len(published) <= keep:
+            return []
+        floor = published[-keep]
+        sc = self.spark.sparkContext
+        jvm = sc._jvm
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{layer}")
+        fs = root.getFileSystem(sc._jsc.hadoopConfiguration())
+        deleted = []
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("v") and name[1:].isdigit() and int(name[1:]) < floor:
+                fs.delete(st.getPath(), True)
+                marker = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{layer}/_published/{name}")
+                if fs.exists(marker):
+                    fs.delete(marker, True)
+                deleted.append(int(name[1:]))
+        return sorted(deleted)
+
     def append_bronze(self, table: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.table_path("bronze", table))

@@ -254,3 +254,16 @@ def test_line_delimited_envelopes(spark, tmp_path):
     assert land(spark, store, "teams", str(folder), dt.datetime(2024, 1, 1), line_delimited=True) == 4
     ids = sorted(r["id"] for r in store.read("bronze", "teams").collect())
     assert ids == [1, 2, 3, 4]
+
+
+def test_vacuum_keeps_newest_versions(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    df = spark.createDataFrame([(1,)], "x int")
+    for v in (1, 2, 3):
+        store.write("gold", "t", df, v)
+        store.publish("gold", v)
+    store.write("gold", "t", df, 4)            # a failed, unpublished run
+    assert store.vacuum("gold", keep=2) == [1]
+    assert store.versions("gold") == [2, 3] and store.current_version("gold") == 3
+    assert os.path.exists(tmp_path / "lake" / "gold" / "v000004")
+    assert not os.path.exists(tmp_path / "lake" / "gold" / "v000001")
