@@ -267,3 +267,17 @@ def test_vacuum_keeps_newest_versions(spark, tmp_path):
     assert store.versions("gold") == [2, 3] and store.current_version("gold") == 3
     assert os.path.exists(tmp_path / "lake" / "gold" / "v000004")
     assert not os.path.exists(tmp_path / "lake" / "gold" / "v000001")
+
+
+def test_command_line_run_and_show(spark, tmp_path, capsys):
+    from strata.__main__ import main
+    paths = write_inputs(str(tmp_path / "in"))
+    base = str(tmp_path / "lake")
+    args = ["run", "--base", base, "--run-ts", "2024-01-01T06:00:00"]
+    for e, p in paths.items():
+        args += [f"--{e}", p]
+    assert main(args) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["gold_version"] == 1 and out["landed"]["fixtures"] == 6
+    assert main(["show", "--base", base, "--layer", "gold", "--table", "agg_venue_home"]) == 0
+    assert "home_win_pct" in capsys.readouterr().out
