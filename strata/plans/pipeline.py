@@ -10,6 +10,7 @@ steps never recompute earlier ones and key assignments are fixed on storage.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,21 +38,24 @@ class LoadRejected(Exception):
     pass
 
 
-def land(spark: SparkSession, store: LayerStore, entity: str, path, run_ts: dt.datetime,
-         line_delimited: bool = False) -> int:
-    """SRC-1/2 + SINK-1 for one endpoint; returns the number of landed rows.
-
-    Each envelope is parsed once: the gate verdict and the raw ``response``
-    elements are staged as a written table (checkpoint folder), the verdict
-    is checked with a scan of one boolean column, and the bronze rows are
-    exploded from the staged arrays without parsing again. Elements of a
-    parsed JSON array are valid JSON by construction (Hard 8)."""
+def stage(spark: SparkSession, entity: str, path, line_delimited: bool = False) -> DataFrame:
+    """SRC-1/2: parse each envelope once and stage the gate verdict with the
+    raw ``response`` elements as a written table (checkpoint folder)."""
     parsed = parse_envelopes(read_envelopes(spark, path, line_delimited))
-    staged = materialize(parsed.select("source_file", "body_hash", accepted().alias("ok"),
-                                       F.col("env.parameters").alias("source_params"),
-                                       F.col("env.response").alias("response")), f"envelopes_{entity}")
-    if not staged.filter(~F.col("ok")).select("ok").isEmpty():
-        raise LoadRejected(f"{entity}: envelope carries API errors or is not JSON")
+    return materialize(parsed.select("source_file", "body_hash", accepted().alias("ok"),
+                                     F.col("env.parameters").alias("source_params"),
+                                     F.col("env.response").alias("response")), f"envelopes_{entity}")
+
+
+def rejected(staged: DataFrame) -> bool:
+    """Any envelope failing the gate (a scan of one boolean column)."""
+    return not staged.filter(~F.col("ok")).select("ok").isEmpty()
+
+
+def append(store: LayerStore, entity: str, staged: DataFrame, run_ts: dt.datetime) -> int:
+    """SINK-1: explode the staged arrays (no second parse; elements of a
+    parsed JSON array are valid JSON by construction, Hard 8) and append them
+    to bronze with ids above the current maximum."""
     rows = staged.select("source_file", "body_hash", "source_params",
                          F.posexplode("response").alias("pos", "payload"))
     start = next_key_start(store.read("bronze", entity), "id")
@@ -61,6 +65,43 @@ def land(spark: SparkSession, store: LayerStore, entity: str, path, run_ts: dt.d
     return known_rows(landed) if known_rows(landed) is not None else landed.count()
 
 
+def land(spark: SparkSession, store: LayerStore, entity: str, path, run_ts: dt.datetime,
+         line_delimited: bool = False) -> int:
+    """One endpoint: stage, gate, append; returns the number of landed rows."""
+    staged = stage(spark, entity, path, line_delimited)
+    if rejected(staged):
+        raise LoadRejected(f"{entity}: envelope carries API errors or is not JSON")
+    return append(store, entity, staged, run_ts)
+
+
+def land_all(spark: SparkSession, store: LayerStore, envelopes: dict, run_ts: dt.datetime,
+             line_delimited: bool = False) -> dict:
+    """All endpoints: staged and gated concurrently; bronze is appended only
+    when every endpoint passed, so a rejected endpoint lands nothing."""
+    entities = [e for e in BRONZE_TABLES if e in envelopes]
+    staged = concurrently({e: (lambda e=e: stage(spark, e, envelopes[e], line_delimited))
+                           for e in entities})
+    bad = [e for e, flag in concurrently({e: (lambda e=e: rejected(staged[e])) for e in entities}).items()
+           if flag]
+    if bad:
+        raise LoadRejected(f"{', '.join(bad)}: envelope carries API errors or is not JSON")
+    return concurrently({e: (lambda e=e: append(store, e, staged[e], run_ts)) for e in entities})
+
+
+MAX_CONCURRENT_STEPS = 8
+
+
+def concurrently(tasks: dict) -> dict:
+    """Run independent steps as concurrent Spark jobs from driver threads
+    (each step builds and writes one table); re-raises the first failure.
+    ``MAX_CONCURRENT_STEPS = 1`` runs them one after another."""
+    if len(tasks) <= 1 or MAX_CONCURRENT_STEPS <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(len(tasks), MAX_CONCURRENT_STEPS)) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def _layer_checks(name: str, df: DataFrame, layer: str) -> dict:
     keys = keys_of(layer, name)
     checks = {f"{name}.unique": dq_unique(df, keys),
@@ -71,14 +112,21 @@ def _layer_checks(name: str, df: DataFrame, layer: str) -> dict:
 
 
 def run_silver(spark: SparkSession, store: LayerStore) -> int:
+    """The six silver MERGEs are independent and run concurrently; the layer
+    is checked and published once all are written."""
     version = store.current_version("silver") + 1
+
+    def merge(entity):
+        def step():
+            bronze = store.read("bronze", football.SILVER_SOURCE[entity])
+            target = store.read("silver", entity)
+            return store.write("silver", entity, football.merge_silver(target, bronze, entity), version)
+        return step
+
+    written = concurrently({e: merge(e) for e in SILVER_ORDER})
     checks = {}
     for entity in SILVER_ORDER:
-        bronze = store.read("bronze", football.SILVER_SOURCE[entity])
-        target = store.read("silver", entity)
-        merged = football.merge_silver(target, bronze, entity)
-        written = store.write("silver", entity, merged, version)
-        checks.update(_layer_checks(entity, written, "silver"))
+        checks.update(_layer_checks(entity, written[entity], "silver"))
     assert_clean(checks)
     store.publish("silver", version)
     return version
@@ -91,35 +139,42 @@ def run_gold(spark: SparkSession, store: LayerStore, run_date: dt.date,
     silver = {e: store.read("silver", e, sv) for e in SILVER_ORDER}
     prev = {t: store.read("gold", t) for t in
             ("dim_date", "dim_league", "dim_team", "dim_venue", "fact_fixture", "fact_standing")}
-    out = {}
-
-    cal = build_dim_date(spark, *calendar)
-    out["dim_date"] = store.write("gold", "dim_date",
-                                  insert_absent(prev["dim_date"], cal, ["date_key"]), version)
-    out["dim_league"] = store.write("gold", "dim_league", scd1(
-        prev["dim_league"], gold.league_source(silver["leagues"]), ["league_id"],
-        gold.LEAGUE_ATTRS, "league_key", overwrite=True), version)
-    out["dim_team"] = store.write("gold", "dim_team", scd2_apply(
-        prev["dim_team"], gold.team_source(silver["teams"]), ["team_id"], gold.TEAM_TRACKED,
-        "team_key", run_date), version)
-    out["dim_venue"] = store.write("gold", "dim_venue", scd2_apply(
-        prev["dim_venue"], gold.venue_source(silver["venues"]), ["venue_id"], gold.VENUE_TRACKED,
-        "venue_key", run_date), version)
-
+    w = lambda name, df: (lambda: store.write("gold", name, df, version))
+
+    # dimensions (independent of each other)
+    out = concurrently({
+        "dim_date": w("dim_date", insert_absent(prev["dim_date"], build_dim_date(spark, *calendar),
+                                                ["date_key"])),
+        "dim_league": lambda: store.write("gold", "dim_league", scd1(
+            prev["dim_league"], gold.league_source(silver["leagues"]), ["league_id"],
+            gold.LEAGUE_ATTRS, "league_key", overwrite=True), version),
+        "dim_team": lambda: store.write("gold", "dim_team", scd2_apply(
+            prev["dim_team"], gold.team_source(silver["teams"]), ["team_id"], gold.TEAM_TRACKED,
+            "team_key", run_date), version),
+        "dim_venue": lambda: store.write("gold", "dim_venue", scd2_apply(
+            prev["dim_venue"], gold.venue_source(silver["venues"]), ["venue_id"],
+            gold.VENUE_TRACKED, "venue_key", run_date), version),
+    })
     dims = (out["dim_date"], out["dim_league"], out["dim_team"])
-    new_fix = fact_match(gold.fixture_source(silver["fixtures"]), *dims, out["dim_venue"])
-    out["fact_fixture"] = store.write("gold", "fact_fixture", upsert_fact(
-        prev["fact_fixture"], new_fix, ["fixture_id"]), version)
-    new_std = fact_snapshot(silver["standings"], *dims)
-    out["fact_standing"] = store.write("gold", "fact_standing", upsert_fact(
-        prev["fact_standing"], new_std, FACT_STANDING_GRAIN, key_col="standing_key"), version)
-
-    out["agg_team_season"] = store.write("gold", "agg_team_season", mart_team_season(
-        out["fact_fixture"], out["fact_standing"]), version)
-    out["agg_league_month"] = store.write("gold", "agg_league_month", mart_league_month(
-        out["fact_fixture"], out["dim_date"]), version)
-    out["agg_venue_home"] = store.write("gold", "agg_venue_home", mart_venue_home(
-        out["fact_fixture"]), version)
+
+    # facts (both read the dimensions only)
+    out.update(concurrently({
+        "fact_fixture": lambda: store.write("gold", "fact_fixture", upsert_fact(
+            prev["fact_fixture"], fact_match(gold.fixture_source(silver["fixtures"]), *dims,
+                                             out["dim_venue"]), ["fixture_id"]), version),
+        "fact_standing": lambda: store.write("gold", "fact_standing", upsert_fact(
+            prev["fact_standing"], fact_snapshot(silver["standings"], *dims),
+            FACT_STANDING_GRAIN, key_col="standing_key"), version),
+    }))
+
+    # full-refresh marts (independent)
+    out.update(concurrently({
+        "agg_team_season": w("agg_team_season", mart_team_season(out["fact_fixture"],
+                                                                 out["fact_standing"])),
+        "agg_league_month": w("agg_league_month", mart_league_month(out["fact_fixture"],
+                                                                   out["dim_date"])),
+        "agg_venue_home": w("agg_venue_home", mart_venue_home(out["fact_fixture"])),
+    }))
 
     checks = {}
     for name, df in out.items():
@@ -144,10 +199,7 @@ def run_pipeline(spark: SparkSession, envelopes: dict, base: str,
     apply_sql_conf(spark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     store = LayerStore(spark, base)
-    landed = {}
-    for entity in BRONZE_TABLES:
-        if entity in envelopes:
-            landed[entity] = land(spark, store, entity, envelopes[entity], run_ts, line_delimited)
+    landed = land_all(spark, store, envelopes, run_ts, line_delimited)
     silver_v = run_silver(spark, store)
     gold_v = run_gold(spark, store, run_ts.date(), calendar)
     if keep_versions:

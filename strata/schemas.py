@@ -103,6 +103,10 @@ FOREIGN_KEYS = {
     "fact_standing": [(["snapshot_date_key"], "dim_date", ["date_key"]),
                       (["league_key"], "dim_league", ["league_key"]),
                       (["team_key"], "dim_team", ["team_key"])],
+    "agg_team_season": [(["league_key"], "dim_league", ["league_key"]),
+                        (["team_key"], "dim_team", ["team_key"])],
+    "agg_league_month": [(["league_key"], "dim_league", ["league_key"])],
+    "agg_venue_home": [(["venue_key"], "dim_venue", ["venue_key"])],
 }
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -56,6 +57,9 @@ def apply_sql_conf(spark: SparkSession) -> None:
             spark.conf.set(k, DEFAULT_CONF[k])
 
 
+_CKPT_LOCK = threading.Lock()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint directory.
 
@@ -64,6 +68,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local tests, a fresh scratch folder is created and registered.
     """
     sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    with _CKPT_LOCK:
+        return _set_checkpoint_dir(spark, sc)
+
+
+def _set_checkpoint_dir(spark: SparkSession, sc) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -212,8 +212,12 @@ def test_rejected_envelope_fails_load(spark, tmp_path):
     with pytest.raises(LoadRejected):
         run_pipeline(spark, {"teams": str(p)}, base, dt.datetime(2024, 1, 1))
     p.write_text("<html>gateway timeout</html>")
+    good = folder / "leagues.json"
+    good.write_text(envelope("leagues", LEAGUES))
     with pytest.raises(LoadRejected):
-        run_pipeline(spark, {"teams": str(p)}, base, dt.datetime(2024, 1, 1))
+        run_pipeline(spark, {"teams": str(p), "leagues": str(good)}, base, dt.datetime(2024, 1, 1))
+    # nothing landed for the good endpoint either: the load is all or nothing
+    assert LayerStore(spark, base).read("bronze", "leagues").count() == 0
 
 
 def test_tie_break_same_payload_two_groups(spark):
