@@ -23,6 +23,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Scan splits and post-shuffle partitions of ~128 MB keep every task well
+    # inside executor memory at any scale; AQE coalesces smaller ones. Set
+    # spark.sql.shuffle.partitions to (largest shuffle / ~200 MB) per cluster.
+    "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.ui.enabled": "false",
 }
 
