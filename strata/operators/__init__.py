@@ -8,7 +8,7 @@ from strata.operators.facts import fact_match, fact_snapshot, fixture_rejects, u
 from strata.operators.keys import assign_keys, date_key, next_key_start
 from strata.operators.lookup import Lookup, broadcast_if_small, lookup_keys, rejected_rows
 from strata.operators.marts import (latest_snapshot, mart_league_month, mart_team_season,
-                                    mart_venue_home, team_games, team_season_agg, unpivot_sides)
+                                    mart_venue_home, team_match_rows, team_season_agg, unpivot_sides)
 from strata.operators.merge import insert_absent, merge_upsert, update_from
 from strata.operators.unnest import unnest, unnest_nested
 

@@ -28,15 +28,15 @@ def unpivot_sides(df: DataFrame, keep: list, sides: list) -> DataFrame:
     return df.select(*keep, F.explode(F.array(*structs)).alias("__side")).select(*keep, "__side.*")
 
 
-def team_games(fact_fixture: DataFrame) -> DataFrame:
+def team_match_rows(fact_fixture: DataFrame) -> DataFrame:
     """Played matches (FILT-3) seen once from each side; the away view negates
     the result (PROJ-11)."""
     played = fact_fixture.filter(F.col("result").isNotNull())
     return unpivot_sides(played, ["fixture_id", "league_key", "season"], [
-        {"team_key": F.col("home_team_key"), "gf": F.col("goals_home"),
-         "ga": F.col("goals_away"), "r": F.col("result")},
-        {"team_key": F.col("away_team_key"), "gf": F.col("goals_away"),
-         "ga": F.col("goals_home"), "r": neg("result")},
+        {"team_key": F.col("home_team_key"), "scored": F.col("goals_home"),
+         "conceded": F.col("goals_away"), "outcome": F.col("result")},
+        {"team_key": F.col("away_team_key"), "scored": F.col("goals_away"),
+         "conceded": F.col("goals_home"), "outcome": neg("result")},
     ])
 
 
@@ -47,8 +47,8 @@ def latest_snapshot(df: DataFrame, keys: list, order_col: str, value_col: str,
 
 
 def team_season_agg(fact_fixture: DataFrame) -> DataFrame:
-    g = team_games(fact_fixture)
-    r, gf, ga = F.col("r"), F.col("gf"), F.col("ga")
+    g = team_match_rows(fact_fixture)
+    r, gf, ga = F.col("outcome"), F.col("scored"), F.col("conceded")
     return g.groupBy(*TEAM_SEASON_KEYS).agg(
         F.count(F.lit(1)).cast("int").alias("played"),
         F.count_if(r == 1).cast("int").alias("won"),           # AGG-2

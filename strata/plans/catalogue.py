@@ -21,7 +21,7 @@ from strata.operators.facts import FACT_STANDING_GRAIN, fact_match, fact_snapsho
 from strata.operators.keys import assign_keys
 from strata.operators.lookup import Lookup, lookup_keys, rejected_rows
 from strata.operators.marts import (latest_snapshot, mart_league_month, mart_team_season,
-                                    mart_venue_home, team_games, team_season_agg)
+                                    mart_venue_home, team_match_rows, team_season_agg)
 from strata.operators.merge import insert_absent, merge_upsert, update_from
 from strata.plans import football, inputs
 from strata.plans import gold as gold_plan
@@ -169,7 +169,7 @@ def q_fact_snapshot(spark, d):
 def q_unpivot(spark, d):
     """SET-1, PROJ-11: each played match as a home row and an away row."""
     ff, _ = _fact_fixture(spark, d)
-    return team_games(ff)
+    return team_match_rows(ff)
 
 
 @query("lateral_top1")

@@ -111,26 +111,27 @@ def half_up(num: str, den: str, p: int, s: int = 2) -> str:
             f"AS DECIMAL({p},{s}))")
 
 
-TEAM_GAMES = """team_games AS (
-  SELECT fixture_id, league_key, season, home_team_key AS team_key, goals_home AS gf,
-         goals_away AS ga, result AS r FROM fact_fixture WHERE result IS NOT NULL
-  UNION ALL
-  SELECT fixture_id, league_key, season, away_team_key, goals_away, goals_home, -result
-  FROM fact_fixture WHERE result IS NOT NULL)"""
-
-TEAM_AGG = """agg AS (
+SIDE_ROWS = """side_rows AS (
+  SELECT f.fixture_id, f.league_key, f.season, s.team_key, s.scored, s.conceded, s.outcome
+  FROM fact_fixture f,
+  LATERAL (VALUES (f.home_team_key, f.goals_home, f.goals_away, f.result),
+                  (f.away_team_key, f.goals_away, f.goals_home, CAST(-f.result AS SMALLINT)))
+    AS s(team_key, scored, conceded, outcome)
+  WHERE f.result IS NOT NULL)"""
+
+SEASON_TOTALS = """season_totals AS (
   SELECT league_key, team_key, season,
     CAST(count(*) AS INTEGER) AS played,
-    CAST(count(*) FILTER (WHERE r = 1) AS INTEGER) AS won,
-    CAST(count(*) FILTER (WHERE r = 0) AS INTEGER) AS draw,
-    CAST(count(*) FILTER (WHERE r = -1) AS INTEGER) AS lost,
-    CAST(sum(gf) AS INTEGER) AS goals_for, CAST(sum(ga) AS INTEGER) AS goals_against,
-    CAST(sum(gf) - sum(ga) AS INTEGER) AS goal_diff,
-    CAST(sum(CASE WHEN r = 1 THEN 3 WHEN r = 0 THEN 1 ELSE 0 END) AS INTEGER) AS points,
-    CAST(count(*) FILTER (WHERE ga = 0) AS INTEGER) AS clean_sheets
-  FROM team_games GROUP BY league_key, team_key, season)"""
-
-LATEST_RANK = """latest AS (
+    CAST(count(*) FILTER (WHERE outcome = 1) AS INTEGER) AS won,
+    CAST(count(*) FILTER (WHERE outcome = 0) AS INTEGER) AS draw,
+    CAST(count(*) FILTER (WHERE outcome = -1) AS INTEGER) AS lost,
+    CAST(sum(scored) AS INTEGER) AS goals_for, CAST(sum(conceded) AS INTEGER) AS goals_against,
+    CAST(sum(scored) - sum(conceded) AS INTEGER) AS goal_diff,
+    CAST(3 * count(*) FILTER (WHERE outcome = 1) + count(*) FILTER (WHERE outcome = 0) AS INTEGER) AS points,
+    CAST(count(*) FILTER (WHERE conceded = 0) AS INTEGER) AS clean_sheets
+  FROM side_rows GROUP BY league_key, team_key, season)"""
+
+LATEST_RANK = """last_rank AS (
   SELECT league_key, team_key, season, arg_max(rank, snapshot_date_key) AS final_rank
   FROM fact_standing GROUP BY league_key, team_key, season)"""
 
@@ -156,19 +157,19 @@ ORACLE["fact_match"] = f"WITH {GOLD} SELECT * FROM fact_fixture"
 
 ORACLE["fact_snapshot"] = f"WITH {GOLD_ALL} SELECT * FROM fact_standing"
 
-ORACLE["unpivot_union_all"] = f"WITH {GOLD}, {TEAM_GAMES} SELECT * FROM team_games"
+ORACLE["unpivot_union_all"] = f"WITH {GOLD}, {SIDE_ROWS} SELECT * FROM side_rows"
 
-ORACLE["lateral_top1"] = f"WITH {GOLD_ALL}, {LATEST_RANK} SELECT * FROM latest"
+ORACLE["lateral_top1"] = f"WITH {GOLD_ALL}, {LATEST_RANK} SELECT * FROM last_rank"
 
-ORACLE["drill_across"] = f"""WITH {GOLD_ALL}, {TEAM_GAMES}, {TEAM_AGG}, {LATEST_RANK}
-SELECT a.league_key, a.team_key, a.season, a.played, a.points, l.final_rank
-FROM agg a LEFT JOIN latest l USING (league_key, team_key, season)"""
+ORACLE["drill_across"] = f"""WITH {GOLD_ALL}, {SIDE_ROWS}, {SEASON_TOTALS}, {LATEST_RANK}
+SELECT t.league_key, t.team_key, t.season, t.played, t.points, l.final_rank
+FROM season_totals t LEFT JOIN last_rank l USING (league_key, team_key, season)"""
 
-ORACLE["mart_team_season"] = f"""WITH {GOLD_ALL}, {TEAM_GAMES}, {TEAM_AGG}, {LATEST_RANK}
-SELECT a.league_key, a.team_key, a.season, a.played, a.won, a.draw, a.lost, a.goals_for,
-  a.goals_against, a.goal_diff, a.points, {half_up('a.points', 'a.played', 4)} AS points_per_game,
-  a.clean_sheets, l.final_rank
-FROM agg a LEFT JOIN latest l USING (league_key, team_key, season)"""
+ORACLE["mart_team_season"] = f"""WITH {GOLD_ALL}, {SIDE_ROWS}, {SEASON_TOTALS}, {LATEST_RANK}
+SELECT t.league_key, t.team_key, t.season, t.played, t.won, t.draw, t.lost, t.goals_for,
+  t.goals_against, t.goal_diff, t.points, {half_up('t.points', 't.played', 4)} AS points_per_game,
+  t.clean_sheets, l.final_rank
+FROM season_totals t LEFT JOIN last_rank l USING (league_key, team_key, season)"""
 
 ORACLE["mart_league_month"] = f"""WITH {GOLD}
 SELECT ff.league_key, ff.season, dd.year, dd.month, dd.month_name,
