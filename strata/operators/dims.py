@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from strata.functions.exprs import iso_day_of_week, row_is_distinct, season_year
 from strata.operators.keys import (assign_keys, date_key, known_rows, next_key_start,
                                   with_known_rows)
-from strata.operators.merge import insert_absent, update_from
+from strata.operators.merge import update_from
 
 # Fixed values of the reference model: open-ended validity sentinel and the
 # weekend days by ISO number (Saturday, Sunday).
@@ -110,6 +110,23 @@ def _classify(target: DataFrame, source: DataFrame, key: list, tracked: list, fl
     return j, changed
 
 
+def _current_rows(j: DataFrame, changed, target: DataFrame, run_date, to_col, flag) -> DataFrame:
+    """The joined current rows, expired (``valid_to = run_date - 1``, not
+    current) where the tracked tuple changed, unchanged otherwise."""
+    expired_to = F.date_sub(_as_date(run_date), 1)
+
+    def out(c):
+        if c == to_col:
+            v = F.when(changed, expired_to).otherwise(F.col(c))
+        elif c == flag:
+            v = F.when(changed, F.lit(False)).otherwise(F.col(c))
+        else:
+            v = F.col(c)
+        return v.cast(target.schema[c].dataType).alias(c)
+
+    return j.filter(F.col("__t").isNotNull()).select(*[out(c) for c in target.columns])
+
+
 def _new_versions(rows: DataFrame, key: list, tracked: list, target: DataFrame,
                   key_col: str, run_date, from_col, to_col, flag) -> DataFrame:
     """Insert rows (``current_date, date '9999-12-31', true``) with new keys."""
@@ -128,11 +145,7 @@ def scd2_expire(target: DataFrame, source: DataFrame, key: list, tracked: list,
     FROM the source get ``valid_to = run_date - 1`` and ``is_current = false``.
     Keys absent from the source stay current (no delete branch, Q11)."""
     j, changed = _classify(target, source, key, tracked, flag)
-    expired_to = F.date_sub(_as_date(run_date), 1)
-    cur_rows = j.filter(F.col("__t").isNotNull()).select(*[
-        (F.when(changed, expired_to).otherwise(F.col(c)) if c == to_col else
-         F.when(changed, F.lit(False)).otherwise(F.col(c)) if c == flag else F.col(c))
-        .cast(target.schema[c].dataType).alias(c) for c in target.columns])
+    cur_rows = _current_rows(j, changed, target, run_date, to_col, flag)
     return target.filter(~F.col(flag)).unionByName(cur_rows)
 
 
@@ -160,12 +173,8 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: list, tracked: list, k
     one current row per key (DQ-4); then no key can be hot in the join.
     """
     j, changed = _classify(target, source, key, tracked, flag)
-    expired_to = F.date_sub(_as_date(run_date), 1)
     hist = target.filter(~F.col(flag))
-    cur_rows = j.filter(F.col("__t").isNotNull()).select(*[
-        (F.when(changed, expired_to).otherwise(F.col(c)) if c == to_col else
-         F.when(changed, F.lit(False)).otherwise(F.col(c)) if c == flag else F.col(c))
-        .cast(target.schema[c].dataType).alias(c) for c in target.columns])
+    cur_rows = _current_rows(j, changed, target, run_date, to_col, flag)
     to_insert = j.filter(F.col("__t").isNull() | changed)
     ins = _new_versions(to_insert, key, tracked, target, key_col, run_date,
                         from_col, to_col, flag)
@@ -177,5 +186,5 @@ def empty_like(spark: SparkSession, schema) -> DataFrame:
     return empty_frame(spark, schema)
 
 
-__all__ = ["build_dim_date", "scd1", "scd2_apply", "scd2_expire", "scd2_insert",
-           "insert_absent", "END_OF_TIME", "DIM_DATE_COLUMNS", "empty_like"]
+__all__ = ["build_dim_date", "scd1", "scd_initial", "scd2_apply", "scd2_expire", "scd2_insert",
+           "END_OF_TIME", "DIM_DATE_COLUMNS", "empty_like"]
