@@ -55,7 +55,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list,
     out = []
     for c in tcols:
         if c in keys:
-            out.append(F.col(c))
+            out.append(F.col(c).cast(target.schema[c].dataType).alias(c))
             continue
         ins = _src(c) if c in insert_cols else F.lit(None)
         upd = _src(c) if c in update_cols else F.col(c)
