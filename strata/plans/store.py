@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.schemas import empty_frame, schema_of
+from strata.schemas import PARTITION_BY, empty_frame, schema_of
 
 
 class LayerStore:
@@ -71,8 +71,9 @@ class LayerStore:
         """Materialise one table of an unpublished version and read it back,
         which also cuts the lineage for the steps that depend on it."""
         path = self.table_path(layer, table, version)
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        parts = PARTITION_BY.get((layer, table), [])
+        df.write.mode("overwrite").partitionBy(*parts).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     def versions(self, layer: str) -> list:
         """Published version numbers of ``layer``, ascending."""

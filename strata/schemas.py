@@ -72,6 +72,15 @@ GOLD = {
                        "home_win_pct DECIMAL(5,2)", ["venue_key", "season"]),
 }
 
+# Season-grained tables are written partitioned by season, so readers that
+# filter on a season prune whole directories.
+PARTITION_BY = {
+    ("silver", "fixtures"): ["season"],
+    ("silver", "standings"): ["season"],
+    ("gold", "fact_fixture"): ["season"],
+    ("gold", "fact_standing"): ["season"],
+}
+
 # Not-null columns beyond the keys (reference DDL), checked before publish.
 NOT_NULL = {
     "dim_date": GOLD["dim_date"][0],

@@ -72,3 +72,20 @@ def test_marts_aggregate_partially_and_reuse_partitioning(spark):
 def test_json_documents_are_parsed_once(spark):
     txt = explain(spark, "json_project_typed")
     assert txt.count("from_json(") == 1
+
+
+def test_season_filter_prunes_fact_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from strata.plans.store import LayerStore
+    from strata.schemas import schema_of
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    rows = [(i, 20230101, 1, 1, 2, None, 2022 + i % 2, "FT", 1, 0, 1, 1) for i in range(4)]
+    df = spark.createDataFrame(rows, schema_of("gold", "fact_fixture"))
+    store.write("gold", "fact_fixture", df, 1)
+    store.publish("gold", 1)
+    q = store.read("gold", "fact_fixture").filter(F.col("season") == 2023)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain(mode="formatted")
+    assert "PartitionFilters: [isnotnull(season" in buf.getvalue()
+    assert q.count() == 2
