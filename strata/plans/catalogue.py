@@ -401,6 +401,7 @@ def q_full_refresh(spark, d):
     version = store.current_version("gold") + 1
     out = store.write("gold", "agg_venue_home", mart_venue_home(ff), version)
     store.publish("gold", version)
+    store.vacuum("gold", keep=2)
     return out
 
 
