@@ -11,10 +11,10 @@ text (an ``ARRAY<STRING>`` schema does that), so each one becomes one bronze
 payload untouched.
 
 Error gate: an envelope is accepted when ``errors`` is absent, ``[]`` or
-``{}``; anything else, or a body that is not JSON, rejects it. An empty
-``response`` is accepted and yields no rows; ``results`` is never compared.
-Spark re-serialises the ``errors`` value, so ``[ ]`` counts as ``[]`` here and
-a JSON ``null`` as absent (the byte-exact reference check rejects both).
+``{}``; anything else (including an explicit JSON ``null``), or a body that is
+not JSON, rejects it. An empty ``response`` is accepted and yields no rows;
+``results`` is never compared. Spark re-serialises the ``errors`` value, so
+``[ ]`` counts as ``[]`` here (the byte-exact reference check rejects it).
 """
 
 from __future__ import annotations
@@ -54,9 +54,16 @@ def parse_envelopes(df: DataFrame, body_col: str = "body") -> DataFrame:
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
 
 
-def accepted() -> "F.Column":
+def accepted(body_col: str = "body") -> "F.Column":
+    """Gate verdict. A NULL ``errors`` is either an absent key (accepted) or
+    an explicit ``null`` (rejected); only for those rows are the top-level
+    keys listed, so ordinary envelopes are not parsed a second time."""
     e = F.col("env")
-    ok_errors = e["errors"].isNull() | e["errors"].isin(*ACCEPTED_ERROR_TEXTS)
+    errors = e["errors"]
+    explicit_null = F.when(errors.isNull(),
+                           F.coalesce(F.array_contains(F.json_object_keys(F.col(body_col)),
+                                                       "errors"), F.lit(False)))
+    ok_errors = F.when(errors.isNull(), ~explicit_null).otherwise(errors.isin(*ACCEPTED_ERROR_TEXTS))
     return e.isNotNull() & e["_corrupt"].isNull() & ok_errors
 
 

@@ -140,6 +140,7 @@ def test_envelope_gate_cases(spark):
         ('{"results":1,"response":[{"a":2}]}', True),
         ('{"errors":{"token":"bad"},"response":[{"a":3}]}', False),
         ('{"errors":["x"],"response":[]}', False),
+        ('{"errors":null,"response":[{"a":4}]}', False),
         ('not json', False),
     ]
     df = spark.createDataFrame([(i, b) for i, (b, _) in enumerate(bodies)], "i int, body string")
