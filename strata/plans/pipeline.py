@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from strata.operators.dims import build_dim_date, scd1, scd2_apply
 from strata.operators.dq import (assert_clean, dq_fk_orphans, dq_not_null, dq_one_current,
                                  dq_unique)
-from strata.operators.facts import (FACT_STANDING_GRAIN, fact_match, fact_snapshot, upsert_fact)
+from strata.operators.facts import (FACT_STANDING_GRAIN, fact_match, fact_snapshot, fixture_rejects,
+                                    standing_lookups, upsert_fact)
+from strata.operators.lookup import rejected_rows
 from strata.operators.keys import known_rows, materialize, next_key_start
 from strata.operators.marts import mart_league_month, mart_team_season, mart_venue_home
 from strata.operators.merge import insert_absent
@@ -157,11 +159,18 @@ def run_gold(spark: SparkSession, store: LayerStore, run_date: dt.date,
     })
     dims = (out["dim_date"], out["dim_league"], out["dim_team"])
 
-    # facts (both read the dimensions only)
+    # facts (both read the dimensions only), plus the rows their inner
+    # lookups drop (Q10: dropped as in the reference, but listed)
+    fixtures = gold.fixture_source(silver["fixtures"])
+    concurrently({
+        "rejected_fixtures": w("rejected_fixtures", fixture_rejects(fixtures, *dims, out["dim_venue"])),
+        "rejected_standings": w("rejected_standings", rejected_rows(
+            silver["standings"], standing_lookups(*dims))),
+    })
     out.update(concurrently({
         "fact_fixture": lambda: store.write("gold", "fact_fixture", upsert_fact(
-            prev["fact_fixture"], fact_match(gold.fixture_source(silver["fixtures"]), *dims,
-                                             out["dim_venue"]), ["fixture_id"]), version),
+            prev["fact_fixture"], fact_match(fixtures, *dims, out["dim_venue"]), ["fixture_id"]),
+            version),
         "fact_standing": lambda: store.write("gold", "fact_standing", upsert_fact(
             prev["fact_standing"], fact_snapshot(silver["standings"], *dims),
             FACT_STANDING_GRAIN, key_col="standing_key"), version),

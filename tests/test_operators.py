@@ -150,6 +150,12 @@ def test_envelope_gate_cases(spark):
     assert rows(items, "i", "pos", "payload") == [(0, 0, '{"a":1}'), (2, 0, '{"a":2}')]
 
 
+def test_malformed_payloads(spark):
+    from strata.sources.bronze import malformed_payloads
+    df = spark.createDataFrame([('{"a": 1}',), ("{oops",), (None,)], "payload string")
+    assert df.transform(malformed_payloads).count() == 2
+
+
 def test_bronze_whitelist():
     assert check_target("teams") == "teams"
     with pytest.raises(ValueError):

@@ -135,6 +135,14 @@ def test_first_run_counts(run):
     assert g["fact_standing"] == 3        # empty group dropped only itself
 
 
+def test_rejected_facts_are_listed(run):
+    spark, base, inputs, store, res1, snap1 = run
+    v = store.current_version("gold")
+    rej = spark.read.parquet(store.table_path("gold", "rejected_fixtures", v))
+    got = sorted((r["fixture_id"], r["failed_lookup"]) for r in rej.collect())
+    assert got == [(103, "league"), (104, "date"), (105, "home_team")]
+
+
 def test_fact_semantics(run):
     spark, base, inputs, store, *_ = run
     ff = {r["fixture_id"]: r for r in store.read("gold", "fact_fixture").collect()}
