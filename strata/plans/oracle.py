@@ -76,27 +76,27 @@ dim_venue AS (
   FROM nation WHERE n_nationkey % 4 <> 3)"""
 
 FACT_FIXTURE = """fact_fixture AS (
-  SELECT CAST(m.fixture_id AS INTEGER) AS fixture_id, dd.date_key, dl.league_key,
-    th.team_key AS home_team_key, ta.team_key AS away_team_key, dv.venue_key,
+  SELECT CAST(m.fixture_id AS INTEGER) AS fixture_id, cal.date_key, lg.league_key,
+    hm.team_key AS home_team_key, aw.team_key AS away_team_key, ven.venue_key,
     m.season, m.status_short, m.goals_home, m.goals_away,
     CAST(coalesce(m.goals_home, 0) + coalesce(m.goals_away, 0) AS INTEGER) AS goals_total,
     CAST(CASE WHEN m.goals_home > m.goals_away THEN 1 WHEN m.goals_home < m.goals_away THEN -1
               WHEN m.goals_home = m.goals_away THEN 0 END AS SMALLINT) AS result
   FROM matches m
-  JOIN dim_date dd ON dd.full_date = CAST(m.kickoff AS DATE)
-  JOIN dim_league dl ON dl.league_id = m.league_id
-  JOIN dim_team th ON th.team_id = m.home_team_id AND th.is_current
-  JOIN dim_team ta ON ta.team_id = m.away_team_id AND ta.is_current
-  LEFT JOIN dim_venue dv ON dv.venue_id = m.venue_id AND dv.is_current)"""
+  JOIN dim_date cal ON cal.full_date = CAST(m.kickoff AS DATE)
+  JOIN dim_league lg ON lg.league_id = m.league_id
+  JOIN dim_team hm ON hm.team_id = m.home_team_id AND hm.is_current
+  JOIN dim_team aw ON aw.team_id = m.away_team_id AND aw.is_current
+  LEFT JOIN dim_venue ven ON ven.venue_id = m.venue_id AND ven.is_current)"""
 
 FACT_STANDING = """fs0 AS (
-  SELECT dd.date_key AS snapshot_date_key, dl.league_key, dt.team_key, s.season, s.rank,
+  SELECT cal.date_key AS snapshot_date_key, lg.league_key, tm.team_key, s.season, s.rank,
     s.points, s.played, CAST(s.win AS SMALLINT) AS won, CAST(s.draw AS SMALLINT) AS draw,
     CAST(s.lose AS SMALLINT) AS lost, s.goals_for, s.goals_against, s.goals_diff AS goal_diff
   FROM standings s
-  JOIN dim_date dd ON dd.full_date = CAST(s.updated_at AS DATE)
-  JOIN dim_league dl ON dl.league_id = s.league_id
-  JOIN dim_team dt ON dt.team_id = s.team_id AND dt.is_current),
+  JOIN dim_date cal ON cal.full_date = CAST(s.updated_at AS DATE)
+  JOIN dim_league lg ON lg.league_id = s.league_id
+  JOIN dim_team tm ON tm.team_id = s.team_id AND tm.is_current),
 fact_standing AS (
   SELECT CAST(row_number() OVER (ORDER BY snapshot_date_key, league_key, season, team_key) AS INTEGER)
     AS standing_key, * FROM fs0)"""
@@ -138,20 +138,20 @@ LATEST_RANK = """last_rank AS (
 ORACLE["dim_date"] = f"WITH {DIM_DATE} SELECT * FROM dim_date"
 
 ORACLE["surrogate_key_lookup"] = f"""WITH {GOLD}
-SELECT CAST(m.fixture_id AS INTEGER) AS fixture_id, dd.date_key, dl.league_key FROM matches m
-JOIN dim_date dd ON dd.full_date = CAST(m.kickoff AS DATE)
-JOIN dim_league dl ON dl.league_id = m.league_id"""
+SELECT CAST(m.fixture_id AS INTEGER) AS fixture_id, cal.date_key, lg.league_key FROM matches m
+JOIN dim_date cal ON cal.full_date = CAST(m.kickoff AS DATE)
+JOIN dim_league lg ON lg.league_id = m.league_id"""
 
 ORACLE["role_playing_dim"] = f"""WITH {GOLD}
-SELECT CAST(m.fixture_id AS INTEGER) AS fixture_id, th.team_key AS home_team_key,
-  th.name AS home_team_name, ta.team_key AS away_team_key, ta.name AS away_team_name
+SELECT CAST(m.fixture_id AS INTEGER) AS fixture_id, hm.team_key AS home_team_key,
+  hm.name AS home_team_name, aw.team_key AS away_team_key, aw.name AS away_team_name
 FROM matches m
-JOIN dim_team th ON th.team_id = m.home_team_id AND th.is_current
-JOIN dim_team ta ON ta.team_id = m.away_team_id AND ta.is_current"""
+JOIN dim_team hm ON hm.team_id = m.home_team_id AND hm.is_current
+JOIN dim_team aw ON aw.team_id = m.away_team_id AND aw.is_current"""
 
 ORACLE["left_lookup_nullable"] = f"""WITH {GOLD}
-SELECT CAST(m.fixture_id AS INTEGER) AS fixture_id, m.venue_id, dv.venue_key FROM matches m
-LEFT JOIN dim_venue dv ON dv.venue_id = m.venue_id AND dv.is_current"""
+SELECT CAST(m.fixture_id AS INTEGER) AS fixture_id, m.venue_id, ven.venue_key FROM matches m
+LEFT JOIN dim_venue ven ON ven.venue_id = m.venue_id AND ven.is_current"""
 
 ORACLE["fact_match"] = f"WITH {GOLD} SELECT * FROM fact_fixture"
 
@@ -172,24 +172,24 @@ SELECT t.league_key, t.team_key, t.season, t.played, t.won, t.draw, t.lost, t.go
 FROM season_totals t LEFT JOIN last_rank l USING (league_key, team_key, season)"""
 
 ORACLE["mart_league_month"] = f"""WITH {GOLD}
-SELECT ff.league_key, ff.season, dd.year, dd.month, dd.month_name,
-  CAST(count(*) AS INTEGER) AS matches, CAST(sum(ff.goals_total) AS INTEGER) AS total_goals,
-  {half_up('sum(ff.goals_total)', 'count(ff.goals_total)', 4)} AS goals_per_match,
-  {half_up('100 * count(*) FILTER (WHERE ff.result = 1)', 'count(*)', 5)} AS home_win_pct,
-  {half_up('100 * count(*) FILTER (WHERE ff.result = 0)', 'count(*)', 5)} AS draw_pct,
-  {half_up('100 * count(*) FILTER (WHERE ff.result = -1)', 'count(*)', 5)} AS away_win_pct
-FROM fact_fixture ff JOIN dim_date dd ON dd.date_key = ff.date_key
-WHERE ff.result IS NOT NULL
-GROUP BY ff.league_key, ff.season, dd.year, dd.month, dd.month_name"""
+SELECT fx.league_key, fx.season, cal.year, cal.month, cal.month_name,
+  CAST(count(*) AS INTEGER) AS matches, CAST(sum(fx.goals_total) AS INTEGER) AS total_goals,
+  {half_up('sum(fx.goals_total)', 'count(fx.goals_total)', 4)} AS goals_per_match,
+  {half_up('100 * count(*) FILTER (WHERE fx.result = 1)', 'count(*)', 5)} AS home_win_pct,
+  {half_up('100 * count(*) FILTER (WHERE fx.result = 0)', 'count(*)', 5)} AS draw_pct,
+  {half_up('100 * count(*) FILTER (WHERE fx.result = -1)', 'count(*)', 5)} AS away_win_pct
+FROM fact_fixture fx JOIN dim_date cal ON cal.date_key = fx.date_key
+WHERE fx.result IS NOT NULL
+GROUP BY fx.league_key, fx.season, cal.year, cal.month, cal.month_name"""
 
 ORACLE["mart_venue_home"] = f"""WITH {GOLD}
-SELECT ff.venue_key, ff.season, CAST(count(*) AS INTEGER) AS home_matches,
-  CAST(sum(ff.goals_home) AS INTEGER) AS home_goals,
-  {half_up('sum(ff.goals_home)', 'count(ff.goals_home)', 4)} AS home_goals_per_match,
-  CAST(count(*) FILTER (WHERE ff.result = 1) AS INTEGER) AS home_wins,
-  {half_up('100 * count(*) FILTER (WHERE ff.result = 1)', 'count(*)', 5)} AS home_win_pct
-FROM fact_fixture ff WHERE ff.venue_key IS NOT NULL AND ff.result IS NOT NULL
-GROUP BY ff.venue_key, ff.season"""
+SELECT fx.venue_key, fx.season, CAST(count(*) AS INTEGER) AS home_matches,
+  CAST(sum(fx.goals_home) AS INTEGER) AS home_goals,
+  {half_up('sum(fx.goals_home)', 'count(fx.goals_home)', 4)} AS home_goals_per_match,
+  CAST(count(*) FILTER (WHERE fx.result = 1) AS INTEGER) AS home_wins,
+  {half_up('100 * count(*) FILTER (WHERE fx.result = 1)', 'count(*)', 5)} AS home_win_pct
+FROM fact_fixture fx WHERE fx.venue_key IS NOT NULL AND fx.result IS NOT NULL
+GROUP BY fx.venue_key, fx.season"""
 
 
 # ---------------------------------------------------------------------------
