@@ -29,6 +29,8 @@ def main(argv=None) -> int:
     run.add_argument("--run-ts", help="ISO timestamp of the run (default: now, UTC)")
     run.add_argument("--line-delimited", action="store_true")
     run.add_argument("--keep-versions", type=int)
+    run.add_argument("--incremental-silver", action="store_true",
+                     help="merge only newly landed bronze rows into silver")
     run.add_argument("--calendar", nargs=2, default=list(DEFAULT_CALENDAR))
     show = sub.add_parser("show", help="print a published table")
     show.add_argument("--base", required=True)
@@ -42,7 +44,7 @@ def main(argv=None) -> int:
         envelopes = {e: getattr(args, e) for e in BRONZE_TABLES if getattr(args, e)}
         run_ts = dt.datetime.fromisoformat(args.run_ts) if args.run_ts else None
         res = run_pipeline(spark, envelopes, args.base, run_ts, tuple(args.calendar),
-                           args.line_delimited, args.keep_versions)
+                           args.line_delimited, args.keep_versions, args.incremental_silver)
         print(json.dumps(res))
     else:
         LayerStore(spark, args.base).read(args.layer, args.table).show(args.rows, truncate=False)

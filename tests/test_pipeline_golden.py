@@ -293,3 +293,23 @@ def test_command_line_run_and_show(spark, tmp_path, capsys):
     assert out["gold_version"] == 1 and out["landed"]["fixtures"] == 6
     assert main(["show", "--base", base, "--layer", "gold", "--table", "agg_venue_home"]) == 0
     assert "home_win_pct" in capsys.readouterr().out
+
+
+def test_incremental_silver_equals_full_rerun(spark, tmp_path):
+    teams = copy.deepcopy(TEAMS)
+    teams[1]["team"]["name"] = "Blues United"
+    teams[1]["venue"]["capacity"] = 41000
+    fixtures = copy.deepcopy(FIXTURES)
+    fixtures[2]["goals"] = {"home": 1, "away": 2}
+    first = write_inputs(str(tmp_path / "a"))
+    second = write_inputs(str(tmp_path / "b"), teams=teams, fixtures=fixtures)
+    results = {}
+    for mode in (False, True):
+        base = str(tmp_path / f"lake-{mode}")
+        run_pipeline(spark, first, base, dt.datetime(2024, 1, 1, 6), incremental_silver=mode)
+        run_pipeline(spark, second, base, dt.datetime(2024, 2, 1, 6), incremental_silver=mode)
+        store = LayerStore(spark, base)
+        results[mode] = {t: sorted(map(tuple, store.read("silver", t).collect()), key=repr)
+                         for t in SILVER}
+    assert results[False] == results[True]
+    assert any(r[1] == "Blues United" for r in results[True]["teams"])
