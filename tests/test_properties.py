@@ -48,3 +48,31 @@ def test_scd2_versions_follow_changes(spark, runs):
         assert counts[i] == changes + 1
     assert dq_one_current(dim, ["id"]).count() == 0
     assert dim.select("sk").distinct().count() == dim.count()
+
+
+keys_st = st.integers(min_value=0, max_value=6)
+val_st = st.one_of(st.none(), st.integers(min_value=0, max_value=3))
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(keys_st, st.tuples(val_st, val_st), max_size=6),
+       st.dictionaries(keys_st, st.tuples(val_st, val_st), max_size=6),
+       st.booleans())
+def test_merge_upsert_matches_a_model(spark, target, source, freeze_b):
+    """MERGE semantics against a dictionary model: matched keys take the
+    source values (NULLs included) for the updated columns, new keys are
+    inserted, target-only keys are kept."""
+    from strata.operators.merge import merge_upsert
+    schema = "k int, a int, b int"
+    t = spark.createDataFrame([(k, a, b) for k, (a, b) in target.items()], schema)
+    s = spark.createDataFrame([(k, a, b) for k, (a, b) in source.items()], schema)
+    upd = ["a"] if freeze_b else ["a", "b"]
+    got = sorted(tuple(r) for r in merge_upsert(t, s, ["k"], update_cols=upd).collect())
+    model = dict(target)
+    for k, (a, b) in source.items():
+        if k in model:
+            model[k] = (a, b if not freeze_b else model[k][1])
+        else:
+            model[k] = (a, b)
+    want = sorted((k, a, b) for k, (a, b) in model.items())
+    assert got == want
