@@ -10,6 +10,7 @@ steps never recompute earlier ones and key assignments are fixed on storage.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +64,7 @@ def append(store: LayerStore, entity: str, staged: DataFrame, run_ts: dt.datetim
     start = next_key_start(store.read("bronze", entity), "id")
     landed = land_bronze(rows, entity, F.lit(run_ts).cast("timestamp"), start,
                          order_cols=["source_file", "body_hash", "pos"])
-    store.append_bronze(entity, landed)
+    store.append_bronze(entity, landed, f"batch-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}")
     return known_rows(landed) if known_rows(landed) is not None else landed.count()
 
 

@@ -5,7 +5,7 @@ have no cross-table transactions, and a table cannot be overwritten while it
 is being read, so every run writes each table of a layer into a *new* version
 directory and publishes the layer by writing a marker last::
 
-    {base}/bronze/{entity}/                 append-only Parquet
+    {base}/bronze/{entity}/load={id}/       append-only Parquet, one directory per load
     {base}/{layer}/v000007/{table}/         one immutable version per run
     {base}/{layer}/_published/v000007/      marker: version 7 is complete
 
@@ -107,5 +107,8 @@ class LayerStore:
                 deleted.append(int(name[1:]))
         return sorted(deleted)
 
-    def append_bronze(self, table: str, df: DataFrame) -> None:
-        df.write.mode("append").parquet(self.table_path("bronze", table))
+    def append_bronze(self, table: str, df: DataFrame, load_id: str) -> None:
+        """Each load (a batch run or a stream micro-batch) is its own
+        ``load=`` directory, so batch and streaming loads can share a table
+        and a replayed load rewrites only itself."""
+        df.write.mode("overwrite").parquet(f"{self.table_path('bronze', table)}/load={load_id}")

@@ -1,7 +1,7 @@
 """File-stream landing of API envelopes into bronze with ``foreachBatch``.
 
 Each micro-batch is gated and exploded exactly like a batch load and written
-into ``{base}/bronze/{entity}/epoch={id}`` with ``overwrite``: a micro-batch
+into ``{base}/bronze/{entity}/load=stream-{epoch}`` with ``overwrite``: a micro-batch
 replayed after a failure rewrites its own directory, so together with the
 stream checkpoint (which records the files already consumed) every envelope
 is landed exactly once. Rejected envelopes go to ``{base}/rejected/{entity}``
@@ -29,12 +29,12 @@ def _batch_writer(base: str, entity: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
         parsed = parse_envelopes(batch)
         good, bad = gate_errors(parsed)
-        bad.select("source_file", "body", F.lit(epoch_id).alias("epoch")).write.mode("overwrite") \
-            .parquet(f"{base.rstrip('/')}/rejected/{entity}/epoch={epoch_id}")
+        bad.select("source_file", "body").write.mode("overwrite") \
+            .parquet(f"{base.rstrip('/')}/rejected/{entity}/load=stream-{epoch_id:012d}")
         rows = explode_response(good, keep=["source_file"])
         landed = land_bronze(rows, entity, F.current_timestamp(), epoch_id << EPOCH_ID_BITS,
                              order_cols=["source_file", "pos"])
-        landed.write.mode("overwrite").parquet(f"{root}/epoch={epoch_id}")
+        landed.write.mode("overwrite").parquet(f"{root}/load=stream-{epoch_id:012d}")
 
     return write
 

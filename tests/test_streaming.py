@@ -24,3 +24,20 @@ def test_land_stream_exactly_once(spark, tmp_path):
     assert teams == ["1", "2", "3"]
     rejected = spark.read.parquet(os.path.join(base, "rejected", "teams"))
     assert rejected.count() == 1
+
+
+def test_batch_and_stream_loads_share_bronze(spark, tmp_path):
+    import datetime as dt
+    from strata.plans.pipeline import land
+    from strata.plans.store import LayerStore
+    src = tmp_path / "incoming"
+    src.mkdir()
+    (src / "a.json").write_text(json.dumps({"errors": [], "response": [{"team": {"id": 1}}]}))
+    base = str(tmp_path / "lake")
+    land_stream(spark, "teams", str(src), base, str(tmp_path / "ckpt")).awaitTermination()
+    batch = tmp_path / "batch"
+    batch.mkdir()
+    (batch / "b.json").write_text(json.dumps({"errors": [], "response": [{"team": {"id": 2}}]}))
+    store = LayerStore(spark, base)
+    assert land(spark, store, "teams", str(batch), dt.datetime(2024, 1, 1)) == 1
+    assert store.read("bronze", "teams").count() == 2
