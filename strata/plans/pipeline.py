@@ -22,7 +22,7 @@ from strata.operators.dq import (assert_clean, dq_fk_orphans, dq_not_null, dq_on
 from strata.operators.facts import (FACT_STANDING_GRAIN, fact_match, fact_snapshot, fixture_rejects,
                                     standing_lookups, upsert_fact)
 from strata.operators.lookup import rejected_rows
-from strata.operators.keys import known_rows, materialize, next_key_start
+from strata.operators.keys import materialize, next_key_start
 from strata.operators.marts import mart_league_month, mart_team_season, mart_venue_home
 from strata.operators.merge import insert_absent
 from strata.plans import football, gold
@@ -63,9 +63,10 @@ def append(store: LayerStore, entity: str, staged: DataFrame, run_ts: dt.datetim
                          F.posexplode("response").alias("pos", "payload"))
     start = next_key_start(store.read("bronze", entity), "id")
     landed = land_bronze(rows, entity, F.lit(run_ts).cast("timestamp"), start,
-                         order_cols=["source_file", "body_hash", "pos"])
-    store.append_bronze(entity, landed, f"batch-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}")
-    return known_rows(landed) if known_rows(landed) is not None else landed.count()
+                         order_cols=["source_file", "body_hash", "pos"], dense_ids=False)
+    written = store.append_bronze(entity, landed,
+                                  f"batch-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}")
+    return written.count()
 
 
 def land(spark: SparkSession, store: LayerStore, entity: str, path, run_ts: dt.datetime,

@@ -107,8 +107,11 @@ class LayerStore:
                 deleted.append(int(name[1:]))
         return sorted(deleted)
 
-    def append_bronze(self, table: str, df: DataFrame, load_id: str) -> None:
+    def append_bronze(self, table: str, df: DataFrame, load_id: str) -> DataFrame:
         """Each load (a batch run or a stream micro-batch) is its own
         ``load=`` directory, so batch and streaming loads can share a table
-        and a replayed load rewrites only itself."""
-        df.write.mode("overwrite").parquet(f"{self.table_path('bronze', table)}/load={load_id}")
+        and a replayed load rewrites only itself. Returns the load as read
+        back (its count is a Parquet metadata read)."""
+        path = f"{self.table_path('bronze', table)}/load={load_id}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -160,3 +160,18 @@ def test_bronze_whitelist():
     assert check_target("teams") == "teams"
     with pytest.raises(ValueError):
         check_target("gold.dim_team")
+
+
+def test_sparse_bronze_ids_follow_order_and_repeat(spark):
+    from strata.sources.bronze import land_bronze
+    rows = spark.range(0, 2000).select(
+        F.format_string('{"n": %d}', F.col("id")).alias("payload"),
+        (F.col("id") * 7919 % 2000).alias("arrival"))
+    landed = land_bronze(rows, "teams", F.current_timestamp(), start_id=500,
+                         order_cols=["arrival"], dense_ids=False)
+    first = {r["payload"]: r["id"] for r in landed.collect()}
+    second = {r["payload"]: r["id"] for r in landed.collect()}
+    assert first == second and len(set(first.values())) == 2000 and min(first.values()) > 500
+    arrival = {f'{{"n": {i}}}': i * 7919 % 2000 for i in range(2000)}
+    in_order = [first[p] for p in sorted(first, key=arrival.get)]
+    assert in_order == sorted(in_order)
