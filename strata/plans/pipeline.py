@@ -1,10 +1,12 @@
 """End-to-end run (PIPE-16): envelopes -> bronze -> silver -> gold.
 
-Order: land every entity (fail fast on a rejected envelope or a malformed
-payload), merge all six silver tables into a new silver version, check and
-publish it; then build gold dims, facts and marts into a new gold version,
-check and publish it. Each table is written once and read back, so later
-steps never recompute earlier ones and key assignments are fixed on storage.
+Order: stage and gate every endpoint (a rejected envelope fails the load
+before any endpoint lands), append the bronze loads, merge all six silver
+tables into a new silver version, check and publish it; then build gold dims,
+facts (plus the rows their inner lookups drop) and marts into a new gold
+version, check and publish it. Independent steps run as concurrent Spark
+jobs. Each table is written once and read back, so later steps never
+recompute earlier ones and key assignments are fixed on storage.
 """
 
 from __future__ import annotations
