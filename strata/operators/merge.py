@@ -30,7 +30,8 @@ def _src(c: str) -> Column:
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list,
                  update_cols: list | None = None,
-                 insert_cols: list | None = None) -> DataFrame:
+                 insert_cols: list | None = None,
+                 small_source_rows: int = 0) -> DataFrame:
     """Rows of ``target`` after ``MERGE INTO target USING source ON keys``.
 
     ``update_cols`` are overwritten on a match (default: every non-key target
@@ -38,7 +39,20 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list,
     ``insert_cols`` are taken from the source for new keys (default: every
     target column the source has); other columns are NULL on insert. No delete
     branch: target rows absent from the source are kept (Q11).
+
+    With ``small_source_rows`` > 0 the source is counted; when it has at most
+    that many rows its keys are broadcast to split the target without
+    shuffling it: untouched rows pass through a broadcast anti-join and only
+    the matched rows take part in the full outer merge. Above the bound (or
+    by default, when counting would cost an extra pass) it is one shuffled
+    full outer join.
     """
+    if small_source_rows > 0 and source.count() <= small_source_rows:
+        src_keys = F.broadcast(source.select(*keys))
+        untouched = target.join(src_keys, keys, "left_anti")
+        touched = target.join(src_keys, keys, "left_semi")
+        merged = merge_upsert(touched, source, keys, update_cols, insert_cols)
+        return untouched.unionByName(merged)
     tcols = target.columns
     scols = set(source.columns)
     non_keys = [c for c in tcols if c not in keys]

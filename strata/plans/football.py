@@ -225,10 +225,14 @@ def silver_source(bronze: DataFrame, entity: str) -> DataFrame:
     return latest_by(rows, SILVER_KEYS[entity], order).drop("id", *positions)
 
 
-def merge_silver(target: DataFrame, bronze: DataFrame, entity: str) -> DataFrame:
-    """PIPE-1..6: the silver table after ``MERGE INTO target USING source``."""
+def merge_silver(target: DataFrame, bronze: DataFrame, entity: str,
+                 small_source_rows: int = 0) -> DataFrame:
+    """PIPE-1..6: the silver table after ``MERGE INTO target USING source``.
+    ``small_source_rows`` enables the broadcast-split merge for small sources
+    (incremental runs)."""
     src = silver_source(bronze, entity).select(*target.columns)
     keys = SILVER_KEYS[entity]
     frozen = NOT_UPDATED.get(entity, [])
     upd = [c for c in target.columns if c not in keys and c not in frozen]
-    return merge_upsert(target, src, keys, update_cols=upd, insert_cols=list(target.columns))
+    return merge_upsert(target, src, keys, update_cols=upd, insert_cols=list(target.columns),
+                        small_source_rows=small_source_rows)

@@ -35,6 +35,9 @@ from strata.sources.bronze import BRONZE_TABLES, land_bronze
 from strata.sources.envelope import accepted, parse_envelopes, read_envelopes
 
 SILVER_ORDER = ["fixtures", "leagues", "seasons", "standings", "teams", "venues"]
+# Incremental silver runs broadcast the keys of a deduplicated source of at
+# most this many rows (a few tens of MB of keys) to avoid shuffling the target.
+INCREMENTAL_BROADCAST_ROWS = 2_000_000
 # Fixed value: the reference calendar range.
 DEFAULT_CALENDAR = ("2010-01-01", "2026-12-31")
 
@@ -133,11 +136,14 @@ def run_silver(spark: SparkSession, store: LayerStore, incremental: bool = False
         def step():
             bronze = store.read("bronze", football.SILVER_SOURCE[entity])
             target = store.read("silver", entity)
+            small = 0
             if incremental:
                 hw = target.agg(F.max("loaded_at").alias("hw")).first()["hw"]
                 if hw is not None:
                     bronze = bronze.filter(F.col("loaded_at") >= F.lit(hw))
-            return store.write("silver", entity, football.merge_silver(target, bronze, entity), version)
+                    small = INCREMENTAL_BROADCAST_ROWS
+            merged = football.merge_silver(target, bronze, entity, small_source_rows=small)
+            return store.write("silver", entity, merged, version)
         return step
 
     written = concurrently({e: merge(e) for e in SILVER_ORDER})

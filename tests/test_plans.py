@@ -89,3 +89,17 @@ def test_season_filter_prunes_fact_partitions(spark, tmp_path):
         q.explain(mode="formatted")
     assert "PartitionFilters: [isnotnull(season" in buf.getvalue()
     assert q.count() == 2
+
+
+def test_small_source_merge_does_not_shuffle_the_target(spark, tmp_path):
+    from strata.operators.merge import merge_upsert
+    spark.range(0, 5000).selectExpr("id as k", "id % 7 as v").write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    source = spark.createDataFrame([(3, 100), (99999, 1)], "k long, v long")
+    out = merge_upsert(target, source, ["k"], small_source_rows=1000)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain(mode="formatted")
+    tree = buf.getvalue().split("\n\n")[0]
+    assert "BroadcastHashJoin LeftAnti" in tree
+    assert out.count() == 5001 and out.filter("k = 3").first()["v"] == 100
