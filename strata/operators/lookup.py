@@ -7,15 +7,17 @@ join (FILT-2), so the join is a plain equi-join the optimizer can broadcast.
 Broadcast policy: a dimension is broadcast only after its row count is
 checked against ``max_rows`` (dimensions are bounded by the number of business
 entities, not by fact volume, but the check makes that a fact rather than an
-assumption). Above the bound the join is left to the optimizer (sort-merge,
-AQE may still convert at runtime).
+assumption). Only the join columns, the surrogate key and any requested
+attributes are projected before the broadcast, so even the 2M-row bound is a
+narrow table of a few tens of MB. Above the bound the join is left to the
+optimizer (sort-merge; AQE may still convert it at runtime).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
