@@ -141,6 +141,7 @@ def test_rejected_facts_are_listed(run):
     rej = spark.read.parquet(store.table_path("gold", "rejected_fixtures", v))
     got = sorted((r["fixture_id"], r["failed_lookup"]) for r in rej.collect())
     assert got == [(103, "league"), (104, "date"), (105, "home_team")]
+    assert spark.read.parquet(store.table_path("gold", "rejected_standings", v)).count() == 0
 
 
 def test_fact_semantics(run):
