@@ -116,3 +116,10 @@ def permute(x: Column, n: Column, seed: str) -> Column:
                        lambda p, _: F.when(p < n, p).otherwise(_feistel(p, a, b, seed)))
     found = F.when(once < n, once).otherwise(walk)
     return F.when(found < n, found).otherwise(F.raise_error(F.lit("permutation left its range")).cast("long"))
+
+
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Bound what Python workers hold at once: long texts travel few to an Arrow batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import mixing, sharding
+from strata.llm import decontaminate, mixing, sharding, simhash
 from strata.llm.common import table
 
 
@@ -14,11 +14,22 @@ def op2_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                      table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_feistel_sharding": op2_feistel_sharding,
+    "op3_simhash_byte_index": op3_simhash_byte_index,
     "op4_sainte_lague_mixing": op4_sainte_lague_mixing,
+    "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
 }
