@@ -123,3 +123,22 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, rows)
+
+
+def held_out(id_col: str = "doc_id") -> Column:
+    """Rows that no model may learn labels from; a row without an id is one of them."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def labelled_sample(labels: DataFrame, per_class: int, label_col: str = "quality",
+                    id_col: str = "doc_id") -> DataFrame:
+    """At most ``per_class`` ids of each label, with the label: those of the least id hash.
+
+    Held-out ids, null ids and labels other than 0 and 1 are left out; an id with
+    several labels has the least of them.
+    """
+    known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+             .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out("doc_id"))
+             .groupBy("doc_id").agg(F.min("label").alias("label")))
+    parts = [known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for k in (0, 1)]
+    return parts[0].unionByName(parts[1])

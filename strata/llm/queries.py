@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, mixing, sharding, simhash
+from strata.llm import decontaminate, mixing, rules, sharding, simhash, subword
 from strata.llm.common import table
 
 
@@ -22,6 +22,14 @@ def op4_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op6_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
+def op9_subword_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels"))
+
+
 def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents", "doc_id", "text"),
                                       table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -31,5 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_feistel_sharding": op2_feistel_sharding,
     "op3_simhash_byte_index": op3_simhash_byte_index,
     "op4_sainte_lague_mixing": op4_sainte_lague_mixing,
+    "op6_decision_list_rules": op6_decision_list_rules,
+    "op9_subword_classifier": op9_subword_classifier,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
 }
