@@ -111,11 +111,13 @@ def permute(x: Column, n: Column, seed: str) -> Column:
     """
     a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
     b = F.ceil(n / a).cast("long")
-    once = _feistel(x.cast("long"), a, b, seed)
-    walk = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), once,
-                       lambda p, _: F.when(p < n, p).otherwise(_feistel(p, a, b, seed)))
-    found = F.when(once < n, once).otherwise(walk)
-    return F.when(found < n, found).otherwise(F.raise_error(F.lit("permutation left its range")).cast("long"))
+    walk = lambda q: F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), q,
+                                 lambda p, _: F.when(p < n, p).otherwise(_feistel(p, a, b, seed)))
+    # the fold over one element names the first value, so that it is worked out once
+    return F.aggregate(F.array(F.lit(0)), _feistel(x.cast("long"), a, b, seed),
+                       lambda p, _: F.when(p < n, p).otherwise(walk(p)),
+                       lambda p: F.when(p < n, p).otherwise(
+                           F.raise_error(F.lit("permutation left its range")).cast("long")))
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
