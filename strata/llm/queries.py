@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, mixing, rules, sharding, simhash, subword, tokenout
+from strata.llm import decontaminate, license_scan, mixing, rules, sharding, simhash, subword, tokenout
 from strata.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op6_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels"))
 
 
+def op7_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text")).drop("detections")
+
+
 def op8_context_mixing_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenout.write_and_read(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_byte_index": op3_simhash_byte_index,
     "op4_sainte_lague_mixing": op4_sainte_lague_mixing,
     "op6_decision_list_rules": op6_decision_list_rules,
+    "op7_license_rules": op7_license_rules,
     "op8_context_mixing_ids": op8_context_mixing_ids,
     "op9_subword_classifier": op9_subword_classifier,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
