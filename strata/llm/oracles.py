@@ -2,4 +2,148 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from strata.llm import link_trust, mixing, sharding
+from strata.llm.common import ROUNDS
+
+_BLANK = r"[^\x20\x09-\x0D]+"
+
+
+def _half(seed: str, step: str, half: str) -> str:
+    return f"('0x' || md5('{seed}:{step}:' || ({half})::VARCHAR)[1:12])::BIGINT"
+
+
+def _feistel(value: str, n: str, seed: str) -> str:
+    """A scalar subquery: the permutation's rounds over the value."""
+    a, b = f"ceil(sqrt(({n})::DOUBLE))::BIGINT", "q.b"
+    inner = f"(SELECT {value} % {a} AS l, {value} // {a} AS r, {a} AS a, (({n}) + {a} - 1) // {a} AS b)"
+    for i in range(ROUNDS):
+        if i % 2 == 0:
+            inner = f"(SELECT (l + {_half(seed, str(i), 'r')}) % a AS l, r, a, b FROM {inner} t{i})"
+        else:
+            inner = f"(SELECT l, (r + {_half(seed, str(i), 'l')}) % b AS r, a, b FROM {inner} t{i})"
+    return f"(SELECT l + a * r FROM {inner} q)"
+
+
+def sharding_sql() -> str:
+    """The checksum is worked out byte by byte; the walk back into the range is a recursion."""
+    table = ("list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, _: "
+             "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
+    return f"""
+WITH RECURSIVE crc_table AS (SELECT {table} AS t),
+raw AS (SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, coalesce(text, '') AS text FROM documents),
+digest AS (
+  SELECT doc_id, size, CASE WHEN text = '' THEN 0::BIGINT ELSE xor(list_reduce(
+      [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT),
+      lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) END::BIGINT AS text_crc32
+  FROM raw, crc_table),
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS n, count(*) OVER () AS total FROM digest),
+walk AS (
+  SELECT n, total, {_feistel('n', 'total', sharding.SEED)} AS p FROM numbered
+  UNION ALL
+  SELECT n, total, {_feistel('p', 'total', sharding.SEED)} FROM walk WHERE p >= total)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (p % {sharding.SHARDS})::INTEGER AS shard, (p // {sharding.SHARDS})::BIGINT AS slot,
+       NULL::INTEGER AS grown_shard
+FROM numbered JOIN walk USING (n) WHERE p < walk.total
+"""
+
+
+def mixing_sql() -> str:
+    """Lists every quotient and takes the highest; water filling by trying every prefix."""
+    words, most = mixing.BLOCK_WORDS, mixing.MAX_EPOCHS
+    return f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_BLANK}'))::BIGINT AS size, text FROM documents),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+ranked AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sizes),
+weighed AS (SELECT *, rank % 3 + 1 AS weight, {most} * source_size AS cap, ceil(source_size / {words}.0)::BIGINT AS blocks FROM ranked),
+levels AS (
+  SELECT w.rank, coalesce(sum(o.cap) FILTER (WHERE o.cap * w.weight < w.cap * o.weight OR (o.cap * w.weight = w.cap * o.weight AND o.rank < w.rank)), 0) AS caps,
+         coalesce(sum(o.weight) FILTER (WHERE o.cap * w.weight < w.cap * o.weight OR (o.cap * w.weight = w.cap * o.weight AND o.rank < w.rank)), 0) AS weights,
+         any_value(w.cap) AS cap, any_value(w.weight) AS weight
+  FROM weighed w, weighed o GROUP BY w.rank),
+whole AS (SELECT sum(source_size) AS words, sum(weight) AS weights FROM weighed),
+fit AS (
+  SELECT (whole.words - caps)::BIGINT AS left_over, (whole.weights - levels.weights)::BIGINT AS share
+  FROM levels, whole WHERE (whole.words - caps) * weight <= levels.cap * (whole.weights - levels.weights)
+  ORDER BY caps, levels.weights LIMIT 1),
+aimed AS (
+  SELECT w.*, CASE WHEN f.share IS NULL OR w.cap * f.share < w.weight * f.left_over THEN w.cap::DOUBLE
+              ELSE (w.weight * f.left_over)::DOUBLE / f.share::DOUBLE END AS target
+  FROM weighed w LEFT JOIN fit f ON true),
+house AS (SELECT CASE WHEN sum(target) > 0 THEN greatest(1, floor(sum(target) / {words} + 0.5))::BIGINT ELSE 0 END AS m FROM aimed),
+quotients AS (
+  SELECT rank, target / (2 * k + 1) AS q FROM aimed, house, LATERAL (SELECT unnest(range({most} * blocks + 40)) AS k) u WHERE target > 0),
+won AS (SELECT rank, count(*) AS n FROM (SELECT rank FROM quotients ORDER BY q DESC, rank LIMIT (SELECT m FROM house)) GROUP BY rank),
+seated AS (SELECT a.*, least(coalesce(won.n, 0), {most} * blocks)::BIGINT AS seats FROM aimed a LEFT JOIN won USING (rank)),
+placed AS (
+  SELECT d.doc_id, d.size, s.source_size, s.target, s.source, s.blocks, s.seats,
+         sum(d.size) OVER (PARTITION BY s.rank ORDER BY d.doc_id NULLS FIRST, d.size ROWS UNBOUNDED PRECEDING) - d.size AS start,
+         row_number() OVER () AS line
+  FROM docs d JOIN seated s ON d.source IS NOT DISTINCT FROM s.source),
+every_block AS (SELECT rank, blocks, unnest(range(blocks)) AS block FROM seated),
+walk AS (
+  SELECT rank, block, blocks, {_feistel('block', 'blocks', mixing.SEED)} AS p FROM every_block
+  UNION ALL
+  SELECT rank, block, blocks, {_feistel('p', 'blocks', mixing.SEED)} FROM walk WHERE p >= blocks),
+chosen AS (
+  SELECT s.source, w.block FROM walk w JOIN seated s USING (rank) WHERE w.p < w.blocks AND w.p < s.seats % s.blocks),
+part AS (
+  SELECT p.line, sum(least((c.block + 1) * {words}, p.start + p.size) - greatest(c.block * {words}, p.start)) AS words
+  FROM placed p JOIN chosen c ON p.source IS NOT DISTINCT FROM c.source
+   AND c.block * {words} < p.start + p.size AND (c.block + 1) * {words} > p.start
+  WHERE p.size > 0 GROUP BY p.line)
+SELECT doc_id, size, source_size, target,
+       ((CASE WHEN blocks > 0 THEN seats // blocks ELSE 0 END) * size + coalesce(part.words, 0))::BIGINT AS taken, source, blocks, seats
+FROM placed LEFT JOIN part USING (line)
+"""
+
+
+def link_trust_sql() -> str:
+    """The rounds of the propagation, written out."""
+    m = link_trust
+    rules = sorted(m.RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = lambda r: f"(host = '{r[1]}' OR host LIKE '%.{r[1]}') AND starts_with(path, '{r[2]}')"
+    case = lambda value: "CASE " + " ".join(f"WHEN {fits(r)} THEN '{value(r)}'" for r in rules) + " END"
+    low = lambda x: f"translate({x}, '{m.UPPER}', '{m.LOWER}')"
+    link = m.LINK.replace("'", "''")
+    rounds = ["r0 AS (SELECT * FROM seeds)"]
+    for k in range(m.ROUNDS):
+        rounds.append(f"""r{k + 1} AS (
+  SELECT host, sum(trust) AS trust, sum(distrust) AS distrust FROM (
+    SELECT e.dst AS host, {m.DAMPING} * r.trust * e.n / e.outs AS trust, 0.0::DOUBLE AS distrust FROM edges e JOIN r{k} r ON r.host = e.src
+    UNION ALL SELECT e.src, 0.0, {m.DAMPING} * r.distrust * e.n / e.ins FROM edges e JOIN r{k} r ON r.host = e.dst
+    UNION ALL SELECT host, {1 - m.DAMPING} * trust, {1 - m.DAMPING} * distrust FROM seeds) GROUP BY host)""")
+    return f"""
+WITH parts AS (
+  SELECT page_id, html, {low(f"regexp_extract(coalesce(url, ''), '{m.URL}', 1)")} AS host, regexp_extract(coalesce(url, ''), '{m.URL}', 2) AS path FROM pages),
+judged AS (SELECT page_id, host, path, {case(lambda r: r[1] + r[2])} AS rule, {case(lambda r: r[0])} AS ruled FROM parts),
+counted AS (
+  SELECT host, count(*) FILTER (WHERE ruled = 'allow') AS good, count(*) FILTER (WHERE ruled = 'block') AS bad
+  FROM judged WHERE host <> '' AND ruled IS NOT NULL GROUP BY host),
+seeds AS (
+  SELECT host, good / greatest((SELECT sum(good) FROM counted), 1)::DOUBLE AS trust,
+         bad / greatest((SELECT sum(bad) FROM counted), 1)::DOUBLE AS distrust FROM counted),
+linked AS (
+  SELECT src, dst, count(*) AS n FROM (
+    SELECT host AS src, {low('u')} AS dst FROM (SELECT host, unnest(regexp_extract_all(coalesce(html, ''), '{link}', 1)) AS u FROM parts WHERE host <> ''))
+  WHERE src <> dst GROUP BY ALL),
+hosts AS (SELECT DISTINCT string_split(host, '.') AS labels FROM (SELECT host FROM judged UNION ALL SELECT dst FROM linked) WHERE host <> ''),
+steps AS (
+  SELECT DISTINCT array_to_string(labels[i:], '.') AS a, array_to_string(labels[i + 1:], '.') AS b
+  FROM (SELECT labels, unnest(range(1, len(labels) - 1)) AS i FROM hosts WHERE len(labels) > 2)),
+summed AS (
+  SELECT src, dst, sum(n)::DOUBLE AS n FROM (SELECT * FROM linked UNION ALL SELECT a, b, 1 FROM steps UNION ALL SELECT b, a, 1 FROM steps) GROUP BY src, dst),
+edges AS (SELECT src, dst, n, sum(n) OVER (PARTITION BY src) AS outs, sum(n) OVER (PARTITION BY dst) AS ins FROM summed),
+{", ".join(rounds)},
+verdicts AS (SELECT host, CASE WHEN distrust > {m.THRESHOLD} * (trust + distrust) THEN 'block' ELSE 'allow' END AS host_verdict FROM r{m.ROUNDS})
+SELECT page_id, j.host, path, rule, coalesce(ruled, host_verdict, 'allow') AS verdict, coalesce(host_verdict, 'allow') AS host_verdict
+FROM judged j LEFT JOIN verdicts v ON j.host = v.host
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op1_link_trust": link_trust_sql(),
+    "op2_feistel_sharding": sharding_sql(),
+    "op4_sainte_lague_mixing": mixing_sql(),
+}

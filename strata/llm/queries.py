@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, license_scan, mixing, rules, sharding, simhash, subword, tokenout
+from strata.llm import decontaminate, html_text, license_scan, link_trust, mixing, rules, sharding, simhash, subword, tokenout
 from strata.llm.common import table
 
 
+def op1_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.judge(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op2_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -22,6 +26,10 @@ def op4_sainte_lague_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op5_min_cut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op6_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels"))
 
@@ -44,9 +52,11 @@ def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_link_trust": op1_link_trust,
     "op2_feistel_sharding": op2_feistel_sharding,
     "op3_simhash_byte_index": op3_simhash_byte_index,
     "op4_sainte_lague_mixing": op4_sainte_lague_mixing,
+    "op5_min_cut_text": op5_min_cut_text,
     "op6_decision_list_rules": op6_decision_list_rules,
     "op7_license_rules": op7_license_rules,
     "op8_context_mixing_ids": op8_context_mixing_ids,
