@@ -155,6 +155,19 @@ def _posting_links(max_bits: int):
     return run
 
 
+def _reposted(max_bits: int):
+    """Each fingerprint under every longer key of the posting it was in."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        longer: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for mask, rows in pdf.groupby("mask"):
+                if mask not in longer:
+                    longer[mask] = np.array([_signed(k) for k in longer_masks(int(mask) & FULL, max_bits)], np.int64)
+                kids = longer[mask]
+                yield pd.DataFrame({"f": np.repeat(rows["f"].to_numpy(), len(kids)), "mask": np.tile(kids, len(rows))})
+    return run
+
+
 def _posted(prints: DataFrame, masks: Column) -> DataFrame:
     return (prints.select("f", F.explode(masks).alias("mask"))
             .withColumn("bits", F.col("f").bitwiseAND(F.col("mask"))))
@@ -164,20 +177,17 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, posting: int = POSTING) -
     """Edges ``u, v`` that connect the distinct fingerprints of column ``f`` as the links do."""
     byte_masks = [sum(0xFF << 8 * p for p in t) for t in position_sets(max_bits)]
     posted = _posted(prints, F.array(*[F.lit(_signed(m)) for m in byte_masks]))
-    masks, found = byte_masks, []
+    found = []
     while True:
         heavy = cut(posted.groupBy("mask", "bits").count().filter(F.col("count") > posting).drop("count"), "heavy")
-        hot = [r["mask"] & FULL for r in heavy.select("mask").distinct().collect()]  # masks only: at most len(masks)
-        light = posted.join(heavy, ["mask", "bits"], "left_anti") if hot else posted
+        split = not heavy.isEmpty()
+        light = posted.join(heavy, ["mask", "bits"], "left_anti") if split else posted
         found.append(cut(light.repartition("mask", "bits").sortWithinPartitions("mask", "bits")
                          .mapInPandas(_posting_links(max_bits), "u long, v long"), "links"))
-        if not hot:
+        if not split:
             break
-        again = posted.join(heavy, ["mask", "bits"], "left_semi")
-        longer = {m: longer_masks(m, max_bits) for m in hot}
-        step = F.create_map(*[x for m, kids in longer.items() for x in (
-            F.lit(_signed(m)), F.array(*[F.lit(_signed(k)) for k in kids]))])
-        posted = cut(again.select("f", F.explode(step[F.col("mask")]).alias("mask")).distinct()
+        again = posted.join(heavy, ["mask", "bits"], "left_semi").select("f", "mask")
+        posted = cut(again.mapInPandas(_reposted(max_bits), "f long, mask long").distinct()
                      .withColumn("bits", F.col("f").bitwiseAND(F.col("mask"))), "longer")
     out = found[0]
     for more in found[1:]:

@@ -24,6 +24,7 @@ Defined results
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -42,7 +43,12 @@ MAGIC, VERSION = b"STRC", 1
 #: magic, version, ids, documents, first id of the block and first document within
 #: the partition, checksum of the ids, payload bytes
 HEAD = struct.Struct("<4sBIIQQII")
-REMEMBERED = 300_000
+#: Pieces whose ids a worker remembers, at most.
+REMEMBERED = 600_000
+#: A piece of letters, and perhaps marks after them, is one or two words to a tokenizer
+#: that splits letters from marks.
+SIMPLE = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,;:!?]*)")
+_ENCODERS: dict[tuple, "Encoder"] = {}
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -68,17 +74,56 @@ class Encoder:
         self.kind = id_kind(self.tokenizer, end_id)
         self.end = np.array([end_id], self.kind).tobytes()
         self.known: dict[str, bytes] = {"": b""}
+        self.ends = self._word_ends()
+
+    @classmethod
+    def of(cls, path: str, end_id: int) -> Encoder:
+        """The worker's encoder: Spark gives a worker many tasks, and they share its pieces."""
+        if (path, end_id) not in _ENCODERS:
+            _ENCODERS[path, end_id] = cls(path, end_id)
+        return _ENCODERS[path, end_id]
+
+    def _word_ends(self) -> np.ndarray | None:
+        """Whether an id ends a word, if this tokenizer marks the ends of its words."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        probe = [self.tokenizer.encode(t, add_special_tokens=False).tokens for t in ("ab", "ab cd", "ab.,", "\u00e9a!")]
+        if not suffix or [sum(t.endswith(suffix) for t in p) for p in probe] != [1, 2, 2, 2]:
+            return None
+        out = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        out[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        return out
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of new pieces. Simple ones go through the tokenizer together, a blank between
+        two, and are told apart by the ids that end words."""
+        rest = pieces
+        if self.ends is not None:
+            shapes = [SIMPLE.fullmatch(p) for p in pieces]
+            simple = [(p, 2 if m[1] else 1) for p, m in zip(pieces, shapes) if m]
+            rest = [p for p, m in zip(pieces, shapes) if not m]
+            for at in range(0, len(simple), 2000):
+                some = simple[at:at + 2000]
+                ids = np.array(self.tokenizer.encode_batch_fast([" ".join(p for p, _ in some)], add_special_tokens=False)[0].ids)
+                last = np.flatnonzero(self.ends[ids])
+                upto = np.cumsum([n for _, n in some])
+                if len(last) != upto[-1]:
+                    rest += [p for p, _ in some]
+                    continue
+                raw, size = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
+                stops = ((last[upto - 1] + 1) * size).tolist()
+                for (p, _), x, y in zip(some, [0, *stops], stops):
+                    self.known[p] = raw[x:y]
+        for at in range(0, len(rest), 10_000):
+            some = rest[at:at + 10_000]
+            for p, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[p] = np.array(got.ids, self.kind).tobytes()
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known = {"": b""}
         known = self.known
         cuts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        fresh = list({p for pieces in cuts for p in pieces if p not in known})
-        for at in range(0, len(fresh), 10_000):
-            some = fresh[at:at + 10_000]
-            for piece, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[piece] = np.array(got.ids, self.kind).tobytes()
+        self._learn(list({p for pieces in cuts for p in pieces if p not in known}))
         return [b"".join([known[p] for p in pieces]) + self.end for pieces in cuts]
 
 
@@ -87,7 +132,7 @@ def tokens(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int)
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path, end_id)
+        encoder = Encoder.of(path, end_id)
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "h": pdf["h"], "ids": encoder.batch(list(pdf["t"]))}).astype({"doc_id": "Int64"})
 
