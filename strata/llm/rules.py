@@ -132,11 +132,11 @@ def _grow(x: pd.DataFrame, bad: np.ndarray) -> list[Condition]:
     rule: list[Condition] = []
     inside = np.ones(len(x), bool)
     while len(rule) < MAX_CONDITIONS and (inside & ~bad).any():
-        best = (0.0, None)
+        best = ((0.0, 0.0), None)
         p0, n0 = int((inside & bad).sum()), int((inside & ~bad).sum())
         for name in x.columns:
             v = x[name].to_numpy()[inside]
-            cuts = np.unique(np.quantile(v, np.linspace(0, 1, CUTS)))
+            cuts = np.unique(np.quantile(np.unique(v), np.linspace(0, 1, CUTS)))
             cuts = (cuts[1:] + cuts[:-1]) / 2
             if not len(cuts):
                 continue
@@ -144,9 +144,12 @@ def _grow(x: pd.DataFrame, bad: np.ndarray) -> list[Condition]:
             p, n = up[bad[inside]].sum(0), up[~bad[inside]].sum(0)
             for op, a, b in ((">", p, n), ("<=", p0 - p, n0 - n)):
                 gain = _gain(p0, n0, a, b)
-                k = int(gain.argmax())
-                if gain[k] > best[0] + 1e-9:
-                    best = (float(gain[k]), (name, op, float(cuts[k])))
+                for k in np.flatnonzero(gain >= gain.max() - 1e-9):
+                    # of equal gains the threshold in the middle of the widest gap holds best on new rows
+                    below, above = v[~up[:, k]].max(), v[up[:, k]].min()
+                    worth = (round(float(gain[k]), 6), (above - below) / (v.std() + 1e-9))
+                    if gain[k] > 1e-9 and worth > best[0]:
+                        best = (worth, (name, op, float((above + below) / 2)))
         if best[1] is None:
             break
         rule.append(best[1])
