@@ -46,20 +46,31 @@ def latest_snapshot(df: DataFrame, keys: list, order_col: str, value_col: str,
     return df.groupBy(*keys).agg(F.max_by(value_col, order_col).alias(out or value_col))
 
 
+SEASON_SUMS = ["won", "draw", "lost", "goals_for", "goals_against", "points", "clean_sheets"]
+
+
+def side_measures(fact_fixture: DataFrame) -> DataFrame:
+    """What one played match adds to the season of each of its two teams; the points
+    stand in a row by outcome (lost, drawn, won)."""
+    points = F.array(F.lit(0), F.lit(1), F.lit(3))
+
+    def side(team, own, other, outcome):
+        is_ = lambda k: (outcome == k).cast("int")
+        return {"team_key": F.col(team), "won": is_(1), "draw": is_(0), "lost": is_(-1),
+                "goals_for": F.col(own), "goals_against": F.col(other),
+                "points": F.get(points, outcome + 1), "clean_sheets": (F.col(other) == 0).cast("int")}
+
+    home = F.col("result").cast("int")
+    return unpivot_sides(fact_fixture.filter(F.col("result").isNotNull()), ["league_key", "season"], [
+        side("home_team_key", "goals_home", "goals_away", home),
+        side("away_team_key", "goals_away", "goals_home", -home)])
+
+
 def team_season_agg(fact_fixture: DataFrame) -> DataFrame:
-    g = team_match_rows(fact_fixture)
-    r, gf, ga = F.col("outcome"), F.col("scored"), F.col("conceded")
-    return g.groupBy(*TEAM_SEASON_KEYS).agg(
-        F.count(F.lit(1)).cast("int").alias("played"),
-        F.count_if(r == 1).cast("int").alias("won"),           # AGG-2
-        F.count_if(r == 0).cast("int").alias("draw"),
-        F.count_if(r == -1).cast("int").alias("lost"),
-        F.sum(gf).cast("int").alias("goals_for"),
-        F.sum(ga).cast("int").alias("goals_against"),
-        (F.sum(gf) - F.sum(ga)).cast("int").alias("goal_diff"),  # AGG-4
-        F.sum(F.when(r == 1, 3).when(r == 0, 1).otherwise(0)).cast("int").alias("points"),  # AGG-5
-        F.count_if(ga == 0).cast("int").alias("clean_sheets"),
-    )
+    """AGG-1..5, AGG-9: a team's season as plain sums of its matches' measures."""
+    sums = side_measures(fact_fixture).groupBy(*TEAM_SEASON_KEYS).agg(
+        F.count("*").cast("int").alias("played"), *[F.sum(c).cast("int").alias(c) for c in SEASON_SUMS])
+    return sums.withColumn("goal_diff", F.col("goals_for") - F.col("goals_against"))
 
 
 def mart_team_season(fact_fixture: DataFrame, fact_standing: DataFrame) -> DataFrame:

@@ -75,31 +75,38 @@ dim_venue AS (
     DATE '2024-01-01' AS valid_from, DATE '9999-12-31' AS valid_to, true AS is_current
   FROM nation WHERE n_nationkey % 4 <> 3)"""
 
-FACT_FIXTURE = """fact_fixture AS (
-  SELECT CAST(m.fixture_id AS INTEGER) AS fixture_id, cal.date_key, lg.league_key,
-    hm.team_key AS home_team_key, aw.team_key AS away_team_key, ven.venue_key,
-    m.season, m.status_short, m.goals_home, m.goals_away,
-    CAST(coalesce(m.goals_home, 0) + coalesce(m.goals_away, 0) AS INTEGER) AS goals_total,
-    CAST(CASE WHEN m.goals_home > m.goals_away THEN 1 WHEN m.goals_home < m.goals_away THEN -1
-              WHEN m.goals_home = m.goals_away THEN 0 END AS SMALLINT) AS result
-  FROM matches m
-  JOIN dim_date cal ON cal.full_date = CAST(m.kickoff AS DATE)
-  JOIN dim_league lg ON lg.league_id = m.league_id
-  JOIN dim_team hm ON hm.team_id = m.home_team_id AND hm.is_current
-  JOIN dim_team aw ON aw.team_id = m.away_team_id AND aw.is_current
-  LEFT JOIN dim_venue ven ON ven.venue_id = m.venue_id AND ven.is_current)"""
-
-FACT_STANDING = """fs0 AS (
-  SELECT cal.date_key AS snapshot_date_key, lg.league_key, tm.team_key, s.season, s.rank,
-    s.points, s.played, CAST(s.win AS SMALLINT) AS won, CAST(s.draw AS SMALLINT) AS draw,
-    CAST(s.lose AS SMALLINT) AS lost, s.goals_for, s.goals_against, s.goals_diff AS goal_diff
-  FROM standings s
-  JOIN dim_date cal ON cal.full_date = CAST(s.updated_at AS DATE)
-  JOIN dim_league lg ON lg.league_id = s.league_id
-  JOIN dim_team tm ON tm.team_id = s.team_id AND tm.is_current),
+# The facts are checked against the rules that generate the inputs, without any
+# lookup: keys of leagues and teams are their ids plus one, a venue's key counts
+# the nations up to it that have a venue, and a date's key is its digits.
+FACT_FIXTURE = """drawn AS (
+  SELECT o_orderkey AS n, o_custkey % 25 AS ground, o_orderdate AS day, o_orderstatus AS state,
+    CASE o_orderstatus WHEN 'P' THEN NULL ELSE o_orderkey % 5 END AS scored,
+    CASE o_orderstatus WHEN 'P' THEN NULL ELSE o_orderkey // 5 % 4 END AS let_in
+  FROM orders),
+fact_fixture AS (
+  SELECT n::INTEGER AS fixture_id, strftime(day, '%Y%m%d')::INTEGER AS date_key,
+    (ground % 5 + 1)::INTEGER AS league_key, (ground + 1)::INTEGER AS home_team_key,
+    ((ground + 1 + n % 24) % 25 + 1)::INTEGER AS away_team_key,
+    CASE WHEN n % 10 > 0 AND ground % 4 < 3 THEN ground + 1 - (ground + 1) // 4 END::INTEGER AS venue_key,
+    year(day - INTERVAL 7 MONTH)::INTEGER AS season, state AS status_short,
+    scored::INTEGER AS goals_home, let_in::INTEGER AS goals_away,
+    (ifnull(scored, 0) + ifnull(let_in, 0))::INTEGER AS goals_total, sign(scored - let_in)::SMALLINT AS result
+  FROM drawn)"""
+
+FACT_STANDING = """monthly AS (
+  SELECT DISTINCT o_custkey % 25 AS team, date_trunc('month', o_orderdate)::DATE AS day FROM orders),
+tables AS (
+  SELECT team, day, year(day - INTERVAL 7 MONTH) AS season, month(day) + 20 AS games,
+    (team + year(day - INTERVAL 7 MONTH)) % 15 AS wins, team * 3 % 7 AS draws FROM monthly),
 fact_standing AS (
-  SELECT CAST(row_number() OVER (ORDER BY snapshot_date_key, league_key, season, team_key) AS INTEGER)
-    AS standing_key, * FROM fs0)"""
+  SELECT row_number() OVER (ORDER BY day, team % 5, season, team)::INTEGER AS standing_key,
+    strftime(day, '%Y%m%d')::INTEGER AS snapshot_date_key, (team % 5 + 1)::INTEGER AS league_key,
+    (team + 1)::INTEGER AS team_key, season::INTEGER AS season,
+    ((team * 7 + (games - 20) * 3 + season) % 20 + 1)::INTEGER AS rank, (3 * wins + draws)::INTEGER AS points,
+    games::INTEGER AS played, wins::SMALLINT AS won, draws::SMALLINT AS draw, (games - wins - draws)::SMALLINT AS lost,
+    (team + 30)::INTEGER AS goals_for, (season % 17 + 20)::INTEGER AS goals_against,
+    (team + 10 - season % 17)::INTEGER AS goal_diff
+  FROM tables)"""
 
 GOLD = ",\n".join([MATCHES, DIM_DATE, DIMS, FACT_FIXTURE])
 GOLD_ALL = ",\n".join([MATCHES, STANDINGS, DIM_DATE, DIMS, FACT_FIXTURE, FACT_STANDING])
