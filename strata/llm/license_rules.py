@@ -114,8 +114,10 @@ SENTENCES = [
 NOTICE = "(?:licen[cs]ed|released|distributed|available|provided|published|covered|redistributed) (?:to you )?under (?:the )?(?:terms of (?:the )?)?"
 VERSION = "(?: (?:version|v))? v?"
 LATER = "(?: of the licen[cs]e)? or (?:at your option )?any later version"
-#: A text that matches no part of this (letter case aside) matches no rule and no base phrase.
-GATE = r"licen[cs]|cc0|cc[\x00-\x2F\x3A-\x60\x7B-\x7F]+by|copyleft|wtf|unencumbered|public[\x00-\x2F\x3A-\x60\x7B-\x7F]+domain|rights[\x00-\x2F\x3A-\x60\x7B-\x7F]+reserved|proprietary|warranty|beerware|cecill|open[\x00-\x2F\x3A-\x60\x7B-\x7F]+source|creative|bsd|software|plainly|you[\x00-\x2F\x3A-\x60\x7B-\x7F]+want|verbatim"
+# A text with none of these (letter case aside) matches no rule, and only the base phrase of PAIR.
+GATE = ("licen cc0 copyleft wtf unencumbered domain reserved proprietary warranty beerware cecill creative bsd software "
+        "plainly fuck hereby redistribution endorse agreement verbatim").split()
+PAIR = ("cc", r"(?i)cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by")
 
 
 @dataclass(frozen=True)
