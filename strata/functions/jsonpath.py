@@ -65,14 +65,10 @@ def spec_schema(spec: Spec) -> T.StructType:
     return leaf_schema([path for _, path, _ in spec])
 
 
-def parse_payload(payload, schema: T.StructType, corrupt_col: str | None = None) -> Column:
+def parse_payload(payload, schema: T.StructType) -> Column:
     """One ``from_json`` for the whole document (PERMISSIVE)."""
     c = F.col(payload) if isinstance(payload, str) else payload
-    opts = {"mode": "PERMISSIVE"}
-    if corrupt_col:
-        schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType(), True)])
-        opts["columnNameOfCorruptRecord"] = corrupt_col
-    return F.from_json(c, schema, opts)
+    return F.from_json(c, schema, {"mode": "PERMISSIVE"})
 
 
 def path_col(base: Column, path) -> Column:

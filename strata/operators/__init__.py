@@ -10,6 +10,5 @@ from strata.operators.lookup import Lookup, broadcast_if_small, lookup_keys, rej
 from strata.operators.marts import (latest_snapshot, mart_league_month, mart_team_season,
                                     mart_venue_home, team_match_rows, team_season_agg, unpivot_sides)
 from strata.operators.merge import insert_absent, merge_upsert, update_from
-from strata.operators.unnest import unnest, unnest_nested
 
 __all__ = [n for n in dir() if not n.startswith("_")]

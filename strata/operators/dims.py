@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import iso_day_of_week, row_is_distinct, season_year
-from strata.operators.keys import (assign_keys, date_key, known_rows, next_key_start,
+from strata.operators.keys import (assign_keys, date_key, known_rows, materialize, next_key_start,
                                   with_known_rows)
 from strata.operators.merge import update_from
 
@@ -77,7 +77,7 @@ def scd1(target: DataFrame, source: DataFrame, key: list, attrs: list, key_col:
                            {a: (lambda t, s, a=a: s(a)) for a in attrs})
     else:
         kept = target
-    new = src.join(target.select(*key), key, "left_anti")
+    new = materialize(src.join(target.select(*key), key, "left_anti"), "new_members")
     start = next_key_start(target, key_col)
     new = assign_keys(new, key, key_col, start)
     return kept.unionByName(new.select(*target.columns))
@@ -155,7 +155,7 @@ def scd2_insert(target: DataFrame, source: DataFrame, key: list, tracked: list,
     just expired) are inserted as current versions. Returns target + inserts."""
     cur = target.filter(F.col(flag)).select(*key)
     s = source.select(*key, *[F.col(c).alias("__s_" + c) for c in tracked])
-    new = s.join(cur, key, "left_anti")
+    new = materialize(s.join(cur, key, "left_anti"), "new_members")
     ins = _new_versions(new, key, tracked, target, key_col, run_date, from_col, to_col, flag)
     return target.unionByName(ins)
 
@@ -173,6 +173,8 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: list, tracked: list, k
     one current row per key (DQ-4); then no key can be hot in the join.
     """
     j, changed = _classify(target, source, key, tracked, flag)
+    # the classifying join runs once: its rows are written, and all branches scan them
+    j = materialize(j, "classified")
     hist = target.filter(~F.col(flag))
     cur_rows = _current_rows(j, changed, target, run_date, to_col, flag)
     to_insert = j.filter(F.col("__t").isNull() | changed)
@@ -181,10 +183,5 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: list, tracked: list, k
     return hist.unionByName(cur_rows).unionByName(ins)
 
 
-def empty_like(spark: SparkSession, schema) -> DataFrame:
-    from strata.schemas import empty_frame
-    return empty_frame(spark, schema)
-
-
 __all__ = ["build_dim_date", "scd1", "scd_initial", "scd2_apply", "scd2_expire", "scd2_insert",
-           "END_OF_TIME", "DIM_DATE_COLUMNS", "empty_like"]
+           "END_OF_TIME", "DIM_DATE_COLUMNS"]

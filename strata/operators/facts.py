@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import coalesce0_sum, result_sign
-from strata.operators.keys import assign_keys, next_key_start
+from strata.operators.keys import assign_keys, materialize, next_key_start
 from strata.operators.lookup import Lookup, lookup_keys, rejected_rows
 from strata.operators.merge import merge_upsert
 
@@ -91,8 +91,10 @@ def upsert_fact(target: DataFrame, rows: DataFrame, keys: list, key_col: str | N
     merged = merge_upsert(target, rows, keys, update_cols=upd)
     if not key_col:
         return merged
+    # the full outer join runs once: its rows are written, and both branches scan them
+    merged = materialize(merged, "upsert")
     old = merged.filter(F.col(key_col).isNotNull())
     new = merged.filter(F.col(key_col).isNull()).drop(key_col)
     start = next_key_start(target, key_col)
-    new = assign_keys(new, keys, key_col, start, local_rows=0)
+    new = assign_keys(new, keys, key_col, start)
     return old.unionByName(new.select(*target.columns))

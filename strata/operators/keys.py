@@ -13,9 +13,9 @@
    collected, turned into prefix-sum offsets and broadcast back (a map-side
    join with a table of at most #partitions rows).
 
-Below ``SMALL_KEY_ROWS`` rows (counted first, so the bound is proven) the
-numbering is a plain ``row_number()`` over the order: one small task, no
-write. ``order_cols`` must be unique, so both paths are deterministic.
+``order_cols`` must be unique, so the numbering is deterministic. There is one
+path for every size; callers hand over rows that are cheap to evaluate twice
+(the range boundaries are sampled first), such as a scan of a written table.
 
 Only *new* rows get keys; existing rows keep theirs (``start`` is the current
 maximum).
@@ -25,13 +25,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.session import ensure_checkpoint_dir
 
 _LOW_BITS = 33
-SMALL_KEY_ROWS = 200_000
 
 
 def with_known_rows(df: DataFrame, n: int) -> DataFrame:
@@ -63,16 +62,9 @@ def next_key_start(df: DataFrame, key_col: str) -> int:
 
 
 def assign_keys(df: DataFrame, order_cols: list, key_col: str, start: int = 0,
-                key_type: str = "int", num_partitions: int | None = None,
-                local_rows: int = SMALL_KEY_ROWS) -> DataFrame:
-    """``local_rows=0`` skips the count and always takes the distributed path
-    (fact-sized inputs whose lineage should be computed only once)."""
+                key_type: str = "int", num_partitions: int | None = None) -> DataFrame:
+    """``df`` with ``key_col`` = ``start + 1, start + 2, ...`` in the order of ``order_cols``."""
     spark = df.sparkSession
-    rows = df.count() if local_rows > 0 else None
-    if rows is not None and rows <= local_rows:
-        w = Window.orderBy(*order_cols)
-        out = df.withColumn(key_col, (F.lit(start) + F.row_number().over(w)).cast(key_type))
-        return with_known_rows(out, rows)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (df.repartitionByRange(n, *order_cols)
                  .sortWithinPartitions(*order_cols)

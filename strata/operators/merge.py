@@ -31,7 +31,7 @@ def _src(c: str) -> Column:
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list,
                  update_cols: list | None = None,
                  insert_cols: list | None = None,
-                 small_source_rows: int = 0) -> DataFrame:
+                 not_older_by: str | None = None) -> DataFrame:
     """Rows of ``target`` after ``MERGE INTO target USING source ON keys``.
 
     ``update_cols`` are overwritten on a match (default: every non-key target
@@ -40,19 +40,10 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list,
     target column the source has); other columns are NULL on insert. No delete
     branch: target rows absent from the source are kept (Q11).
 
-    With ``small_source_rows`` > 0 the source is counted; when it has at most
-    that many rows its keys are broadcast to split the target without
-    shuffling it: untouched rows pass through a broadcast anti-join and only
-    the matched rows take part in the full outer merge. Above the bound (or
-    by default, when counting would cost an extra pass) it is one shuffled
-    full outer join.
+    With ``not_older_by`` a match updates only if the source's value of that
+    column is not below the target's, so merging loads in any order ends in
+    the same table as merging all of them at once.
     """
-    if small_source_rows > 0 and source.count() <= small_source_rows:
-        src_keys = F.broadcast(source.select(*keys))
-        untouched = target.join(src_keys, keys, "left_anti")
-        touched = target.join(src_keys, keys, "left_semi")
-        merged = merge_upsert(touched, source, keys, update_cols, insert_cols)
-        return untouched.unionByName(merged)
     tcols = target.columns
     scols = set(source.columns)
     non_keys = [c for c in tcols if c not in keys]
@@ -73,6 +64,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list,
             continue
         ins = _src(c) if c in insert_cols else F.lit(None)
         upd = _src(c) if c in update_cols else F.col(c)
+        if not_older_by and c in update_cols:
+            upd = F.when(_src(not_older_by) < F.col(not_older_by), F.col(c)).otherwise(upd)
         out.append(F.when(t_only, F.col(c)).when(s_only, ins).otherwise(upd)
                    .cast(target.schema[c].dataType).alias(c))
     return j.select(*out)

@@ -151,38 +151,53 @@ def project_fixtures(bronze: DataFrame) -> DataFrame:
     return bronze.select(*META, doc.alias("_d")).select(*project_spec(F.col("_d"), FIXTURE_SPEC), *META)
 
 
-def project_leagues(bronze: DataFrame) -> DataFrame:
-    doc = parse_payload("payload", _spec_schema(LEAGUE_SPEC))
-    return bronze.select(*META, doc.alias("_d")).select(*project_spec(F.col("_d"), LEAGUE_SPEC), *META)
+def _elements(text, what: str):
+    """The elements of a JSON array given as text, each as text. A missing or null
+    array has none; anything but an array fails the layer, as unnesting it does in
+    the reference."""
+    return F.when(text.isNull(), F.lit(None)).when(
+        F.ltrim(text).startswith("["), F.from_json(text, "array<string>")).otherwise(
+        F.raise_error(F.concat(F.lit(f"{what} is not an array: "), F.substring(text, 1, 80))))
 
 
-def parse_leagues_with_seasons(bronze: DataFrame) -> DataFrame:
-    """League documents parsed once with ``seasons`` as ARRAY<STRUCT>, so
-    leagues and seasons are two projections of one parse (SRC-5)."""
-    elem = _spec_schema(SEASON_ELEMENT_SPEC)
-    schema = leaf_schema([p for _, p, _ in LEAGUE_SPEC], {SEASONS_PATH: elem})
+def _object(text, schema, what: str):
+    """One array element as a struct; an element that is no object fails the layer."""
+    return F.when(F.ltrim(F.coalesce(text, F.lit(""))).startswith("{"), F.from_json(text, schema)).otherwise(
+        F.raise_error(F.concat(F.lit(f"an element of {what} is not an object: "), F.coalesce(F.substring(text, 1, 80), F.lit("null")))))
+
+
+def parse_leagues(bronze: DataFrame) -> DataFrame:
+    """League documents parsed once, ``seasons`` as text: leagues and seasons are two
+    projections of this (SRC-5)."""
+    schema = leaf_schema([p for _, p, _ in LEAGUE_SPEC] + [SEASONS_PATH])
     return bronze.select(*META, parse_payload("payload", schema).alias("_d"))
 
 
-def project_seasons(bronze: DataFrame) -> DataFrame:
+def project_leagues(bronze: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
+    parsed = parsed if parsed is not None else parse_leagues(bronze)
+    return parsed.select(*project_spec(F.col("_d"), LEAGUE_SPEC), *META)
+
+
+def project_seasons(bronze: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
     """JOIN-9: lateral unnest of ``seasons[]``; a missing, empty or null array
     produces no season rows (the league row is unaffected)."""
-    parsed = parse_leagues_with_seasons(bronze)
-    rows = parsed.select(*META, *project_spec(F.col("_d"), SEASON_PARENT_SPEC),
-                         F.posexplode(path_col(F.col("_d"), SEASONS_PATH)).alias("pos", "_e"))
+    parsed = parsed if parsed is not None else parse_leagues(bronze)
+    seasons = _elements(path_col(F.col("_d"), SEASONS_PATH), "seasons")
+    rows = parsed.select(*META, *project_spec(F.col("_d"), SEASON_PARENT_SPEC), F.posexplode(seasons).alias("pos", "_t"))
+    rows = rows.withColumn("_e", _object(F.col("_t"), _spec_schema(SEASON_ELEMENT_SPEC), "seasons"))
     return rows.select("league_id", *project_spec(F.col("_e"), SEASON_ELEMENT_SPEC), *META, "pos")
 
 
 def project_standings(bronze: DataFrame) -> DataFrame:
     """JOIN-10: two chained unnests of ``league.standings[][]`` (group, then
     team row). An empty or null group drops only itself."""
-    row = _spec_schema(STANDING_ROW_SPEC)
-    schema = leaf_schema([p for _, p, _ in STANDING_PARENT_SPEC], {STANDINGS_PATH: ("array", row)})
+    schema = leaf_schema([p for _, p, _ in STANDING_PARENT_SPEC] + [STANDINGS_PATH])
     parsed = bronze.select(*META, parse_payload("payload", schema).alias("_d"))
-    groups = parsed.select(*META, *project_spec(F.col("_d"), STANDING_PARENT_SPEC),
-                           F.posexplode(path_col(F.col("_d"), STANDINGS_PATH)).alias("group_pos", "_g"))
+    groups = parsed.select(*META, *project_spec(F.col("_d"), STANDING_PARENT_SPEC), F.posexplode(
+        _elements(path_col(F.col("_d"), STANDINGS_PATH), "standings")).alias("group_pos", "_g"))
     rows = groups.select(*META, "league_id", "season", "group_pos",
-                         F.posexplode("_g").alias("row_pos", "_r"))
+                         F.posexplode(_elements(F.col("_g"), "a standings group")).alias("row_pos", "_t"))
+    rows = rows.withColumn("_r", _object(F.col("_t"), _spec_schema(STANDING_ROW_SPEC), "a standings group"))
     return rows.select("league_id", "season", *project_spec(F.col("_r"), STANDING_ROW_SPEC),
                        *META, "group_pos", "row_pos")
 
@@ -225,14 +240,14 @@ def silver_source(bronze: DataFrame, entity: str) -> DataFrame:
     return latest_by(rows, SILVER_KEYS[entity], order).drop("id", *positions)
 
 
-def merge_silver(target: DataFrame, bronze: DataFrame, entity: str,
-                 small_source_rows: int = 0) -> DataFrame:
+def merge_silver(target: DataFrame, bronze: DataFrame, entity: str) -> DataFrame:
     """PIPE-1..6: the silver table after ``MERGE INTO target USING source``.
-    ``small_source_rows`` enables the broadcast-split merge for small sources
-    (incremental runs)."""
+    A record older than the one merged before does not update it: with all of
+    bronze as the source that never happens, and loads merged one by one in any
+    order give the same table."""
     src = silver_source(bronze, entity).select(*target.columns)
     keys = SILVER_KEYS[entity]
     frozen = NOT_UPDATED.get(entity, [])
     upd = [c for c in target.columns if c not in keys and c not in frozen]
     return merge_upsert(target, src, keys, update_cols=upd, insert_cols=list(target.columns),
-                        small_source_rows=small_source_rows)
+                        not_older_by="loaded_at")

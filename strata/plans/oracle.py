@@ -255,7 +255,7 @@ FIXTURE_V1 = """
     CAST(NULL AS INTEGER) AS pen_home, CAST(NULL AS INTEGER) AS pen_away
   FROM matches WHERE status_short = 'P'"""
 
-ORACLE["json_project_typed"] = f"WITH {MATCHES} {FIXTURE_V2}"
+ORACLE["json_project_typed"] = f"""WITH {MATCHES} {FIXTURE_V2} UNION ALL {FIXTURE_V1.replace("WHERE status_short = 'P'", "")}"""
 
 ORACLE["silver_fixtures"] = f"""WITH {MATCHES}
 SELECT *, TIMESTAMP '2024-02-01 06:00:00' AS loaded_at FROM ({FIXTURE_V2})
@@ -299,8 +299,13 @@ SEASON_ROWS = """
     CAST(NULL AS BOOLEAN) AS top_scorers{extra}
   FROM orders WHERE (o_orderkey // 8) % 9 NOT IN (0, 1, 2)"""
 
-ORACLE["json_unnest"] = SEASON_ROWS.format(flip="false", extra=""",
-    CAST(row_number() OVER (PARTITION BY o_orderkey // 8 ORDER BY o_orderkey) - 1 AS INTEGER) AS pos""")
+_SEASON_POS = """,
+    CAST(row_number() OVER (PARTITION BY o_orderkey // 8 ORDER BY o_orderkey) - 1 AS INTEGER) AS pos,
+    CAST(o_orderkey // 8 * 2 + {version} AS BIGINT) AS id"""
+
+ORACLE["json_unnest"] = (SEASON_ROWS.format(flip="false", extra=_SEASON_POS.format(version=1)) + " UNION ALL "
+                         + SEASON_ROWS.format(flip="true", extra=_SEASON_POS.format(version=2))
+                         + " AND (o_orderkey // 8) % 3 = 0")
 
 ORACLE["silver_seasons"] = SEASON_ROWS.format(flip="(o_orderkey // 8) % 3 = 0", extra=""",
     CASE WHEN (o_orderkey // 8) % 3 = 0 THEN TIMESTAMP '2024-02-01 06:00:00'

@@ -35,9 +35,6 @@ from strata.sources.bronze import BRONZE_TABLES, land_bronze
 from strata.sources.envelope import accepted, parse_envelopes, read_envelopes
 
 SILVER_ORDER = ["fixtures", "leagues", "seasons", "standings", "teams", "venues"]
-# Incremental silver runs broadcast the keys of a deduplicated source of at
-# most this many rows (a few tens of MB of keys) to avoid shuffling the target.
-INCREMENTAL_BROADCAST_ROWS = 2_000_000
 # Fixed value: the reference calendar range.
 DEFAULT_CALENDAR = ("2010-01-01", "2026-12-31")
 
@@ -52,7 +49,7 @@ def stage(spark: SparkSession, entity: str, path, line_delimited: bool = False)
     parsed = parse_envelopes(read_envelopes(spark, path, line_delimited))
     return materialize(parsed.select("source_file", "body_hash", accepted().alias("ok"),
                                      F.col("env.parameters").alias("source_params"),
-                                     F.col("env.response").alias("response")), f"envelopes_{entity}")
+                                     F.col("raw.response").alias("response")), f"envelopes_{entity}")
 
 
 def rejected(staged: DataFrame) -> bool:
@@ -61,9 +58,9 @@ def rejected(staged: DataFrame) -> bool:
 
 
 def append(store: LayerStore, entity: str, staged: DataFrame, run_ts: dt.datetime) -> int:
-    """SINK-1: explode the staged arrays (no second parse; elements of a
-    parsed JSON array are valid JSON by construction, Hard 8) and append them
-    to bronze with ids above the current maximum."""
+    """SINK-1: explode the staged arrays, whose elements the gate's parser has read
+    as JSON (Hard 8), and append them as received to bronze, with ids above the
+    current maximum."""
     rows = staged.select("source_file", "body_hash", "source_params",
                          F.posexplode("response").alias("pos", "payload"))
     start = next_key_start(store.read("bronze", entity), "id")
@@ -94,7 +91,11 @@ def land_all(spark: SparkSession, store: LayerStore, envelopes: dict, run_ts: dt
            if flag]
     if bad:
         raise LoadRejected(f"{', '.join(bad)}: envelope carries API errors or is not JSON")
-    return concurrently({e: (lambda e=e: append(store, e, staged[e], run_ts)) for e in entities})
+    landed = concurrently({e: (lambda e=e: append(store, e, staged[e], run_ts)) for e in entities})
+    for df in staged.values():  # the staged copies of the raw input go once it has landed
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            store.delete(path)
+    return landed
 
 
 MAX_CONCURRENT_STEPS = 8
@@ -124,29 +125,32 @@ def run_silver(spark: SparkSession, store: LayerStore, incremental: bool = False
     """The six silver MERGEs are independent and run concurrently; the layer
     is checked and published once all are written.
 
-    ``incremental`` merges only bronze rows with ``loaded_at`` at or above the
-    silver table's high-water mark (its largest ``loaded_at``) instead of all
-    bronze (SRC-4). That gives the same table whenever every run lands with a
-    ``loaded_at`` not earlier than the previous runs (the pipeline's landing
-    does), and the filter reaches the Parquet row-group statistics, so old
-    bronze files are skipped. Off by default: the reference re-reads all."""
-    version = store.current_version("silver") + 1
+    ``incremental`` merges only the loads that the published silver version
+    does not list as merged (SRC-4): the ledger ``_loads`` of a version names
+    every bronze load in it. Loads may arrive in any order, with any
+    ``loaded_at``; a record older than the merged one does not update it, so
+    the table equals the full re-read. Off by default: the reference re-reads
+    all of bronze."""
+    current = store.current_version("silver")
+    version = store.begin("silver")
+    sources = sorted(set(football.SILVER_SOURCE.values()))
+    loads = {b: store.bronze_loads(b) for b in sources}
+    ledger = f"{store.base}/silver/v{current:06d}/_loads"
+    done = set()
+    if incremental and current and store.exists(ledger):
+        done = {(r["bronze"], r["load"]) for r in spark.read.parquet(ledger).collect()}  # one row per load
 
     def merge(entity):
         def step():
-            bronze = store.read("bronze", football.SILVER_SOURCE[entity])
-            target = store.read("silver", entity)
-            small = 0
-            if incremental:
-                hw = target.agg(F.max("loaded_at").alias("hw")).first()["hw"]
-                if hw is not None:
-                    bronze = bronze.filter(F.col("loaded_at") >= F.lit(hw))
-                    small = INCREMENTAL_BROADCAST_ROWS
-            merged = football.merge_silver(target, bronze, entity, small_source_rows=small)
+            b = football.SILVER_SOURCE[entity]
+            bronze = store.read_loads(b, [x for x in loads[b] if (b, x) not in done])
+            merged = football.merge_silver(store.read("silver", entity, current), bronze, entity)
             return store.write("silver", entity, merged, version)
         return step
 
     written = concurrently({e: merge(e) for e in SILVER_ORDER})
+    spark.createDataFrame([(b, x) for b in sources for x in loads[b]], "bronze string, load string").coalesce(1).write.mode(
+        "overwrite").parquet(f"{store.base}/silver/v{version:06d}/_loads")
     checks = {}
     for entity in SILVER_ORDER:
         checks.update(_layer_checks(entity, written[entity], "silver"))
@@ -158,7 +162,7 @@ def run_silver(spark: SparkSession, store: LayerStore, incremental: bool = False
 def run_gold(spark: SparkSession, store: LayerStore, run_date: dt.date,
              calendar: tuple = DEFAULT_CALENDAR) -> int:
     sv = store.current_version("silver")
-    version = store.current_version("gold") + 1
+    version = store.begin("gold")
     silver = {e: store.read("silver", e, sv) for e in SILVER_ORDER}
     prev = {t: store.read("gold", t) for t in
             ("dim_date", "dim_league", "dim_team", "dim_venue", "fact_fixture", "fact_standing")}
@@ -227,10 +231,13 @@ def run_pipeline(spark: SparkSession, envelopes: dict, base: str,
     ``line_delimited`` reads one envelope per line instead of per file;
     ``keep_versions`` deletes silver/gold versions older than that many
     published ones after a successful run; ``incremental_silver`` merges only
-    the newly landed bronze rows (see ``run_silver``)."""
+    the loads not merged yet (see ``run_silver``)."""
     apply_sql_conf(spark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     store = LayerStore(spark, base)
+    if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
+        # staged tables go beside the lake, which every machine reaches
+        spark.sparkContext.setCheckpointDir(f"{store.base}/_staging")
     landed = land_all(spark, store, envelopes, run_ts, line_delimited)
     silver_v = run_silver(spark, store, incremental_silver)
     gold_v = run_gold(spark, store, run_ts.date(), calendar)

@@ -10,8 +10,10 @@ directory and publishes the layer by writing a marker last::
     {base}/{layer}/_published/v000007/      marker: version 7 is complete
 
 Readers take the highest published version, so a failed run leaves the
-previous version in place and a retried run overwrites only its own,
-unpublished directory. All paths go through Spark's readers and writers, so
+previous version in place. A run claims its version number with a marker that
+only one run can create (``begin``), so two runs never write the same version,
+and publishing fails if another run published since. Only a missing path
+before the first publication reads as empty; any other error is raised. All paths go through Spark's readers and writers, so
 the base may be any shared file system the cluster uses.
 """
 
@@ -24,10 +26,51 @@ from pyspark.sql import functions as F
 from strata.schemas import PARTITION_BY, empty_frame, schema_of
 
 
+class StoreConflict(Exception):
+    """Another run wrote or published the version in question."""
+
+
+def _missing(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 class LayerStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
+        self._begun: dict = {}  # (layer, version) -> the version that was published when it began
+
+    def _path(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        found = jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), found
+
+    def exists(self, path: str) -> bool:
+        fs, found = self._path(path)
+        return fs.exists(found)
+
+    def delete(self, path: str) -> None:
+        fs, found = self._path(path)
+        fs.delete(found, True)
+
+    def begin(self, layer: str) -> int:
+        """Claim a version number that no other run has: the next after every
+        claimed or published one. ``create`` without overwriting is exclusive."""
+        current = self.current_version(layer)
+        version = current
+        while True:
+            version += 1
+            fs, claim = self._path(f"{self.base}/{layer}/_claimed/v{version:06d}")
+            if fs.exists(claim) or self.exists(self._vdir(layer, version)):
+                continue
+            try:
+                fs.create(claim, False).close()
+            except Exception:
+                if fs.exists(claim):  # another run was faster
+                    continue
+                raise
+            self._begun[layer, version] = current
+            return version
 
     # -- paths ---------------------------------------------------------------
     def _vdir(self, layer: str, version: int) -> str:
@@ -43,11 +86,16 @@ class LayerStore:
         try:
             rows = self.spark.read.text(f"{self.base}/{layer}/_published/*").agg(
                 F.max(F.col("value").cast("int")).alias("v")).first()
-        except AnalysisException:
-            return 0
+        except AnalysisException as e:
+            if _missing(e):
+                return 0
+            raise
         return int(rows["v"]) if rows and rows["v"] is not None else 0
 
     def publish(self, layer: str, version: int) -> None:
+        now = self.current_version(layer)
+        if now >= version or now != self._begun.get((layer, version), now):
+            raise StoreConflict(f"{layer} v{version}: version {now} was published meanwhile")
         marker = self.spark.range(1).select(F.lit(str(version)).alias("value"))
         marker.coalesce(1).write.mode("overwrite").text(
             f"{self.base}/{layer}/_published/v{version:06d}")
@@ -55,23 +103,29 @@ class LayerStore:
     # -- tables --------------------------------------------------------------
     def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
         """The table at ``version`` (default: published); an empty DataFrame
-        with the registered schema on first run (SINK-10)."""
+        with the registered schema on first run (SINK-10): before any version
+        is published, or before a bronze table's first load. A published
+        version without the table is an error."""
         schema = schema_of(layer, table)
         if layer != "bronze":
             version = self.current_version(layer) if version is None else version
             if version == 0:
                 return empty_frame(self.spark, schema)
-        try:
-            df = self.spark.read.schema(schema).parquet(self.table_path(layer, table, version))
-        except AnalysisException:
+        elif not self.exists(self.table_path(layer, table)):
             return empty_frame(self.spark, schema)
+        df = self.spark.read.schema(schema).parquet(self.table_path(layer, table, version))
         return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
     def write(self, layer: str, table: str, df: DataFrame, version: int) -> DataFrame:
         """Materialise one table of an unpublished version and read it back,
         which also cuts the lineage for the steps that depend on it."""
         path = self.table_path(layer, table, version)
+        if (layer, version) not in self._begun and self.exists(self._vdir(layer, version)):
+            raise StoreConflict(f"{layer} v{version} exists and is not this run's")
+        self._begun.setdefault((layer, version), self.current_version(layer))
         parts = PARTITION_BY.get((layer, table), [])
+        if parts:  # each value's rows meet in one task: files are as many as values, not tasks times values
+            df = df.repartition(*parts)
         df.write.mode("overwrite").partitionBy(*parts).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
@@ -79,8 +133,10 @@ class LayerStore:
         """Published version numbers of ``layer``, ascending."""
         try:
             rows = self.spark.read.text(f"{self.base}/{layer}/_published/*").collect()
-        except AnalysisException:
-            return []
+        except AnalysisException as e:
+            if _missing(e):
+                return []
+            raise
         return sorted({int(r["value"]) for r in rows})
 
     def vacuum(self, layer: str, keep: int = 2) -> list:
@@ -107,6 +163,23 @@ class LayerStore:
                 deleted.append(int(name[1:]))
         return sorted(deleted)
 
+    def bronze_loads(self, table: str) -> list:
+        """Names of the loads of a bronze table, from its directories."""
+        fs, root = self._path(self.table_path("bronze", table))
+        if not fs.exists(root):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(root)]
+        return sorted(n[5:] for n in names if n.startswith("load="))
+
+    def read_loads(self, table: str, loads: list) -> DataFrame:
+        """The rows of some loads of a bronze table; other directories are not read."""
+        schema = schema_of("bronze", table)
+        if not loads:
+            return empty_frame(self.spark, schema)
+        paths = [f"{self.table_path('bronze', table)}/load={x}" for x in loads]
+        df = self.spark.read.schema(schema).parquet(*paths)
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
     def append_bronze(self, table: str, df: DataFrame, load_id: str) -> DataFrame:
         """Each load (a batch run or a stream micro-batch) is its own
         ``load=`` directory, so batch and streaming loads can share a table

@@ -11,6 +11,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import threading
 
@@ -69,8 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint directory.
 
     On a cluster this is the shared folder named by ``spark.checkpoint.dir``
-    (or one already set on the SparkContext). Only when neither is set, as in
-    local tests, a fresh scratch folder is created and registered.
+    (or one already set on the SparkContext). Only when neither is set and the
+    master is this one machine, as in local tests, a fresh scratch folder is
+    created and registered; on a cluster a missing folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -87,6 +89,9 @@ def _set_checkpoint_dir(spark: SparkSession, sc) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set and {sc.master} has several machines: "
+                               "name a folder that all of them share")
         conf_dir = tempfile.mkdtemp(prefix="strata-ckpt-",
                                     dir=os.environ.get("STRATA_SCRATCH", None))
     sc.setCheckpointDir(conf_dir)

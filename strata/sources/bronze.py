@@ -38,12 +38,6 @@ def check_target(table: str) -> str:
     return table
 
 
-def malformed_payloads(rows: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Rows whose payload is not valid JSON (the reference rejects them at
-    ``::jsonb``); the pipeline refuses the load if any exist (Hard 8)."""
-    return rows.filter(F.col(payload_col).isNull() | F.try_parse_json(F.col(payload_col)).isNull())
-
-
 def land_bronze(rows: DataFrame, table: str, loaded_at: Column, start_id: int = 0,
                 order_cols: list | None = None, source_params: Column | None = None,
                 source=None, payload_col: str = "payload", dense_ids: bool = True) -> DataFrame:
@@ -70,7 +64,7 @@ def land_bronze(rows: DataFrame, table: str, loaded_at: Column, start_id: int =
     )
     order = order_cols or ["record_hash"]
     if dense_ids:
-        keyed = assign_keys(staged, order, "id", start_id, key_type="bigint", local_rows=0)
+        keyed = assign_keys(staged, order, "id", start_id, key_type="bigint")
         return with_known_rows(keyed.select(*BRONZE_COLUMNS), known_rows(keyed))
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = staged.repartitionByRange(n, *order).sortWithinPartitions(*order)

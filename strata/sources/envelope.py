@@ -6,19 +6,23 @@ An envelope is one API response body::
      "paging": {...}, "response": [{...}, {...}]}
 
 Only ``errors``, ``results`` and ``response`` matter; ``paging`` is ignored
-and every file given is read (Q16). ``response`` elements are kept as raw JSON
-text (an ``ARRAY<STRING>`` schema does that), so each one becomes one bronze
-payload untouched.
+and every file given is read (Q16). ``response`` elements and ``errors`` are cut
+out of the body as the text they were received in: a JSON parser that
+re-serialises would turn ``1.10`` into ``1.1`` and round long numbers. One Arrow
+function per body finds where each element begins and ends.
 
 Error gate: an envelope is accepted when ``errors`` is absent, ``[]`` or
-``{}``; anything else (including an explicit JSON ``null``), or a body that is
+``{}``, byte for byte; anything else (``null`` and ``[ ]`` too), or a body that is
 not JSON, rejects it. An empty ``response`` is accepted and yields no rows;
-``results`` is never compared. Spark re-serialises the ``errors`` value, so
-``[ ]`` counts as ``[]`` here (the byte-exact reference check rejects it).
+``results`` is never compared.
 """
 
 from __future__ import annotations
 
+import json
+import re
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,9 +30,7 @@ from pyspark.sql import types as T
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("get", T.StringType()),
     T.StructField("parameters", T.StringType()),
-    T.StructField("errors", T.StringType()),
     T.StructField("results", T.IntegerType()),
-    T.StructField("response", T.ArrayType(T.StringType())),
 ])
 # Fixed values of the reference's gate: the only accepted non-empty error texts.
 ACCEPTED_ERROR_TEXTS = ("[]", "{}")
@@ -47,24 +49,77 @@ def read_envelopes(spark: SparkSession, path, line_delimited: bool = False) -> D
                      F.md5("value").alias("body_hash"))
 
 
+def _refuse(name: str):
+    raise ValueError(f"{name} is not JSON")
+
+
+# numbers stay text, so that none is too long; NaN and Infinity are no JSON
+_DECODER = json.JSONDecoder(parse_int=str, parse_float=str, parse_constant=_refuse)
+_SPACE = re.compile(r"[ \t\n\r]*")
+
+
+def _skip(text: str, at: int) -> int:
+    return _SPACE.match(text, at).end()
+
+
+def raw_parts(body: str | None) -> tuple[str | None, list | None]:
+    """``errors`` as received (None: absent) and the elements of ``response`` as
+    received; elements are None if the body is no JSON object with an array there."""
+    try:
+        at = _skip(body or "", 0)
+        if (body or "")[at:at + 1] != "{":
+            return None, None
+        errors, response = None, []
+        at = _skip(body, at + 1)
+        if body[at] == "}":
+            return (None, []) if _skip(body, at + 1) == len(body) else (None, None)
+        while True:
+            key, at = _DECODER.raw_decode(body, at)
+            at = _skip(body, at)
+            if not isinstance(key, str) or body[at] != ":":
+                return None, None
+            begin = _skip(body, at + 1)
+            _, at = _DECODER.raw_decode(body, begin)
+            if key == "errors":
+                errors = body[begin:at]
+            elif key == "response":
+                response = _array(body, begin) if body[begin] == "[" else [] if body[begin:at] == "null" else None
+            at = _skip(body, at)
+            if body[at] == "}":
+                return (errors, response) if _skip(body, at + 1) == len(body) else (None, None)
+            if body[at] != ",":
+                return None, None
+            at = _skip(body, at + 1)
+    except (ValueError, IndexError, RecursionError):
+        return None, None
+
+
+def _array(body: str, at: int) -> list:
+    """The elements of the (valid) array at ``at``, each as its own text."""
+    out, at = [], _skip(body, at + 1)
+    while body[at] != "]":
+        _, end = _DECODER.raw_decode(body, at)
+        out.append(body[at:end])
+        at = _skip(body, end)
+        if body[at] == ",":
+            at = _skip(body, at + 1)
+    return out
+
+
 def parse_envelopes(df: DataFrame, body_col: str = "body") -> DataFrame:
-    """Adds the parsed wrapper ``env`` (with ``_corrupt`` set for non-JSON)."""
-    schema = T.StructType(list(ENVELOPE_SCHEMA.fields) + [T.StructField("_corrupt", T.StringType())])
-    return df.withColumn("env", F.from_json(F.col(body_col), schema, {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
+    """Adds the parsed wrapper ``env`` and ``raw`` (errors, response as received)."""
+    @F.pandas_udf("struct<errors:string,response:array<string>>")
+    def raw(bodies: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([raw_parts(b) for b in bodies], columns=["errors", "response"])
+
+    return (df.withColumn("env", F.from_json(F.col(body_col), ENVELOPE_SCHEMA, {"mode": "PERMISSIVE"}))
+            .withColumn("raw", raw(F.col(body_col))))
 
 
-def accepted(body_col: str = "body") -> "F.Column":
-    """Gate verdict. A NULL ``errors`` is either an absent key (accepted) or
-    an explicit ``null`` (rejected); only for those rows are the top-level
-    keys listed, so ordinary envelopes are not parsed a second time."""
-    e = F.col("env")
-    errors = e["errors"]
-    explicit_null = F.when(errors.isNull(),
-                           F.coalesce(F.array_contains(F.json_object_keys(F.col(body_col)),
-                                                       "errors"), F.lit(False)))
-    ok_errors = F.when(errors.isNull(), ~explicit_null).otherwise(errors.isin(*ACCEPTED_ERROR_TEXTS))
-    return e.isNotNull() & e["_corrupt"].isNull() & ok_errors
+def accepted() -> "F.Column":
+    """Gate verdict: a JSON object with a ``response`` array, and no errors."""
+    errors = F.col("raw.errors")
+    return F.col("raw.response").isNotNull() & (errors.isNull() | errors.isin(*ACCEPTED_ERROR_TEXTS))
 
 
 def gate_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -78,4 +133,4 @@ def gate_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def explode_response(good: DataFrame, keep: list = ()) -> DataFrame:
     """One row per ``response`` element: ``pos`` and raw ``payload`` text."""
     return good.select(*keep, F.col("env.parameters").alias("source_params"),
-                       F.posexplode(F.col("env.response")).alias("pos", "payload"))
+                       F.posexplode(F.col("raw.response")).alias("pos", "payload"))

@@ -1,11 +1,13 @@
 """File-stream landing of API envelopes into bronze with ``foreachBatch``.
 
 Each micro-batch is gated and exploded exactly like a batch load and written
-into ``{base}/bronze/{entity}/load=stream-{epoch}`` with ``overwrite``: a micro-batch
+into ``{base}/bronze/{entity}/load=stream-{query id}-{epoch}`` with ``overwrite``: a micro-batch
 replayed after a failure rewrites its own directory, so together with the
 stream checkpoint (which records the files already consumed) every envelope
 is landed exactly once. Rejected envelopes go to ``{base}/rejected/{entity}``
-instead of stopping the stream.
+instead of stopping the stream. The query id is kept in the stream's checkpoint:
+a restart goes on with its own loads, and a stream with a new checkpoint, whose
+epochs begin at 0 again, never writes over those of another.
 
 Row ids are ``epoch_id * 2**40 + position``: unique and increasing across
 micro-batches without reading the bronze table, dense within one batch.
@@ -27,14 +29,18 @@ def _batch_writer(base: str, entity: str):
     root = f"{base.rstrip('/')}/bronze/{entity}"
 
     def write(batch: DataFrame, epoch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query_id:
+            raise RuntimeError("no streaming query id: loads could not be told apart")
+        load = f"load=stream-{query_id}-{epoch_id:012d}"
         parsed = parse_envelopes(batch)
         good, bad = gate_errors(parsed)
         bad.select("source_file", "body").write.mode("overwrite") \
-            .parquet(f"{base.rstrip('/')}/rejected/{entity}/load=stream-{epoch_id:012d}")
+            .parquet(f"{base.rstrip('/')}/rejected/{entity}/{load}")
         rows = explode_response(good, keep=["source_file"])
         landed = land_bronze(rows, entity, F.current_timestamp(), epoch_id << EPOCH_ID_BITS,
                              order_cols=["source_file", "pos"])
-        landed.write.mode("overwrite").parquet(f"{root}/load=stream-{epoch_id:012d}")
+        landed.write.mode("overwrite").parquet(f"{root}/{load}")
 
     return write
 

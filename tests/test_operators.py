@@ -56,13 +56,12 @@ def test_latest_by_nulls_first_and_tiebreak(spark):
     assert rows(out, "k", "id", "pos") == [(1, 2, 0), (2, 5, 0)]
 
 
-def test_assign_keys_paths_agree(spark):
+def test_assign_keys_is_dense_for_any_partitioning(spark):
     df = spark.range(0, 3000).select((F.col("id") * 7 % 3001).alias("k"))
-    small = assign_keys(df, ["k"], "key", 10)
-    big = assign_keys(df, ["k"], "key", 10, local_rows=0, num_partitions=5)
-    a, b = rows(small, "k", "key"), rows(big, "k", "key")
-    assert a == b
+    a = rows(assign_keys(df, ["k"], "key", 10), "k", "key")
+    assert a == rows(assign_keys(df, ["k"], "key", 10, num_partitions=5), "k", "key")
     assert [key for _, key in a] == list(range(11, 3011))
+    assert assign_keys(df.limit(0), ["k"], "key", 10).count() == 0
 
 
 def test_result_sign_and_exact_decimals(spark):
@@ -150,10 +149,62 @@ def test_envelope_gate_cases(spark):
     assert rows(items, "i", "pos", "payload") == [(0, 0, '{"a":1}'), (2, 0, '{"a":2}')]
 
 
-def test_malformed_payloads(spark):
-    from strata.sources.bronze import malformed_payloads
-    df = spark.createDataFrame([('{"a": 1}',), ("{oops",), (None,)], "payload string")
-    assert df.transform(malformed_payloads).count() == 2
+def test_payloads_stay_as_received(spark):
+    from strata.sources.envelope import raw_parts
+    element = '{"a": 1.10, "b":12345678901234567890123.5,  "c":[1 , 2],"d":"\\u00e9]"}'
+    body = '{"get":"x", "errors":[], "response":[' + element + ' , 7,null,"t"] }'
+    df = spark.createDataFrame([(0, body)], "i int, body string")
+    good, _ = gate_errors(parse_envelopes(df))
+    got = [r["payload"] for r in explode_response(good).orderBy("pos").collect()]
+    assert got == [element, "7", "null", '"t"']
+    for bad in (None, "", "[]", "{", '{"response":[1}', '{"response":[NaN]}', '{"response":{}}', '{"response":[1]} x', "not json"):
+        assert raw_parts(bad)[1] is None
+    assert raw_parts('{"errors":[ ],"response":null}') == ("[ ]", []) and raw_parts("{}") == (None, [])
+
+
+@pytest.mark.parametrize("doc", ['{"league":{"id":1},"seasons":[{"year":2020},5,{"year":2021}]}',
+                                 '{"league":{"id":1},"seasons":{"year":2020}}', '{"league":{"id":1},"seasons":[null]}'])
+def test_wrong_array_types_fail_the_layer(spark, doc):
+    from strata.plans.football import project_seasons, project_standings
+    df = spark.createDataFrame([(doc,)], "payload string").selectExpr("payload", "timestamp '2024-01-01' as loaded_at", "1L as id")
+    with pytest.raises(Exception, match="is not an array|is not an object"):
+        project_seasons(df).collect()
+    table = df.withColumn("payload", F.lit('{"league":{"id":1,"season":2020,"standings":[[5]]}}'))
+    with pytest.raises(Exception, match="is not an object"):
+        project_standings(table).collect()
+
+
+def test_older_records_do_not_update(spark):
+    from strata.operators.merge import merge_upsert
+    schema = "k int, v string, loaded_at int"
+    target = spark.createDataFrame([(1, "new", 5), (2, "old", 1)], schema)
+    source = spark.createDataFrame([(1, "late", 3), (2, None, 2), (3, "first", 0)], schema)
+    out = merge_upsert(target, source, ["k"], not_older_by="loaded_at")
+    assert rows(out, "k", "v", "loaded_at") == [(1, "new", 5), (2, None, 2), (3, "first", 0)]
+
+
+def test_staging_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+    from strata.session import _set_checkpoint_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077",
+                         getConf=lambda: SimpleNamespace(get=lambda *a: None))
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        _set_checkpoint_dir(session, sc)
+
+
+def test_store_raises_instead_of_reading_empty(spark, tmp_path):
+    from strata.plans.store import LayerStore, StoreConflict
+    store = LayerStore(spark, str(tmp_path))
+    assert store.read("gold", "dim_team").count() == 0
+    one, two = store.begin("gold"), LayerStore(spark, str(tmp_path))
+    other = two.begin("gold")
+    assert (one, other) == (1, 2)
+    store.publish("gold", one)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        store.read("gold", "dim_team")
+    with pytest.raises(StoreConflict):
+        two.publish("gold", other)
 
 
 def test_bronze_whitelist():

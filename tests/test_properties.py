@@ -57,8 +57,8 @@ val_st = st.one_of(st.none(), st.integers(min_value=0, max_value=3))
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.dictionaries(keys_st, st.tuples(val_st, val_st), max_size=6),
        st.dictionaries(keys_st, st.tuples(val_st, val_st), max_size=6),
-       st.booleans(), st.booleans())
-def test_merge_upsert_matches_a_model(spark, target, source, freeze_b, small):
+       st.booleans())
+def test_merge_upsert_matches_a_model(spark, target, source, freeze_b):
     """MERGE semantics against a dictionary model: matched keys take the
     source values (NULLs included) for the updated columns, new keys are
     inserted, target-only keys are kept."""
@@ -67,8 +67,7 @@ def test_merge_upsert_matches_a_model(spark, target, source, freeze_b, small):
     t = spark.createDataFrame([(k, a, b) for k, (a, b) in target.items()], schema)
     s = spark.createDataFrame([(k, a, b) for k, (a, b) in source.items()], schema)
     upd = ["a"] if freeze_b else ["a", "b"]
-    got = sorted(tuple(r) for r in merge_upsert(t, s, ["k"], update_cols=upd,
-                                                small_source_rows=100 if small else 0).collect())
+    got = sorted(tuple(r) for r in merge_upsert(t, s, ["k"], update_cols=upd).collect())
     model = dict(target)
     for k, (a, b) in source.items():
         if k in model:

@@ -41,3 +41,15 @@ def test_batch_and_stream_loads_share_bronze(spark, tmp_path):
     store = LayerStore(spark, base)
     assert land(spark, store, "teams", str(batch), dt.datetime(2024, 1, 1)) == 1
     assert store.read("bronze", "teams").count() == 2
+
+
+def test_streams_with_new_checkpoints_keep_each_others_loads(spark, tmp_path):
+    base = str(tmp_path / "lake")
+    for k in (1, 2):
+        src = tmp_path / f"in{k}"
+        src.mkdir()
+        (src / "a.json").write_text(json.dumps({"errors": [], "response": [{"team": {"id": k}}]}))
+        (src / "b.json").write_text(json.dumps({"errors": ["x"], "response": []}))
+        land_stream(spark, "teams", str(src), base, str(tmp_path / f"ckpt{k}")).awaitTermination()
+    assert spark.read.parquet(os.path.join(base, "bronze", "teams")).count() == 2
+    assert spark.read.parquet(os.path.join(base, "rejected", "teams")).count() == 2
