@@ -37,6 +37,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import cut, shared_path, shuffle_partitions, small_batches
 
 BLOCK, LANES = 4096, 2048
+#: Coding decisions of a block, at most, as a multiple of ``BLOCK``: blocks of rarer ids, which
+#: take longer paths, hold fewer of them, so that blocks coded side by side end together.
+PATHS = 8
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 MAGIC, VERSION = b"STRC", 1
@@ -181,15 +184,17 @@ def _block_writer(tree_table, kind: str, block: int, lanes: int):
         from strata.llm.rangecoder import Tree, encode_blocks
         from pyspark import TaskContext
         tree, part = Tree(*tree_table.value), TaskContext.get().partitionId()
-        ready, current, listed, room = [], [], [], block
+        most = max(block * PATHS, int(tree.lengths.max()))
+        ready, current, listed, room, paths = [], [], [], block, most
         first, doc, first_doc, number = 0, 0, 0, 0
 
         def close():
-            nonlocal current, listed, room, first, first_doc
+            nonlocal current, listed, room, paths, first, first_doc
             ids = np.concatenate(current)
             ready.append((ids, first, first_doc, listed))
             first, first_doc = first + len(ids), doc
-            current, listed, room = [], [], block
+            current, listed, room, paths = [], [], block, most
+            return len(ready) == lanes
 
         def flush():
             nonlocal number
@@ -202,17 +207,20 @@ def _block_writer(tree_table, kind: str, block: int, lanes: int):
         for pdf in batches:
             for doc_id, raw in zip(pdf["doc_id"], pdf["ids"]):
                 ids, at = np.frombuffer(raw, kind).astype(np.int64), 0
+                upto = np.concatenate([[0], np.cumsum(tree.lengths[tree.rank[ids]])])
                 while at < len(ids):
-                    take = min(room, len(ids) - at)
+                    fits = int(np.searchsorted(upto, upto[at] + paths, side="right")) - 1 - at
+                    take = min(room, len(ids) - at, fits)
+                    if not take:
+                        if close():
+                            yield flush()
+                        continue
                     current.append(ids[at:at + take])
                     ends = at + take == len(ids)
                     listed.append((None if pd.isna(doc_id) else int(doc_id), take, at == 0, ends))
-                    at, room = at + take, room - take
+                    room, paths = room - take, paths - int(upto[at + take] - upto[at])
+                    at += take
                     doc += ends
-                    if not room:
-                        close()
-                        if len(ready) == lanes:
-                            yield flush()
         if current:
             close()
         if ready:
