@@ -7,6 +7,7 @@ tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -649,3 +650,31 @@ def q_fact_rejects(spark, d):
                       current_flag="is_current")]
     return rejected_rows(inputs.matches(spark, d), lookups).select(
         F.col("fixture_id").cast("int"), "failed_lookup")
+
+
+# ---------------------------------------------------------------------------
+# end to end
+# ---------------------------------------------------------------------------
+
+E2E_CALENDAR = ("1990-01-01", "2005-12-31")
+#: Gold tables of a run and what is summed over each.
+E2E_TABLES = {"dim_date": "date_key", "dim_league": "league_id", "dim_team": "team_id", "dim_venue": "venue_id",
+              "fact_fixture": "goals_total", "fact_standing": "points", "agg_team_season": "points",
+              "agg_league_month": "total_goals", "agg_venue_home": "home_goals"}
+
+
+@query("end_to_end")
+def q_end_to_end(spark, d):
+    """PIPE-16: envelope files landed, merged into silver and built into gold; rows and
+    one sum of each of the nine gold tables."""
+    from strata.plans.pipeline import run_pipeline
+    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/strata-e2e-{uuid.uuid4().hex}"
+    run_pipeline(spark, inputs.write_envelopes(spark, d, root + "/envelopes"), root + "/lake",
+                 dt.datetime(2024, 1, 1, 6, 0), calendar=E2E_CALENDAR, line_delimited=True)
+    store = LayerStore(spark, root + "/lake")
+    parts = [store.read("gold", t).agg(F.lit(t).alias("table_name"), F.count("*").alias("n"),
+                                       F.sum(F.col(c).cast("long")).alias("total")) for t, c in E2E_TABLES.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

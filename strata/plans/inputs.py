@@ -299,7 +299,8 @@ def envelope_lines(payloads: DataFrame, get: str, page) -> DataFrame:
     """Pack bronze-shaped payloads into API response bodies, one per page.
     ``page`` must map at most a bounded number of unique ids to one page."""
     pages = payloads.groupBy(page.alias("page")).agg(
-        F.count(F.lit(1)).alias("n"), F.concat_ws(",", F.collect_list("payload")).alias("items"))
+        F.count(F.lit(1)).alias("n"), F.concat_ws(",", F.transform(F.array_sort(F.collect_list(
+            F.struct("id", "payload"))), lambda x: x["payload"])).alias("items"))
     return pages.select(F.concat(
         F.lit(f'{{"get":"{get}","parameters":{{"page":"'), F.col("page").cast("string"),
         F.lit('"},"errors":[],"results":'), F.col("n").cast("string"),
@@ -308,13 +309,15 @@ def envelope_lines(payloads: DataFrame, get: str, page) -> DataFrame:
 
 def write_envelopes(spark: SparkSession, d: str, out: str) -> dict:
     """Newline-delimited envelope files for every entity, derived from the
-    driver tables (100 records per page; one standings table per page)."""
+    driver tables: fixtures before and after kickoff, league documents and those
+    re-sent (100 ids per page; one standings table per page). Records of one
+    run share their load time; the later position in a page is the newer one."""
     out = out.rstrip("/")
     sets = {
-        "fixtures": envelope_lines(fixture_bronze(spark, d, 1), "fixtures", F.expr("id div 200")),
-        "teams": envelope_lines(team_bronze(spark, d, 1), "teams", F.expr("id div 200")),
-        "leagues": envelope_lines(league_bronze(spark, d).filter(F.col("id") % 2 == 1), "leagues",
-                                  F.expr("id div 200")),
+        "fixtures": envelope_lines(fixture_bronze(spark, d, 1).unionByName(fixture_bronze(spark, d, 2)), "fixtures",
+                                   F.expr("(id - 1) div 200")),
+        "teams": envelope_lines(team_bronze(spark, d, 1), "teams", F.expr("(id - 1) div 200")),
+        "leagues": envelope_lines(league_bronze(spark, d), "leagues", F.expr("(id - 1) div 200")),
         "standings": envelope_lines(standing_bronze(spark, d), "standings", F.col("id")),
     }
     paths = {}

@@ -575,3 +575,33 @@ SELECT CAST(fixture_id AS INTEGER) AS fixture_id, 'date' AS failed_lookup FROM m
 WHERE year(kickoff) = (SELECT min(year(o_orderdate)) FROM orders)
 UNION ALL
 SELECT CAST(fixture_id AS INTEGER), 'home_team' FROM matches WHERE home_team_id % 6 = 5"""
+
+# Matches and table rows of teams that are no customer are dropped.
+ORACLE["end_to_end"] = """
+WITH m AS (
+  SELECT o_orderkey AS k, o_custkey % 5 AS league, o_custkey % 25 AS home, (o_custkey + 1 + o_orderkey % 24) % 25 AS away,
+    o_orderdate AS day, year(o_orderdate - INTERVAL 7 MONTH) AS season, o_orderstatus <> 'P' AS played,
+    CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey % 25 END AS ground, o_orderkey % 5 AS scored, o_orderkey // 5 % 4 AS let_in
+  FROM orders),
+teams AS (SELECT c_custkey AS id FROM customer),
+f AS (SELECT * FROM m WHERE home IN (SELECT id FROM teams) AND away IN (SELECT id FROM teams)),
+p AS (SELECT * FROM f WHERE played),
+venues AS (SELECT DISTINCT c_nationkey AS id FROM customer WHERE c_custkey % 10 <> 0),
+sides AS (
+  SELECT league, season, home AS team, scored - let_in AS lead FROM p UNION ALL SELECT league, season, away, let_in - scored FROM p),
+tables AS (
+  SELECT DISTINCT ON (league, season, home) home AS team, season FROM m WHERE home IN (SELECT id FROM teams)),
+at_home AS (SELECT ground, season, scored FROM p WHERE ground IN (SELECT id FROM venues))
+SELECT 'dim_date' AS table_name, count(*) AS n, sum(strftime(d, '%Y%m%d')::BIGINT)::BIGINT AS total
+  FROM generate_series(TIMESTAMP '1990-01-01', TIMESTAMP '2005-12-31', INTERVAL 1 DAY) g(d)
+UNION ALL SELECT 'dim_league', count(*), sum(id)::BIGINT FROM (SELECT DISTINCT o_orderkey // 8 AS id FROM orders)
+UNION ALL SELECT 'dim_team', count(*), sum(c_custkey)::BIGINT FROM customer
+UNION ALL SELECT 'dim_venue', count(*), sum(id)::BIGINT FROM venues
+UNION ALL SELECT 'fact_fixture', count(*), sum(CASE WHEN played THEN scored + let_in ELSE 0 END)::BIGINT FROM f
+UNION ALL SELECT 'fact_standing', count(*), sum((team + season) % 15 * 3 + team * 3 % 7)::BIGINT FROM tables
+UNION ALL SELECT 'agg_team_season', (SELECT count(*) FROM (SELECT DISTINCT league, team, season FROM sides)),
+  (SELECT sum(CASE WHEN lead > 0 THEN 3 WHEN lead = 0 THEN 1 ELSE 0 END)::BIGINT FROM sides)
+UNION ALL SELECT 'agg_league_month', (SELECT count(*) FROM (SELECT DISTINCT league, season, year(day), month(day) FROM p)),
+  (SELECT sum(scored + let_in)::BIGINT FROM p)
+UNION ALL SELECT 'agg_venue_home', (SELECT count(*) FROM (SELECT DISTINCT ground, season FROM at_home)),
+  (SELECT sum(scored)::BIGINT FROM at_home)"""
