@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import cut, shared_path, shuffle_partitions, small_batches
 
-BLOCK, LANES = 4096, 2048
+BLOCK, LANES = 1024, 2048
 #: Coding decisions of a block, at most, as a multiple of ``BLOCK``: blocks of rarer ids, which
 #: take longer paths, hold fewer of them, so that blocks coded side by side end together.
 PATHS = 8
