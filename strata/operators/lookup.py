@@ -4,13 +4,12 @@ A lookup is ``(dim, [(fact expr, dim column), ...], dim key column, output
 name, how)``. Dimensions are pre-filtered to the current version *before* the
 join (FILT-2), so the join is a plain equi-join the optimizer can broadcast.
 
-Broadcast policy: a dimension is broadcast only after its row count is
-checked against ``max_rows`` (dimensions are bounded by the number of business
-entities, not by fact volume, but the check makes that a fact rather than an
-assumption). Only the join columns, the surrogate key and any requested
-attributes are projected before the broadcast, so even the 2M-row bound is a
-narrow table of a few tens of MB. Above the bound the join is left to the
-optimizer (sort-merge; AQE may still convert it at runtime).
+Broadcast policy: a dimension is broadcast only after its size in bytes is
+checked (rows, by proof or by count, times the width of its fixed columns, plus
+the measured bytes of its strings). All dimensions of one fact share one budget
+of ``max_bytes``. Only the join columns, the surrogate key and any requested
+attributes are projected before the broadcast. Beyond the budget the join is
+left to the optimizer (sort-merge; AQE may still convert it at runtime).
 """
 
 from __future__ import annotations
@@ -20,19 +19,30 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
+_ROW_BYTES = 16  # of a row's header
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+def size_in_bytes(df: DataFrame, known_rows: int | None = None) -> int:
+    """Bytes of ``df``'s rows: fixed-width columns by type, strings as measured.
+    ``known_rows`` saves the count when the row count is proven and no column varies."""
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary", "array", "map", "struct")]
+    fixed = _ROW_BYTES + 8 * (len(df.columns) - len(texts))
+    if known_rows is not None and not texts:
+        return known_rows * fixed
+    row = df.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(F.octet_length(F.col(c).cast("string"))), F.lit(0)).alias(f"b{i}")
+                                            for i, c in enumerate(texts)]).first()
+    return row["n"] * (fixed + 8 * len(texts)) + sum(row[f"b{i}"] for i in range(len(texts)))
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
                        known_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows.
+    """``F.broadcast(df)`` when ``df`` has at most ``max_bytes``.
 
     ``known_rows`` skips the count when the size is proven by construction
     (e.g. a calendar of ``end - start + 1`` days)."""
-    if known_rows is None:
-        known_rows = getattr(df, "_strata_rows", None)
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    known_rows = known_rows if known_rows is not None else getattr(df, "_strata_rows", None)
+    return F.broadcast(df) if size_in_bytes(df, known_rows) <= max_bytes else df
 
 
 @dataclass
@@ -48,7 +58,8 @@ class Lookup:
     extra: list = field(default_factory=list)  # more dim columns to carry, as (dim col, out name)
 
 
-def _prepared(lk: Lookup, i: int, max_rows: int) -> tuple[DataFrame, list]:
+def _prepared(lk: Lookup, i: int, left: list) -> tuple[DataFrame, list]:
+    """The lookup's narrow dimension, broadcast if the bytes ``left`` of the budget hold it."""
     d = lk.dim
     bound = lk.broadcast_rows if lk.broadcast_rows is not None else getattr(d, "_strata_rows", None)
     if lk.current_flag:
@@ -57,7 +68,11 @@ def _prepared(lk: Lookup, i: int, max_rows: int) -> tuple[DataFrame, list]:
     d = d.select(*[F.col(dc).alias(n) for (_, dc), n in zip(lk.on, names)],
                  F.col(lk.key_col).alias(lk.out),
                  *[F.col(c).alias(o) for c, o in lk.extra])
-    return broadcast_if_small(d, max_rows, bound), names
+    size = size_in_bytes(d, bound)
+    if size <= left[0]:
+        left[0] -= size
+        d = F.broadcast(d)
+    return d, names
 
 
 def _fact_side(fact: DataFrame, lk: Lookup, names: list) -> DataFrame:
@@ -66,28 +81,29 @@ def _fact_side(fact: DataFrame, lk: Lookup, names: list) -> DataFrame:
     return fact
 
 
-def lookup_keys(fact: DataFrame, lookups: list, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def lookup_keys(fact: DataFrame, lookups: list, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Add one surrogate-key column per lookup; inner lookups drop facts with
     no match, left lookups keep them with a NULL key (JOIN-5)."""
+    left = [max_bytes]
     for i, lk in enumerate(lookups):
-        d, names = _prepared(lk, i, max_rows)
+        d, names = _prepared(lk, i, left)
         fact = _fact_side(fact, lk, names).join(d, names, lk.how).drop(*names)
     return fact
 
 
-def rejected_rows(fact: DataFrame, lookups: list, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def rejected_rows(fact: DataFrame, lookups: list, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Fact rows an inner lookup would drop, with the failing lookup's name.
-    A row that fails several lookups is listed once per failure."""
-    parts = []
+    A row that fails several lookups is listed once per failure. One pass over
+    the fact: every lookup marks its hits, and the names without one are exploded."""
+    cols, left, missed = fact.columns, [max_bytes], []
+    out = fact
     for i, lk in enumerate(lookups):
         if lk.how != "inner":
             continue
-        d, names = _prepared(lk, i, max_rows)
-        miss = _fact_side(fact, lk, names).join(d.select(*names), names, "left_anti").drop(*names)
-        parts.append(miss.withColumn("failed_lookup", F.lit(lk.name)))
-    if not parts:
+        d, names = _prepared(lk, i, left)
+        hit = f"__hit{i}"
+        out = _fact_side(out, lk, names).join(d.select(*names, F.lit(True).alias(hit)), names, "left").drop(*names)
+        missed.append(F.when(F.col(hit).isNull(), F.lit(lk.name)))
+    if not missed:
         return fact.limit(0).withColumn("failed_lookup", F.lit(None).cast("string"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return out.select(*cols, F.explode(F.array_compact(F.array(*missed))).alias("failed_lookup"))
