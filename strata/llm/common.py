@@ -35,7 +35,7 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of the written table."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

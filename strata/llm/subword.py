@@ -36,27 +36,31 @@ BUCKETS, DIM = 1 << 17, 12
 GRAMS = (3, 4)
 PER_CLASS, EPOCHS, RATE = 1000, 6, 0.6
 THRESHOLD = 0.3
-#: Words whose features a task remembers, at most.
-REMEMBERED = 200_000
+#: Words whose features a worker remembers, at most.
+REMEMBERED = 400_000
 #: Kinds of last character times kinds of letter case.
 SHAPES = 24
 
 
 def _grams(word: bytes) -> list[int]:
     """Buckets of the word and of its character n-grams."""
-    bound = b"<" + word + b">"
-    out = [zlib.crc32(bound, 1) % BUCKETS]
+    bound, crc = b"<" + word + b">", zlib.crc32
+    out = [crc(bound, 1) % BUCKETS]
+    if bound.isascii():  # bytes are characters
+        for n in GRAMS:
+            out += [crc(bound[i:i + n], n) % BUCKETS for i in range(len(bound) - n + 1)]
+        return out
     text = bound.decode("utf-8", "replace")
     for n in GRAMS:
-        out += [zlib.crc32(text[i:i + n].encode("utf-8", "replace"), n) % BUCKETS for i in range(len(text) - n + 1)]
+        out += [crc(text[i:i + n].encode("utf-8", "replace"), n) % BUCKETS for i in range(len(text) - n + 1)]
     return out
 
 
 def _shape(word: bytes) -> int:
     text = word.decode("utf-8", "replace")
-    letters = [c for c in text if c.isalpha()]
-    upper = sum(c.isupper() for c in letters)
-    case = 0 if not letters else 1 if not upper else 2 if upper == len(letters) and upper > 1 else 3
+    upper = 0 if text.islower() else sum(map(str.isupper, text))
+    letters = upper if not upper else sum(map(str.isalpha, text))
+    case = (1 if text.islower() else 0) if not upper else 2 if upper == letters and upper > 1 else 3
     last = text[-1]
     end = 0 if last.isalpha() else 1 if last.isdigit() else 2 if last in ".," else 3 if last in "!?" else 4 if ord(last) < 128 else 5
     return case * 6 + end
@@ -68,6 +72,8 @@ def _pair_bucket() -> np.ndarray:
 
 
 PAIRS = _pair_bucket()
+#: The worker's words under the model of the given broadcast; Spark gives a worker many tasks.
+_KNOWN: dict[tuple, "Words"] = {}
 
 
 class Words:
@@ -75,7 +81,7 @@ class Words:
     its buckets or, with a table of feature scores, their sum and count."""
 
     def __init__(self, scores: np.ndarray | None = None):
-        self.scores = scores
+        self.scores = None if scores is None else scores.tolist()  # plain numbers: quicker for a few at a time
         self.forget()
 
     def forget(self) -> None:
@@ -91,7 +97,7 @@ class Words:
         if self.scores is None:
             self.buckets.append(buckets)
         else:
-            self.facts[n] = self.scores[buckets].sum(), len(buckets)
+            self.facts[n] = sum(map(self.scores.__getitem__, buckets)), len(buckets)
         self.number[word] = n
         return n
 
@@ -184,7 +190,11 @@ def with_score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str =
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scores, bias = table.value
-        words, pair_scores = Words(scores), scores[PAIRS].astype(np.float64)
+        mark = (len(scores), hash(scores.tobytes()))
+        if mark not in _KNOWN:
+            _KNOWN.clear()  # one model at a time
+            _KNOWN[mark] = Words(scores)
+        words, pair_scores = _KNOWN[mark], scores[PAIRS].astype(np.float64)
         for texts in batches:
             odds = []
             for t in texts:
