@@ -117,16 +117,29 @@ def _postings(benchmark: DataFrame, id_col: str, text_col: str, least: int) -> D
         run, "item_id long, tokens binary, hashes array<long>, places array<long>, short int")
 
 
+#: Where in a hash the bitmap's indexes begin: a hash is in the set if all of them are.
+PROBES = (40, 16, 0)
+
+
 def _bitmap(postings: DataFrame, bits: int) -> np.ndarray:
-    """The set of the hashes' leading ``bits`` bits; at most 2 ** (bits - 6) rows come back."""
-    lead = F.shiftrightunsigned("hash", 64 - bits)
-    words = postings.groupBy(F.shiftright(lead, 6).alias("w")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (lead % 64).cast("int"))).alias("b")).toPandas()
+    """The set of the hashes' probes, ``bits`` bits each; at most 2 ** (bits - 6) rows come back."""
+    probe = F.explode(F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(F.lit((1 << bits) - 1)) for s in PROBES]))
+    words = postings.select(probe.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))).alias("b")).toPandas()
     out = np.zeros(max(1, 1 << bits >> 6), np.uint64)
     out[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
     return out
 
 
+def _admitted(seen: np.ndarray, w: np.ndarray, bits: int) -> np.ndarray:
+    """Places of the hashes whose probes are all in the bitmap."""
+    at = np.arange(len(w))
+    for s in PROBES:
+        p = w[at] >> np.uint64(s) & np.uint64((1 << bits) - 1)
+        at = at[(seen[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)]
+    return at
+
+
 def _hit_regions(bitmap, masks: list[str], around: int, bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = bitmap.value
@@ -135,8 +148,7 @@ def _hit_regions(bitmap, masks: list[str], around: int, bits: int):
             hits = []
             for m in masks:
                 w = window_hashes(h, m)
-                lead = w >> np.uint64(64 - bits)
-                at = np.flatnonzero(seen[(lead >> np.uint64(6)).astype(np.int64)] >> (lead & np.uint64(63)) & np.uint64(1))
+                at = _admitted(seen, w, bits)
                 at = at[of[at] == of[at + len(m) - 1]]
                 hits.append((at, w[at], np.full(len(at), len(m))))
             at, w, span = (np.concatenate([x[i] for x in hits]) for i in range(3))
