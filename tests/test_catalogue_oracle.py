@@ -20,11 +20,12 @@ def con():
     return duck(SF)
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_catalogue_query_has_an_oracle():
+    """The training-data operators that SQL cannot express have brute-force tests of their own."""
+    assert set(E.QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     res = compare(spark, con, name, E.queries()[name], E.oracle_sql()[name], SF)
     assert res["ok"], res
