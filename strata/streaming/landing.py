@@ -9,8 +9,9 @@ instead of stopping the stream. The query id is kept in the stream's checkpoint:
 a restart goes on with its own loads, and a stream with a new checkpoint, whose
 epochs begin at 0 again, never writes over those of another.
 
-Row ids are ``epoch_id * 2**40 + position``: unique and increasing across
-micro-batches without reading the bronze table, dense within one batch.
+Row ids continue above the largest id of the table's other loads, as those of a
+batch load do, so ids stay unique when batch runs and streams take turns (two
+writers at the same moment would need a lock of their own).
 """
 
 from __future__ import annotations
@@ -18,13 +19,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.keys import next_key_start
+from strata.plans.store import LayerStore
 from strata.sources.bronze import check_target, land_bronze
 from strata.sources.envelope import explode_response, gate_errors, parse_envelopes
 
 
-EPOCH_ID_BITS = 40
-
-
 def _batch_writer(base: str, entity: str):
     root = f"{base.rstrip('/')}/bronze/{entity}"
 
@@ -38,7 +38,10 @@ def _batch_writer(base: str, entity: str):
         bad.select("source_file", "body").write.mode("overwrite") \
             .parquet(f"{base.rstrip('/')}/rejected/{entity}/{load}")
         rows = explode_response(good, keep=["source_file"])
-        landed = land_bronze(rows, entity, F.current_timestamp(), epoch_id << EPOCH_ID_BITS,
+        store = LayerStore(batch.sparkSession, base)
+        others = [x for x in store.bronze_loads(entity) if f"load={x}" != load]
+        start = next_key_start(store.read_loads(entity, others), "id")
+        landed = land_bronze(rows, entity, F.current_timestamp(), start,
                              order_cols=["source_file", "pos"])
         landed.write.mode("overwrite").parquet(f"{root}/{load}")
 
