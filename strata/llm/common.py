@@ -120,6 +120,12 @@ def permute(x: Column, n: Column, seed: str) -> Column:
                            F.raise_error(F.lit("permutation left its range")).cast("long")))
 
 
+def as_text(ids: Column) -> Column:
+    """Ids on their way through pandas, which makes a column of longs with nulls one of
+    doubles: beyond 2 ** 53 they would change."""
+    return ids.cast("string")
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
     """Bound what Python workers hold at once: long texts travel few to an Arrow batch."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

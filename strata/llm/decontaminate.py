@@ -16,7 +16,7 @@ once, by text hash. Both joins have the skew join against a window or an item
 that very many documents share.
 
 Defined results
-  null and empty texts on either side: never a match; items with fewer than
+  null and empty texts on either side, and items without an id: never a match; items with fewer than
   ``least`` tokens are not searched for, items shorter than a mask are searched
   by all their tokens; equal items each get their rows, repeated documents and
   equal ids one row per id and item; empty tables: no rows; extra columns are
@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, small_batches
+from strata.llm.common import as_text, cut, small_batches
 
 #: Window positions that each mask keeps (1) or ignores (0).
 MASKS = ("111011011101", "110110101111", "1111010011011", "1011101110111")
@@ -113,8 +113,10 @@ def _postings(benchmark: DataFrame, id_col: str, text_col: str, least: int) -> D
                     "places": [np.concatenate([np.arange(len(w)) for _, w in rows]) if rows else np.zeros(0, np.int64)],
                     "short": [len(h) if rows and len(rows[0][0]) == len(h) else 0]})
 
-    return benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("t")).mapInPandas(
-        run, "item_id long, tokens binary, hashes array<long>, places array<long>, short int")
+    named = benchmark.select(as_text(F.col(id_col)).alias("item_id"), F.col(text_col).alias("t")).filter("item_id is not null")
+    return named.mapInPandas(
+        run, "item_id string, tokens binary, hashes array<long>, places array<long>, short int").withColumn(
+        "item_id", F.col("item_id").cast("long"))
 
 
 #: Where in a hash the bitmap's indexes begin: a hash is in the set if all of them are.
@@ -164,7 +166,7 @@ def _hit_regions(bitmap, masks: list[str], around: int, bits: int):
                 lo, hi = max(first[d], at[i] - around), min(last[d], at[j - 1] + int(span[i:j].max()) + around)
                 rows.append((pdf["doc_id"].iat[d], pdf["h"].iat[d], int(lo - first[d]), h[lo:hi].tobytes(),
                              w[i:j].view(np.int64), at[i:j] - lo))
-            yield pd.DataFrame(rows, columns=["doc_id", "h", "region", "tokens", "hashes", "places"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "h", "region", "tokens", "hashes", "places"])
     return run
 
 
@@ -200,10 +202,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     short = [r["short"] for r in items.filter("short > 0").select("short").distinct().collect()]  # lengths under a mask's
     masks = [*MASKS, *["1" * n for n in short]]
     bitmap = spark.sparkContext.broadcast(_bitmap(postings, bits))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"), _text_hash(text_col).alias("h"))
+    rows = docs.select(as_text(F.col(id_col)).alias("doc_id"), F.col(text_col).alias("t"), _text_hash(text_col).alias("h"))
     found = cut(rows.mapInPandas(_hit_regions(bitmap, masks, around, bits),
-                                 "doc_id long, h long, region long, tokens binary, hashes array<long>, places array<long>"),
-                "regions")
+                                 "doc_id string, h long, region long, tokens binary, hashes array<long>, places array<long>")
+                .withColumn("doc_id", F.col("doc_id").cast("long")), "regions")
     regions = cut(found.drop("doc_id").dropDuplicates(["h", "region"]), "distinct-regions")
     hits = (regions.select("h", "region", F.explode(F.arrays_zip("hashes", "places")).alias("x"))
             .select("h", "region", F.col("x.hashes").alias("hash"), F.col("x.places").alias("at")))

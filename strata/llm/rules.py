@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, labelled_sample, small_batches
+from strata.llm.common import as_text, cut, labelled_sample, small_batches
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -108,8 +108,9 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             out.insert(0, "doc_id", pdf["doc_id"].array)
             yield out
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
-    return rows.mapInPandas(run, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+    rows = docs.select(as_text(F.col(id_col)).alias("doc_id"), F.col(text_col).alias("t"))
+    return rows.mapInPandas(run, "doc_id string, " + ", ".join(f"{c} long" for c in COUNTS)).withColumn(
+        "doc_id", F.col("doc_id").cast("long"))
 
 
 Condition = tuple[str, str, float]  # statistic, "<=" or ">", threshold

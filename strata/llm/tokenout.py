@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import cut, shared_path, shuffle_partitions, small_batches
+from strata.llm.common import as_text, cut, shared_path, shuffle_partitions, small_batches
 
 BLOCK, LANES = 1024, 2048
 #: Coding decisions of a block, at most, as a multiple of ``BLOCK``: blocks of rarer ids, which
@@ -137,11 +137,11 @@ def tokens(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder.of(path, end_id)
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "h": pdf["h"], "ids": encoder.batch(list(pdf["t"]))}).astype({"doc_id": "Int64"})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "h": pdf["h"], "ids": encoder.batch(list(pdf["t"]))})
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"),
+    rows = docs.select(as_text(F.col(id_col)).alias("doc_id"), F.col(text_col).alias("t"),
                        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
-    return rows.mapInPandas(run, "doc_id long, h long, ids binary")
+    return rows.mapInPandas(run, "doc_id string, h long, ids binary").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def id_counts(found: DataFrame, kind: str) -> DataFrame:
@@ -244,7 +244,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     keys = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
     placed = found.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(
         shuffle_partitions(spark), *keys, "tie")
-    (placed.sortWithinPartitions(*keys, "tie").drop("tie")
+    (placed.sortWithinPartitions(*keys, "tie").select(as_text(F.col("doc_id")).alias("doc_id"), "ids")
      .mapInPandas(_block_writer(sent, kind, block, lanes), "part int, block long, ids long, frame binary")
      .write.parquet(f"{path}/blocks"))
 
@@ -285,9 +285,9 @@ def _parts_reader(tree_table, lanes: int):
             if zlib.crc32(raw) != crc:
                 raise ValueError("ids differ from their checksum")
             for doc_id, k, begins, ends in listed:
-                rows.append((part, doc, doc_id, first + at, k, zlib.crc32(raw[4 * at:4 * (at + k)]), begins and ends))
+                rows.append((part, doc, None if doc_id is None else str(doc_id), first + at, k, zlib.crc32(raw[4 * at:4 * (at + k)]), begins and ends))
                 at, doc = at + k, doc + ends
-        return pd.DataFrame(rows, columns=["part", "doc", "doc_id", "at", "n", "crc", "whole"]).astype({"doc_id": "Int64"})
+        return pd.DataFrame(rows, columns=["part", "doc", "doc_id", "at", "n", "crc", "whole"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = []
@@ -309,7 +309,8 @@ def read(spark: SparkSession, path: str, lanes: int = LANES) -> DataFrame:
     sent = spark.sparkContext.broadcast((tree["symbol"].to_numpy(np.int64), tree["length"].to_numpy(np.int64)))
     frames = spark.read.parquet(f"{path}/blocks")
     pieces = cut(frames.select("part", "block", "frame").mapInPandas(
-        _parts_reader(sent, lanes), "part int, doc long, doc_id long, at long, n long, crc long, whole boolean"), "parts")
+        _parts_reader(sent, lanes), "part int, doc long, doc_id string, at long, n long, crc long, whole boolean")
+        .withColumn("doc_id", F.col("doc_id").cast("long")), "parts")
 
     @F.pandas_udf("long")
     def fold(rows: pd.Series) -> pd.Series:

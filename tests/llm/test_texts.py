@@ -259,3 +259,16 @@ def test_classifier_corners(spark):
     assert all(0.7 < r["score"] < 1 for r in subword.classify(corners(spark), ones).collect())
     assert subword.classify(empty(spark), ones).count() == 0
     assert subword.accepted(corners(spark), ones).columns == corners(spark).columns
+
+
+# --- ids ------------------------------------------------------------------------------
+
+def test_long_ids_beside_nulls_stay_as_they_are(spark):
+    from strata.llm import decontaminate
+    big = (1 << 62) + 1
+    df = spark.createDataFrame([(big, prose(7, 40), "en", "a", 1), (None, prose(7, 40), "en", "a", 1)], DOCS).coalesce(1)
+    bench = spark.createDataFrame([(big + 2, prose(7, 40)), (None, prose(7, 40))], "item_id long, text string")
+    for out in (rules.counts(df), tokenout.write_and_read(df)):
+        assert {r["doc_id"] for r in out.select("doc_id").collect()} == {big, None}
+    got = decontaminate.contaminated(df, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(big, big + 2), (None, big + 2)}
