@@ -3,8 +3,11 @@
 Texts are lower-cased and cut into tokens (runs of ASCII letters, digits, ``_``
 and of any other character beyond ASCII). Each fixed mask keeps some positions
 of a window and ignores the others, so a substituted token at an ignored
-position leaves the window's hash unchanged. Hashes of every benchmark window
-meet those of every training window; around each hit, the two texts are laid on
+position leaves the window's hash unchanged. The masks cover: with at most 20 % of
+the tokens substituted, wherever they stand, any stretch of 12 or more tokens and
+any shorter item as a whole has a window that a mask leaves unchanged (so too for
+a greater ``overlap`` or ``similarity``, but not for lesser ones). Hashes of every
+benchmark window meet those of every training window; around each hit, the two texts are laid on
 the hit's diagonal and the longest stretch is taken in which at least
 ``similarity`` of the tokens agree. A document is contaminated by an item if
 that stretch has ``overlap`` tokens, or all of a shorter item's.
@@ -17,8 +20,7 @@ that very many documents share.
 
 Defined results
   null and empty texts on either side, and items without an id: never a match; items with fewer than
-  ``least`` tokens are not searched for, items shorter than a mask are searched
-  by all their tokens; equal items each get their rows, repeated documents and
+  ``least`` tokens are not searched for; equal items each get their rows, repeated documents and
   equal ids one row per id and item; empty tables: no rows; extra columns are
   ignored (``clean`` keeps them).
 """
@@ -35,7 +37,12 @@ from pyspark.sql import functions as F
 from strata.llm.common import as_text, cut, small_batches
 
 #: Window positions that each mask keeps (1) or ignores (0).
-MASKS = ("111011011101", "110110101111", "1111010011011", "1011101110111")
+MASKS = ("1111011", "110010111", "11000100111")
+#: The masks for items under 12 tokens, by length; shorter ones still may not differ at all.
+SHORT_MASKS = {5: ("1111", "11101", "11011", "10111"), 6: ("11111", "111101", "111011", "110111", "101111"),
+               7: ("11111", "111011", "110111"), 8: ("111111", "1111011", "1101111"), 9: ("1111011", "1101111"),
+               10: ("1111011", "11001111", "110110011", "11110101", "10101111"),
+               11: ("1110111", "111001011", "1011111", "111111")}
 OVERLAP, SIMILARITY, LEAST = 12, 0.8, 5
 #: Tokens kept on either side of the windows that were hit.
 AROUND = 96
@@ -85,8 +92,9 @@ def window_hashes(h: np.ndarray, mask: str) -> np.ndarray:
 
 def masks_for(n: int, least: int = LEAST) -> list[str]:
     """The masks that an item of ``n`` tokens is searched by."""
-    fit = [m for m in MASKS if len(m) <= n]
-    return fit or (["1" * n] if n >= least else [])
+    if n < max(least, 1):
+        return []
+    return list(MASKS if n >= 12 else SHORT_MASKS.get(n, ("1" * n,)))
 
 
 def stretch(a: np.ndarray, b: np.ndarray, similarity: float) -> tuple[int, int]:
@@ -111,7 +119,7 @@ def _postings(benchmark: DataFrame, id_col: str, text_col: str, least: int) -> D
                     "item_id": [item], "tokens": [h.tobytes()],
                     "hashes": [np.concatenate([w for _, w in rows]).view(np.int64) if rows else np.zeros(0, np.int64)],
                     "places": [np.concatenate([np.arange(len(w)) for _, w in rows]) if rows else np.zeros(0, np.int64)],
-                    "short": [len(h) if rows and len(rows[0][0]) == len(h) else 0]})
+                    "short": [len(h) if rows and len(h) < 12 else 0]})
 
     named = benchmark.select(as_text(F.col(id_col)).alias("item_id"), F.col(text_col).alias("t")).filter("item_id is not null")
     return named.mapInPandas(
@@ -199,8 +207,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     items = cut(_postings(benchmark, item_col, item_text, least), "items")
     postings = cut(items.select("item_id", F.explode(F.arrays_zip("hashes", "places")).alias("x"))
                    .select("item_id", F.col("x.hashes").alias("hash"), F.col("x.places").alias("place")), "postings")
-    short = [r["short"] for r in items.filter("short > 0").select("short").distinct().collect()]  # lengths under a mask's
-    masks = [*MASKS, *["1" * n for n in short]]
+    short = [r["short"] for r in items.filter("short > 0").select("short").distinct().collect()]  # lengths under 12
+    masks = list(dict.fromkeys([*MASKS, *[m for n in sorted(short) for m in masks_for(n, least)]]))
     bitmap = spark.sparkContext.broadcast(_bitmap(postings, bits))
     rows = docs.select(as_text(F.col(id_col)).alias("doc_id"), F.col(text_col).alias("t"), _text_hash(text_col).alias("h"))
     found = cut(rows.mapInPandas(_hit_regions(bitmap, masks, around, bits),

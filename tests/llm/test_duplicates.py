@@ -136,6 +136,37 @@ def test_contamination_matches_brute_force(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "5", "7", "8"]
 
 
+@pytest.mark.parametrize("n", range(5, 24))
+def test_masks_leave_a_window_of_any_near_copy(n):
+    """Every choice of places: the most substitutions that 80 % agreement allows."""
+    masks = decontaminate.masks_for(n)
+    for gone in itertools.combinations(range(n), n - -(-4 * n // 5)):
+        assert any(all(i + j not in gone for j, kept in enumerate(m) if kept == "1")
+                   for m in masks for i in range(n - len(m) + 1)), (n, gone)
+
+
+def test_random_substitutions_match_brute_force(spark):
+    rng = np.random.default_rng(11)
+    items = [(n, prose(200 + n, n)) for n in range(5, 21)]
+    docs = []
+    for n, text in items:
+        for k in range(n // 4 + 2):
+            w = text.split()
+            for i in rng.permutation(n)[:k]:
+                w[i] = f"changed{n}"
+            docs.append((100 * n + k, " ".join([prose(300 + n, 9), *w, prose(400 + k, 9)]), "en", "a", 1))
+    got = {(r["doc_id"], r["item_id"]): r["overlap"] for r in decontaminate.contaminated(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, BENCH)).collect()}
+    want = {}
+    for d, t, *_ in docs:
+        for i, b in items:
+            n = brute_overlap(tokens(t), tokens(b), 0.8, min(12, len(tokens(b))))
+            if n >= min(12, len(tokens(b))):
+                want[(d, i)] = n
+    assert len(want) > len(items)
+    assert got == want
+
+
 def test_decontamination_corners(spark):
     none = spark.createDataFrame([], BENCH)
     assert decontaminate.contaminated(corners(spark), none).count() == 0
