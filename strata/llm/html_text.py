@@ -12,7 +12,8 @@ Defined results
   null, empty or tagless pages: a tagless page is one block and judged as such,
   a page without content gives an empty text; unclosed, stray and nested tags
   are read as browsers read them (a block tag ends an open paragraph, a stray end
-  tag is nothing); character references are decoded, markup never is; repeated
+  tag is nothing, raw text runs to its end tag); an unclosed element whose content
+  is no text ends at the next block or the end tag of what holds it; character references are decoded, markup never is; repeated
   rows and equal or null ids: each row by itself; empty table: no rows; extra
   columns are ignored. Very long pages: flow and memory grow with their blocks.
 """
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,7 +32,9 @@ from pyspark.sql import functions as F
 from strata.llm.common import small_batches
 
 # Elements whose content is never text of the page, and block-level elements.
-DROPPED = "script style noscript template svg math iframe object canvas audio video head select textarea button"
+RAW = "script style textarea iframe title"  # up to their end tag, whatever stands there
+DROPPED = "noscript template svg object canvas audio video select button annotation annotation-xml"
+NESTING = "template svg object"
 BLOCK = ("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
          "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre search section summary "
          "table tbody td tfoot th thead tr ul")
@@ -49,7 +53,8 @@ FLAGS = ["article", "main", "nav", "header", "footer", "aside", "form", "bad", "
 BIT = {name: 1 << i for i, name in enumerate(FLAGS)}
 _BY_TAG = {t: BIT[t] for t in ("article", "main", "nav", "header", "footer", "aside", "form")} | {
     "menu": BIT["nav"], "search": BIT["form"], "dialog": BIT["bad"], "fieldset": BIT["form"]}
-_DROPPED, _BLOCK, _VOID = set(DROPPED.split()), set(BLOCK.split()), set(VOID.split())
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW.split()}
+_DROPPED, _NESTING, _BLOCK, _VOID = set(DROPPED.split()), set(NESTING.split()), set(BLOCK.split()), set(VOID.split())
 _BAD, _COMMENT, _GOOD = set(BAD_NAMES.split()), set(COMMENT_NAMES.split()), set(GOOD_NAMES.split())
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>)", re.S)
 _ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -85,6 +90,28 @@ def _flags(tag: str, attributes: str) -> int:
     return out
 
 
+def _closed(page: str) -> set[int]:
+    """Where the start tags of dropped elements end that have an end tag of their own."""
+    out: set[int] = set()
+    open_at: dict[str, list[int]] = {}
+    at = 0
+    while m := _TAG.search(page, at):
+        at, tag = m.end(), (m[2] or "").lower()
+        if tag in _RAW and not m[1] and not m[3].rstrip().endswith("/"):
+            end = _RAW[tag].search(page, at)
+            at = end.end() if end else len(page)
+        elif tag in _DROPPED:
+            waiting = open_at.setdefault(tag, [])
+            if m[1]:
+                if waiting:
+                    out.add(waiting.pop())
+            elif not m[3].rstrip().endswith("/"):
+                if tag not in _NESTING:
+                    waiting.clear()
+                waiting.append(m.end())
+    return out
+
+
 class Block:
     __slots__ = ("text", "linked", "tag", "flags", "path")
 
@@ -100,6 +127,9 @@ def blocks(page: str | None) -> list[Block]:
     stack: list[tuple[str, int, int]] = [("", 0, 0)]
     pieces: list[str] = []
     linked, links, number, at = 0, 0, 0, 0
+    closed: set[int] | None = None
+    # open dropped element ("" for none), whether it has an end tag, and the elements opened inside it
+    dropped, ends, inside = "", False, Counter()
 
     def flush():
         nonlocal linked
@@ -118,10 +148,19 @@ def blocks(page: str | None) -> list[Block]:
         links -= sum(e[0] == "a" for e in stack[k:])
         del stack[k:]
 
+    def holds(tag: str) -> int:
+        """Place in the stack of the element that an end tag ends, or 0."""
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k][0] == tag:
+                return k
+            if stack[k][0] in _BLOCK and tag not in _BLOCK:
+                break  # an inline end tag does not end a block
+        return 0
+
     while True:
         m = _TAG.search(page, at)
         piece = page[at:m.start()] if m else page[at:]
-        if piece:
+        if piece and not dropped:
             pieces.append(piece)
             if links:
                 linked += len(piece.strip())
@@ -131,23 +170,43 @@ def blocks(page: str | None) -> list[Block]:
         tag = (m[2] or "").lower()
         if not tag:
             continue
+        if tag in _RAW and not m[1]:
+            if not m[3].rstrip().endswith("/"):
+                end = _RAW[tag].search(page, at)
+                at = end.end() if end else len(page)
+            pieces.append(" ")
+            continue
+        if dropped:
+            if m[1]:
+                if inside[tag]:
+                    inside[tag] -= 1
+                    continue
+                if tag == dropped:
+                    dropped = ""
+                    continue
+                if not holds(tag):
+                    continue
+                dropped = ""  # the end of what holds it
+            elif not ends and (tag in _BLOCK or tag == dropped and tag not in _NESTING):
+                dropped = ""
+            else:
+                if tag not in _VOID and not m[3].rstrip().endswith("/"):
+                    inside[tag] += 1
+                continue
         if m[1]:
             if tag in _BLOCK:
                 flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if stack[k][0] in _BLOCK and tag not in _BLOCK:
-                    break  # an inline end tag does not end a block
+            if k := holds(tag):
+                close(k)
             continue
         if tag in _DROPPED:
             if not m[3].rstrip().endswith("/"):
-                end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                if end or tag != "head":
-                    at = end.end() if end else len(page)
+                closed = _closed(page) if closed is None else closed
+                dropped, ends, inside = tag, at in closed, Counter()
             pieces.append(" ")
             continue
+        if tag == "head":  # all it may hold is no text; anything else ends it
+            continue
         if tag in _BLOCK:
             flush()
             for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph, an item an item

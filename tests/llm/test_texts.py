@@ -83,6 +83,28 @@ def test_main_text_of_pages(spark):
     assert html_text.extract(empty(spark, PAGES)).count() == 0
 
 
+@pytest.mark.parametrize("tag", "noscript svg object canvas audio video select button template".split())
+def test_unclosed_elements_end_at_a_block_or_with_their_parent(tag):
+    body = "<article><p>First paragraph of the text.</p><p>Second paragraph of the text.</p></article>"
+    want = "First paragraph of the text.\nSecond paragraph of the text."
+    for page in (f"<header><{tag}>Label</header>{body}", f"<header><{tag}>Label</header>{body}<footer></{tag}></footer>",
+                 f"<div><{tag}>Label{body}</div>", f"<div><{tag}>Label{body}<footer><{tag}>Up</{tag}></footer></div>",
+                 body.replace("First", f"<{tag}><div>not <p>this</p></div></{tag}>First"),
+                 f"<div><{tag} x=1>No <i>words</i><script>'</{tag}>'</script> here</{tag}></div>{body}"):
+        assert html_text.main_text(page) == want, page
+
+
+def test_raw_text_runs_to_its_end_tag_and_formulas_stay():
+    for tag in "script style textarea iframe title".split():
+        assert html_text.main_text(f"<p>Words of the page, some.</p><{tag}><p>No words</p></{tag} ><p>More words of it.") == (
+            "Words of the page, some.\nMore words of it.")
+        assert html_text.main_text(f"<p>Words of the page, some.</p><{tag}><p>No words") == "Words of the page, some."
+    formula = ("<article><p>As <math><mi>a</mi><mo>=</mo><mn>2</mn><annotation encoding='t'>a=2</annotation></math> holds, so all is well."
+               "</p></article>")
+    assert html_text.main_text(formula) == "As a=2 holds, so all is well."
+    assert html_text.main_text("<head><title>T</title><body><p>Words of the page, some.") == "Words of the page, some."
+
+
 def test_minimum_cut_matches_brute_force():
     rng = random.Random(4)
     for _ in range(150):
