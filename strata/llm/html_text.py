@@ -3,7 +3,9 @@
 The page is cut into text blocks (runs of inline content between block-level
 tags). A linear classifier over each block's place, wording and links gives the
 cost of calling it content or boilerplate; the two costs are the capacities of
-its edges from the source and to the sink. Blocks next to each other, and
+its edges from the source and to the sink. What an element's class, id or role says
+against its text counts the less the more of the page's text the element holds: the
+page itself is no sidebar, whatever its name. Blocks next to each other, and
 blocks that follow each other within one parent, are joined by smoothness
 edges, the stronger the nearer they lie in the tree. The minimum cut, found by
 maximum flow, labels all blocks at once.
@@ -46,18 +48,25 @@ BAD_NAMES = ("ad ads advert advertisement advertising adverts banner breadcrumb
              "social sponsor sponsored subscribe tags toolbar topbar tracking widget")
 COMMENT_NAMES = "comment comments commentlist disqus discussion replies reply respond"
 GOOD_NAMES = "article articlebody content entry main post story text"
+# First words (has-sidebar) and last words (comments-open) of names that tell of other elements.
+ABOUT_OTHERS = "has have no not non with without tag category cat overflow"
+STATES = "open opened closed enabled disabled on off"
 ROLES = {"navigation": "nav", "banner": "header", "contentinfo": "footer", "complementary": "aside", "search": "form",
          "form": "form", "main": "main", "article": "article", "dialog": "bad", "alert": "bad"}
 
 FLAGS = ["article", "main", "nav", "header", "footer", "aside", "form", "bad", "comments", "good"]
 BIT = {name: 1 << i for i, name in enumerate(FLAGS)}
+HINTS = ("bad", "comments")
+#: What elements tell of their blocks in any case; a header inside an article holds its title.
+_MARKED = sum(BIT[name] for name in ("nav", "footer", "aside", "form"))
 _BY_TAG = {t: BIT[t] for t in ("article", "main", "nav", "header", "footer", "aside", "form")} | {
     "menu": BIT["nav"], "search": BIT["form"], "dialog": BIT["bad"], "fieldset": BIT["form"]}
 _RAW = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I) for t in RAW.split()}
 _DROPPED, _NESTING, _BLOCK, _VOID = set(DROPPED.split()), set(NESTING.split()), set(BLOCK.split()), set(VOID.split())
 _BAD, _COMMENT, _GOOD = set(BAD_NAMES.split()), set(COMMENT_NAMES.split()), set(GOOD_NAMES.split())
 _TAG = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>)", re.S)
-_ATTR = re.compile(r"(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ABOUT_OTHERS, _STATES = set(ABOUT_OTHERS.split()), set(STATES.split())
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[a-z]+")
 
 #: Classifier: what each sign adds to the content score of a block.
@@ -67,6 +76,20 @@ WEIGHTS = {"bias": 0.0, "words": 1.2, "links": -3.0, "ends": 0.6, "paragraph": 0
 #: Smoothness of neighbours with the same parent, of other neighbours (falling with the
 #: steps between them in the tree), and of blocks that follow each other in one parent.
 SAME, APART, KIN = 0.9, 0.6, 0.4
+#: A hint against an element holds in full up to the first share of the page's text and not at
+#: all from the second; characters added to the page, so that a few words are not all of it; and
+#: how often text of an article beside the element counts, which its comments may far exceed.
+FULL, GONE, BESIDES, BESIDE_ARTICLE = 0.6, 0.9, 100, 6
+
+
+def _names(value: str) -> set[str]:
+    """The words of class or id names that tell of the element itself."""
+    out: set[str] = set()
+    for name in value.split():
+        words = _NAME.findall(name)
+        if words and words[0] not in _ABOUT_OTHERS and (len(words) == 1 or words[-1] not in _STATES):
+            out.update(words)
+    return out
 
 
 def _flags(tag: str, attributes: str) -> int:
@@ -79,12 +102,11 @@ def _flags(tag: str, attributes: str) -> int:
             elif key in ("hidden", "aria-hidden", "style"):
                 if key == "hidden" or value == "true" or "display:none" in value.replace(" ", ""):
                     out |= BIT["bad"]
-            else:
-                names = set(_NAME.findall(value))
-                if names & _COMMENT:
-                    out |= BIT["comments"]
-                if names & _BAD and tag not in ("body", "html"):
-                    out |= BIT["bad"]
+            elif key in ("class", "id"):
+                names = _names(value)
+                if tag not in ("body", "html"):
+                    out |= BIT["comments"] if names & _COMMENT else 0
+                    out |= BIT["bad"] if names & _BAD else 0
                 if names & _GOOD:
                     out |= BIT["good"]
     return out
@@ -113,18 +135,19 @@ def _closed(page: str) -> set[int]:
 
 
 class Block:
-    __slots__ = ("text", "linked", "tag", "flags", "path")
+    __slots__ = ("text", "linked", "tag", "flags", "path", "hints")
 
-    def __init__(self, text, linked, tag, flags, path):
+    def __init__(self, text, linked, tag, flags, path, hints=()):
         self.text, self.linked, self.tag, self.flags, self.path = text, linked, tag, flags, path
+        self.hints = hints  # (number of element, flag) of the hints against it, or against what it is in
 
 
 def blocks(page: str | None) -> list[Block]:
     """The page's text blocks in order."""
     page = page or ""
     out: list[Block] = []
-    # open elements: tag, flags of it and all around it, number
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]
+    # open elements: tag, flags of it and all around it, number, hints against it and all around it
+    stack: list[tuple[str, int, int, tuple]] = [("", 0, 0, ())]
     pieces: list[str] = []
     linked, links, number, at = 0, 0, 0, 0
     closed: set[int] | None = None
@@ -137,9 +160,9 @@ def blocks(page: str | None) -> list[Block]:
             text = " ".join(htmllib.unescape("".join(pieces)).split())
             if text:
                 holders = [e for e in stack if e[0] in _BLOCK or e[2] == 0]
-                tag, flags, _ = holders[-1]
+                tag = holders[-1][0]
                 parent = holders[:-1] if tag in ("p", "li") or tag[:1] == "h" and tag[1:].isdigit() else holders
-                out.append(Block(text, min(1.0, linked / len(text)), tag, stack[-1][1], tuple(e[2] for e in parent)))
+                out.append(Block(text, min(1.0, linked / len(text)), tag, stack[-1][1], tuple(e[2] for e in parent), stack[-1][3]))
             pieces.clear()
         linked = 0
 
@@ -219,13 +242,38 @@ def blocks(page: str | None) -> list[Block]:
             pieces.append("" if tag == "wbr" else " ")
         if tag not in _VOID and not (tag not in _BLOCK and m[3].rstrip().endswith("/")):
             number += 1
-            stack.append((tag, stack[-1][1] | _flags(tag, m[3]), number))
+            flags = _flags(tag, m[3])
+            hints = tuple((number, name) for name in HINTS if flags & BIT[name])
+            stack.append((tag, stack[-1][1] | flags, number, stack[-1][3] + hints))
             links += tag == "a"
     flush()
     return out
 
 
-def score(b: Block, has_article: bool) -> float:
+def _marked(b: Block) -> bool:
+    return bool(b.flags & _MARKED or b.flags & BIT["header"] and not b.flags & BIT["article"])
+
+
+def hint_strengths(found: list[Block]) -> dict[tuple[int, str], float]:
+    """By hint, how far it holds: the less, the more of the text that no tag marks and no
+    other hint denies stands in its element."""
+    within: dict[tuple[int, str], int] = {}
+    free = 0
+    for b in found:
+        if _marked(b):
+            continue
+        if not b.hints:
+            free += len(b.text) * (BESIDE_ARTICLE if b.flags & (BIT["article"] | BIT["main"]) else 1)
+        for h in b.hints:
+            within[h] = within.get(h, 0) + len(b.text)
+    out = {}
+    for h in {h for b in found for h in b.hints}:
+        share = within.get(h, 0) / (within.get(h, 0) + free + BESIDES)
+        out[h] = min(1.0, max(0.0, (GONE - share) / (GONE - FULL)))
+    return out
+
+
+def score(b: Block, has_article: bool, strengths: dict[tuple[int, str], float]) -> float:
     """Content score of a block: positive for content."""
     w, flags, text = WEIGHTS, b.flags, b.text
     s = w["bias"] + w["words"] * min(text.count(" ") + 1, 25) / 25 + w["links"] * b.linked
@@ -238,9 +286,11 @@ def score(b: Block, has_article: bool) -> float:
     elif b.tag in ("li", "td", "th", "dt"):
         s += w["item"]
     inside = flags & (BIT["article"] | BIT["main"])
-    for name in ("article", "main", "good", "nav", "footer", "aside", "form", "bad", "comments"):
+    for name in ("article", "main", "good", "nav", "footer", "aside", "form"):
         if flags & BIT[name]:
             s += w[name]
+    for name in HINTS:
+        s += w[name] * max((strengths[h] for h in b.hints if h[1] == name), default=0.0)
     if flags & BIT["header"] and not flags & BIT["article"]:
         s += w["header"]
     if has_article and not inside:
@@ -337,7 +387,8 @@ def main_text(page: str | None) -> str:
     if not found:
         return ""
     has_article = any(b.flags & (BIT["article"] | BIT["main"]) for b in found)
-    keep = minimum_cut([score(b, has_article) for b in found], smoothness(found))
+    strengths = hint_strengths(found)
+    keep = minimum_cut([score(b, has_article, strengths) for b in found], smoothness(found))
     return "\n".join(b.text for b, k in zip(found, keep) if k)
 
 

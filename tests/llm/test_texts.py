@@ -83,6 +83,37 @@ def test_main_text_of_pages(spark):
     assert html_text.extract(empty(spark, PAGES)).count() == 0
 
 
+ARTICLE = "".join(f"<p>{prose(k, 12).capitalize()}.</p>" for k in range(700, 706))
+
+
+@pytest.mark.parametrize("open_tags", [
+    "<div class='site has-sidebar'><article>", "<article class='post tag-social'>", "<div class=no-ads><article>",
+    "<body class='comments-open'><article>", "<html class=discussion><body><article>", "<div class=comments-closed><div><article>",
+    "<div title='Hidden costs'><article>", "<div data-url='/hidden-gems/1'><article>", "<div data-hidden='false'><article>",
+    "<div class='layout-sidebar'><article>", "<article class='social'>", "<main id=promo>", "<div class='menu comments'><main>",
+    "<div class=discussion>", "<div data-x='role=navigation' data-class=ad><article>"])
+def test_names_around_an_article_do_not_veto_it(open_tags):
+    want = [prose(k, 12).capitalize() + "." for k in range(700, 706)]
+    page = f"<nav><a href=/>Home</a></nav>{open_tags}{ARTICLE}</article></main></div><footer>Imprint</footer>"
+    assert html_text.main_text(page).split("\n") == want
+
+
+@pytest.mark.parametrize("name", ["class=sidebar", "class='box site-sidebar'", "id=comments", "CLASS = \"ad-banner\"", "hidden",
+                                  "style='display: none'", "aria-hidden=true", "class=is-hidden", "class='comment-list'"])
+def test_names_of_lesser_elements_still_tell(name):
+    want = [prose(k, 12).capitalize() + "." for k in range(700, 706)]
+    for rest in ("<p>A paragraph of some more words, that are not of the text.</p>", f"<article>{prose(9, 25)}.</article>"):
+        for page in (f"<main><article>{ARTICLE}</article><div {name}>{rest}</div></main>", f"{ARTICLE}<div {name}>{rest}</div>"):
+            if not (page.startswith("<p>") and "<article>" in rest):  # the only article of the page
+                assert html_text.main_text(page).split("\n") == want, page
+
+
+def test_comments_may_be_longer_than_the_article():
+    comments = "".join(f"<article><p>{prose(k, 12)}.</p></article>" for k in range(800, 840))
+    page = f"<main><article>{ARTICLE}</article><section id=comments>{comments}</section></main>"
+    assert html_text.main_text(page).split("\n") == [prose(k, 12).capitalize() + "." for k in range(700, 706)]
+
+
 @pytest.mark.parametrize("tag", "noscript svg object canvas audio video select button template".split())
 def test_unclosed_elements_end_at_a_block_or_with_their_parent(tag):
     body = "<article><p>First paragraph of the text.</p><p>Second paragraph of the text.</p></article>"
