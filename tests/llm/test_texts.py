@@ -250,6 +250,18 @@ def test_blocks_round_trip_alone_and_together():
     assert (rangecoder.decode_blocks(lone, rangecoder.encode_blocks(lone, [two]), [7])[0] == two).all()
 
 
+def test_blocks_are_long_enough_for_contexts_to_come_again():
+    rng = np.random.default_rng(5)
+    step = rng.integers(0, 300, (300, 2))
+    ids = [0]
+    for turn in rng.integers(0, 2, 16383):
+        ids.append(int(step[ids[-1], turn]))
+    ids = np.array(ids)
+    tree = rangecoder.Tree.of_counts(*np.unique(ids, return_counts=True))
+    size = lambda n: sum(map(len, rangecoder.encode_blocks(tree, [ids[i:i + n] for i in range(0, len(ids), n)])))
+    assert size(tokenout.BLOCK) < 0.9 * size(1024)
+
+
 def test_frames_tell_damage():
     data = tokenout.frame(np.array([5, 6, 7]), b"payload", 10, 4, [(None, 1, False, True), (-3, 2, True, False)])
     assert tokenout.parse(data)[4] == [(None, 1, False, True), (-3, 2, True, False)]
