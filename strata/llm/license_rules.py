@@ -3,8 +3,10 @@
 A rule has a keyword that any text it matches contains, a regex, a label, a
 priority and a confidence. Most rules come from the families below: each
 name and version gives a bare-name rule, a versioned rule, a notice ("licensed
-under the ...") and an identifier rule; the rest are sentences of the licenses'
-own texts.
+under the ...") and an identifier rule; so do the short names, where the GNU
+licenses also have "only" and "or later"; the rest are sentences of the licenses'
+own texts. Only these sentences are written by hand, rule by rule. A "+" after a
+version is no word and not seen: GPLv2+ is labelled as GPLv2.
 """
 
 from __future__ import annotations
@@ -75,6 +77,22 @@ FAMILIES = [
     ("mulan", "mulan", "mulan permissive software licen[cs]e", ["1", "2"]),
     ("beerware", "beerware", "beerware(?: licen[cs]e)?", []),
 ]
+# Short names as label, keyword, name (regex), versions, and whether the name alone is one.
+SHORT = [
+    ("agpl", "agpl", "(?:gnu )?agpl", ["1", "3"], True),
+    ("lgpl", "lgpl", "(?:gnu )?lgpl", ["2", "2 1", "3"], True),
+    ("gpl", "gpl", "(?:gnu )?gpl", ["1", "2", "3"], True),
+    ("gfdl", "fdl", "(?:gnu fdl|(?:gnu )?gfdl)", ["1 1", "1 2", "1 3"], True),
+    ("apache", "apache", "apache", ["1 0", "1 1", "2 0"], False),
+    ("mpl", "mpl", "(?:mozilla )?mpl", ["1 0", "1 1", "2 0"], False),
+    ("epl", "epl", "(?:eclipse )?epl", ["1 0", "2 0"], False),
+    ("cddl", "cddl", "cddl", ["1 0", "1 1"], True),
+    ("eupl", "eupl", "eupl", ["1 0", "1 1", "1 2"], True),
+    ("sspl", "sspl", "sspl", ["1"], True),
+]
+GNU = ("gpl", "lgpl", "agpl", "gfdl")
+# Labels whose name is also said as "MIT licensed".
+LICENSED = ("mit", "apache", "bsd", "isc", "zlib", "x11", "postgresql")
 # The Creative Commons variants as label, long name, short name; and their versions.
 COMMONS = [
     ("cc-by", "attribution", "by"),
@@ -113,11 +131,14 @@ SENTENCES = [
 # Words of a notice before the license's name, and of a version.
 NOTICE = "(?:licen[cs]ed|released|distributed|available|provided|published|covered|redistributed) (?:to you )?under (?:the )?(?:terms of (?:the )?)?"
 VERSION = "(?: (?:version|v))? v?"
-LATER = "(?: of the licen[cs]e)? or (?:at your option )?any later version"
-# A text with none of these (letter case aside) matches no rule, and only the base phrase of PAIR.
+SHORT_VERSION = "(?: (?:licen[cs]e )?(?:version|v))? ?v?"
+LATER = "(?: of the licen[cs]e)? or (?:(?:at your option )?any later version|later)"
+ONLY = "(?: of the licen[cs]e)? only"
+# A text with none of these (letter case aside) matches no rule, and needs the regex of one of PAIRS.
 GATE = ("licen cc0 copyleft wtf unencumbered domain reserved proprietary warranty beerware cecill creative bsd software "
-        "plainly fuck hereby redistribution endorse agreement verbatim").split()
-PAIR = ("cc", r"(?i)cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by")
+        "plainly fuck hereby redistribution endorse agreement verbatim gpl fdl apache cddl eupl sspl").split()
+PAIRS = [("cc", r"(?i)cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"),
+         ("mpl", r"(?i)(?<![0-9a-z])mpl(?:v?[0-9]|(?![a-z]))"), ("epl", r"(?i)(?<![0-9a-z])epl(?:v?[0-9]|(?![a-z]))")]
 
 
 @dataclass(frozen=True)
@@ -129,22 +150,41 @@ class Rule:
     confidence: float
 
 
-def _family(label: str, keyword: str, name: str, versions: list[str]) -> list[Rule]:
-    out = [Rule(label, keyword, name, 1, 0.7), Rule(label, keyword, NOTICE + name, 2, 0.9)]
+def _version(label: str, version: str) -> tuple[str, str]:
+    """The label of a version, and its words (regex)."""
+    words = version if " " in version else f"{version}(?: 0)?"
+    return f"{label}-{version.replace(' ', '.') if ' ' in version else version + '.0'}", words
+
+
+def _gnu(label: str, keyword: str, name: str, priority: int) -> list[Rule]:
+    """The rules of a GNU license's version (label, name) that is the only one, or the first of several."""
+    return [Rule(f"{label}-or-later", keyword, name + LATER, priority, 1.0), Rule(f"{label}-only", keyword, name + ONLY, priority, 1.0)]
+
+
+def _family(label: str, keyword: str, name: str, versions: list[str], version: str = VERSION, alone: bool = True) -> list[Rule]:
+    out = ([Rule(label, keyword, name, 1, 0.7)] if alone else []) + [Rule(label, keyword, NOTICE + name, 2, 0.9)]
+    if label in LICENSED and name.endswith(" licen[cs]e"):
+        out.append(Rule(label, keyword, name + "d", 1, 0.7))
     for v in versions:
-        dotted, words = v.replace(" ", "."), v if " " in v else f"{v}(?: 0)?"
-        dotted = dotted if "." in dotted else f"{dotted}.0"
-        out += [Rule(f"{label}-{dotted}", keyword, name + VERSION + words, 3, 0.95),
-                Rule(f"{label}-{dotted}", keyword, NOTICE + name + VERSION + words, 4, 1.0)]
-        if label in ("gpl", "lgpl", "agpl"):
-            out.append(Rule(f"{label}-{dotted}-or-later", keyword, name + VERSION + words + LATER, 5, 1.0))
+        full, words = _version(label, v)
+        # the end of a short name's version is no place inside a longer number
+        words += "" if version == VERSION else "(?! [0-9])"
+        out += [Rule(full, keyword, name + version + words, 3, 0.95),
+                Rule(full, keyword, NOTICE + name + version + words, 4, 1.0)]
+        if label in GNU:
+            out += _gnu(full, keyword, name + version + words, 5)
     return out
 
 
 def _identifiers(label: str, versions: list[str]) -> list[Rule]:
-    stem = label.replace("-", " ")
-    return [Rule(f"{label}-{v.replace(' ', '.')}" if v else label, "spdx", f"spdx licen[cs]e identifier {stem}{' ' + v if v else ''}",
-                 6 if v else 5, 1.0) for v in [*versions, ""]]
+    stem = f"spdx licen[cs]e identifier {label.replace('-', ' ')}"
+    out = [Rule(label, "spdx", stem, 5, 1.0)]
+    for v in versions:
+        full, words = _version(label, v)
+        out.append(Rule(full, "spdx", f"{stem} {words}", 6, 1.0))
+        if label in GNU:
+            out += _gnu(full, "spdx", f"{stem} {words}", 7)
+    return out
 
 
 def rules() -> list[Rule]:
@@ -152,6 +192,8 @@ def rules() -> list[Rule]:
     out = []
     for label, keyword, name, versions in FAMILIES:
         out += _family(label, keyword, name, versions) + _identifiers(label, versions)
+    for label, keyword, name, versions, alone in SHORT:
+        out += _family(label, keyword, name, versions, SHORT_VERSION, alone)
     for label, long, short in COMMONS:
         out += _family(label, "creative commons", f"creative commons {long}(?: international)?(?: licen[cs]e)?", COMMONS_VERSIONS)
         out += _family(label, "cc by", f"cc {short}", COMMONS_VERSIONS) + _identifiers(label, COMMONS_VERSIONS)

@@ -23,7 +23,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.license_rules import GATE, PAIR, Rule, rules
+from strata.llm.license_rules import GATE, PAIRS, Rule, rules
 
 #: A word, a run of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]``: written by what it holds and without
 #: backtracking, which Java matches several times faster; and the same before capitals are made small.
@@ -97,7 +97,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     table = F.from_json(F.lit(json.dumps([r.__dict__ for r in every_rule])), RULE_TYPE)
     keywords = F.array(*[F.lit(k) for k in sorted({r.keyword for r in every_rule})])
     low = F.lower(text)
-    gate = F.contains(low, F.lit(PAIR[0])) & text.rlike(PAIR[1])
+    gate = F.lit(False)
+    for word, regex in PAIRS:
+        gate = gate | F.contains(low, F.lit(word)) & text.rlike(regex)
     for word in [*GATE, *sorted({r.keyword for r in extra or []})]:
         gate = F.contains(low, F.lit(word)) | gate
     # ``extra`` rules must hold a keyword as one piece of the text, like those of the library

@@ -235,6 +235,25 @@ def test_license_scan_matches_brute_force(spark):
 
 # --- token output ---------------------------------------------------------------
 
+def test_short_names_and_identifiers(spark):
+    want = {"GPLv2": "gpl-2.0", "GNU GPL": "gpl", "LGPL 2.1": "lgpl-2.1", "AGPLv3": "agpl-3.0", "MPL 2.0": "mpl-2.0", "Apache 2.0": "apache-2.0",
+            "MIT licensed": "mit", "MPLv2.0": "mpl-2.0", "EPL-2.0": "epl-2.0", "GPL v3 or later": "gpl-3.0-or-later",
+            "released under the MPL": "mpl", "LGPL-2.1-only": "lgpl-2.1-only", "GNU GPL version 2": "gpl-2.0", "CDDL": "cddl",
+            "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0-or-later", "SPDX-License-Identifier: AGPL-3.0-only": "agpl-3.0-only",
+            "SPDX-License-Identifier: GPL-2.0": "gpl-2.0", "SPDX-License-Identifier: MIT": "mit", "GNU Lesser General Public License v2.1 only": "lgpl-2.1-only",
+            "for example a simple reply": "", "the apache 2.0.55 server": "", "replication": "", "a MPL": ""}
+    docs = spark.createDataFrame([(k, f"x {t}, y", "en", "a", 1) for k, t in enumerate(want)], DOCS)
+    got = {r["doc_id"]: r["labels"] for r in license_scan.scan(docs).collect()}
+    assert {t: got[k] for k, t in enumerate(want)} == want
+
+
+def test_gate_admits_what_any_rule_matches():
+    for label, keyword, *_ in license_rules.SHORT:
+        assert any(w in keyword for w in license_rules.GATE) or any(
+            w == keyword and all(re.search(rx, t) for t in (w, f"{w}v2.0", f"x {w.upper()}-2", f"{w}2 x"))
+            for w, rx in license_rules.PAIRS)
+
+
 def test_blocks_round_trip_alone_and_together():
     rng = np.random.default_rng(2)
     ids = (rng.zipf(1.3, 9000) % 700).astype(np.int64)
