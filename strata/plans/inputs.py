@@ -309,14 +309,15 @@ def envelope_lines(payloads: DataFrame, get: str, page) -> DataFrame:
 
 def write_envelopes(spark: SparkSession, d: str, out: str) -> dict:
     """Newline-delimited envelope files for every entity, derived from the
-    driver tables: fixtures before and after kickoff, league documents and those
-    re-sent (100 ids per page; one standings table per page). Records of one
+    driver tables: fixtures before and after kickoff, team and league documents and
+    those re-sent (100 ids per page; one standings table per page). Records of one
     run share their load time; the later position in a page is the newer one."""
     out = out.rstrip("/")
     sets = {
         "fixtures": envelope_lines(fixture_bronze(spark, d, 1).unionByName(fixture_bronze(spark, d, 2)), "fixtures",
                                    F.expr("(id - 1) div 200")),
-        "teams": envelope_lines(team_bronze(spark, d, 1), "teams", F.expr("(id - 1) div 200")),
+        "teams": envelope_lines(team_bronze(spark, d, 1).unionByName(team_bronze(spark, d, 2)), "teams",
+                                F.expr("(id - 1) div 200")),
         "leagues": envelope_lines(league_bronze(spark, d), "leagues", F.expr("(id - 1) div 200")),
         "standings": envelope_lines(standing_bronze(spark, d), "standings", F.col("id")),
     }

@@ -273,6 +273,22 @@ def test_line_delimited_envelopes(spark, tmp_path):
     assert by_team[1] < by_team[2] and by_team[3] < by_team[4]
 
 
+def test_resent_teams_overwrite_in_an_end_to_end_run(spark, tmp_path):
+    from strata.plans import inputs
+    d = "/root/testdata/sf0.001"
+    paths = inputs.write_envelopes(spark, d, str(tmp_path / "envelopes"))
+    run_pipeline(spark, paths, str(tmp_path / "lake"), dt.datetime(2024, 1, 1, 6, 0),
+                 calendar=("1990-01-01", "2005-12-31"), line_delimited=True)
+    store = LayerStore(spark, str(tmp_path / "lake"))
+    sent = spark.read.parquet(f"{d}/customer.parquet")
+    resent = {r["c_custkey"] for r in sent.filter("c_mktsegment = 'BUILDING'").collect()}
+    teams = {r["team_id"]: r for r in store.read("silver", "teams").collect()}
+    assert resent and len(teams) == sent.count()
+    assert all((r["founded"] is None and r["name"] == r["name"].upper()) == (k in resent) for k, r in teams.items())
+    venues = store.read("silver", "venues").collect()
+    assert all(r["capacity"] == r["team_id"] + 1000 + (r["team_id"] in resent) for r in venues)
+
+
 def test_vacuum_keeps_newest_versions(spark, tmp_path):
     store = LayerStore(spark, str(tmp_path / "lake"))
     df = spark.createDataFrame([(1,)], "x int")
