@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from strata.llm import link_trust, mixing, sharding
+from strata.llm import link_trust, merkle, mixing, sharding
 from strata.llm.common import ROUNDS
 
 _BLANK = r"[^\x20\x09-\x0D]+"
@@ -24,17 +24,23 @@ def _feistel(value: str, n: str, seed: str) -> str:
     return f"(SELECT l + a * r FROM {inner} q)"
 
 
+#: The checksum is worked out byte by byte, with this table of 256 numbers.
+_CRC_TABLE = ("list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, _: "
+              "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
+
+
+def _crc32(text: str) -> str:
+    return (f"xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT), "
+            "lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295)")
+
+
 def sharding_sql() -> str:
-    """The checksum is worked out byte by byte; the walk back into the range is a recursion."""
-    table = ("list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, _: "
-             "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))")
+    """The walk back into the range is a recursion."""
     return f"""
-WITH RECURSIVE crc_table AS (SELECT {table} AS t),
+WITH RECURSIVE crc_table AS (SELECT {_CRC_TABLE} AS t),
 raw AS (SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, coalesce(text, '') AS text FROM documents),
 digest AS (
-  SELECT doc_id, size, CASE WHEN text = '' THEN 0::BIGINT ELSE xor(list_reduce(
-      [4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT),
-      lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) END::BIGINT AS text_crc32
+  SELECT doc_id, size, CASE WHEN text = '' THEN 0::BIGINT ELSE {_crc32('text')} END::BIGINT AS text_crc32
   FROM raw, crc_table),
 numbered AS (
   SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS n, count(*) OVER () AS total FROM digest),
@@ -142,8 +148,53 @@ FROM judged j LEFT JOIN verdicts v ON j.host = v.host
 """
 
 
+def manifest_sql() -> str:
+    """Levels by recursion; a node's siblings are its neighbours in a window over its run of three."""
+    part = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(part(c) for c in merkle.LEAF_COLUMNS[:-1])
+    sides = """coalesce(lag(digest, 2) OVER r, '') || coalesce(lag(digest) OVER r, '') AS l,
+         coalesce(lead(digest) OVER r, '') || coalesce(lead(digest, 2) OVER r, '') AS r"""
+    return f"""
+WITH RECURSIVE crc_table AS (SELECT {_CRC_TABLE} AS t),
+raw AS (SELECT *, coalesce({_crc32('doc_id::VARCHAR')} % 2 = 0, false) AS hit FROM documents, crc_table),
+leaves AS (
+  SELECT doc_id, source, sha256({head} || {part('text')}) AS leaf,
+         sha256({head} || CASE WHEN hit THEN {part("replace(text, chr(10), '')")} ELSE {part('text')} END) AS shown FROM raw),
+placed AS (
+  SELECT *, row_number() OVER () AS line, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS width, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS level, pos, width, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, (any_value(width) + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE width > 1 GROUP BY tree, level, pos // 3),
+roots AS (SELECT tree AS pos, digest, count(*) OVER () AS width FROM nodes WHERE width = 1),
+tops AS (
+  SELECT 0 AS level, pos, width, digest FROM roots
+  UNION ALL
+  SELECT level + 1, pos // 3, (any_value(width) + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM tops WHERE width > 1 GROUP BY level, pos // 3),
+sides AS (SELECT tree, level, pos, {sides} FROM nodes WINDOW r AS (PARTITION BY tree, level, pos // 3 ORDER BY pos)),
+top_sides AS (SELECT level, pos, {sides} FROM tops WINDOW r AS (PARTITION BY level, pos // 3 ORDER BY pos)),
+up AS (
+  SELECT line, tree, 0 AS level, pos, width, shown AS folded, '' AS proof FROM placed
+  UNION ALL
+  SELECT line, u.tree, u.level + 1, u.pos // 3, (width + 2) // 3, sha256(l || folded || r), proof || l || r
+  FROM up u JOIN sides s ON s.tree = u.tree AND s.level = u.level AND s.pos = u.pos WHERE width > 1),
+over AS (
+  SELECT line, 0 AS level, tree AS pos, (SELECT count(*) FROM roots) AS width, folded, proof FROM up WHERE width = 1
+  UNION ALL
+  SELECT line, o.level + 1, o.pos // 3, (width + 2) // 3, sha256(l || folded || r), proof || l || r
+  FROM over o JOIN top_sides s ON s.level = o.level AND s.pos = o.pos WHERE width > 1),
+whole AS (SELECT digest AS root FROM tops WHERE width = 1)
+SELECT p.doc_id, p.leaf, roots.digest AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM placed p JOIN over o ON o.line = p.line AND o.width = 1 JOIN roots ON roots.pos = p.tree, whole
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_link_trust": link_trust_sql(),
     "op2_feistel_sharding": sharding_sql(),
     "op4_sainte_lague_mixing": mixing_sql(),
+    "op13_octopus_manifest": manifest_sql(),
 }
