@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontaminate, html_text, license_scan, link_trust, merkle, mixing, rules, sharding, simhash, subword, tokenout
+from strata.llm import decontaminate, html_text, license_scan, link_trust, merkle, mixing, packing, rules, search, sharding, simhash, subword, tokenout
 from strata.llm.common import table
 
 
@@ -51,6 +51,15 @@ def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
                                       table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op11_length_stratified_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = search.build(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return search.search(index, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op12_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(table(spark, sf_dir, "documents", "doc_id", "text"), with_ids=False)
+
+
 def op13_octopus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", *merkle.LEAF_COLUMNS)
     return merkle.prove(merkle.build(docs, merkle.without_line_ends()), with_proofs=False)
@@ -67,5 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_context_mixing_ids": op8_context_mixing_ids,
     "op9_subword_classifier": op9_subword_classifier,
     "op10_spaced_seed_decontamination": op10_spaced_seed_decontamination,
+    "op11_length_stratified_search": op11_length_stratified_search,
+    "op12_hilbert_packing": op12_hilbert_packing,
     "op13_octopus_manifest": op13_octopus_manifest,
 }
