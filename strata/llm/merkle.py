@@ -147,8 +147,10 @@ def build(docs: DataFrame, shown: Column | None = None) -> Manifest:
     spark = docs.sparkSession
     c = [F.col(x) for x in LEAF_COLUMNS]
     leaf = leaf_of(*c)
-    rows = docs.select("doc_id", "source", leaf.alias("leaf"),
-                       (leaf if shown is None else leaf_of(*c[:-1], shown)).alias("shown"))
+    # another digest only for texts that the proof is shown changed
+    other = F.lit(None).cast("string") if shown is None else F.when(
+        ~shown.eqNullSafe(F.col("text")), leaf_of(*c[:-1], shown))
+    rows = docs.select("doc_id", "source", leaf.alias("leaf"), other.alias("shown"))
     order = [F.col(x).asc_nulls_first() for x in ("source", "doc_id", "leaf")]
     rows = cut(rows.withColumn("tie", F.monotonically_increasing_id()), "manifest-rows")
     placed = cut(rows.repartitionByRange(shuffle_partitions(spark), *order, F.col("tie"))
@@ -166,8 +168,8 @@ def build(docs: DataFrame, shown: Column | None = None) -> Manifest:
     runs = (runs.join(sources.drop("n"), F.col("source").eqNullSafe(F.col("name")))
             .select(F.col("part").alias("p"), F.col("source").alias("s"), "lo", "n", "before", "tree"))
     leaves = cut(placed.join(runs, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
-                 .select("tree", (F.col("before") + F.col("seq") - F.col("lo")).alias("pos"), "n", "doc_id", "leaf", "shown"),
-                 "manifest-leaves")
+                 .select("tree", (F.col("before") + F.col("seq") - F.col("lo")).alias("pos"), "n", "doc_id", "leaf",
+                         F.coalesce("shown", "leaf").alias("shown")), "manifest-leaves")
     count, most = sources.agg(F.count("*"), F.max("n")).first()
     nodes = _tree(leaves.select("tree", "pos", F.col("n").alias("width"), F.col("leaf").alias("digest")), most or 0, "manifest-nodes")
     # a source's root: the one node of its last level, a lone leaf itself
