@@ -1,13 +1,14 @@
 """Operator 4, mixing sources to target weights: Sainte-Lague apportionment.
 
-Every source's words, in document order, are cut into blocks of ``block_words``.
-The mix has ``round(all words / block_words)`` block seats. Seats go to sources
-by the highest quotients ``target / (2k + 1)``; the seats of output shard ``i``
-are those that the same rule gives between house sizes ``M*(i-1)/shards`` and
-``M*i/shards`` (the rule never takes a seat back when the house grows), which
-makes the integer quotas per shard. A source then fills its seats with whole
-passes over its blocks and, for the rest, with the blocks that a seeded
-permutation puts first.
+Every source's words, in document order, are cut into blocks of equal size, ``block_words``
+or one less; a source of fewer than ``LEAST_BLOCKS`` such blocks has smaller ones (down to a
+word), so that a few words come as near their target as many do. A source claims its target
+in blocks of its own, ``target * blocks / source_size``, and the mix has as many seats as the
+claims add up to. Seats go to sources by the highest quotients ``claim / (2k + 1)``; the
+seats of output shard ``i`` are those that the same rule gives between house sizes
+``M*(i-1)/shards`` and ``M*i/shards`` (the rule never takes a seat back when the house
+grows), which makes the integer quotas per shard. A source then fills its seats with whole
+passes over its blocks and, for the rest, with the blocks that a seeded permutation puts first.
 
 Targets: sources by code point, null last, weigh 1, 2, 3, repeating; a target
 stops at ``max_epochs`` times the source's words and the excess is shared again
@@ -19,7 +20,8 @@ Defined results
   equal ids: ordered by size and text hash, so reruns agree; repeated rows: each
   has its own words in the source's sequence; empty table or no words at all:
   targets and taken 0; one source: its target is its size; extra columns are
-  carried by ``mixed_documents`` and ignored by ``mix``, whatever their names.
+  carried by ``mixed_documents`` and ignored by ``mix``, whatever their names; very long
+  texts: as many blocks as their words fill, each taken or not for itself.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import WORD, cut, numbered, permute
 
 BLOCK_WORDS = 32
+#: Blocks of a source at least, as far as its words go.
+LEAST_BLOCKS = 64
 SHARDS = 8
 MAX_EPOCHS = 3
 SEED = "strata-mix"
@@ -66,11 +70,14 @@ def targets(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
 
 def quotas(wanted: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS,
            max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """Adds to one row per source: blocks, seats, and quotas (seats per output shard)."""
-    wanted = cut(wanted.withColumn("blocks", F.ceil(F.col("source_size") / block_words).cast("long")), "mix-wanted")
-    s = wanted.agg(F.coalesce(F.sum("target"), F.lit(0.0)).alias("t"), F.count("*").alias("n")).first()
+    """Adds to one row per source: blocks, claim, seats, and quotas (seats per output shard)."""
+    blocks = F.greatest(F.ceil(F.col("source_size") / block_words), F.least(F.col("source_size"), F.lit(LEAST_BLOCKS)))
+    wanted = wanted.withColumn("blocks", blocks.cast("long"))
+    claim = F.when(F.col("source_size") > 0, F.col("target") * F.col("blocks") / F.col("source_size")).otherwise(F.lit(0.0))
+    wanted = cut(wanted.withColumn("claim", claim), "mix-wanted")
+    s = wanted.agg(F.coalesce(F.sum("claim"), F.lit(0.0)).alias("t"), F.count("*").alias("n")).first()
     total, n = s["t"], s["n"]
-    house = max(1, int(total / block_words + 0.5)) if total > 0 else 0
+    house = max(1, int(total + 0.5)) if total > 0 else 0
     cap = F.col("blocks") * max_epochs
     if not house:
         return wanted.withColumn("seats", F.lit(0).cast("long")).withColumn(
@@ -78,18 +85,18 @@ def quotas(wanted: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHAR
     sizes = [house * (i + 1) // shards for i in range(shards)]
     houses = F.explode(F.array(*[F.struct(F.lit(i).alias("shard"), F.lit(m).cast("long").alias("house"))
                                  for i, m in enumerate(sizes)]))
-    rows = wanted.select("rank", "target", houses.alias("h")).select("rank", "target", "h.shard", "h.house")
-    # seats(d) = floor(target / d + 1/2) sums to at most total / d + n / 2 and at least
+    rows = wanted.select("rank", "claim", houses.alias("h")).select("rank", "claim", "h.shard", "h.house")
+    # seats(d) = floor(claim / d + 1/2) sums to at most total / d + n / 2 and at least
     # total / d - n / 2, so the last seat's divisor lies between these two:
     high = F.lit(total) / F.greatest(F.col("house") - n / 2.0, F.lit(0.25))
     low = F.lit(total) / (F.col("house") + n / 2.0)
-    rows = rows.withColumn("sure", F.greatest(F.floor(F.col("target") / high + 0.5) - 1, F.lit(0)).cast("long"))
+    rows = rows.withColumn("sure", F.greatest(F.floor(F.col("claim") / high + 0.5) - 1, F.lit(0)).cast("long"))
     rows = rows.withColumn("sure", F.when(F.col("house") - n / 2.0 < 0.25, F.lit(0).cast("long")).otherwise(F.col("sure")))
-    rows = cut(rows.withColumn("most", (F.floor(F.col("target") / low + 0.5) + 1).cast("long")), "mix-bounds")
+    rows = cut(rows.withColumn("most", (F.floor(F.col("claim") / low + 0.5) + 1).cast("long")), "mix-bounds")
     sure = rows.groupBy("shard").agg(F.sum("sure").alias("given"))
-    near = rows.filter("target > 0").select(
-        "shard", "rank", "target", F.explode(F.sequence(F.col("sure"), F.col("most"))).alias("k"))
-    near = near.withColumn("quotient", F.col("target") / (2 * F.col("k") + 1))
+    near = rows.filter("claim > 0").select(
+        "shard", "rank", "claim", F.explode(F.sequence(F.col("sure"), F.col("most"))).alias("k"))
+    near = near.withColumn("quotient", F.col("claim") / (2 * F.col("k") + 1))
     order = numbered(near, [F.col("shard").asc(), F.col("quotient").desc(), F.col("rank").asc()], name="mix-quotients")
     first = order.groupBy("shard").agg(F.min("_row").alias("_first"))
     per = rows.select("shard", "house").distinct().join(sure, "shard").join(first, "shard")
@@ -108,48 +115,58 @@ def quotas(wanted: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHAR
                 i > 0, F.get(F.col("_ends"), i - 1)).otherwise(F.lit(0)))).drop("_ends", "ends"))
 
 
-def _spans(block_words: int, seed: str) -> Column:
-    """Of a row with size > 0: its spans ``(block, from, words, turn)``, one per block it
-    touches; ``turn`` is the block's place in the seeded order of its source."""
-    first = F.floor(F.col("offset") / block_words)
-    last = F.floor((F.col("offset") + F.col("size") - 1) / block_words)
+def _spans(seed: str) -> Column:
+    """Of a row with size > 0: its spans ``(start, words, turn)``, one per block it touches;
+    ``turn`` is the block's place in the seeded order of its source. The first ``_longer``
+    blocks of a source hold ``_words + 1`` words, the others ``_words``."""
+    words, longer, offset, size = (F.col(c) for c in ("_words", "_longer", "offset", "size"))
+
+    def block_of(w):
+        head = longer * (words + 1)
+        return F.when(w < head, F.floor(w / (words + 1))).otherwise(longer + F.floor((w - head) / words)).cast("long")
+
+    def start_of(b):
+        return b * words + F.least(b, longer)
 
     def span(b):
-        begin = F.greatest(b * block_words, F.col("offset"))
-        end = F.least((b + 1) * block_words, F.col("offset") + F.col("size"))
-        return F.struct((begin - F.col("offset")).alias("start"), (end - begin).alias("words"),
+        begin = F.greatest(start_of(b), offset)
+        end = F.least(start_of(b + 1), offset + size)
+        return F.struct((begin - offset).alias("start"), (end - begin).alias("words"),
                         permute(b, F.col("blocks"), seed).alias("turn"))
-    return F.transform(F.sequence(first, last), span)
+    return F.transform(F.sequence(block_of(offset), block_of(offset + size - 1)), span)
 
 
-def placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep: list[str],
-           block_words: int, shards: int, max_epochs: int, seed: str) -> DataFrame:
-    """Every row with its source's figures and its offset among the source's words."""
+def digests(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
+    """What the plan needs of every row: doc_id, source, size and text hash, and ``more``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(*[F.col(c).alias(f"in_{c}") for c in keep],
-                       F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                       F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-                       F.xxhash64(text).alias("hash"))
-    if not keep:
-        rows = cut(rows, "mix-digest")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                       F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64(text).alias("hash"), *more)
+
+
+def placed(rows: DataFrame, block_words: int, shards: int, max_epochs: int) -> DataFrame:
+    """Every one of ``rows`` (written digests) with its source's figures and its offset among the source's words."""
     per_source = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = quotas(targets(cut(per_source, "mix-sizes"), max_epochs), block_words, shards, max_epochs)
     plan = cut(plan.select("source", "source_size", "target", "source_start", "blocks", "seats", "quotas"), "mix-plan")
     order = [F.col("source").asc_nulls_last(), "doc_id", "size", "hash"]
     at = numbered(rows, order, {"_before": "size"}, "mix-rows")
     joined = at.alias("a").join(plan.alias("p"), F.col("a.source").eqNullSafe(F.col("p.source")))
+    some = F.col("blocks") > 0
     return (joined.drop(F.col("p.source"))
             .withColumn("offset", F.col("_before") - F.col("source_start"))
-            .withColumn("passes", F.when(F.col("blocks") > 0, F.floor(F.col("seats") / F.col("blocks"))).otherwise(F.lit(0)))
-            .withColumn("rest", F.when(F.col("blocks") > 0, F.col("seats") % F.col("blocks")).otherwise(F.lit(0))))
+            .withColumn("_words", F.when(some, F.expr("source_size div blocks")).otherwise(F.lit(0)))
+            .withColumn("_longer", F.when(some, F.col("source_size") % F.col("blocks")).otherwise(F.lit(0)))
+            .withColumn("passes", F.when(some, F.expr("seats div blocks")).otherwise(F.lit(0)))
+            .withColumn("rest", F.when(some, F.col("seats") % F.col("blocks")).otherwise(F.lit(0))))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         block_words: int = BLOCK_WORDS, shards: int = SHARDS, max_epochs: int = MAX_EPOCHS,
         seed: str = SEED) -> DataFrame:
     """doc_id, size, source_size, target, taken for every row; seats and blocks of its source follow."""
-    at = placed(docs, id_col, text_col, source_col, [], block_words, shards, max_epochs, seed)
-    part = F.aggregate(_spans(block_words, seed), F.lit(0).cast("long"),
+    rows = cut(digests(docs, id_col, text_col, source_col), "mix-digest")
+    at = placed(rows, block_words, shards, max_epochs)
+    part = F.aggregate(_spans(seed), F.lit(0).cast("long"),
                        lambda s, x: s + F.when(x["turn"] < F.col("rest"), x["words"]).otherwise(F.lit(0)))
     part = F.when((F.col("size") > 0) & (F.col("rest") > 0), part).otherwise(F.lit(0))
     return at.select("doc_id", "size", "source_size", "target",
@@ -166,10 +183,14 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     white space before it), if there are any. ``chars_col``, if given, is set to the
     text's length."""
     names = docs.columns
-    at = placed(docs, id_col, text_col, source_col, names, block_words, shards, max_epochs, seed)
+    whole = cut(digests(docs, id_col, text_col, source_col, F.monotonically_increasing_id().alias("_line"),
+                        *[F.col(c).alias(f"in_{c}") for c in names]), "mix-texts")
+    # numbers alone are sorted and planned; the texts then meet the numbers of their rows
+    at = placed(whole.select("doc_id", "source", "size", "hash", "_line"), block_words, shards, max_epochs)
     pieces = F.regexp_extract_all(F.col(f"in_{text_col}"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    chosen = F.filter(_spans(block_words, seed), lambda x: x["turn"] < F.col("rest"))
+    chosen = F.filter(_spans(seed), lambda x: x["turn"] < F.col("rest"))
     at = at.withColumn("_spans", F.when((F.col("size") > 0) & (F.col("rest") > 0), chosen))
+    at = at.select("_line", "size", "passes", "_spans").join(whole.select("_line", *[f"in_{c}" for c in names]), "_line")
     part = F.array_join(F.flatten(F.transform("_spans", lambda x: F.slice(
         F.col("_pieces"), (x["start"] + 1).cast("int"), x["words"].cast("int")))), "")
     at = at.withColumn("_pieces", F.when(F.size(F.coalesce("_spans", F.array())) > 0, pieces))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import mixing, sharding
 from strata.llm.common import numbered, permute
-from tests.llm.frames import corner_rows, corners, empty, prose
+from tests.llm.frames import DOCS, corner_rows, corners, empty, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -82,29 +82,43 @@ def test_mix_meets_targets_and_brute_force_quotas(spark):
         assert r["source_size"] == sizes[r["source"]] and 0 <= r["taken"] <= 3 * r["size"]
         assert r["target"] == pytest.approx(want[r["source"]])
         taken[r["source"]] += r["taken"]
-    house = max(1, int(sum(want.values()) / 16 + 0.5))
-    seats = brute_seats(want, house)
+    blocks = {s: max(-(-n // 16), min(n, 64)) for s, n in sizes.items()}
+    claims = {s: want[s] * blocks[s] / sizes[s] if sizes[s] else 0.0 for s in sizes}
+    seats = brute_seats(claims, max(1, int(sum(claims.values()) + 0.5)))
     for s in sizes:
-        blocks = -(-sizes[s] // 16)
-        got = next(r["seats"] for r in rows if r["source"] == s)
-        assert got == min(seats[s], 3 * blocks)
-        assert abs(taken[s] - want[s]) <= 3 * 16
+        assert next(r["seats"] for r in rows if r["source"] == s) == min(seats[s], 3 * blocks[s])
+        assert abs(taken[s] - want[s]) <= 0.05 * want[s]
     again = mixing.mix(corners(spark), block_words=16).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
 
 
 def test_quotas_of_shards_add_up(spark):
-    target = {"a": 500.0, "b": 250.0, "c": 249.0, "d": 1.0}
+    target = {"a": 5000.0, "b": 2500.0, "c": 2490.0, "d": 10.0}
     df = spark.createDataFrame([(s, int(3 * t), k, t) for k, (s, t) in enumerate(target.items())],
                                "source string, source_size long, rank long, target double")
     rows = {r["source"]: r for r in mixing.quotas(df, block_words=10, shards=8).collect()}
+    claims = {s: r["claim"] for s, r in rows.items()}
+    assert {s: r["blocks"] for s, r in rows.items()} == {"a": 1500, "b": 750, "c": 747, "d": 30}
+    house = int(sum(claims.values()) + 0.5)
     for s, r in rows.items():
         assert sum(r["quotas"]) == r["seats"] and min(r["quotas"]) >= 0
     upto = Counter()
     for i in range(8):
         for s in target:
             upto[s] += rows[s]["quotas"][i]
-        assert upto == brute_seats(target, 100 * (i + 1) // 8)
+        assert upto == brute_seats(claims, house * (i + 1) // 8)
+
+
+@pytest.mark.parametrize("small, want", [((40, 4, 50), (120, 12, 150)), ((1, 33, 31), (3, 99, 93))])
+def test_small_sources_reach_their_targets(spark, small, want):
+    rows = [(0, prose(0, 5000), "en", "z", 1)] + [(k + 1, prose(k, n), "en", "abc"[k], 1) for k, n in enumerate(small)]
+    got = {r["source"]: r for r in mixing.mix(spark.createDataFrame(rows, DOCS)).collect()}
+    for s, n in zip("abc", want):
+        assert got[s]["target"] == n and abs(got[s]["taken"] - n) <= 0.05 * n
+    rest = 5000 + sum(small) - sum(want)
+    assert got["z"]["target"] == rest and abs(got["z"]["taken"] - rest) <= 0.05 * rest
+    mixed = {r["doc_id"] for r in mixing.mixed_documents(spark.createDataFrame(rows, DOCS)).collect()}
+    assert mixed == {0, 1, 2, 3}
 
 
 def test_mixed_documents_hold_the_taken_words(spark):
