@@ -17,13 +17,16 @@ Defined results
   null, empty and blank texts: no features, the score is that of the bias;
   no labels: 0.5 for all; one label only: its smoothed share; null ids: held
   out; repeated rows: the same score each; empty table: no rows; extra columns
-  are ignored (``accepted`` keeps them).
+  are ignored (``accepted`` keeps them); very long texts: scored whole, and learned from
+  whole; ties: equal texts have equal scores, and a score equal to the threshold is accepted;
+  of several texts under one labelled id the one of the least hash is learned from.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -125,16 +128,38 @@ class Words:
         return bucket.astype(np.int64), np.bincount(place, weight, len(bucket))
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray, int]], share: float, epochs: int = EPOCHS,
-          rate: float = RATE, seed: int = 11) -> tuple[np.ndarray, float]:
+@dataclass
+class Bags:
+    """The features of all learned documents in flat arrays: those of document ``i`` lie from
+    ``ends[i]`` to ``ends[i + 1]``."""
+    labels: np.ndarray
+    ends: np.ndarray
+    buckets: np.ndarray
+    times: np.ndarray
+
+    @classmethod
+    def of(cls, parts: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> Bags:
+        """From one (label, buckets, times) a document."""
+        labels, ends, buckets, times = [], [0], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+        for label, own, n in parts:
+            labels.append(label)
+            ends.append(ends[-1] + len(own))
+            buckets.append(np.asarray(own, np.int32))
+            times.append(np.asarray(n, np.float32))
+        return cls(np.array(labels, np.int64), np.array(ends), np.concatenate(buckets), np.concatenate(times))
+
+
+def train(bags: Bags, share: float, epochs: int = EPOCHS, rate: float = RATE, seed: int = 11) -> tuple[np.ndarray, float]:
     """Score of each bucket and the bias, whose mean and sum give the log odds of label 1."""
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
     out, bias = np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32)
-    total, step = epochs * len(bags), 0
+    documents = len(bags.labels)
+    total, step = epochs * documents, 0
     for _ in range(epochs):
-        for i in rng.permutation(len(bags)):
-            bucket, times, label = bags[i]
+        for i in rng.permutation(documents):
+            own = slice(bags.ends[i], bags.ends[i + 1])
+            bucket, times, label = bags.buckets[own], bags.times[own], bags.labels[i]
             lr, step = rate * (1 - step / total), step + 1
             weight = (times / max(times.sum(), 1)).astype(np.float32)
             mean = weight @ vectors[bucket]
@@ -147,21 +172,28 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], share: float, epochs:
             bias -= lr * 0.1 * p
             # a vector moves by its share of the average, scaled so that rare features learn too
             vectors[bucket] -= lr * np.sqrt(weight)[:, None] * back
-    ones = sum(b[2] for b in bags)
-    drawn = np.log((ones + 1) / (len(bags) - ones + 1))
+    ones = bags.labels.sum()
+    drawn = np.log((ones + 1) / (documents - ones + 1))
     shift = np.log(share / (1 - share)) - drawn
     return vectors @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0] + shift)
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", per_class: int = PER_CLASS) -> tuple[np.ndarray, float]:
-    """Feature scores and bias, learned from at most ``2 * per_class`` labelled documents."""
+    """Feature scores and bias, learned from at most ``2 * per_class`` labelled documents.
+
+    One task trains: it holds the features of that sample (at most ``BUCKETS`` of a document,
+    whatever its length) and returns ``BUCKETS + 1`` numbers, all that the driver sees."""
     spark = docs.sparkSession
     small_batches(spark)
     sample = cut(labelled_sample(labels, per_class, label_col, id_col), "sample")
     texts = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t"))
              .join(F.broadcast(sample), "doc_id")  # at most 2 * per_class ids
              .groupBy("doc_id", "label").agg(F.min_by("t", F.xxhash64("t")).alias("t")))
+    share = (labels.filter(F.col(label_col).isin(0, 1) & ~held_out(id_col)).agg(F.avg(F.col(label_col)).alias("m"),
+                                                                           F.count("*").alias("n")).first())
+    n = share["n"]
+    smoothed = ((share["m"] or 0) * n + 1) / (n + 2)
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Words()
@@ -170,15 +202,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"],
                                 "buckets": [g[0].astype(np.int32) for g in got], "times": [g[1].astype(np.float32) for g in got]})
 
-    got = texts.mapInPandas(bags, "doc_id long, label int, buckets array<int>, times array<float>").toPandas().sort_values("doc_id")
-    share = (labels.filter(F.col(label_col).isin(0, 1) & ~held_out(id_col)).agg(F.avg(F.col(label_col)).alias("m"),
-                                                                           F.count("*").alias("n")).first())
-    n = share["n"]
-    smoothed = ((share["m"] or 0) * n + 1) / (n + 2)
-    if got["label"].nunique() < 2:
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = Bags.of((y, b, t) for pdf in batches for y, b, t in zip(pdf["label"], pdf["buckets"], pdf["times"]))
+        if len(np.unique(got.labels)) == 2:
+            scores, bias = train(got, smoothed)
+            yield pd.DataFrame({"scores": [scores.astype(np.float32).tobytes()], "bias": [bias]})
+
+    bagged = texts.mapInPandas(bags, "doc_id long, label int, buckets array<int>, times array<float>")
+    model = bagged.repartition(1).sortWithinPartitions("doc_id").mapInPandas(learn, "scores binary, bias double").collect()
+    if not model:
         return np.zeros(BUCKETS, np.float32), float(np.log(smoothed / (1 - smoothed)))
-    return train([(np.asarray(b, np.int64), np.asarray(t, np.float32), int(y))
-                  for b, t, y in zip(got["buckets"], got["times"], got["label"])], smoothed)
+    return np.frombuffer(model[0]["scores"], np.float32), model[0]["bias"]
 
 
 def with_score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text",
