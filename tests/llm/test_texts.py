@@ -49,16 +49,43 @@ def test_propagation_matches_dense_matrix(spark):
     np.fill_diagonal(m, 0)
     edges = spark.createDataFrame([(f"h{i}", f"h{j}", float(m[i, j])) for i in range(n) for j in range(n) if m[i, j]], "src string, dst string, n double")
     seeds = spark.createDataFrame([("h0", 3, 0), ("h1", 1, 1), ("h2", 0, 2)], "host string, good long, bad long")
-    got = {r["host"]: (r["trust"], r["distrust"]) for r in link_trust.propagate(edges, seeds, 0.85, 7).collect()}
-    t0, d0 = np.zeros(n), np.zeros(n)
-    t0[[0, 1]], d0[[1, 2]] = [0.75, 0.25], [1 / 3, 2 / 3]
+    got = {r["host"]: (r["trust"], r["distrust"], r["base"]) for r in link_trust.propagate(edges, seeds, 0.85, 1e-9).collect()}
+    hosts = [i for i in range(n) if m[i].any() or m[:, i].any() or i < 3]
+    t0, d0, b0 = np.zeros(n), np.zeros(n), np.zeros(n)
+    t0[[0, 1]], d0[[1, 2]], b0[hosts] = [0.75, 0.25], [1 / 3, 2 / 3], 1 / len(hosts)
     out, into = m / np.maximum(m.sum(1, keepdims=True), 1), m / np.maximum(m.sum(0, keepdims=True), 1)
-    t, d = t0, d0
-    for _ in range(7):
-        t, d = 0.15 * t0 + 0.85 * t @ out, 0.15 * d0 + 0.85 * into @ d
-    for i in range(n):
-        a, b = got.get(f"h{i}", (0, 0))
-        assert a == pytest.approx(t[i]) and b == pytest.approx(d[i])
+    limit = lambda start, along: np.linalg.solve(np.eye(n) - 0.85 * along, 0.15 * start)
+    t, d, b = limit(t0, out.T), limit(d0, into), limit(b0, into)
+    assert set(got) == {f"h{i}" for i in hosts}
+    for i in hosts:
+        assert got[f"h{i}"] == pytest.approx((t[i], d[i], b[i]), abs=1e-7)
+
+
+def test_a_trace_of_distrust_from_a_sibling_blocks_nobody(spark):
+    """Forty sites of one public domain, a few with blocked pages; a site shares with its one subdomain."""
+    rows = [(k, f"http://s{k}.example.net/en/{k}", "") for k in range(40)]
+    rows += [(100 + k, f"http://s{k}.example.net/fr/{j}", "") for k in range(4) for j in range(5)]
+    rows += [(200, "http://m.s0.example.net/en/x", ""), (201, "http://m.s30.example.net/en/x", "")]
+    got = {r["host"]: r["host_verdict"] for r in link_trust.judge(spark.createDataFrame(rows, PAGES)).collect()}
+    assert {h for h, v in got.items() if v == "block"} == {"s0.example.net", "s1.example.net", "s2.example.net", "s3.example.net", "m.s0.example.net"}
+
+
+def test_exact_ties_are_allowed_whatever_the_order(spark):
+    """Each h is linked from one trusted and links to one distrusted host: equal ranks by symmetry."""
+    link = '<a href="http://{}/p">x</a>'.format
+    rows = [(k, f"http://good{k}.com/a", link(f"h{k}.org")) for k in range(7)]
+    rows += [(10 + k, f"http://h{k}.org/", link(f"bad{k}.net")) for k in range(7)] + [(20 + k, f"http://bad{k}.net/fr/", "") for k in range(7)]
+    for parts in (1, 5):
+        got = {r["host"]: r["verdict"] for r in link_trust.judge(spark.createDataFrame(rows, PAGES).repartition(parts)).collect()}
+        assert {got[f"h{k}.org"] for k in range(7)} == {"allow"} and {got[f"bad{k}.net"] for k in range(7)} == {"block"}
+
+
+def test_links_of_long_pages_and_clashing_columns(spark):
+    from pyspark.sql import functions as F
+    page = "<p>word</p>" * 60_000 + '<a href="http://bad.net/x">x</a>'
+    df = spark.createDataFrame([(1, "http://bad.net/fr/", ""), (2, "http://far.org/", page), (3, "http://other.org/", None)], PAGES)
+    df = df.withColumns({c: F.lit("clash") for c in ("host", "path", "rule", "verdict", "ruled", "n", "trust", "base", "src", "to")})
+    assert {r["host"]: r["verdict"] for r in link_trust.judge(df).collect()} == {"bad.net": "block", "far.org": "block", "other.org": "allow"}
 
 
 # --- main text --------------------------------------------------------------
