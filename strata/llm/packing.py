@@ -26,10 +26,12 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +46,9 @@ SPREAD = 4.0
 #: Bits of a row's hash below the Hilbert key.
 LOW = 22
 #: Pieces whose ids a worker remembers, at most.
-REMEMBERED = 600_000
-#: A blank that tokens cannot cross: they take one before a word, never one after it.
-CUT = re.compile(r"(?<=\S) (?=\S)")
-RUNS = re.compile(r"\s\s|^\s|\s$")
+REMEMBERED = 1_200_000
+#: A piece of ASCII letters, and marks after them: two parts to the tokenizer, the same in its alphabet.
+SIMPLE = re.compile(r"([A-Za-z]+)([.,;:!?]*)")
 BLANK = re.compile(r"\s")
 
 
@@ -56,11 +57,19 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def pattern() -> str:
+    """The parts that byte-level tokenizers cut texts into."""
+    import public_tokenizers
+    return public_tokenizers.PATTERN
+
+
 class Encoder:
-    """Ids of whole texts. A byte-level tokenizer cuts before a single blank between two
-    words, and nothing it does crosses that place; the pieces between are encoded once and
-    remembered. New pieces without white space go through the tokenizer many at a time, each
-    behind its blank, and are told apart by the tokens that begin with one."""
+    """Ids of whole texts. A byte-level tokenizer cuts before a single blank, and around a single
+    line end, that stands between two words, and nothing it does crosses these places: the
+    pieces between are encoded once and remembered. A new piece is cut into parts by the
+    tokenizer's pattern and spelt in its alphabet, which has a letter for each byte; the ids
+    of a part come from the tokenizer's model. Texts with longer runs of white space, or some
+    at their ends, are encoded as they are."""
 
     _of: dict[str, Encoder] = {}
 
@@ -69,11 +78,18 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.starts = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        blank = self.tokenizer.encode(" ", add_special_tokens=False).tokens[0]
-        self.starts[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith(blank)]] = True
+        self.size = self.tokenizer.get_vocab_size()
+        self.kind, self.code = ("<u2", "H") if self.size <= 1 << 16 else ("<u4", "I")
+        self.pattern, self.letters = regex.compile(pattern()), {}
+        # characters that hold, among them, every byte of UTF-8: one, two (all second bytes), three and four bytes long
+        some = [*range(128), *range(0x80, 0xC0), *range(0xC0, 0x800, 64), 0x800, *range(0x1000, 0x10000, 0x1000), 0x10000, *range(0x40000, 0x110000, 0x40000)]
+        for c in map(chr, some):
+            spelt = "".join(x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c))
+            self.letters.update(zip(c.encode(), spelt))
+        self.model, self.blank = self.tokenizer.model, self.letters[ord(" ")]
+        self.line_end = self._raw(["\n"])[0]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -82,35 +98,54 @@ class Encoder:
             cls._of[path] = cls(path)
         return cls._of[path]
 
+    def forget(self) -> None:
+        self.known: dict[str, bytes | None] = {}  # by piece: after a blank, or with the line end before it
+        self.parts: dict[str, bytes] = {"": b""}  # by part, in the tokenizer's alphabet
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
     def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        plain = [p for p in pieces if not BLANK.search(p)]
-        rest = [p for p in pieces if BLANK.search(p)]
-        size = np.dtype(self.kind).itemsize
-        for at in range(0, len(plain), 4000):
-            some = plain[at:at + 4000]
-            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids)
-            first = np.flatnonzero(self.starts[ids])
-            if len(first) != len(some):
-                rest += some
-                continue
-            raw, at_byte = ids.astype(self.kind).tobytes(), (first * size).tolist()
-            self.known.update(zip(some, map(raw.__getitem__, map(slice, at_byte, [*at_byte[1:], len(raw)]))))
-        for at in range(0, len(rest), 4000):
-            some = rest[at:at + 4000]
-            self.known.update(zip(some, self._raw([" " + p for p in some])))
+        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _part(self, part: str) -> bytes:
+        """The ids of a part spelt in the tokenizer's alphabet."""
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.parts[part] = self._bytes([x.id for x in self.model.tokenize(part)])
+        return ids
+
+    def _learn(self, piece: str) -> bytes | None:
+        """The ids of a piece; None if white space in it or beside it needs the whole text."""
+        after_line = piece[:1] == "\n"
+        body = piece[1:] if after_line else piece
+        if not body or BLANK.search(body):
+            return None
+        head, blank = (self.line_end, "") if after_line else (b"", self.blank)
+        if m := SIMPLE.fullmatch(body):
+            return head + self._part(blank + m[1]) + (self._part(m[2]) if m[2] else b"")
+        body = body if after_line else " " + body
+        if any(x in body for x in self.special):
+            return head + self._raw([body])[0]
+        spell = self.letters.__getitem__
+        return head + b"".join([self._part("".join(map(spell, x.encode()))) for x in self.pattern.findall(body)])
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``kind``."""
         if len(self.known) > REMEMBERED:
-            self.known = {}
+            self.forget()
         known = self.known
-        cuts = [CUT.split(t) if RUNS.search(t) else t.split(" ") for t in texts]
-        self._learn(list({p for pieces in cuts for p in pieces[1:] if p not in known}))
-        heads = self._raw([pieces[0] for pieces in cuts])
-        return [head + b"".join([known[p] for p in pieces[1:]]) for head, pieces in zip(heads, cuts)]
+        cuts = [t.replace("\n", " \n").split(" ") for t in texts]
+        heads = self._raw([c.pop(0) for c in cuts])
+        for p in set().union(*cuts).difference(known):
+            known[p] = self._learn(p)
+        out = []
+        for t, head, pieces in zip(texts, heads, cuts):
+            try:
+                out.append(head + b"".join(map(known.__getitem__, pieces)))
+            except TypeError:  # a piece without ids of its own
+                out += self._raw([t])
+        return out
 
 
 def projection(seed: int = 12) -> np.ndarray:
@@ -167,7 +202,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, matrix = Encoder.of(path), projection()
-        bucket = buckets(max(len(encoder.starts), end_id + 1))
+        bucket = buckets(max(encoder.size, end_id + 1))
         end = np.array([end_id], encoder.kind).tobytes()
         for pdf in batches:
             raw = encoder.batch([t or "" for t in pdf["t"]])

@@ -59,7 +59,7 @@ def test_the_curve_visits_every_cell_and_steps_to_a_neighbour(dims, bits):
 
 @pytest.mark.parametrize("text", [
     "", " ", "  two  blanks ", "line\nline\n\n para\tTab", "it's  isn't 's 'S we'll", "größer als 3,5 % – ok", "trail ", " lead", "a b c",
-    "nbsp x   wide", "\x1c odd \x1f marks", "emoji 😀 and 漢字 ", "<|endoftext|> x <|endoftext|>", "a \n b", "x" * 500 + " y"])
+    "nbsp x   wide", "\x1c odd \x1f marks", "emoji 😀 and 漢字 ", "<|endoftext|> x <|endoftext|>", "a \n b", "x" * 500 + " y", "\n", "a\nb", "\nstart", "end\n", "it's\n'quoted' A1b2 né.\nÉt", "don't!? ok...", "a\r\nb"])
 def test_ids_equal_the_tokenizers(text):
     own = packing.Encoder(packing.tokenizer_path())
     for _ in range(2):  # learnt and remembered
