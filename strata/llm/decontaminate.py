@@ -12,17 +12,22 @@ the hit's diagonal and the longest stretch is taken in which at least
 ``similarity`` of the tokens agree. A document is contaminated by an item if
 that stretch has ``overlap`` tokens, or all of a shorter item's.
 
-At scale: a bitmap of fixed size (2 MB) over the benchmark's hashes goes to the
-tasks; only training windows it admits leave them, with the tokens around, and
-the join on the hashes themselves then decides. Copies of a text are looked at
+At scale: a bitmap over the benchmark's hashes, of ``BITS_A_HASH`` bits for each up to
+2 ** ``MAX_BITS`` in all (32 MB), goes to the tasks; only training windows it admits leave
+them, with the tokens around, and the join on the hashes themselves then decides which
+stretch of text meets which item. Of each such pair one row is made, however many windows
+they share: the diagonals are found and verified within it. Copies of a text are looked at
 once, by text hash. Both joins have the skew join against a window or an item
 that very many documents share.
 
 Defined results
   null and empty texts on either side, and items without an id: never a match; items with fewer than
   ``least`` tokens are not searched for; equal items each get their rows, repeated documents and
-  equal ids one row per id and item; empty tables: no rows; extra columns are
-  ignored (``clean`` keeps them).
+  equal ids one row per id and item; ties: of a pair's stretches the longest counts, of equally
+  long ones that with more tokens agreeing; very long texts: hashed whole, and verified
+  around their hits; a token that is repeated over and over: as many diagonals as tokens, and memory
+  in proportion; empty tables: no rows; extra columns on either side, whatever their names, are
+  ignored (``clean`` keeps those of the documents).
 """
 
 from __future__ import annotations
@@ -46,7 +51,8 @@ SHORT_MASKS = {5: ("1111", "11101", "11011", "10111"), 6: ("11111", "111101", "1
 OVERLAP, SIMILARITY, LEAST = 12, 0.8, 5
 #: Tokens kept on either side of the windows that were hit.
 AROUND = 96
-BITMAP_BITS = 24
+#: Of the bitmap: bits for each distinct hash, and the base-2 logarithm of its size at least and at most.
+BITS_A_HASH, MIN_BITS, MAX_BITS = 48, 16, 28
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -127,13 +133,19 @@ def _postings(benchmark: DataFrame, id_col: str, text_col: str, least: int) -> D
         "item_id", F.col("item_id").cast("long"))
 
 
-#: Where in a hash the bitmap's indexes begin: a hash is in the set if all of them are.
-PROBES = (40, 16, 0)
+def bitmap_bits(hashes: int) -> int:
+    """The base-2 logarithm of the bitmap's size for so many hashes."""
+    return min(MAX_BITS, max(MIN_BITS, (max(1, hashes) * BITS_A_HASH - 1).bit_length()))
+
+
+def _probes(bits: int) -> tuple[int, int, int]:
+    """Where in a hash the bitmap's indexes begin: a hash is in the set if all of them are."""
+    return 64 - bits, (64 - bits) // 2, 0
 
 
 def _bitmap(postings: DataFrame, bits: int) -> np.ndarray:
     """The set of the hashes' probes, ``bits`` bits each; at most 2 ** (bits - 6) rows come back."""
-    probe = F.explode(F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(F.lit((1 << bits) - 1)) for s in PROBES]))
+    probe = F.explode(F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(F.lit((1 << bits) - 1)) for s in _probes(bits)]))
     words = postings.select(probe.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("p") % 64).cast("int"))).alias("b")).toPandas()
     out = np.zeros(max(1, 1 << bits >> 6), np.uint64)
@@ -144,7 +156,7 @@ def _bitmap(postings: DataFrame, bits: int) -> np.ndarray:
 def _admitted(seen: np.ndarray, w: np.ndarray, bits: int) -> np.ndarray:
     """Places of the hashes whose probes are all in the bitmap."""
     at = np.arange(len(w))
-    for s in PROBES:
+    for s in _probes(bits):
         p = w[at] >> np.uint64(s) & np.uint64((1 << bits) - 1)
         at = at[(seen[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)]
     return at
@@ -178,14 +190,43 @@ def _hit_regions(bitmap, masks: list[str], around: int, bits: int):
     return run
 
 
+def diagonals(a_hashes: np.ndarray, a_places: np.ndarray, b_hashes: np.ndarray, b_places: np.ndarray) -> np.ndarray:
+    """Differences of the places at which the two lists hold the same hash, ascending."""
+    shared = np.intersect1d(a_hashes, b_hashes)
+    a_in, b_in = np.isin(a_hashes, shared), np.isin(b_hashes, shared)
+    a_hashes, a_places, b_hashes, b_places = a_hashes[a_in], a_places[a_in], b_hashes[b_in], b_places[b_in]
+    if not len(shared):
+        return np.zeros(0, np.int64)
+    least = int(a_places.min() - b_places.max())
+    marks = np.zeros(int(a_places.max() - b_places.min()) - least + 1, bool)
+    a_by, b_by = np.argsort(a_hashes, kind="stable"), np.argsort(b_hashes, kind="stable")
+    a_ends = np.searchsorted(a_hashes[a_by], shared, side="right")
+    b_ends = np.searchsorted(b_hashes[b_by], shared, side="right")
+    for i, j, k, m in zip(np.r_[0, a_ends], a_ends, np.r_[0, b_ends], b_ends):
+        own = a_places[a_by[i:j]] - least
+        for place in b_places[b_by[k:m]]:
+            marks[own - place] = True
+    return np.flatnonzero(marks) + least
+
+
+def best_stretch(a: np.ndarray, b: np.ndarray, at: np.ndarray, similarity: float) -> tuple[int, int]:
+    """The longest stretch (tokens, agreeing) on any of the diagonals ``at``."""
+    best = (0, 0)
+    for d in at.tolist():
+        lo, hi = max(0, d), min(len(a), d + len(b))
+        if hi - lo >= best[0] and hi > lo:  # no shorter diagonal holds a longer stretch
+            best = max(best, stretch(a[lo:hi], b[lo - d:hi - d], similarity))
+    return best
+
+
 def _verified(overlap: int, similarity: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
                 a, b = np.frombuffer(r.region_tokens, "<u8"), np.frombuffer(r.item_tokens, "<u8")
-                lo, hi = max(0, r.diagonal), min(len(a), r.diagonal + len(b))
-                n, same = stretch(a[lo:hi], b[lo - r.diagonal:hi - r.diagonal], similarity) if hi > lo else (0, 0)
+                at = diagonals(np.asarray(r.region_hashes), np.asarray(r.region_places), np.asarray(r.item_hashes), np.asarray(r.item_places))
+                n, same = best_stretch(a, b, at, similarity)
                 if n >= min(overlap, len(b)):
                     out.append((r.h, r.item_id, n, same))
             yield pd.DataFrame(out, columns=["h", "item_id", "overlap", "agreeing"])
@@ -198,15 +239,14 @@ def _text_hash(text_col: str):
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text: str = "text", overlap: int = OVERLAP,
-             similarity: float = SIMILARITY, least: int = LEAST, around: int = AROUND,
-             bits: int = BITMAP_BITS) -> tuple[DataFrame, DataFrame]:
+             similarity: float = SIMILARITY, least: int = LEAST, around: int = AROUND) -> tuple[DataFrame, DataFrame]:
     """Verified overlaps ``(h, item_id, overlap, agreeing)`` by text hash, and ``(doc_id, h)``
     of every document with a hit."""
     spark = docs.sparkSession
     small_batches(spark)
     items = cut(_postings(benchmark, item_col, item_text, least), "items")
-    postings = cut(items.select("item_id", F.explode(F.arrays_zip("hashes", "places")).alias("x"))
-                   .select("item_id", F.col("x.hashes").alias("hash"), F.col("x.places").alias("place")), "postings")
+    postings = cut(items.select("item_id", F.explode(F.array_distinct("hashes")).alias("hash")), "postings")
+    bits = bitmap_bits(postings.count())
     short = [r["short"] for r in items.filter("short > 0").select("short").distinct().collect()]  # lengths under 12
     masks = list(dict.fromkeys([*MASKS, *[m for n in sorted(short) for m in masks_for(n, least)]]))
     bitmap = spark.sparkContext.broadcast(_bitmap(postings, bits))
@@ -215,12 +255,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
                                  "doc_id string, h long, region long, tokens binary, hashes array<long>, places array<long>")
                 .withColumn("doc_id", F.col("doc_id").cast("long")), "regions")
     regions = cut(found.drop("doc_id").dropDuplicates(["h", "region"]), "distinct-regions")
-    hits = (regions.select("h", "region", F.explode(F.arrays_zip("hashes", "places")).alias("x"))
-            .select("h", "region", F.col("x.hashes").alias("hash"), F.col("x.places").alias("at")))
-    lines = (hits.join(postings, "hash")
-             .select("h", "region", "item_id", (F.col("at") - F.col("place")).alias("diagonal")).distinct())
-    pairs = (lines.join(regions.select("h", "region", F.col("tokens").alias("region_tokens")), ["h", "region"])
-             .join(items.select("item_id", F.col("tokens").alias("item_tokens")), "item_id"))
+    hits = regions.select("h", "region", F.explode(F.array_distinct("hashes")).alias("hash"))
+    met = hits.join(postings, "hash").select("h", "region", "item_id").distinct()
+    both = lambda df, name, *keys: df.select(*keys, *[F.col(c).alias(f"{name}_{c}") for c in ("tokens", "hashes", "places")])
+    pairs = met.join(both(regions, "region", "h", "region"), ["h", "region"]).join(both(items, "item", "item_id"), "item_id")
     good = pairs.mapInPandas(_verified(overlap, similarity), "h long, item_id long, overlap int, agreeing int")
     good = good.groupBy("h", "item_id").agg(F.max(F.struct("overlap", "agreeing")).alias("m")).select(
         "h", "item_id", "m.overlap", "m.agreeing")

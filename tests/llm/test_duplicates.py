@@ -167,6 +167,47 @@ def test_random_substitutions_match_brute_force(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("period", [1, 2, 3])
+def test_repeated_tokens_match_brute_force(spark, period):
+    words = ["aa", "bb", "cc"][:period]
+    say = lambda n: " ".join(words[k % period] for k in range(n))
+    items = [(0, say(15)), (1, say(40) + " and then something else"), (2, say(5)), (3, "never " + say(11))]
+    docs = [(1, prose(1, 20) + " " + say(70) + " " + prose(2, 20), "en", "a", 1), (2, say(9), "en", "a", 1), (3, say(14), "en", "a", 1)]
+    got = {(r["doc_id"], r["item_id"]): r["overlap"] for r in decontaminate.contaminated(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, BENCH)).collect()}
+    want = {(d, i): n for d, t, *_ in docs for i, b in items
+            if (n := brute_overlap(tokens(t), tokens(b), 0.8, min(12, len(tokens(b))))) >= min(12, len(tokens(b)))}
+    assert got == want and want
+
+
+def test_a_token_repeated_very_often_takes_little_memory():
+    """20,000 equal tokens against an item of 15: one pair, its diagonals found and verified in it."""
+    import tracemalloc
+    h, _ = decontaminate.token_hashes(["same " * 20_000])
+    b, _ = decontaminate.token_hashes(["same " * 15])
+    w = [(decontaminate.window_hashes(x, m), x) for m in decontaminate.MASKS for x in (h, b)]
+    tracemalloc.start()
+    at = decontaminate.diagonals(np.concatenate([x for x, _ in w[::2]]), np.concatenate([np.arange(len(x)) for x, _ in w[::2]]),
+                                 np.concatenate([x for x, _ in w[1::2]]), np.concatenate([np.arange(len(x)) for x, _ in w[1::2]]))
+    assert 19_900 < len(at) < 20_020 and decontaminate.best_stretch(h, b, at, 0.8) == (15, 15)
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
+def test_bitmap_grows_with_the_benchmark_within_its_bounds():
+    assert decontaminate.bitmap_bits(0) == decontaminate.bitmap_bits(1000) == 16
+    assert decontaminate.bitmap_bits(40_000) == 21 and decontaminate.bitmap_bits(10 ** 9) == 28
+    for bits in (16, 21, 28):
+        assert all(0 <= s and s + bits <= 64 for s in decontaminate._probes(bits))
+
+
+def test_benchmark_columns_may_clash(spark):
+    from pyspark.sql import functions as F
+    bench = spark.createDataFrame([(1, prose(99, 30))], BENCH).withColumns(
+        {c: F.lit("clash") for c in ("t", "h", "hash", "hashes", "places", "tokens", "region", "short", "doc_id")})
+    assert [tuple(r) for r in decontaminate.contaminated(corners(spark), bench).select("doc_id", "item_id").collect()] == [(8, 1)]
+
+
 def test_decontamination_corners(spark):
     none = spark.createDataFrame([], BENCH)
     assert decontaminate.contaminated(corners(spark), none).count() == 0
