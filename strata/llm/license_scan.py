@@ -1,7 +1,7 @@
 """Operator 7, license scan: ordered signature rules, in DataFrame functions alone.
 
 Texts that hold none of a few words, one of which every rule needs, are done
-with; the others are cut into lower-cased words, joined by single blanks, and each rule whose
+with; the others are cut into lower-cased words, joined by single blanks (a "+" stays at the end of a version), and each rule whose
 keyword occurs is tried. A match is marked in the text and gives an interval
 of words. A detection falls away if a detection of higher priority, or of equal
 priority and more words, contains its interval; the labels are those of the
@@ -29,6 +29,8 @@ from strata.llm.license_rules import GATE, PAIRS, Rule, rules
 #: backtracking, which Java matches several times faster; and the same before capitals are made small.
 WORD = r"[0-9a-z\x{80}-\x{10FFFF}]++"
 RAW_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]++"
+#: The same, with the "+" that ends a version: as many words, at the same places.
+RULE_WORD = WORD + r"(?:(?<=[0-9])\+(?![0-9a-z+\x{80}-\x{10FFFF}]))?"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Base phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -104,9 +106,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         gate = F.contains(low, F.lit(word)) | gate
     # ``extra`` rules must hold a keyword as one piece of the text, like those of the library
     rows = docs.select(F.col(id_col).alias("doc_id"), F.regexp_count(text, F.lit(RAW_WORD)).cast("long").alias("n_words"),
-                       F.when(gate, F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))).alias("words"))
+                       F.when(gate, F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))).alias("words"),
+                       F.when(gate & F.contains(text, F.lit("+")), F.regexp_extract_all(
+                           F.translate(text, UPPER, LOWER), F.lit(RULE_WORD), F.lit(0))).alias("plus"))
     rows = rows.withColumn("words", F.when(F.size("words") > 0, F.col("words")))
-    rows = rows.withColumn("joined", F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")))
+    said = F.when(F.col("plus").isNotNull(), F.col("plus")).otherwise(F.col("words"))
+    rows = rows.withColumn("joined", F.when(F.col("words").isNotNull(), F.concat(F.lit(" "), F.array_join(said, " "), F.lit(" "))))
     rows = rows.withColumns({f"p_{k}": _places(F.col("words"), p) for k, p in enumerate(PHRASES)})
     rows = rows.withColumn("found", F.when(F.col("joined").isNotNull(), _detections(F.col("joined"), keywords, table)))
     rows = rows.withColumn("kept", _uncontained(F.col("found")))
