@@ -1,9 +1,10 @@
 """Operator 11, ranked lexical search over a length-stratified index.
 
 ``build`` counts the terms of every document (whole text), and with the corpus totals gives
-each its normaliser ``m``. Documents of equal ``m`` form a stratum; strata are range-sorted
-and cut into segments of at most ``SEGMENT_TERMS`` terms (a longer document is a segment of
-its own), so a stratum with most documents is many segments. A segment's rows are its terms,
+each its normaliser ``m``. Documents of equal ``m`` form a stratum; strata are laid side by side by
+their terms and dealt out in partitions of near-equal terms, where they are cut into segments of
+at most ``SEGMENT_TERMS`` terms (a longer document is a segment of its own): a stratum with most
+documents is many segments, a partition of long documents has few. A segment's rows are its terms,
 each with its postings grouped by tf, the highest last, and one row of the empty term that
 lists the segment's documents in ascending id.
 
@@ -37,7 +38,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import cut, shuffle_partitions, small_batches
@@ -125,14 +126,35 @@ def _segment(number: int, m: int, parts: list[tuple]) -> pa.RecordBatch:
         names=["segment", "m", "term", "tfs", "ends", "docs"])
 
 
+#: Groups of strata for each doubling of ``m``; 63 doublings fit in a long.
+GROUPS = 64
+
+
+def _partition(forward: DataFrame, parts: int) -> Column:
+    """Where a document goes: the groups of neighbouring strata, laid end to end by their terms,
+    cover a line that is cut into ``parts``; a hash of the row is the place within its group."""
+    group = F.floor(F.log2("m") * GROUPS).cast("int")
+    # at most 63 * GROUPS rows
+    terms = {r["g"]: r["t"] for r in forward.groupBy(group.alias("g")).agg(F.sum("n").alias("t")).collect()}
+    if not terms:
+        return F.lit(0)
+    low, total = min(terms), sum(terms.values())
+    own = np.array([terms.get(g, 0) for g in range(low, max(terms) + 1)], float) / total
+    place = F.element_at(F.lit((np.cumsum(own) - own).tolist()), group - low + 1)
+    share = F.element_at(F.lit(own.tolist()), group - low + 1)
+    within = F.shiftrightunsigned(F.xxhash64("row"), 11) / F.lit(float(1 << 53))
+    return F.least(F.floor((place + share * within) * parts), F.lit(parts - 1)).cast("int")
+
+
 def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segment_terms: int = SEGMENT_TERMS) -> Index:
     spark = docs.sparkSession
     forward = cut(counted(docs, id_col, text_col), "search-terms")
     documents, terms = forward.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     # in decimals, as 25 * n * N may pass 64 bits on the way
     m = (F.lit(75) + F.expr(f"(cast(25 as decimal(38, 0)) * n * {documents}L) div {max(1, terms)}L")).cast("long")
-    placed = (forward.withColumn("m", m).repartitionByRange(shuffle_partitions(spark), "m", "row")
-              .sortWithinPartitions("m", "row").select("m", "doc_id", "n", "terms", "tfs"))
+    parts = shuffle_partitions(spark)
+    placed = (forward.withColumn("m", m).withColumn("part", _partition(forward.withColumn("m", m), parts))
+              .repartitionById(parts, "part").sortWithinPartitions("m", "row").select("m", "doc_id", "n", "terms", "tfs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
