@@ -1,11 +1,12 @@
 """Operator 5, main text of a page by minimum-cut labelling.
 
 The page is cut into text blocks (runs of inline content between block-level
-tags). A linear classifier over each block's place, wording and links gives the
-cost of calling it content or boilerplate; the two costs are the capacities of
+tags). A linear classifier over each block's place, wording and links, learned from
+labelled blocks (``html_fit``), gives the cost of calling it content or boilerplate; the two costs are the capacities of
 its edges from the source and to the sink. What an element's class, id or role says
 against its text counts the less the more of the page's text the element holds: the
-page itself is no sidebar, whatever its name. Blocks next to each other, and
+page itself is no sidebar, whatever its name. A list of links inside an article is text
+like the rest, unless it reads like a menu. Blocks next to each other, and
 blocks that follow each other within one parent, are joined by smoothness
 edges, the stronger the nearer they lie in the tree. The minimum cut, found by
 maximum flow, labels all blocks at once.
@@ -17,7 +18,8 @@ Defined results
   tag is nothing, raw text runs to its end tag); an unclosed element whose content
   is no text ends at the next block or the end tag of what holds it; character references are decoded, markup never is; repeated
   rows and equal or null ids: each row by itself; empty table: no rows; extra
-  columns are ignored. Very long pages: flow and memory grow with their blocks.
+  columns are ignored, whatever their names. Very long or deep pages: time and memory of
+  parsing grow with their tags, those of the flow with their blocks.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import html as htmllib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -69,10 +72,11 @@ _ABOUT_OTHERS, _STATES = set(ABOUT_OTHERS.split()), set(STATES.split())
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NAME = re.compile(r"[a-z]+")
 
-#: Classifier: what each sign adds to the content score of a block.
-WEIGHTS = {"bias": 0.0, "words": 1.2, "links": -3.0, "ends": 0.6, "paragraph": 0.6, "heading": 0.4, "item": -0.5,
-           "article": 3.0, "main": 2.0, "good": 1.5, "outside": -3.5, "nav": -7.0, "header": -6.0, "footer": -7.0,
-           "aside": -7.0, "form": -7.0, "bad": -7.0, "comments": -9.0}
+#: Classifier: what each sign adds to the log odds of a block being content; learned from
+#: labelled blocks (``html_fit``).
+WEIGHTS = {"bias": 0.11, "words": 1.32, "links": -3.25, "ends": 0.35, "paragraph": 1.67, "heading": 0.93, "item": -0.75,
+           "article": 2.86, "main": 2.0, "good": 1.5, "outside": -3.74, "nav": -7.06, "header": -6.0, "footer": -7.06,
+           "aside": -7.06, "form": -7.06, "bad": -7.12, "comments": -9.02}
 #: Smoothness of neighbours with the same parent, of other neighbours (falling with the
 #: steps between them in the tree), and of blocks that follow each other in one parent.
 SAME, APART, KIN = 0.9, 0.6, 0.4
@@ -80,6 +84,8 @@ SAME, APART, KIN = 0.9, 0.6, 0.4
 #: all from the second; characters added to the page, so that a few words are not all of it; and
 #: how often text of an article beside the element counts, which its comments may far exceed.
 FULL, GONE, BESIDES, BESIDE_ARTICLE = 0.6, 0.9, 100, 6
+#: Words that an item has on average in a list of links which is no menu.
+MENU_WORDS = 4
 
 
 def _names(value: str) -> set[str]:
@@ -112,6 +118,12 @@ def _flags(tag: str, attributes: str) -> int:
     return out
 
 
+def _ended(attributes: str) -> bool:
+    """Whether a start tag ends with a slash of its own, not that of an unquoted value (href=/)."""
+    rest = attributes.rstrip()
+    return rest.endswith("/") and (len(rest) == 1 or rest[-2] in " \t\n\r\f\"'")
+
+
 def _closed(page: str) -> set[int]:
     """Where the start tags of dropped elements end that have an end tag of their own."""
     out: set[int] = set()
@@ -119,7 +131,7 @@ def _closed(page: str) -> set[int]:
     at = 0
     while m := _TAG.search(page, at):
         at, tag = m.end(), (m[2] or "").lower()
-        if tag in _RAW and not m[1] and not m[3].rstrip().endswith("/"):
+        if tag in _RAW and not m[1] and not _ended(m[3]):
             end = _RAW[tag].search(page, at)
             at = end.end() if end else len(page)
         elif tag in _DROPPED:
@@ -127,29 +139,53 @@ def _closed(page: str) -> set[int]:
             if m[1]:
                 if waiting:
                     out.add(waiting.pop())
-            elif not m[3].rstrip().endswith("/"):
+            elif not _ended(m[3]):
                 if tag not in _NESTING:
                     waiting.clear()
                 waiting.append(m.end())
     return out
 
 
+class Element:
+    """An open element: its tag, the flags of it and all around it, its number, the nearest
+    block around it (itself, if it is one), and the last hint against it or what it is in."""
+    __slots__ = ("tag", "flags", "number", "holder", "around", "depth", "hint")
+
+    def __init__(self, tag: str, flags: int, number: int, outer: Element | None, hint: int):
+        self.tag, self.flags, self.number, self.hint = tag, flags, number, hint
+        if outer is None or tag in _BLOCK:
+            #: the next block outwards of a block, and how many there are
+            self.holder, self.around, self.depth = self, outer.holder if outer else None, outer.holder.depth + 1 if outer else 0
+        else:
+            self.holder, self.around, self.depth = outer.holder, None, 0
+
+
 class Block:
-    __slots__ = ("text", "linked", "tag", "flags", "path", "hints")
+    __slots__ = ("text", "linked", "tag", "flags", "place", "hint")
+
+    def __init__(self, text, linked, tag, flags, place, hint=-1):
+        self.text, self.linked, self.tag, self.flags = text, linked, tag, flags
+        self.place = place  # the block element that holds it (that around it, of a paragraph, item or heading)
+        self.hint = hint  # the last of the hints against what it is in, or -1
 
-    def __init__(self, text, linked, tag, flags, path, hints=()):
-        self.text, self.linked, self.tag, self.flags, self.path = text, linked, tag, flags, path
-        self.hints = hints  # (number of element, flag) of the hints against it, or against what it is in
 
+@dataclass
+class Hints:
+    """The hints of a page by number: what each says, and the next one around its element (or -1).
+    One opened later has the greater number, so an inner hint comes after an outer one."""
+    flag: list[str]
+    outer: list[int]
 
-def blocks(page: str | None) -> list[Block]:
-    """The page's text blocks in order."""
+
+def blocks(page: str | None) -> tuple[list[Block], Hints]:
+    """The page's text blocks in order, and the hints against them."""
     page = page or ""
     out: list[Block] = []
-    # open elements: tag, flags of it and all around it, number, hints against it and all around it
-    stack: list[tuple[str, int, int, tuple]] = [("", 0, 0, ())]
+    hints = Hints([], [])
+    stack: list[Element] = [Element("", 0, 0, None, -1)]
+    opened = Counter()  # open elements by tag
     pieces: list[str] = []
-    linked, links, number, at = 0, 0, 0, 0
+    linked, number, at = 0, 0, 0
     closed: set[int] | None = None
     # open dropped element ("" for none), whether it has an end tag, and the elements opened inside it
     dropped, ends, inside = "", False, Counter()
@@ -159,24 +195,26 @@ def blocks(page: str | None) -> list[Block]:
         if pieces:
             text = " ".join(htmllib.unescape("".join(pieces)).split())
             if text:
-                holders = [e for e in stack if e[0] in _BLOCK or e[2] == 0]
-                tag = holders[-1][0]
-                parent = holders[:-1] if tag in ("p", "li") or tag[:1] == "h" and tag[1:].isdigit() else holders
-                out.append(Block(text, min(1.0, linked / len(text)), tag, stack[-1][1], tuple(e[2] for e in parent), stack[-1][3]))
+                holder = stack[-1].holder
+                tag = holder.tag
+                place = holder.around if tag in ("p", "li") or tag[:1] == "h" and tag[1:].isdigit() else holder
+                out.append(Block(text, min(1.0, linked / len(text)), tag, stack[-1].flags, place, stack[-1].hint))
             pieces.clear()
         linked = 0
 
     def close(k: int):
-        nonlocal links
-        links -= sum(e[0] == "a" for e in stack[k:])
+        for e in stack[k:]:
+            opened[e.tag] -= 1
         del stack[k:]
 
     def holds(tag: str) -> int:
         """Place in the stack of the element that an end tag ends, or 0."""
+        if not opened[tag]:
+            return 0
         for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] == tag:
+            if stack[k].tag == tag:
                 return k
-            if stack[k][0] in _BLOCK and tag not in _BLOCK:
+            if stack[k].tag in _BLOCK and tag not in _BLOCK:
                 break  # an inline end tag does not end a block
         return 0
 
@@ -185,7 +223,7 @@ def blocks(page: str | None) -> list[Block]:
         piece = page[at:m.start()] if m else page[at:]
         if piece and not dropped:
             pieces.append(piece)
-            if links:
+            if opened["a"]:
                 linked += len(piece.strip())
         if not m:
             break
@@ -194,7 +232,7 @@ def blocks(page: str | None) -> list[Block]:
         if not tag:
             continue
         if tag in _RAW and not m[1]:
-            if not m[3].rstrip().endswith("/"):
+            if not _ended(m[3]):
                 end = _RAW[tag].search(page, at)
                 at = end.end() if end else len(page)
             pieces.append(" ")
@@ -213,7 +251,7 @@ def blocks(page: str | None) -> list[Block]:
             elif not ends and (tag in _BLOCK or tag == dropped and tag not in _NESTING):
                 dropped = ""
             else:
-                if tag not in _VOID and not m[3].rstrip().endswith("/"):
+                if tag not in _VOID and not _ended(m[3]):
                     inside[tag] += 1
                 continue
         if m[1]:
@@ -223,7 +261,7 @@ def blocks(page: str | None) -> list[Block]:
                 close(k)
             continue
         if tag in _DROPPED:
-            if not m[3].rstrip().endswith("/"):
+            if not _ended(m[3]):
                 closed = _closed(page) if closed is None else closed
                 dropped, ends, inside = tag, at in closed, Counter()
             pieces.append(" ")
@@ -233,69 +271,116 @@ def blocks(page: str | None) -> list[Block]:
         if tag in _BLOCK:
             flush()
             for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph, an item an item
-                if stack[k][0] == "p" or stack[k][0] == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
+                if stack[k].tag == "p" or stack[k].tag == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
                     close(k)
                     break
-                if stack[k][0] in _BLOCK:
+                if stack[k].tag in _BLOCK:
                     break
         elif tag in ("br", "img", "input", "wbr"):
             pieces.append("" if tag == "wbr" else " ")
-        if tag not in _VOID and not (tag not in _BLOCK and m[3].rstrip().endswith("/")):
+        if tag not in _VOID and not (tag not in _BLOCK and _ended(m[3])):
             number += 1
-            flags = _flags(tag, m[3])
-            hints = tuple((number, name) for name in HINTS if flags & BIT[name])
-            stack.append((tag, stack[-1][1] | flags, number, stack[-1][3] + hints))
-            links += tag == "a"
+            flags, outer, hint = _flags(tag, m[3]), stack[-1], stack[-1].hint
+            for name in HINTS:
+                if flags & BIT[name]:
+                    hints.flag.append(name)
+                    hints.outer.append(hint)
+                    hint = len(hints.flag) - 1
+            stack.append(Element(tag, outer.flags | flags, number, outer, hint))
+            opened[tag] += 1
     flush()
-    return out
+    return out, hints
 
 
 def _marked(b: Block) -> bool:
     return bool(b.flags & _MARKED or b.flags & BIT["header"] and not b.flags & BIT["article"])
 
 
-def hint_strengths(found: list[Block]) -> dict[tuple[int, str], float]:
-    """By hint, how far it holds: the less, the more of the text that no tag marks and no
-    other hint denies stands in its element."""
-    within: dict[tuple[int, str], int] = {}
+def hint_strengths(found: list[Block], hints: Hints) -> list[dict[str, float]]:
+    """Of every hint, how far it and those around it hold, by what they say: the less, the more
+    of the text that no tag marks and no other hint denies stands in the hint's element."""
+    within = [0] * len(hints.flag)
     free = 0
     for b in found:
         if _marked(b):
             continue
-        if not b.hints:
+        if b.hint < 0:
             free += len(b.text) * (BESIDE_ARTICLE if b.flags & (BIT["article"] | BIT["main"]) else 1)
-        for h in b.hints:
-            within[h] = within.get(h, 0) + len(b.text)
-    out = {}
-    for h in {h for b in found for h in b.hints}:
-        share = within.get(h, 0) / (within.get(h, 0) + free + BESIDES)
-        out[h] = min(1.0, max(0.0, (GONE - share) / (GONE - FULL)))
+        else:
+            within[b.hint] += len(b.text)
+    for h in range(len(within) - 1, -1, -1):  # inner ones first
+        if hints.outer[h] >= 0:
+            within[hints.outer[h]] += within[h]
+    out: list[dict[str, float]] = []
+    for h, size in enumerate(within):  # outer ones first
+        share = size / (size + free + BESIDES)
+        own, name = min(1.0, max(0.0, (GONE - share) / (GONE - FULL))), hints.flag[h]
+        outer = out[hints.outer[h]] if hints.outer[h] >= 0 else {}
+        out.append(outer if outer.get(name, 0.0) >= own else outer | {name: own})
     return out
 
 
-def score(b: Block, has_article: bool, strengths: dict[tuple[int, str], float]) -> float:
-    """Content score of a block: positive for content."""
-    w, flags, text = WEIGHTS, b.flags, b.text
-    s = w["bias"] + w["words"] * min(text.count(" ") + 1, 25) / 25 + w["links"] * b.linked
+def linked_lists(found: list[Block]) -> set[Element]:
+    """The lists whose items are links to read on by, not a menu: some item is no link, or they
+    have ``MENU_WORDS`` words or more on average."""
+    sizes: dict[Element, list] = {}
+    for b in found:
+        if b.tag in ("li", "dt", "dd"):
+            n = sizes.setdefault(b.place, [0, 0, 1.0])
+            n[0], n[1], n[2] = n[0] + 1, n[1] + b.text.count(" ") + 1, min(n[2], b.linked)
+    return {place for place, (n, words, least) in sizes.items() if words >= MENU_WORDS * n or least < 0.5}
+
+
+def signs(b: Block, has_article: bool, strengths: list[dict[str, float]], lists: set[Element] = frozenset()) -> list[tuple[str, float]]:
+    """What the classifier goes by: the block's signs, each with its value. An item of one of the
+    ``lists`` of an article may be a link."""
+    flags, text = b.flags, b.text
+    out = [("bias", 1.0), ("words", min(text.count(" ") + 1, 25) / 25)]
+    inside = flags & (BIT["article"] | BIT["main"])
+    if b.linked and not (inside and b.tag in ("li", "dt", "dd") and b.place in lists):
+        out.append(("links", b.linked))
     if text[-1] in ".!?…:;\"'”»)":
-        s += w["ends"]
+        out.append(("ends", 1.0))
     if b.tag == "p":
-        s += w["paragraph"]
+        out.append(("paragraph", 1.0))
     elif b.tag[:1] == "h" and b.tag[1:].isdigit():
-        s += w["heading"]
+        out.append(("heading", 1.0))
     elif b.tag in ("li", "td", "th", "dt"):
-        s += w["item"]
-    inside = flags & (BIT["article"] | BIT["main"])
+        out.append(("item", 1.0))
     for name in ("article", "main", "good", "nav", "footer", "aside", "form"):
-        if flags & BIT[name]:
-            s += w[name]
-    for name in HINTS:
-        s += w[name] * max((strengths[h] for h in b.hints if h[1] == name), default=0.0)
+        if flags & BIT[name] and not (name == "main" and flags & BIT["article"]):  # the nearer mark counts
+            out.append((name, 1.0))
+    if b.hint >= 0:
+        out += strengths[b.hint].items()
     if flags & BIT["header"] and not flags & BIT["article"]:
-        s += w["header"]
+        out.append(("header", 1.0))
     if has_article and not inside:
-        s += w["outside"]
-    return s
+        out.append(("outside", 1.0))
+    return out
+
+
+def page_signs(found: list[Block], hints: Hints) -> list[list[tuple[str, float]]]:
+    """The signs of each of a page's blocks."""
+    has_article = any(b.flags & (BIT["article"] | BIT["main"]) for b in found)
+    strengths, lists = hint_strengths(found, hints), linked_lists(found)
+    return [signs(b, has_article, strengths, lists) for b in found]
+
+
+def score(found: list[tuple[str, float]]) -> float:
+    """Content score of a block by its signs: the log odds of being content."""
+    return sum(WEIGHTS[name] * value for name, value in found)
+
+
+def steps_between(p: Element, q: Element) -> int:
+    """Steps in the tree of block elements from one to the other."""
+    n = 0
+    while p is not q:
+        if p.depth >= q.depth:
+            p = p.around
+        else:
+            q = q.around
+        n += 1
+    return n
 
 
 def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
@@ -303,20 +388,11 @@ def smoothness(found: list[Block]) -> list[tuple[int, int, float]]:
     out, last = [], {}
     for i, b in enumerate(found):
         if i:
-            p, q = found[i - 1].path, b.path
-            if p == q:
-                out.append((i - 1, i, SAME))
-            else:
-                shared = 0
-                for x, y in zip(p, q):
-                    if x != y:
-                        break
-                    shared += 1
-                out.append((i - 1, i, APART / (len(p) + len(q) - 2 * shared + 1)))
-        parent = b.path[-1]
-        if last.get(parent, i - 1) != i - 1:
-            out.append((last[parent], i, KIN))
-        last[parent] = i
+            n = steps_between(found[i - 1].place, b.place)
+            out.append((i - 1, i, APART / (n + 1) if n else SAME))
+        if last.get(b.place, i - 1) != i - 1:
+            out.append((last[b.place], i, KIN))
+        last[b.place] = i
     return out
 
 
@@ -383,12 +459,10 @@ def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> lis
 
 def main_text(page: str | None) -> str:
     """The content blocks of a page, one to a line."""
-    found = blocks(page)
+    found, hints = blocks(page)
     if not found:
         return ""
-    has_article = any(b.flags & (BIT["article"] | BIT["main"]) for b in found)
-    strengths = hint_strengths(found)
-    keep = minimum_cut([score(b, has_article, strengths) for b in found], smoothness(found))
+    keep = minimum_cut([score(x) for x in page_signs(found, hints)], smoothness(found))
     return "\n".join(b.text for b, k in zip(found, keep) if k)
 
 

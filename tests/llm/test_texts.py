@@ -135,6 +135,56 @@ def test_names_of_lesser_elements_still_tell(name):
                 assert html_text.main_text(page).split("\n") == want, page
 
 
+def test_lists_of_links_inside_an_article_stay_unless_they_are_menus():
+    cited = ["A history of the northern harbours, second edition", "On the keeping of bees in cold valleys"]
+    links = "".join(f"<li><a href=/{k}>{t}</a></li>" for k, t in enumerate(cited))
+    menu = "<ul><li><a href=/>Home</a></li><li><a href=/a>About us</a></li><li><a href=/c>Contact</a></li></ul>"
+    want = [prose(k, 12).capitalize() + "." for k in range(700, 706)]
+    for tag in ("ul", "ol"):
+        page = f"<article>{ARTICLE}<h2>Sources</h2><{tag}>{links}</{tag}></article><nav><ul>{links}</ul></nav>"
+        assert html_text.main_text(page).split("\n") == [*want, "Sources", *cited]
+    assert html_text.main_text(f"<article>{menu}{ARTICLE}</article>").split("\n") == want
+
+
+def test_deep_pages_take_time_and_memory_in_proportion():
+    import time
+    import tracemalloc
+    took = {}
+    for depth in (8_000, 32_000):
+        page = "".join(f"<div{' class=sidebar' if k % 2 else ''}>word{k} " for k in range(depth)) + "</section>" * depth
+        begin = time.process_time()
+        found, hints = html_text.blocks(page)
+        html_text.hint_strengths(found, hints)
+        html_text.smoothness(found)
+        took[depth] = time.process_time() - begin
+        assert len(found) == depth and len(hints.flag) == depth // 2
+    assert took[32_000] < 8 * took[8_000] + 1  # linear, not 16 times as long
+    tracemalloc.start()
+    html_text.main_text("".join(f"<div>word{k} " for k in range(32_000)))
+    assert tracemalloc.get_traced_memory()[1] < 200e6
+    tracemalloc.stop()
+
+
+def test_weights_are_learned_from_labelled_blocks():
+    import duckdb
+    from strata.llm import html_fit
+    read = lambda sf, n: [r[0] for r in duckdb.sql(
+        f"select html from '/root/testdata/{sf}/pages.parquet' where page_id >= {n} order by page_id").fetchall()]
+    x, y = html_fit.labelled(read("sf0.01", 0))
+    assert html_fit.fit(x, y) == html_text.WEIGHTS
+    held, truth = html_fit.labelled(read("sf0.1", 1800))  # pages of another table
+    right = (held @ np.array([html_text.WEIGHTS[n] for n in html_fit.PRIOR]) > 0) == truth
+    assert right.mean() > 0.98
+    assert html_fit.fit(x[:0], y[:0]) == html_fit.PRIOR
+
+
+def test_page_columns_may_clash(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, "u", PAGE)], PAGES).withColumns({c: F.lit("clash") for c in ("h", "text", "n_chars", "found")})
+    r = html_text.extract(df).first()
+    assert r["text"].startswith("Title & more\n") and r["n_chars"] == len(r["text"])
+
+
 def test_comments_may_be_longer_than_the_article():
     comments = "".join(f"<article><p>{prose(k, 12)}.</p></article>" for k in range(800, 840))
     page = f"<main><article>{ARTICLE}</article><section id=comments>{comments}</section></main>"
@@ -216,6 +266,45 @@ def test_rules_learn_and_keep_clean_texts(spark):
     assert learned and all(name in rules.STATISTICS for rule in learned for name, _, _ in rule)
 
 
+def brute_gain(values, bad, op, cut):
+    keep = (values > cut) if op == ">" else (values <= cut)
+    p0, n0, p, n = bad.sum(), (~bad).sum(), (keep & bad).sum(), (keep & ~bad).sum()
+    return p * (np.log2(p / (p + n)) - np.log2(p0 / (p0 + n0))) if p else -np.inf
+
+
+def test_rules_grow_by_the_best_of_all_conditions():
+    """Against every threshold between two values of every statistic, one after another."""
+    rng = np.random.default_rng(8)
+    for trial in range(12):
+        x = pd.DataFrame({name: rng.integers(0, 9, 150) / 2 for name in list(rules.STATISTICS)[:4]})
+        bad = (x["words"].to_numpy() > 2) & (rng.random(150) < 0.8) | (rng.random(150) < 0.1)
+        inside = np.ones(150, bool)
+        for k, (name, op, cut) in enumerate(rules._grow(x, bad)):
+            best = max(brute_gain(x[c].to_numpy()[inside], bad[inside], o, (a + b) / 2) for c in x.columns for o in (">", "<=")
+                       for a, b in zip(sorted(set(x[c][inside])), sorted(set(x[c][inside]))[1:]))
+            assert brute_gain(x[name].to_numpy()[inside], bad[inside], op, cut) == pytest.approx(best, abs=1e-5), (trial, k)
+            inside &= rules._covers(x, [(name, op, cut)])
+
+
+def test_learned_lists_cover_in_order_and_are_precise(spark):
+    rng = np.random.default_rng(4)
+    n = 900
+    frame = pd.DataFrame({c: rng.integers(0, 60, n) for c in rules.COUNTS})
+    frame["n_words"] += 10
+    stats = pd.DataFrame({name: frame.eval(re.sub(r"greatest\((\w+), 1\)", r"\1.clip(1)", sql)) for name, sql in rules.STATISTICS.items()}).astype(float)
+    bad = ((stats["symbols_per_word"] > 1.5) | (stats["words"] < 25) & (stats["caps_share"] > 0.5)).to_numpy()
+    learned = rules.learn(stats, bad)
+    assert learned
+    left = np.ones(n, bool)
+    for rule in learned:
+        c = rules._covers(stats, rule) & left
+        assert bad[c].mean() >= rules.LEAST_PRECISION and bad[c].sum() >= rules.LEAST_COVER and len(rule) <= rules.MAX_CONDITIONS
+        left &= ~c
+    assert (left == ~bad).mean() > 0.95
+    got = spark.createDataFrame(frame.reset_index()).select("index", rules.as_expression(learned).alias("kept")).collect()
+    assert {r["index"]: r["kept"] for r in got} == dict(enumerate(left.tolist()))
+
+
 def test_rules_corners(spark):
     rows = rules.judge(corners(spark), empty(spark, LABELS)).collect()
     assert len(rows) == len(corner_rows()) and all(r["kept"] != r["base_failed"] for r in rows)
@@ -229,7 +318,10 @@ def test_rules_corners(spark):
 
 def brute_scan(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(str.maketrans(license_scan.UPPER, license_scan.LOWER)))
-    joined = " " + " ".join(words) + " "
+    low = (text or "").translate(str.maketrans(license_scan.UPPER, license_scan.LOWER))
+    said = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+(?:(?<=[0-9])\+(?![+]|[^\x00-\x2F\x3A-\x60\x7B-\x7F]))?", low)
+    assert len(said) == len(words)
+    joined = " " + " ".join(said) + " "
     places, base, found = [], set(), []
     for p, label in license_scan.PHRASES.items():
         parts = p.split()
@@ -252,7 +344,8 @@ def test_license_scan_matches_brute_force(spark):
     texts = ["Licensed under the Apache License, Version 2.0.", "GNU General Public License v3 or any later version; gnu general public license",
              "cc by", "CC-BY-NC 4.0 and CC BY 3.0", "SPDX-License-Identifier: MIT", "The MIT License. the mit license THE MIT LICENSE", "mit licenses",
              "Permission is hereby granted, free of charge, to any person obtaining a copy", "ein Satz mit Lizenz", "GNU Lesser General Public License 2.1",
-             "apache license " * 300, "\u212aopyleft \u0130 copyleft", "all rights reserved", "creative commons attribution-noncommercial 4.0 international"]
+             "apache license " * 300, "\u212aopyleft \u0130 copyleft", "all rights reserved", "creative commons attribution-noncommercial 4.0 international",
+             "GPLv2+ or LGPL-2.1+, not GPL 2++ nor GPL2+3; Apache 2.0+", "SPDX-License-Identifier: GPL-2.0+", "c++ 11+ warranty"]
     rows = corner_rows() + [(100 + k, t, "en", "a", 1) for k, t in enumerate(texts)]
     df = spark.createDataFrame(rows, DOCS)
     got = [tuple(r) for r in license_scan.scan(df).drop("detections").collect()]
@@ -260,6 +353,23 @@ def test_license_scan_matches_brute_force(spark):
     assert license_scan.scan(empty(spark)).count() == 0 and license_scan.scan(corners(spark)).count() == len(corner_rows())
 
 
+def test_every_sentence_is_found_and_a_plus_is_or_later(spark):
+    def plain(regex):
+        while re.search(r"\(\?:[^()]*\)", regex):  # the first choice, and what is optional left out
+            regex = re.sub(r"\(\?:([^()|]*)[^()]*\)(\?|\{0,\d+\})?", lambda m: "" if m[2] else m[1].replace("[^ ]+ ", "some ") , regex, count=1)
+            regex = re.sub(r"(some |x )\{1,8\}", r"\1", regex)
+        return re.sub(r"(\[cs\])|.\?", lambda m: "s" if m[1] else "", regex)
+    texts = {f"{k}": (label, plain(regex)) for k, (label, _, regex) in enumerate(license_rules.SENTENCES)}
+    rows = [(int(k), f"Some words. {t} and more", "en", "a", 1) for k, (_, t) in texts.items()]
+    plus = {"GPLv2+": "gpl-2.0-or-later", "LGPL-2.1+": "lgpl-2.1-or-later", "GNU GPL version 3+.": "gpl-3.0-or-later",
+            "SPDX-License-Identifier: AGPL-3.0+": "agpl-3.0-or-later", "Apache 2.0+": "apache-2.0", "GPL 2 + MPL 1.1": "gpl-2.0,mpl-1.1"}
+    rows += [(1000 + k, t, "en", "a", 1) for k, t in enumerate(plus)]
+    got = {r["doc_id"]: r for r in license_scan.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    missing = [t for k, (label, t) in texts.items() if not got[int(k)]["detections"]]
+    assert not missing
+    assert {t: got[1000 + k]["labels"] for k, t in enumerate(plus)} == plus
+
+
 # --- token output ---------------------------------------------------------------
 
 def test_short_names_and_identifiers(spark):
@@ -362,6 +472,39 @@ def test_classifier_on_held_out_rows(spark):
     assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in rows if r["predicted"]}
 
 
+def test_training_equals_dense_matrix_steps(monkeypatch):
+    """The same steps on whole rows of a documents-by-buckets matrix."""
+    monkeypatch.setattr(subword, "BUCKETS", 40)
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 4, (25, 40)) * (rng.random((25, 40)) < 0.4)
+    x[3] = 0  # a text without features
+    y = rng.integers(0, 2, 25)
+    bags = subword.Bags.of((int(y[i]), np.flatnonzero(x[i]), x[i][x[i] > 0]) for i in range(25))
+    scores, bias = subword.train(bags, 0.7, epochs=4, rate=0.5, seed=3)
+    draw = np.random.default_rng(3)
+    v, out, b = draw.uniform(-1 / subword.DIM, 1 / subword.DIM, (40, subword.DIM)), np.zeros((subword.DIM, 2)), np.zeros(2)
+    step = 0
+    for _ in range(4):
+        for i in draw.permutation(25):
+            lr, step = 0.5 * (1 - step / 100), step + 1
+            share = x[i] / max(x[i].sum(), 1)
+            mean = share @ v
+            p = np.exp(mean @ out + b) / np.exp(mean @ out + b).sum() - np.eye(2)[y[i]]
+            v, out, b = v - lr * np.outer(np.sqrt(share), out @ p), out - lr * np.outer(mean, p), b - 0.1 * lr * p
+    want = v @ (out[:, 1] - out[:, 0])
+    ones = y.sum()
+    assert scores == pytest.approx(want, abs=1e-4)
+    assert bias == pytest.approx(b[1] - b[0] + np.log(0.7 / 0.3) - np.log((ones + 1) / (26 - ones)), abs=1e-4)
+
+
+def test_classifier_is_trained_in_one_task_of_a_bounded_sample(spark):
+    df, labels, n = labelled(spark)
+    scores, bias = subword.fit(df, labels)
+    assert len(scores) == subword.BUCKETS and scores.dtype == np.float32
+    again, same = subword.fit(df.repartition(7), labels.repartition(3))
+    assert (again == scores).all() and same == bias
+
+
 def test_classifier_corners(spark):
     rows = subword.classify(corners(spark), empty(spark, LABELS)).collect()
     assert len(rows) == len(corner_rows()) and {r["score"] for r in rows} == {0.5}
