@@ -135,6 +135,8 @@ def _new_versions(rows: DataFrame, key: list, tracked: list, target: DataFrame,
                       F.lit(END_OF_TIME).cast("date").alias(to_col),
                       F.lit(True).alias(flag))
     start = next_key_start(target, key_col)
+    if known_rows(rows) is not None:
+        ins = with_known_rows(ins, known_rows(rows))
     ins = assign_keys(ins, key, key_col, start, key_type=target.schema[key_col].dataType.simpleString())
     return ins.select(*[F.col(c).cast(target.schema[c].dataType) for c in target.columns])
 
@@ -177,7 +179,7 @@ def scd2_apply(target: DataFrame, source: DataFrame, key: list, tracked: list, k
     j = materialize(j, "classified")
     hist = target.filter(~F.col(flag))
     cur_rows = _current_rows(j, changed, target, run_date, to_col, flag)
-    to_insert = j.filter(F.col("__t").isNull() | changed)
+    to_insert = with_known_rows(j.filter(F.col("__t").isNull() | changed), known_rows(j))
     ins = _new_versions(to_insert, key, tracked, target, key_col, run_date,
                         from_col, to_col, flag)
     return hist.unionByName(cur_rows).unionByName(ins)

@@ -13,6 +13,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.keys import known_rows
+from strata.operators.lookup import DEFAULT_BROADCAST_BYTES, size_in_bytes
+
 
 class DataQualityError(Exception):
     pass
@@ -43,18 +46,53 @@ def dq_fk_orphans(fact: DataFrame, dim: DataFrame, fact_cols: list, dim_cols: li
     return fact.filter(nn).join(d, fact_cols, "left_anti")
 
 
+def key_and_null_checks(df: DataFrame, name: str, keys: list, not_null: list, uniques: list = ()) -> DataFrame:
+    """DQ-1 and DQ-2 of a table in one frame: the names (``check``) of those that fail. Keys and
+    nulls share one scan and one aggregation; every further unique key adds one."""
+    nulls = [f"__null{i}" for i in range(len(not_null))]
+    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.count_if(F.col(c).isNull()).alias(a) for c, a in zip(not_null, nulls)])
+    whole = per.agg(F.max("__n").alias("__n"), *[F.max(a).alias(a) for a in nulls])
+    some = reduce(lambda a, b: a | b, [F.col(a) > 0 for a in nulls], F.lit(False))
+    found = F.array(F.when(F.col("__n") > 1, F.lit(f"{name}.unique")), F.when(some, F.lit(f"{name}.not_null")))
+    out = whole.select(F.explode(F.array_compact(found)).alias("check"))
+    for i, u in enumerate(uniques):
+        out = out.unionByName(dq_unique(df, u).select(F.lit(f"{name}.unique{i}").alias("check")).limit(1))
+    return out
+
+
+def fk_checks(fact: DataFrame, name: str, fks: list, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """DQ-3 of all foreign keys of a fact in one scan: the names (``check``) of those with orphans.
+    Dimensions are unique on these columns (DQ-1); a repeated key would only repeat a marker.
+
+    ``fks``: ``(fact columns, dimension, dimension columns)`` each. Every dimension's keys are
+    joined as a marker (broadcast as far as one budget of bytes goes), and the names of the
+    keys that are not NULL and found no marker come out of the one pass."""
+    out, missed, left = fact.select(*sorted({c for cols, _, _ in fks for c in cols})), [], max_bytes
+    for i, (cols, dim, dim_cols) in enumerate(fks):
+        names = [f"__fk{i}_{j}" for j in range(len(cols))]
+        d = dim.select(*[F.col(c).alias(n) for c, n in zip(dim_cols, names)])
+        size = size_in_bytes(d, known_rows(dim))
+        if size <= left:
+            left, d = left - size, F.broadcast(d)
+        on = reduce(lambda a, b: a & b, [F.col(c) == F.col(n) for c, n in zip(cols, names)])
+        out = out.join(d.withColumn(f"__hit{i}", F.lit(True)), on, "left").drop(*names)
+        there = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+        missed.append(F.when(there & F.col(f"__hit{i}").isNull(), F.lit(f"{name}.{cols[0]}_fk")))
+    return out.select(F.explode(F.array_compact(F.array(*missed))).alias("check")).distinct()
+
+
 def dq_one_current(dim: DataFrame, key: list, flag: str = "is_current") -> DataFrame:
     """DQ-4: business keys with more than one current version."""
     return dq_unique(dim.filter(F.col(flag)), key)
 
 
 def failing_checks(checks: dict) -> list:
-    """Names of the checks that found violations, in one Spark action: each
-    check contributes at most one row (its name), the branches are unioned
-    and run as parallel stages of one job."""
+    """Names of the checks that found violations, in one Spark action. A frame of the one column
+    ``check`` holds such names itself; any other frame holds the violations of the check
+    it is filed under, and contributes at most one row."""
     if not checks:
         return []
-    parts = [df.select(F.lit(name).alias("check")).limit(1) for name, df in checks.items()]
+    parts = [df if df.columns == ["check"] else df.select(F.lit(name).alias("check")).limit(1) for name, df in checks.items()]
     return sorted({r["check"] for r in reduce(DataFrame.unionByName, parts).collect()})
 
 

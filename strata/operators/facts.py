@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import coalesce0_sum, result_sign
-from strata.operators.keys import assign_keys, materialize, next_key_start
+from strata.operators.keys import assign_keys, known_rows, materialize, next_key_start, with_known_rows
 from strata.operators.lookup import Lookup, lookup_keys, rejected_rows
 from strata.operators.merge import merge_upsert
 
@@ -82,11 +82,13 @@ def fact_snapshot(standings: DataFrame, dim_date, dim_league, dim_team,
     )
 
 
-def upsert_fact(target: DataFrame, rows: DataFrame, keys: list, key_col: str | None = None) -> DataFrame:
+def upsert_fact(target: DataFrame, rows: DataFrame, keys: list, key_col: str | None = None,
+                start: int | None = None) -> DataFrame:
     """SINK-5 ``INSERT .. ON CONFLICT (keys) DO UPDATE SET <all non-key>``.
 
     With ``key_col`` (an identity column outside the conflict target) the
-    existing rows keep their key and inserted rows get new ones."""
+    existing rows keep their key and inserted rows get new ones, above ``start``
+    (default: the target's largest)."""
     upd = [c for c in rows.columns if c not in keys and c != key_col]
     merged = merge_upsert(target, rows, keys, update_cols=upd)
     if not key_col:
@@ -94,7 +96,31 @@ def upsert_fact(target: DataFrame, rows: DataFrame, keys: list, key_col: str | N
     # the full outer join runs once: its rows are written, and both branches scan them
     merged = materialize(merged, "upsert")
     old = merged.filter(F.col(key_col).isNotNull())
-    new = merged.filter(F.col(key_col).isNull()).drop(key_col)
-    start = next_key_start(target, key_col)
+    new = with_known_rows(merged.filter(F.col(key_col).isNull()).drop(key_col), known_rows(merged))
+    start = next_key_start(target, key_col) if start is None else start
     new = assign_keys(new, keys, key_col, start)
     return old.unionByName(new.select(*target.columns))
+
+
+def upsert_partitions(target: DataFrame, rows: DataFrame, keys: list, part: str, key_col: str | None = None) -> DataFrame:
+    """``upsert_fact`` into a target stored by ``part`` (a season): the rows of partitions that no
+    source row touches are read past the join, and never shuffled or compared.
+
+    A partition is touched if a source row lies in it, or, where ``part`` is not one of the
+    ``keys``, if it holds the key of a source row that lies elsewhere now; for these the keys
+    alone of the other partitions are read once. Touched values come to the driver, which
+    has listed the partitions' directories to read them. A NULL value is a partition too."""
+    rows = rows if known_rows(rows) is not None else materialize(rows, "source")
+    touched = {r[0] for r in rows.select(part).distinct().collect()}
+    own = [k for k in keys if k != part]
+
+    def inside(values: set):
+        listed = F.coalesce(F.col(part).isin(*[v for v in values if v is not None]), F.lit(False))
+        return listed | F.col(part).isNull() if None in values else listed
+
+    if part not in keys:
+        moved = target.filter(~inside(touched)).select(*own, part).join(rows.select(*own), own, "left_semi")
+        touched |= {r[0] for r in moved.select(part).distinct().collect()}
+    start = next_key_start(target, key_col) if key_col else None
+    merged = upsert_fact(target.filter(inside(touched)), rows, keys, key_col, start)
+    return target.filter(~inside(touched)).unionByName(merged)

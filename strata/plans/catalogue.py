@@ -20,8 +20,8 @@ from strata.operators.dedup import latest_by
 from strata.operators.dims import (build_dim_date, scd1, scd2_apply, scd2_expire, scd2_insert,
                                    scd_initial)
 from strata.operators.dq import dq_fk_orphans, dq_not_null, dq_one_current, dq_unique
-from strata.operators.facts import FACT_STANDING_GRAIN, fact_match, fact_snapshot, upsert_fact
-from strata.operators.keys import assign_keys
+from strata.operators.facts import FACT_STANDING_GRAIN, fact_match, fact_snapshot, upsert_fact, upsert_partitions
+from strata.operators.keys import assign_keys, materialize
 from strata.operators.lookup import Lookup, lookup_keys, rejected_rows
 from strata.operators.marts import (latest_snapshot, mart_league_month, mart_team_season,
                                     mart_venue_home, team_match_rows, team_season_agg)
@@ -268,8 +268,10 @@ def q_json_project_typed(spark, d):
 
 @query("json_fanout")
 def q_json_fanout(spark, d):
-    """SRC-5, PROJ-3, FILT-1: venues out of the team documents (present only)."""
-    return football.project_venues(inputs.team_bronze(spark, d, 1)).drop("loaded_at", "id")
+    """SRC-5, PROJ-2, PROJ-3, FILT-1: teams and (present) venues out of one parse of the
+    team documents, both versions."""
+    docs = inputs.team_bronze(spark, d, 1).unionByName(inputs.team_bronze(spark, d, 2))
+    return football.fan_out_teams(docs).drop("loaded_at", "id")
 
 
 @query("json_unnest")
@@ -290,7 +292,7 @@ def q_json_unnest_nested(spark, d):
 
 def _two_runs(spark, entity, first: DataFrame, everything: DataFrame) -> DataFrame:
     target = _empty(spark, "silver", entity)
-    once = football.merge_silver(target, first, entity)
+    once = materialize(football.merge_silver(target, first, entity), "first_run")  # as the store does between runs
     return football.merge_silver(once, everything, entity)
 
 
@@ -400,6 +402,19 @@ def q_upsert_fact(spark, d):
                        key_col="standing_key")
 
 
+@query("upsert_fact_seasons")
+def q_upsert_fact_seasons(spark, d):
+    """SINK-5 into a stored fact of which the source touches the later seasons only."""
+    dm = dims(spark, d)
+    rows = fact_snapshot(inputs.standings(spark, d), dm["dim_date"], dm["dim_league"],
+                         dm["dim_team"], dm["date_rows"])
+    first = assign_keys(rows.filter(F.col("snapshot_date_key") < 19990101), FACT_STANDING_GRAIN, "standing_key")
+    store = LayerStore(spark, ensure_checkpoint_dir(spark).rstrip("/") + f"/strata-catalogue-store-{uuid.uuid4().hex}")
+    target = store.write("gold", "fact_standing", first.select("standing_key", *rows.columns), store.begin("gold"))
+    source = rows.filter(F.col("snapshot_date_key") >= 19980101).withColumn("rank", (F.col("rank") + 100).cast("int"))
+    return upsert_partitions(target, source, FACT_STANDING_GRAIN, "season", key_col="standing_key")
+
+
 @query("full_refresh")
 def q_full_refresh(spark, d):
     """SINK-9: the mart is written as a new table version and read back."""

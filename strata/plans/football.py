@@ -79,7 +79,6 @@ SEASON_ELEMENT_SPEC = [
     ("top_assists", ("coverage", "top_assists"), "boolean"),
     ("top_scorers", ("coverage", "top_scorers"), "boolean"),
 ]
-SEASON_PARENT_SPEC = [("league_id", ("league", "id"), "int")]
 SEASONS_PATH = ("seasons",)
 
 # Paths inside one team row of ``league.standings[][]``.
@@ -166,26 +165,52 @@ def _object(text, schema, what: str):
         F.raise_error(F.concat(F.lit(f"an element of {what} is not an object: "), F.coalesce(F.substring(text, 1, 80), F.lit("null")))))
 
 
-def parse_leagues(bronze: DataFrame) -> DataFrame:
-    """League documents parsed once, ``seasons`` as text: leagues and seasons are two
-    projections of this (SRC-5)."""
+def fan_out_leagues(bronze: DataFrame) -> DataFrame:
+    """SRC-5, JOIN-9: league documents parsed once, ``seasons[]`` unnested: a row of entity
+    ``leagues`` per document and one of entity ``seasons`` per element. A missing, empty or
+    null array has no season rows; the league row is unaffected."""
     schema = leaf_schema([p for _, p, _ in LEAGUE_SPEC] + [SEASONS_PATH])
-    return bronze.select(*META, parse_payload("payload", schema).alias("_d"))
+    doc = F.col("_d")
+    parsed = bronze.select(*META, parse_payload("payload", schema).alias("_d"))
+    seasons = F.transform(F.coalesce(_elements(path_col(doc, SEASONS_PATH), "seasons"), F.array().cast("array<string>")),
+                          lambda t, i: F.struct(F.lit("seasons").alias("entity"), i.alias("pos"), t.alias("_t")))
+    own = F.array(F.struct(F.lit("leagues").alias("entity"), F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("_t")))
+    rows = parsed.select(*META, *project_spec(doc, LEAGUE_SPEC), F.explode(F.concat(own, seasons)).alias("_x"))
+    element = F.when(F.col("_x.entity") == "seasons", _object(F.col("_x._t"), _spec_schema(SEASON_ELEMENT_SPEC), "seasons"))
+    rows = rows.select("*", "_x.entity", "_x.pos", element.alias("_e"))
+    return rows.select("entity", *META, "pos", *[n for n, _, _ in LEAGUE_SPEC], *project_spec(F.col("_e"), SEASON_ELEMENT_SPEC))
+
+
+def fan_out_teams(bronze: DataFrame) -> DataFrame:
+    """SRC-5, FILT-1: team documents parsed once: a row of entity ``teams`` per document and,
+    if its ``venue.id`` is present (tested on the text, before the cast), one of entity ``venues``."""
+    schema = leaf_schema([p for _, p, _ in TEAM_SPEC + VENUE_SPEC])
+    parsed = bronze.select(*META, parse_payload("payload", schema).alias("_d"))
+    entities = F.when(F.col("_d.venue.id").isNotNull(), F.array(F.lit("teams"), F.lit("venues"))).otherwise(F.array(F.lit("teams")))
+    rows = parsed.select(F.explode(entities).alias("entity"), *META, "_d")
+    # the columns of an entity are read in its own rows only
+    own = lambda entity, spec: [F.when(F.col("entity") == entity, c).alias(n) for c, (n, _, _) in zip(
+        project_spec(F.col("_d"), spec), spec) if n != "team_id"]
+    return rows.select("entity", *META, *project_spec(F.col("_d"), TEAM_SPEC[:1]), *own("teams", TEAM_SPEC), *own("venues", VENUE_SPEC))
+
+
+#: Bronze tables whose documents feed two silver tables.
+FAN_OUT = {"leagues": fan_out_leagues, "teams": fan_out_teams}
+
+
+def _entity(bronze: DataFrame, source: str, entity: str, names: list, parsed: DataFrame | None) -> DataFrame:
+    rows = parsed if parsed is not None else FAN_OUT[source](bronze)
+    return rows.filter(F.col("entity") == entity).select(*names, *META)
 
 
 def project_leagues(bronze: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
-    parsed = parsed if parsed is not None else parse_leagues(bronze)
-    return parsed.select(*project_spec(F.col("_d"), LEAGUE_SPEC), *META)
+    return _entity(bronze, "leagues", "leagues", [n for n, _, _ in LEAGUE_SPEC], parsed)
 
 
 def project_seasons(bronze: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
-    """JOIN-9: lateral unnest of ``seasons[]``; a missing, empty or null array
-    produces no season rows (the league row is unaffected)."""
-    parsed = parsed if parsed is not None else parse_leagues(bronze)
-    seasons = _elements(path_col(F.col("_d"), SEASONS_PATH), "seasons")
-    rows = parsed.select(*META, *project_spec(F.col("_d"), SEASON_PARENT_SPEC), F.posexplode(seasons).alias("pos", "_t"))
-    rows = rows.withColumn("_e", _object(F.col("_t"), _spec_schema(SEASON_ELEMENT_SPEC), "seasons"))
-    return rows.select("league_id", *project_spec(F.col("_e"), SEASON_ELEMENT_SPEC), *META, "pos")
+    names = [F.col("league_id").cast("int").alias("league_id"), *[n for n, _, _ in SEASON_ELEMENT_SPEC]]
+    rows = parsed if parsed is not None else fan_out_leagues(bronze)
+    return rows.filter(F.col("entity") == "seasons").select(*names, *META, "pos")
 
 
 def project_standings(bronze: DataFrame) -> DataFrame:
@@ -202,22 +227,12 @@ def project_standings(bronze: DataFrame) -> DataFrame:
                        *META, "group_pos", "row_pos")
 
 
-def parse_teams(bronze: DataFrame) -> DataFrame:
-    schema = leaf_schema([p for _, p, _ in TEAM_SPEC + VENUE_SPEC])
-    return bronze.select(*META, parse_payload("payload", schema).alias("_d"))
-
-
 def project_teams(bronze: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
-    parsed = parsed if parsed is not None else parse_teams(bronze)
-    return parsed.select(*project_spec(F.col("_d"), TEAM_SPEC), *META)
+    return _entity(bronze, "teams", "teams", [n for n, _, _ in TEAM_SPEC], parsed)
 
 
 def project_venues(bronze: DataFrame, parsed: DataFrame | None = None) -> DataFrame:
-    """FILT-1: only documents whose ``venue.id`` is present (tested on the
-    text, before the cast)."""
-    parsed = parsed if parsed is not None else parse_teams(bronze)
-    return (parsed.filter(F.col("_d.venue.id").isNotNull())
-                  .select(*project_spec(F.col("_d"), VENUE_SPEC), *META))
+    return _entity(bronze, "teams", "venues", [n for n, _, _ in VENUE_SPEC], parsed)
 
 
 PROJECTORS = {
@@ -230,22 +245,23 @@ PROJECTORS = {
 }
 
 
-def silver_source(bronze: DataFrame, entity: str) -> DataFrame:
+def silver_source(bronze: DataFrame, entity: str, parsed: DataFrame | None = None) -> DataFrame:
     """Typed, deduplicated source of one silver MERGE: the latest record per
-    business key (``DISTINCT ON (keys) ORDER BY keys, loaded_at DESC``)."""
+    business key (``DISTINCT ON (keys) ORDER BY keys, loaded_at DESC``). ``parsed`` are the
+    rows of ``FAN_OUT`` for the entity's documents, if they have been written for both merges."""
     fn, positions = PROJECTORS[entity]
-    rows = fn(bronze)
+    rows = fn(bronze) if parsed is None else fn(bronze, parsed)
     order = [F.col("loaded_at").desc_nulls_first(), F.col("id").desc_nulls_first(),
              *[F.col(p).asc() for p in positions]]
     return latest_by(rows, SILVER_KEYS[entity], order).drop("id", *positions)
 
 
-def merge_silver(target: DataFrame, bronze: DataFrame, entity: str) -> DataFrame:
+def merge_silver(target: DataFrame, bronze: DataFrame, entity: str, parsed: DataFrame | None = None) -> DataFrame:
     """PIPE-1..6: the silver table after ``MERGE INTO target USING source``.
     A record older than the one merged before does not update it: with all of
     bronze as the source that never happens, and loads merged one by one in any
     order give the same table."""
-    src = silver_source(bronze, entity).select(*target.columns)
+    src = silver_source(bronze, entity, parsed).select(*target.columns)
     keys = SILVER_KEYS[entity]
     frozen = NOT_UPDATED.get(entity, [])
     upd = [c for c in target.columns if c not in keys and c not in frozen]

@@ -126,17 +126,21 @@ SIDE_ROWS = """side_rows AS (
     AS s(team_key, scored, conceded, outcome)
   WHERE f.result IS NOT NULL)"""
 
-SEASON_TOTALS = """season_totals AS (
-  SELECT league_key, team_key, season,
-    CAST(count(*) AS INTEGER) AS played,
-    CAST(count(*) FILTER (WHERE outcome = 1) AS INTEGER) AS won,
-    CAST(count(*) FILTER (WHERE outcome = 0) AS INTEGER) AS draw,
-    CAST(count(*) FILTER (WHERE outcome = -1) AS INTEGER) AS lost,
-    CAST(sum(scored) AS INTEGER) AS goals_for, CAST(sum(conceded) AS INTEGER) AS goals_against,
-    CAST(sum(scored) - sum(conceded) AS INTEGER) AS goal_diff,
-    CAST(3 * count(*) FILTER (WHERE outcome = 1) + count(*) FILTER (WHERE outcome = 0) AS INTEGER) AS points,
-    CAST(count(*) FILTER (WHERE conceded = 0) AS INTEGER) AS clean_sheets
-  FROM side_rows GROUP BY league_key, team_key, season)"""
+# From the drawn matches: a side's lead is its goals less the other's; who leads wins.
+SEASON_TOTALS = """sides AS (
+  SELECT ground % 5 AS league, ground AS team, year(day - INTERVAL 7 MONTH) AS term, scored AS made, scored - let_in AS lead
+  FROM drawn WHERE state <> 'P'
+  UNION ALL
+  SELECT ground % 5, (ground + 1 + n % 24) % 25, year(day - INTERVAL 7 MONTH), let_in, let_in - scored FROM drawn WHERE state <> 'P'),
+summed AS (
+  SELECT league, team, term, count(*) AS games, sum(made) AS made, sum(lead) AS lead, sum(sign(lead)) AS balance,
+    sum((lead = 0)::INTEGER) AS even, sum((made = lead)::INTEGER) AS shut
+  FROM sides GROUP BY ALL),
+season_totals AS (
+  SELECT (league + 1)::INTEGER AS league_key, (team + 1)::INTEGER AS team_key, term::INTEGER AS season, games::INTEGER AS played,
+    wins::INTEGER AS won, even::INTEGER AS draw, (games - even - wins)::INTEGER AS lost, made::INTEGER AS goals_for,
+    (made - lead)::INTEGER AS goals_against, lead::INTEGER AS goal_diff, (3 * wins + even)::INTEGER AS points, shut::INTEGER AS clean_sheets
+  FROM (SELECT *, (games - even + balance)::BIGINT // 2 AS wins FROM summed))"""
 
 LATEST_RANK = """last_rank AS (
   SELECT league_key, team_key, season, arg_max(rank, snapshot_date_key) AS final_rank
@@ -168,11 +172,11 @@ ORACLE["unpivot_union_all"] = f"WITH {GOLD}, {SIDE_ROWS} SELECT * FROM side_rows
 
 ORACLE["lateral_top1"] = f"WITH {GOLD_ALL}, {LATEST_RANK} SELECT * FROM last_rank"
 
-ORACLE["drill_across"] = f"""WITH {GOLD_ALL}, {SIDE_ROWS}, {SEASON_TOTALS}, {LATEST_RANK}
+ORACLE["drill_across"] = f"""WITH {GOLD_ALL}, {SEASON_TOTALS}, {LATEST_RANK}
 SELECT t.league_key, t.team_key, t.season, t.played, t.points, l.final_rank
 FROM season_totals t LEFT JOIN last_rank l USING (league_key, team_key, season)"""
 
-ORACLE["mart_team_season"] = f"""WITH {GOLD_ALL}, {SIDE_ROWS}, {SEASON_TOTALS}, {LATEST_RANK}
+ORACLE["mart_team_season"] = f"""WITH {GOLD_ALL}, {SEASON_TOTALS}, {LATEST_RANK}
 SELECT t.league_key, t.team_key, t.season, t.played, t.won, t.draw, t.lost, t.goals_for,
   t.goals_against, t.goal_diff, t.points, {half_up('t.points', 't.played', 4)} AS points_per_game,
   t.clean_sheets, l.final_rank
@@ -269,7 +273,19 @@ VENUE_ROWS = """
     CAST(c_custkey + 1000 + CASE WHEN {v2} THEN 1 ELSE 0 END AS BIGINT) AS capacity
   FROM customer WHERE c_custkey % 10 <> 0"""
 
-ORACLE["json_fanout"] = VENUE_ROWS.format(v2="false")
+TEAM_DOCS = """
+  SELECT 'teams' AS entity, CAST(c_custkey AS INTEGER) AS team_id, {name} AS name, substr(c_mktsegment, 1, 3) AS code,
+    'N' || CAST(c_nationkey AS VARCHAR) AS country, CAST({founded} AS INTEGER) AS founded, c_acctbal < 0 AS national,
+    'https://team/' || CAST(c_custkey AS VARCHAR) AS logo_url FROM customer"""
+
+ORACLE["json_fanout"] = f"""
+{TEAM_DOCS.format(name="c_name", founded="c_custkey % 150 + 1850")}
+UNION ALL BY NAME
+{TEAM_DOCS.format(name="upper(c_name)", founded="NULL")} WHERE c_mktsegment = 'BUILDING'
+UNION ALL BY NAME
+SELECT 'venues' AS entity, * FROM ({VENUE_ROWS.format(v2="false")})
+UNION ALL BY NAME
+SELECT 'venues' AS entity, * FROM ({VENUE_ROWS.format(v2="true")} AND c_mktsegment = 'BUILDING')"""
 
 ORACLE["silver_venues"] = f"""
 SELECT *, CASE WHEN c_mktsegment = 'BUILDING' THEN TIMESTAMP '2024-02-01 06:00:00'
@@ -399,6 +415,8 @@ SELECT CAST((SELECT max(standing_key) FROM ft) + row_number() OVER (
   snapshot_date_key, league_key, team_key, season, rank, points, played, won, draw, lost,
   goals_for, goals_against, goal_diff FROM ins"""
 
+ORACLE["upsert_fact_seasons"] = ORACLE["upsert_fact"]
+
 ORACLE["full_refresh"] = ORACLE["mart_venue_home"]
 
 ORACLE["surrogate_key"] = """

@@ -5,40 +5,44 @@ before any endpoint lands), append the bronze loads, merge all six silver
 tables into a new silver version, check and publish it; then build gold dims,
 facts (plus the rows their inner lookups drop) and marts into a new gold
 version, check and publish it. Independent steps run as concurrent Spark
-jobs. Each table is written once and read back, so later steps never
-recompute earlier ones and key assignments are fixed on storage.
+jobs, as many at a time as the driver's memory has room for their plans. Each table
+is written once and read back, so later steps never recompute earlier ones and key
+assignments are fixed on storage; a layer is checked in one job.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.dims import build_dim_date, scd1, scd2_apply
-from strata.operators.dq import (assert_clean, dq_fk_orphans, dq_not_null, dq_one_current,
-                                 dq_unique)
+from strata.operators.dq import assert_clean, dq_one_current, fk_checks, key_and_null_checks
 from strata.operators.facts import (FACT_STANDING_GRAIN, fact_match, fact_snapshot, fixture_rejects,
                                     standing_lookups, upsert_fact)
 from strata.operators.lookup import rejected_rows
-from strata.operators.keys import materialize, next_key_start
+from strata.operators.keys import discard, materialize, next_key_start
 from strata.operators.marts import mart_league_month, mart_team_season, mart_venue_home
 from strata.operators.merge import insert_absent
 from strata.plans import football, gold
 from strata.plans.store import LayerStore
 from strata.schemas import FOREIGN_KEYS, UNIQUE, keys_of, not_null_of
 from strata.session import apply_sql_conf
-from strata.sources.bronze import BRONZE_TABLES, land_bronze
-from strata.sources.envelope import accepted, parse_envelopes, read_envelopes
+from strata.sources.bronze import BRONZE_TABLES, arrival_ids, land_bronze
+from strata.sources.envelope import parse_envelopes, read_envelopes, staged as staged_envelopes
 
 SILVER_ORDER = ["fixtures", "leagues", "seasons", "standings", "teams", "venues"]
 # Fixed value: the reference calendar range.
 DEFAULT_CALENDAR = ("2010-01-01", "2026-12-31")
 
 
+LEDGER = "bronze string, load string"
+
+
 class LoadRejected(Exception):
     pass
 
@@ -46,10 +50,7 @@ class LoadRejected(Exception):
 def stage(spark: SparkSession, entity: str, path, line_delimited: bool = False) -> DataFrame:
     """SRC-1/2: parse each envelope once and stage the gate verdict with the
     raw ``response`` elements as a written table (checkpoint folder)."""
-    parsed = parse_envelopes(read_envelopes(spark, path, line_delimited))
-    return materialize(parsed.select("source_file", "body_hash", accepted().alias("ok"),
-                                     F.col("env.parameters").alias("source_params"),
-                                     F.col("raw.response").alias("response")), f"envelopes_{entity}")
+    return materialize(staged_envelopes(parse_envelopes(read_envelopes(spark, path, line_delimited))), f"envelopes_{entity}")
 
 
 def rejected(staged: DataFrame) -> bool:
@@ -60,12 +61,9 @@ def rejected(staged: DataFrame) -> bool:
 def append(store: LayerStore, entity: str, staged: DataFrame, run_ts: dt.datetime) -> int:
     """SINK-1: explode the staged arrays, whose elements the gate's parser has read
     as JSON (Hard 8), and append them as received to bronze, with ids above the
-    current maximum."""
-    rows = staged.select("source_file", "body_hash", "source_params",
-                         F.posexplode("response").alias("pos", "payload"))
-    start = next_key_start(store.read("bronze", entity), "id")
-    landed = land_bronze(rows, entity, F.lit(run_ts).cast("timestamp"), start,
-                         order_cols=["source_file", "body_hash", "pos"], dense_ids=False)
+    current maximum in the order of arrival; no payload is sorted or shuffled."""
+    rows = arrival_ids(staged, next_key_start(store.read("bronze", entity), "id"))
+    landed = land_bronze(rows, entity, F.lit(run_ts).cast("timestamp"), id_col="id")
     written = store.append_bronze(entity, landed,
                                   f"batch-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}")
     return written.count()
@@ -93,32 +91,36 @@ def land_all(spark: SparkSession, store: LayerStore, envelopes: dict, run_ts: dt
         raise LoadRejected(f"{', '.join(bad)}: envelope carries API errors or is not JSON")
     landed = concurrently({e: (lambda e=e: append(store, e, staged[e], run_ts)) for e in entities})
     for df in staged.values():  # the staged copies of the raw input go once it has landed
-        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            store.delete(path)
+        discard(df)
     return landed
 
 
-MAX_CONCURRENT_STEPS = 8
+#: Steps at a time at most, and the driver's heap that each of them is given.
+MAX_CONCURRENT_STEPS, STEP_HEAP_BYTES = 8, 1 << 30
+
+
+def concurrent_steps() -> int:
+    """How many steps the driver's heap has room for: a step's plans, generated classes and
+    task results live there while it runs."""
+    heap = SparkSession.active().sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    return max(1, min(MAX_CONCURRENT_STEPS, heap // STEP_HEAP_BYTES))
 
 
 def concurrently(tasks: dict) -> dict:
     """Run independent steps as concurrent Spark jobs from driver threads
     (each step builds and writes one table); re-raises the first failure.
-    ``MAX_CONCURRENT_STEPS = 1`` runs them one after another."""
-    if len(tasks) <= 1 or MAX_CONCURRENT_STEPS <= 1:
+    On a small driver they run one after another."""
+    steps = min(len(tasks), concurrent_steps()) if tasks else 0
+    if steps <= 1:
         return {k: f() for k, f in tasks.items()}
-    with ThreadPoolExecutor(max_workers=min(len(tasks), MAX_CONCURRENT_STEPS)) as pool:
+    with ThreadPoolExecutor(max_workers=steps) as pool:
         futures = {k: pool.submit(f) for k, f in tasks.items()}
         return {k: fut.result() for k, fut in futures.items()}
 
 
 def _layer_checks(name: str, df: DataFrame, layer: str) -> dict:
     keys = keys_of(layer, name)
-    checks = {f"{name}.unique": dq_unique(df, keys),
-              f"{name}.not_null": dq_not_null(df, sorted(set(keys) | set(not_null_of(name))))}
-    for i, u in enumerate(UNIQUE.get(name, [])):
-        checks[f"{name}.unique{i}"] = dq_unique(df, u)
-    return checks
+    return {name: key_and_null_checks(df, name, keys, sorted(set(keys) | set(not_null_of(name))), UNIQUE.get(name, []))}
 
 
 def run_silver(spark: SparkSession, store: LayerStore, incremental: bool = False) -> int:
@@ -134,28 +136,30 @@ def run_silver(spark: SparkSession, store: LayerStore, incremental: bool = False
     current = store.current_version("silver")
     version = store.begin("silver")
     sources = sorted(set(football.SILVER_SOURCE.values()))
-    loads = {b: store.bronze_loads(b) for b in sources}
     ledger = f"{store.base}/silver/v{current:06d}/_loads"
-    done = set()
-    if incremental and current and store.exists(ledger):
-        done = {(r["bronze"], r["load"]) for r in spark.read.parquet(ledger).collect()}  # one row per load
+    merged_loads = spark.read.schema(LEDGER).parquet(ledger) if incremental and current and store.exists(ledger) else None
+    bronze = {b: store.read("bronze", b) if merged_loads is None else store.unmerged(b, merged_loads) for b in sources}
+    # SRC-5: documents that feed two tables are parsed once, and written with the entity of each row
+    parsed = concurrently({b: (lambda b=b: materialize(football.FAN_OUT[b](bronze[b]), f"parsed_{b}", ("entity",)))
+                           for b in sources if b in football.FAN_OUT})
 
     def merge(entity):
         def step():
             b = football.SILVER_SOURCE[entity]
-            bronze = store.read_loads(b, [x for x in loads[b] if (b, x) not in done])
-            merged = football.merge_silver(store.read("silver", entity, current), bronze, entity)
+            merged = football.merge_silver(store.read("silver", entity, current), bronze[b], entity, parsed.get(b))
             return store.write("silver", entity, merged, version)
         return step
 
     written = concurrently({e: merge(e) for e in SILVER_ORDER})
-    spark.createDataFrame([(b, x) for b in sources for x in loads[b]], "bronze string, load string").coalesce(1).write.mode(
-        "overwrite").parquet(f"{store.base}/silver/v{version:06d}/_loads")
+    loads = [store.bronze(b).select(F.lit(b).alias("bronze"), "load").distinct() for b in sources]
+    reduce(DataFrame.unionByName, loads).coalesce(1).write.mode("overwrite").parquet(f"{store.base}/silver/v{version:06d}/_loads")
     checks = {}
     for entity in SILVER_ORDER:
         checks.update(_layer_checks(entity, written[entity], "silver"))
     assert_clean(checks)
     store.publish("silver", version)
+    for df in parsed.values():
+        discard(df)
     return version
 
 
@@ -216,8 +220,7 @@ def run_gold(spark: SparkSession, store: LayerStore, run_date: dt.date,
     checks["dim_team.one_current"] = dq_one_current(out["dim_team"], ["team_id"])
     checks["dim_venue.one_current"] = dq_one_current(out["dim_venue"], ["venue_id"])
     for fact, fks in FOREIGN_KEYS.items():
-        for fcols, dim, dcols in fks:
-            checks[f"{fact}.{fcols[0]}_fk"] = dq_fk_orphans(out[fact], out[dim], fcols, dcols)
+        checks[f"{fact}.fk"] = fk_checks(out[fact], fact, [(fcols, out[dim], dcols) for fcols, dim, dcols in fks])
     assert_clean(checks)
     store.publish("gold", version)
     return version

@@ -7,22 +7,29 @@ directory and publishes the layer by writing a marker last::
 
     {base}/bronze/{entity}/load={id}/       append-only Parquet, one directory per load
     {base}/{layer}/v000007/{table}/         one immutable version per run
-    {base}/{layer}/_published/v000007/      marker: version 7 is complete
+    {base}/{layer}/_published/after-v000006 marker: version 7 (its text) follows version 6
 
-Readers take the highest published version, so a failed run leaves the
+Readers take the last published version, so a failed run leaves the
 previous version in place. A run claims its version number with a marker that
-only one run can create (``begin``), so two runs never write the same version,
-and publishing fails if another run published since. Only a missing path
-before the first publication reads as empty; any other error is raised. All paths go through Spark's readers and writers, so
-the base may be any shared file system the cluster uses.
+only one run can create (``begin``), so two runs never write the same version.
+Publishing is a compare-and-swap on the version that the run began from: the
+marker bears the parent's name and is put in place, whole, only where none is
+(a rename that does not replace, on one machine a hard link). Of all runs that began
+from version 6 exactly one publishes; the others fail and lose nobody's rows. Markers
+are some bytes each and stay when ``vacuum`` removes their versions. Only a missing path
+before the first publication reads as empty; any other error is raised. The base
+may be any shared file system whose rename is atomic and does not replace, as HDFS's is.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.keys import materialize, with_known_rows
+from strata.operators.lookup import broadcast_if_small
 from strata.schemas import PARTITION_BY, empty_frame, schema_of
 
 
@@ -30,10 +37,6 @@ class StoreConflict(Exception):
     """Another run wrote or published the version in question."""
 
 
-def _missing(e: AnalysisException) -> bool:
-    return e.getCondition() == "PATH_NOT_FOUND"
-
-
 class LayerStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
@@ -53,6 +56,30 @@ class LayerStore:
         fs, found = self._path(path)
         fs.delete(found, True)
 
+    def _put_new(self, path: str, text: str) -> bool:
+        """``path`` with ``text``, at once and only if there is none; whether it was put."""
+        fs, target = self._path(path)
+        jvm = self.spark.sparkContext._jvm
+        fs.mkdirs(target.getParent())
+        _, draft = self._path(f"{path.rsplit('/', 1)[0]}/.draft-{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        try:
+            if fs.getUri().getScheme() != "file":
+                return not fs.exists(target) and fs.rename(draft, target)
+            files = jvm.java.nio.file
+            local = lambda p: files.Paths.get(p.toUri().getPath(), self.spark.sparkContext._gateway.new_array(jvm.String, 0))
+            try:
+                files.Files.createLink(local(target), local(draft))
+                return True
+            except Exception:
+                if fs.exists(target):
+                    return False
+                raise
+        finally:
+            fs.delete(draft, False)
+
     def begin(self, layer: str) -> int:
         """Claim a version number that no other run has: the next after every
         claimed or published one. ``create`` without overwriting is exclusive."""
@@ -82,23 +109,33 @@ class LayerStore:
         return f"{self._vdir(layer, version)}/{table}"
 
     # -- versions ------------------------------------------------------------
-    def current_version(self, layer: str) -> int:
+    def _published(self, layer: str) -> list:
+        """The markers' names, ascending: each version's parent is older than itself, and the
+        last marker's text is the current version."""
+        fs, root = self._path(f"{self.base}/{layer}/_published")
+        if not fs.exists(root):
+            return []
+        return sorted(n for n in (st.getPath().getName() for st in fs.listStatus(root)) if n.startswith("after-v"))
+
+    def _version_in(self, layer: str, marker: str) -> int:
+        fs, found = self._path(f"{self.base}/{layer}/_published/{marker}")
+        jvm = self.spark.sparkContext._jvm
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(found)))
         try:
-            rows = self.spark.read.text(f"{self.base}/{layer}/_published/*").agg(
-                F.max(F.col("value").cast("int")).alias("v")).first()
-        except AnalysisException as e:
-            if _missing(e):
-                return 0
-            raise
-        return int(rows["v"]) if rows and rows["v"] is not None else 0
+            return int(lines.readLine())
+        finally:
+            lines.close()
+
+    def current_version(self, layer: str) -> int:
+        markers = self._published(layer)
+        return self._version_in(layer, markers[-1]) if markers else 0
 
     def publish(self, layer: str, version: int) -> None:
-        now = self.current_version(layer)
-        if now >= version or now != self._begun.get((layer, version), now):
-            raise StoreConflict(f"{layer} v{version}: version {now} was published meanwhile")
-        marker = self.spark.range(1).select(F.lit(str(version)).alias("value"))
-        marker.coalesce(1).write.mode("overwrite").text(
-            f"{self.base}/{layer}/_published/v{version:06d}")
+        """Make ``version`` the successor of the version its run began from, if none is yet."""
+        parent = self._begun.get((layer, version))
+        parent = self.current_version(layer) if parent is None else parent
+        if not self._put_new(f"{self.base}/{layer}/_published/after-v{parent:06d}", str(version)):
+            raise StoreConflict(f"{layer} v{version}: another run has published a successor of version {parent}")
 
     # -- tables --------------------------------------------------------------
     def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
@@ -124,20 +161,16 @@ class LayerStore:
             raise StoreConflict(f"{layer} v{version} exists and is not this run's")
         self._begun.setdefault((layer, version), self.current_version(layer))
         parts = PARTITION_BY.get((layer, table), [])
-        if parts:  # each value's rows meet in one task: files are as many as values, not tasks times values
-            df = df.repartition(*parts)
-        df.write.mode("overwrite").partitionBy(*parts).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        if parts:  # small values share a task and a large one is split over several, once their sizes are known
+            df = df.hint("rebalance", *parts)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy(*parts).parquet(path)
+        return with_known_rows(self.spark.read.schema(df.schema).parquet(path).select(*df.columns), seen.get["n"])
 
     def versions(self, layer: str) -> list:
-        """Published version numbers of ``layer``, ascending."""
-        try:
-            rows = self.spark.read.text(f"{self.base}/{layer}/_published/*").collect()
-        except AnalysisException as e:
-            if _missing(e):
-                return []
-            raise
-        return sorted({int(r["value"]) for r in rows})
+        """Published version numbers of ``layer`` that are still there, ascending."""
+        found = (self._version_in(layer, m) for m in self._published(layer))
+        return sorted(v for v in found if self.exists(self._vdir(layer, v)))
 
     def vacuum(self, layer: str, keep: int = 2) -> list:
         """Delete version directories older than the ``keep`` newest published
@@ -157,28 +190,68 @@ class LayerStore:
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("v") and name[1:].isdigit() and int(name[1:]) < floor:
                 fs.delete(st.getPath(), True)
-                marker = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{layer}/_published/{name}")
-                if fs.exists(marker):
-                    fs.delete(marker, True)
                 deleted.append(int(name[1:]))
         return sorted(deleted)
 
-    def bronze_loads(self, table: str) -> list:
-        """Names of the loads of a bronze table, from its directories."""
-        fs, root = self._path(self.table_path("bronze", table))
-        if not fs.exists(root):
-            return []
-        names = [st.getPath().getName() for st in fs.listStatus(root)]
-        return sorted(n[5:] for n in names if n.startswith("load="))
-
-    def read_loads(self, table: str, loads: list) -> DataFrame:
-        """The rows of some loads of a bronze table; other directories are not read."""
-        schema = schema_of("bronze", table)
-        if not loads:
+    def bronze(self, table: str) -> DataFrame:
+        """All loads of a bronze table, read as one directory, with the name of each row's ``load``."""
+        schema = schema_of("bronze", table).add("load", "string")
+        if not self.exists(self.table_path("bronze", table)):
             return empty_frame(self.spark, schema)
-        paths = [f"{self.table_path('bronze', table)}/load={x}" for x in loads]
-        df = self.spark.read.schema(schema).parquet(*paths)
-        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        return self.spark.read.schema(schema).parquet(self.table_path("bronze", table))
+
+    def unmerged(self, table: str, ledger: DataFrame) -> DataFrame:
+        """The rows of the loads that ``ledger`` (bronze, load) does not list. The names are
+        compared in Spark, and prune the directories that the scan opens (a load is a partition)."""
+        rows = self.bronze(table)
+        new = materialize(rows.select("load").distinct().join(
+            ledger.filter(F.col("bronze") == table).select("load"), "load", "left_anti"), "loads")
+        # the condition, true of every name, tells the optimizer that the join is worth pruning by
+        return rows.join(broadcast_if_small(new.filter("load > ''")), "load", "left_semi").drop("load")
+
+    def compact_bronze(self, table: str, version: int | None = None) -> str | None:
+        """Rewrite the loads that silver ``version`` (default: the published one) has merged as one
+        load of few files, and return its name (None if there are fewer than two).
+
+        The new load is listed in the version's ledger before it can be seen, so no later run
+        merges its rows again, and it is in place before the old ones go: a reader may for a
+        moment see a row twice (with its id), never miss one. What a lost driver leaves undone
+        the next compaction of the table finishes, from the list of loads it wrote first.
+        Names are compared in Spark; the driver streams them to delete one folder at a time."""
+        version = self.current_version("silver") if version is None else version
+        root = self.table_path("bronze", table)
+        ledger = f"{self.base}/silver/v{version:06d}/_loads"
+        if not (version and self.exists(root) and self.exists(ledger)):
+            return None
+        self._finish_compactions(root)
+        merged = self.spark.read.parquet(ledger).filter(F.col("bronze") == table).select("load").distinct()
+        names = self.bronze(table).select("load").distinct().join(merged, "load", "left_semi")
+        name = f"compact-{uuid.uuid4().hex}"
+        names.coalesce(1).write.parquet(f"{root}/_compacted/{name}")
+        old = self.spark.read.parquet(f"{root}/_compacted/{name}")
+        if old.limit(2).count() < 2:
+            self.delete(f"{root}/_compacted/{name}")
+            return None
+        rows = self.bronze(table).join(broadcast_if_small(old.filter("load > ''")), "load", "left_semi").drop("load")
+        rows.hint("rebalance").write.parquet(f"{root}/_compacted/{name}.rows")
+        self.spark.createDataFrame([(table, name)], "bronze string, load string").write.mode("append").parquet(ledger)
+        fs, source = self._path(f"{root}/_compacted/{name}.rows")
+        if not fs.rename(source, self._path(f"{root}/load={name}")[1]):
+            raise StoreConflict(f"{table}: {name} could not be put in place")
+        self._finish_compactions(root)
+        return name
+
+    def _finish_compactions(self, root: str) -> None:
+        """Delete the loads that compactions have replaced, and drafts of those that were not done."""
+        fs, lists = self._path(f"{root}/_compacted")
+        if not fs.exists(lists):
+            return
+        for st in fs.listStatus(lists):
+            name = st.getPath().getName()
+            if self.exists(f"{root}/load={name}"):
+                for r in self.spark.read.parquet(f"{root}/_compacted/{name}").toLocalIterator():
+                    self.delete(f"{root}/load={r['load']}")
+            self.delete(f"{root}/_compacted/{name}")
 
     def append_bronze(self, table: str, df: DataFrame, load_id: str) -> DataFrame:
         """Each load (a batch run or a stream micro-batch) is its own

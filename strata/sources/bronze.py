@@ -4,16 +4,18 @@ A bronze table is append-only: raw payload text plus provenance
 (``source_params``, ``source``, ``loaded_at``, ``record_hash = md5(payload)``)
 and a row id. One batch shares one ``loaded_at`` (the reference stamps each
 record separately, Q13); ties are broken by the row id, which follows the
-order of arrival (``order_cols``).
+order of arrival: that of ``order_cols``, or, for staged envelopes, of file, line and
+array position, worked out from where each envelope was read (``arrival_ids``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.operators.keys import assign_keys, known_rows, with_known_rows
+from strata.operators.keys import assign_keys, known_rows, materialize, with_known_rows
+from strata.operators.lookup import broadcast_if_small
 
 # The four bronze targets (whitelist, SINK-2).
 BRONZE_TABLES = ("leagues", "teams", "fixtures", "standings")
@@ -38,19 +40,36 @@ def check_target(table: str) -> str:
     return table
 
 
+def arrival_ids(staged: DataFrame, start: int) -> DataFrame:
+    """One row per element of the ``response`` of written ``staged`` envelopes, with its ``id``
+    above ``start``: source_file, source_params, pos, payload, id.
+
+    An input split owns a range of ids, as many as its lines times its longest array; the
+    ranges follow each other by file and place in the file. Within a split the line and
+    the array position are the offset. So ids are unique, ascend with arrival and need no
+    sort: the one aggregation has a row per input split (the splits are what the driver has
+    listed to read them), and the payloads stay where they are read.
+    """
+    splits = staged.groupBy("source_file", "block").agg(
+        F.min("line").alias("first"), F.count(F.lit(1)).alias("lines"),
+        F.max(F.greatest(F.coalesce(F.size("response"), F.lit(0)), F.lit(1))).alias("width"))
+    before = Window.orderBy("source_file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = materialize(splits.withColumn("base", F.coalesce(F.sum(F.col("lines") * F.col("width")).over(before), F.lit(0))), "splits")
+    at = staged.join(broadcast_if_small(splits.drop("lines")), ["source_file", "block"])
+    rows = at.select("source_file", "source_params", "base", "first", "width", "line",
+                     F.posexplode("response").alias("pos", "payload"))
+    place = F.col("base") + (F.col("line") - F.col("first")) * F.col("width") + F.col("pos")
+    return rows.select("source_file", "source_params", "pos", "payload", (F.lit(start + 1) + place).cast("bigint").alias("id"))
+
+
 def land_bronze(rows: DataFrame, table: str, loaded_at: Column, start_id: int = 0,
                 order_cols: list | None = None, source_params: Column | None = None,
-                source=None, payload_col: str = "payload", dense_ids: bool = True) -> DataFrame:
+                source=None, payload_col: str = "payload", id_col: str | None = None) -> DataFrame:
     """Bronze rows for ``rows`` (one per payload). ``source`` defaults to the
     entity name, as the column default does in the reference.
 
-    Ids increase in the order of ``order_cols`` (unique), above ``start_id``.
-    ``dense_ids`` numbers them 1, 2, 3, ... (``assign_keys``: one extra
-    staging write). Without it the ids are ``start_id + 1 +
-    monotonically_increasing_id()`` after a range sort: unique and increasing
-    but with gaps, computed inside the job that writes the load (the range
-    partitioner is fixed per job, so a retried task reproduces its ids), which
-    saves writing every landed row twice."""
+    Ids are those of ``id_col`` (see ``arrival_ids``); without it the rows are numbered
+    ``start_id + 1, start_id + 2, ...`` in the order of ``order_cols`` (unique)."""
     check_target(table)
     if source_params is None:
         source_params = F.col("source_params") if "source_params" in rows.columns else F.lit(None)
@@ -61,12 +80,9 @@ def land_bronze(rows: DataFrame, table: str, loaded_at: Column, start_id: int =
         loaded_at.alias("loaded_at"),
         F.md5(F.col(payload_col)).alias("record_hash"),
         *[F.col(c) for c in (order_cols or []) if c != payload_col],
+        *([F.col(id_col).cast("bigint").alias("id")] if id_col else []),
     )
-    order = order_cols or ["record_hash"]
-    if dense_ids:
-        keyed = assign_keys(staged, order, "id", start_id, key_type="bigint")
-        return with_known_rows(keyed.select(*BRONZE_COLUMNS), known_rows(keyed))
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = staged.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    ids = (F.lit(start_id) + F.lit(1) + F.monotonically_increasing_id()).cast("bigint")
-    return ordered.withColumn("id", ids).select(*BRONZE_COLUMNS)
+    if id_col:
+        return staged.select(*BRONZE_COLUMNS)
+    keyed = assign_keys(staged, order_cols or ["record_hash"], "id", start_id, key_type="bigint")
+    return with_known_rows(keyed.select(*BRONZE_COLUMNS), known_rows(keyed))

@@ -37,7 +37,9 @@ ACCEPTED_ERROR_TEXTS = ("[]", "{}")
 
 
 def read_envelopes(spark: SparkSession, path, line_delimited: bool = False) -> DataFrame:
-    """One row per envelope: ``source_file``, ``body``, ``body_hash``.
+    """One row per envelope: ``source_file``, ``block`` (where the split that holds it begins in
+    the file), ``line`` (ascending within the split), ``body``, ``body_hash``. File, block and
+    line give the order of arrival without a sort.
 
     By default each file is one response body (pages are small and bounded
     by the API's page size). With ``line_delimited`` every line of a file is
@@ -45,7 +47,8 @@ def read_envelopes(spark: SparkSession, path, line_delimited: bool = False) -> D
     df = spark.read.text(path, wholetext=not line_delimited)
     if line_delimited:
         df = df.filter(F.length(F.trim("value")) > 0)
-    return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("body"),
+    return df.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("line"), F.col("value").alias("body"),
                      F.md5("value").alias("body_hash"))
 
 
@@ -79,11 +82,14 @@ def raw_parts(body: str | None) -> tuple[str | None, list | None]:
             if not isinstance(key, str) or body[at] != ":":
                 return None, None
             begin = _skip(body, at + 1)
-            _, at = _DECODER.raw_decode(body, begin)
-            if key == "errors":
-                errors = body[begin:at]
-            elif key == "response":
-                response = _array(body, begin) if body[begin] == "[" else [] if body[begin:at] == "null" else None
+            if key == "response" and body[begin] == "[":
+                response, at = _array(body, begin)
+            else:
+                _, at = _DECODER.raw_decode(body, begin)
+                if key == "errors":
+                    errors = body[begin:at]
+                elif key == "response":
+                    response = [] if body[begin:at] == "null" else None
             at = _skip(body, at)
             if body[at] == "}":
                 return (errors, response) if _skip(body, at + 1) == len(body) else (None, None)
@@ -94,16 +100,20 @@ def raw_parts(body: str | None) -> tuple[str | None, list | None]:
         return None, None
 
 
-def _array(body: str, at: int) -> list:
-    """The elements of the (valid) array at ``at``, each as its own text."""
+def _array(body: str, at: int) -> tuple[list, int]:
+    """The elements of the array at ``at``, each as its own text, and where the array ends."""
     out, at = [], _skip(body, at + 1)
-    while body[at] != "]":
+    if body[at] == "]":
+        return out, at + 1
+    while True:
         _, end = _DECODER.raw_decode(body, at)
         out.append(body[at:end])
         at = _skip(body, end)
-        if body[at] == ",":
-            at = _skip(body, at + 1)
-    return out
+        if body[at] == "]":
+            return out, at + 1
+        if body[at] != ",":
+            raise ValueError("an array's elements are set apart by commas")
+        at = _skip(body, at + 1)
 
 
 def parse_envelopes(df: DataFrame, body_col: str = "body") -> DataFrame:
@@ -130,6 +140,13 @@ def gate_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
             flag.filter(~F.col("__ok")).drop("__ok"))
 
 
+def staged(parsed: DataFrame, *more: str) -> DataFrame:
+    """What a load keeps of parsed envelopes: where each arrived, the gate's verdict ``ok``,
+    the elements of ``response``, and the columns ``more``. To be written once: ``line`` is that of this evaluation."""
+    return parsed.select("source_file", "block", "line", accepted().alias("ok"),
+                         F.col("env.parameters").alias("source_params"), F.col("raw.response").alias("response"), *more)
+
+
 def explode_response(good: DataFrame, keep: list = ()) -> DataFrame:
     """One row per ``response`` element: ``pos`` and raw ``payload`` text."""
     return good.select(*keep, F.col("env.parameters").alias("source_params"),

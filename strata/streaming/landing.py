@@ -19,10 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.keys import next_key_start
+from strata.operators.keys import discard, materialize, next_key_start
 from strata.plans.store import LayerStore
-from strata.sources.bronze import check_target, land_bronze
-from strata.sources.envelope import explode_response, gate_errors, parse_envelopes
+from strata.sources.bronze import arrival_ids, check_target, land_bronze
+from strata.sources.envelope import parse_envelopes, staged
 
 
 def _batch_writer(base: str, entity: str):
@@ -33,17 +33,16 @@ def _batch_writer(base: str, entity: str):
         if not query_id:
             raise RuntimeError("no streaming query id: loads could not be told apart")
         load = f"load=stream-{query_id}-{epoch_id:012d}"
-        parsed = parse_envelopes(batch)
-        good, bad = gate_errors(parsed)
-        bad.select("source_file", "body").write.mode("overwrite") \
-            .parquet(f"{base.rstrip('/')}/rejected/{entity}/{load}")
-        rows = explode_response(good, keep=["source_file"])
         store = LayerStore(batch.sparkSession, base)
-        others = [x for x in store.bronze_loads(entity) if f"load={x}" != load]
-        start = next_key_start(store.read_loads(entity, others), "id")
-        landed = land_bronze(rows, entity, F.current_timestamp(), start,
-                             order_cols=["source_file", "pos"])
+        lines = batch.withColumns({"block": F.lit(0).cast("long"), "line": F.monotonically_increasing_id()})
+        whole = materialize(staged(parse_envelopes(lines), "body"), f"stream_{entity}")
+        whole.filter(~F.col("ok")).select("source_file", "body").write.mode("overwrite") \
+            .parquet(f"{base.rstrip('/')}/rejected/{entity}/{load}")
+        start = next_key_start(store.bronze(entity).filter(F.col("load") != load[len("load="):]), "id")
+        rows = arrival_ids(whole.filter("ok").drop("body"), start)
+        landed = land_bronze(rows, entity, F.current_timestamp(), id_col="id")
         landed.write.mode("overwrite").parquet(f"{root}/{load}")
+        discard(whole)
 
     return write
 

@@ -59,7 +59,7 @@ def test_latest_by_nulls_first_and_tiebreak(spark):
 def test_assign_keys_is_dense_for_any_partitioning(spark):
     df = spark.range(0, 3000).select((F.col("id") * 7 % 3001).alias("k"))
     a = rows(assign_keys(df, ["k"], "key", 10), "k", "key")
-    assert a == rows(assign_keys(df, ["k"], "key", 10, num_partitions=5), "k", "key")
+    assert a == rows(assign_keys(df.repartition(5), ["k"], "key", 10), "k", "key")
     assert [key for _, key in a] == list(range(11, 3011))
     assert assign_keys(df.limit(0), ["k"], "key", 10).count() == 0
 
@@ -213,16 +213,72 @@ def test_bronze_whitelist():
         check_target("gold.dim_team")
 
 
-def test_sparse_bronze_ids_follow_order_and_repeat(spark):
-    from strata.sources.bronze import land_bronze
-    rows = spark.range(0, 2000).select(
-        F.format_string('{"n": %d}', F.col("id")).alias("payload"),
-        (F.col("id") * 7919 % 2000).alias("arrival"))
-    landed = land_bronze(rows, "teams", F.current_timestamp(), start_id=500,
-                         order_cols=["arrival"], dense_ids=False)
+def plan_of(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
+def test_arrival_ids_need_no_payload_exchange(spark, tmp_path):
+    """Files, lines and array positions in order, above the start, equal in a second evaluation."""
+    import json
+    from strata.operators.keys import materialize
+    from strata.sources.bronze import arrival_ids, land_bronze
+    from strata.sources.envelope import parse_envelopes, read_envelopes, staged
+    n = 0
+    for f in range(4):
+        with open(tmp_path / f"p{f}.json", "w") as out:
+            for line in range(30 * f % 70 + 1):
+                items = [{"n": n + k} for k in range((line + f) % 5)]
+                n += len(items)
+                out.write(json.dumps({"get": "teams", "errors": [], "response": items}) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        whole = materialize(staged(parse_envelopes(read_envelopes(spark, str(tmp_path), True))))
+        blocks = whole.select("source_file", "block").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 << 20))
+    landed = land_bronze(arrival_ids(whole, 500), "teams", F.current_timestamp(), id_col="id")
     first = {r["payload"]: r["id"] for r in landed.collect()}
-    second = {r["payload"]: r["id"] for r in landed.collect()}
-    assert first == second and len(set(first.values())) == 2000 and min(first.values()) > 500
-    arrival = {f'{{"n": {i}}}': i * 7919 % 2000 for i in range(2000)}
-    in_order = [first[p] for p in sorted(first, key=arrival.get)]
-    assert in_order == sorted(in_order)
+    assert blocks > 4 and first == {r["payload"]: r["id"] for r in landed.collect()}
+    in_order = [first[f'{{"n": {k}}}'] for k in range(n)]
+    assert len(first) == n and in_order == sorted(set(in_order)) and in_order[0] > 500
+    tree = plan_of(landed).split("\n\n")[0]
+    assert "BroadcastHashJoin" in tree and tree.count("Exchange") == tree.count("BroadcastExchange")
+
+
+def test_assign_keys_over_many_buckets(spark, monkeypatch):
+    from strata.operators import keys
+    monkeypatch.setattr(keys, "BUCKET_ROWS", 100)
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def seen(x):
+        calls.add(1)
+        return x
+    df = spark.range(0, 3000, numPartitions=4).select((F.col("id") * 7 % 3001).cast("int").alias("k"), F.concat(F.lit("n"), F.col("id") % 11).alias("s"))
+    out = assign_keys(df.withColumn("v", seen("k")), ["s", "k"], "key", 10)
+    got = sorted((r["key"], r["s"], r["k"]) for r in out.collect())
+    assert [g[0] for g in got] == list(range(11, 3011)) and [g[1:] for g in got] == sorted(g[1:] for g in got)
+    assert calls.value == 3000  # the input is evaluated once
+    assert sorted((r["key"], r["s"], r["k"]) for r in out.collect()) == got
+    with_null = spark.createDataFrame([(None,), (1,), (2,)] + [(k,) for k in range(3, 400)], "k int")
+    keyed = {r["k"]: r["key"] for r in assign_keys(with_null, ["k"], "key").collect()}
+    assert keyed[None] == 1 and [keyed[k] for k in range(1, 400)] == list(range(2, 401))
+
+
+def test_one_scan_checks_all_foreign_keys(spark):
+    from strata.operators.dq import failing_checks, fk_checks, key_and_null_checks
+    dates = spark.createDataFrame([(1,), (2,)], "date_key int")
+    teams = spark.createDataFrame([(7,), (8,)], "team_key int")
+    fact = spark.createDataFrame([(1, 7, None), (2, 8, 7), (2, 7, 9)], "date_key int, home int, away int")
+    fks = [(["date_key"], dates, ["date_key"]), (["home"], teams, ["team_key"]), (["away"], teams, ["team_key"])]
+    checks = fk_checks(fact, "f", fks)
+    assert failing_checks({"f": checks}) == ["f.away_fk"]
+    assert failing_checks({"f": fk_checks(fact, "f", fks, max_bytes=0)}) == ["f.away_fk"]
+    assert plan_of(fk_checks(fact, "f", fks)).split("\n\n")[0].count("Scan") == 4  # the fact once, a dimension for each key
+    assert failing_checks({"t": key_and_null_checks(fact, "t", ["home"], ["away"], [["date_key"]])}) == ["t.not_null", "t.unique", "t.unique0"]
+    assert failing_checks({"t": key_and_null_checks(fact.limit(0), "t", ["home"], ["away"], [["date_key"]])}) == []
