@@ -13,8 +13,10 @@ Defined results
   null, empty and blank texts: all counts 0, so the base test fails (fewer than
   10 words) and the row is not kept; no labels, or labels of one kind: no rules,
   the base test alone decides; null ids: held out from learning; equal ids:
-  learned from once, every row returned; empty table: no rows; extra columns
-  are ignored.
+  learned from once, every row returned; ties: of conditions that gain the same the one
+  with the widest gap between its values, then the first; equal texts have equal verdicts;
+  very long texts: counted whole, a few texts to a batch; empty table: no rows; extra
+  columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

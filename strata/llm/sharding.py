@@ -9,7 +9,7 @@ Defined results
   null text: no bytes, so size 16 and the checksum of the empty string (0);
   null ids: sorted first; repeated rows: each gets its own slot, and rows equal
   in id and text are interchangeable; equal ids: ordered by text checksum and
-  size; empty table: no rows; other input columns are ignored, whatever their
+  size; very long texts: measured whole, in the scan, and never moved; empty table: no rows; other input columns are ignored, whatever their
   names. Copies are rows like any other under this law, so a group of equal
   texts is spread over the shards.
 """

@@ -18,7 +18,9 @@ Defined results
   one shingle of all words; documents with equal fingerprints are linked;
   repeated rows and equal ids: each row is returned; null ids are ignored in
   ``component_id``, which is null only if no row of the component has an id;
-  empty table: no rows; extra columns are ignored (or carried by ``first_of_each``).
+  ties: of a group's rows the least id stays, of equal ids that of the least text hash; very long
+  texts: all shingles hashed, a few texts to a batch; empty table: no rows; extra columns are
+  ignored (or carried by ``first_of_each``), whatever their names.
 """
 
 from __future__ import annotations
