@@ -51,6 +51,10 @@ class Tree:
         self.kids = np.array(kids, np.int64)
         scattered = np.arange(nodes) * 2654435761 >> 7
         self.mix = scattered & ((1 << SLOT_BITS) - 1)
+        rank = np.arange(1, len(self.symbols) + 1)
+        # what an id adds to the hash of the context: order 1; order 2 as the last, as the one before
+        self.hash1 = rank * 40503 >> 3 & ((1 << SLOT_BITS) - 1)
+        self.hash2, self.hash2_last = rank * 62533, rank * 52711
         self.codes = codes
         self.rank = np.full(int(self.symbols.max()) + 1, -1, np.int64)
         self.rank[self.symbols] = np.arange(len(self.symbols))
@@ -85,25 +89,26 @@ class Tree:
         return self.path_bits[np.repeat(self.path_start[k], size) + at]
 
 
-def _run(tree: Tree, counts: list[int], bits: list[np.ndarray] | None, data: list[bytes] | None):
-    """Encode ``bits`` or decode ``data``, a block in each lane: payloads, or ids."""
+def _run(tree: Tree, counts: list[int], blocks: list[np.ndarray] | None, data: list[bytes] | None):
+    """Encode ``blocks`` or decode ``data``, a block in each lane: payloads, or ids."""
     n = len(counts)
     if not n:
         return []
-    encode, size = bits is not None, 1 << SLOT_BITS
+    encode, size = blocks is not None, 1 << SLOT_BITS
     table = np.full(3 * n * size, 32768, np.uint16)  # a row of slots for each order and lane
     lane = np.flatnonzero(np.array(counts) > 0)
-    left = np.array(counts, np.int64)[lane]
     base0, base1, base2 = ((k * n + lane) << SLOT_BITS for k in range(3))
-    context1, context2 = base1.copy(), base2.copy()
-    node, last = np.zeros(len(lane), np.int64), np.zeros(len(lane), np.int64)
+    context = np.stack([base1, base2])
+    node, last = np.zeros(len(lane), np.int64), np.full(len(lane), tree.hash2_last[0])
     low, high = np.zeros(len(lane), np.int64), np.full(len(lane), 0xFFFFFFFF, np.int64)
     weight = np.repeat(np.array(START_WEIGHTS, np.int32)[:, None], len(lane), 1)
     if encode:
-        steps = max(map(len, bits))
+        sizes = np.array([int(tree.lengths[tree.rank[b]].sum()) for b in blocks])
+        steps = int(sizes.max())
         todo = np.zeros((steps, n), bool)
-        for k, b in enumerate(bits):
-            todo[:len(b), k] = b
+        for k, b in enumerate(blocks):
+            todo[:sizes[k], k] = tree.decisions(b)
+        stops = set(sizes.tolist())  # the steps after which a lane is done
         width = max(16, steps // 4)
         out = np.zeros(n * width, np.uint8)
         value = None
@@ -115,19 +120,18 @@ def _run(tree: Tree, counts: list[int], bits: list[np.ndarray] | None, data: lis
         first = out.reshape(n, width)[lane, :4].astype(np.int64)
         value = first[:, 0] << 24 | first[:, 1] << 16 | first[:, 2] << 8 | first[:, 3]
         most = max(counts)
-        ids = np.zeros(n * most, np.int64)
+        ids = np.zeros(n * most, np.int32)
         got = lane * most
+        stop = got + np.array(counts, np.int64)[lane]
     place = lane * width + (0 if encode else 4)
     used = np.zeros(n, np.int64)
     step, full = 0, 0
     kids, mix, stretch, squash = tree.kids, tree.mix, STRETCH, SQUASH
+    slot = np.empty((3, len(lane)), np.int64)
     while len(lane):
-        at = mix.take(node, mode="clip")
-        slot = np.empty((3, len(lane)), np.int64)
         np.bitwise_and(node, size - 1, out=slot[0])
         slot[0] += base0
-        np.bitwise_xor(context1, at, out=slot[1])
-        np.bitwise_xor(context2, at, out=slot[2])
+        np.bitwise_xor(context, mix.take(node, mode="clip"), out=slot[1:])
         p = table[slot]
         s = stretch.take(p >> 4, mode="clip")
         dot = weight * s
@@ -139,30 +143,44 @@ def _run(tree: Tree, counts: list[int], bits: list[np.ndarray] | None, data: lis
         mid *= mixed
         mid >>= 16
         mid += low
-        one = todo[step][lane] if encode else value <= mid
-        np.copyto(high, mid, where=one)
+        if encode:
+            one = todo[step] if len(lane) == n else todo[step][lane]
+        else:
+            one = value <= mid
+        take = one.astype(np.int64)
+        np.negative(take, out=take)  # all bits for a one: the choices below without a branch
+        pick = high ^ mid
+        pick &= take
+        high ^= pick
         mid += 1
-        np.copyto(low, mid, where=~one)
-        goal = one * np.int32(65535)
+        mid ^= low
+        np.invert(take, out=take)
+        mid &= take
+        low ^= mid
+        goal = one.astype(np.int32)
+        goal *= 65535
         old = p.astype(np.int32)
         rise = goal - old
         rise >>= RATE
         old += rise
-        table[slot] = old
+        table[slot] = old.astype(np.uint16)
         goal -= mixed
         s *= goal
         s >>= WEIGHT_SHIFT
         weight += s
         same = ((low ^ high) < 1 << 24).nonzero()[0]
         while len(same):
+            lo, hi, at = low.take(same), high.take(same), place.take(same)
             if encode:
-                out[place[same]] = low[same] >> 24
+                out[at] = lo >> 24
             else:
-                value[same] = (value[same] << 8 & 0xFFFFFFFF) | out[place[same]]
-            place[same] += 1
-            low[same] = low[same] << 8 & 0xFFFFFFFF
-            high[same] = (high[same] << 8 & 0xFFFFFFFF) | 255
-            same = same[(low[same] ^ high[same]) < 1 << 24]
+                value[same] = (value.take(same) << 8 & 0xFFFFFFFF) | out.take(at)
+            at += 1
+            place[same] = at
+            lo = lo << 8 & 0xFFFFFFFF
+            hi = (hi << 8 & 0xFFFFFFFF) | 255
+            low[same], high[same] = lo, hi
+            same = same[(lo ^ hi) < 1 << 24]
         full += 1
         if encode and full == width // 8:  # at most 2 bytes a step: make room before any lane is full
             full = 0
@@ -177,36 +195,39 @@ def _run(tree: Tree, counts: list[int], bits: list[np.ndarray] | None, data: lis
         step += 1
         leaf = (node < 0).nonzero()[0]
         if len(leaf):
-            k = ~node[leaf]
+            k = ~node.take(leaf)
             node[leaf] = 0
-            if not encode:
-                ids[got[leaf]] = k
-                got[leaf] += 1
-            context1[leaf] = base1[leaf] | ((k + 1) * 40503 >> 3 & size - 1)
-            context2[leaf] = base2[leaf] | ((k + 1) * 62533 + (last[leaf] + 1) * 52711 >> 4 & size - 1)
-            last[leaf] = k
-            left[leaf] -= 1
-            done = leaf[left[leaf] == 0]
-            if len(done):
+            context[0][leaf] = base1.take(leaf) + tree.hash1.take(k)
+            context[1][leaf] = base2.take(leaf) + (tree.hash2.take(k) + last.take(leaf) >> 4 & size - 1)
+            last[leaf] = tree.hash2_last.take(k)
+            if encode:
+                stay = sizes[lane] > step if step in stops else None
+            else:
+                at = got.take(leaf)
+                ids[at] = k
+                at += 1
+                got[leaf] = at
+                stay = got < stop if (at == stop.take(leaf)).any() else None
+            if stay is not None:
                 if encode:  # four bytes pin the last interval
-                    for d in done:
+                    for d in np.flatnonzero(~stay):
                         at = int(place[d])
                         out[at:at + 4] = np.frombuffer(int(low[d]).to_bytes(4, "big"), np.uint8)
                         used[lane[d]] = at + 4 - lane[d] * width
-                stay = np.flatnonzero(left > 0)
-                lane, left, base0, base1, base2, context1, context2, node, last, low, high, weight, place = (
-                    x[..., stay] for x in (
-                        lane, left, base0, base1, base2, context1, context2, node, last, low, high, weight, place))
+                lane, base0, base1, base2, context, node, last, low, high, weight, place = (
+                    x[..., stay] for x in (lane, base0, base1, base2, context, node, last, low, high, weight, place))
+                slot = np.empty((3, len(lane)), np.int64)
                 if not encode:
-                    value, got = value[stay], got[stay]
+                    value, got, stop = value[stay], got[stay], stop[stay]
     if encode:
         return [out[k * width:k * width + used[k]].tobytes() for k in range(n)]
-    return [tree.symbols[ids[k * most:k * most + c]] for k, c in enumerate(counts)]
+    symbols = tree.symbols.astype(np.uint32)
+    return [symbols[ids[k * most:k * most + c]] for k, c in enumerate(counts)]
 
 
 def encode_blocks(tree: Tree, blocks: list[np.ndarray]) -> list[bytes]:
     """The payload of each block of ids."""
-    return _run(tree, [len(b) for b in blocks], [tree.decisions(b) for b in blocks], None)
+    return _run(tree, [len(b) for b in blocks], blocks, None)
 
 
 def decode_blocks(tree: Tree, payloads: list[bytes], counts: list[int]) -> list[np.ndarray]:

@@ -34,9 +34,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import as_text, cut, shared_path, shuffle_partitions, small_batches
+from strata.llm.common import as_text, cut, shared_path, small_batches
 
-BLOCK, LANES = 4096, 2048
+#: Ids of a block; blocks coded side by side, at most; and how many a partition is meant to hold:
+#: the more blocks share a step, the less a step costs each, and one batch beats one and a bit.
+BLOCK, LANES, PART_BLOCKS = 4096, 4096, 2560
+#: Blocks that a task is worth while some of the cluster's cores would have none.
+LEAST_BLOCKS = 512
 #: Coding decisions of a block, at most, as a multiple of ``BLOCK``: blocks of rarer ids, which
 #: take longer paths, hold fewer of them, so that blocks coded side by side end together.
 PATHS = 8
@@ -206,7 +210,7 @@ def _block_writer(tree_table, kind: str, block: int, lanes: int):
 
         for pdf in batches:
             for doc_id, raw in zip(pdf["doc_id"], pdf["ids"]):
-                ids, at = np.frombuffer(raw, kind).astype(np.int64), 0
+                ids, at = np.frombuffer(raw, kind), 0
                 upto = np.concatenate([[0], np.cumsum(tree.lengths[tree.rank[ids]])])
                 while at < len(ids):
                     fits = int(np.searchsorted(upto, upto[at] + paths, side="right")) - 1 - at
@@ -228,6 +232,12 @@ def _block_writer(tree_table, kind: str, block: int, lanes: int):
     return run
 
 
+def partitions(ids: int, block: int, cores: int) -> int:
+    """Range partitions for so many ids: about ``PART_BLOCKS`` blocks each, fewer where cores would idle."""
+    blocks = -(-ids // block)
+    return max(1, -(-blocks // PART_BLOCKS), min(cores, blocks // LEAST_BLOCKS))
+
+
 def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
           tokenizer: str | None = None, end_id: int = END_ID, block: int = BLOCK, lanes: int = LANES) -> None:
     """Write the documents' ids to ``path``: frames in ``path/blocks``, the tree in ``path/tree``."""
@@ -243,7 +253,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     sent = spark.sparkContext.broadcast((tree.symbols, tree.lengths))
     keys = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
     placed = found.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(
-        shuffle_partitions(spark), *keys, "tie")
+        partitions(int(seen["n"].sum()), block, spark.sparkContext.defaultParallelism), *keys, "tie")
     (placed.sortWithinPartitions(*keys, "tie").select(as_text(F.col("doc_id")).alias("doc_id"), "ids")
      .mapInPandas(_block_writer(sent, kind, block, lanes), "part int, block long, ids long, frame binary")
      .write.parquet(f"{path}/blocks"))

@@ -443,6 +443,15 @@ def test_pieces_encode_as_whole_texts():
         assert list(np.frombuffer(encoder.batch([s])[0], encoder.kind)) == encoder.tokenizer.encode(s, add_special_tokens=False).ids + [2]
 
 
+def test_blocks_share_a_partition_up_to_a_batch(spark, scratch):
+    full = tokenout.PART_BLOCKS * tokenout.BLOCK
+    assert [tokenout.partitions(n, tokenout.BLOCK, 6) for n in (0, full // 100, full, 10 * full, 10 * full + 1)] == [1, 1, 5, 10, 11]
+    docs = spark.range(400).selectExpr("id doc_id", "concat('word ', id) text")
+    tokenout.write(docs, scratch + "/ids", block=32)
+    assert spark.read.parquet(scratch + "/ids/blocks").select("part").distinct().count() == 1
+    assert [r["doc_id"] for r in tokenout.read(spark, scratch + "/ids").orderBy("start").collect()] == list(range(400))
+
+
 def test_written_ids_read_back(spark):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(tokenout.tokenizer_path())
