@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import small_batches
+
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("get", T.StringType()),
     T.StructField("parameters", T.StringType()),
@@ -34,6 +36,8 @@ ENVELOPE_SCHEMA = T.StructType([
 ])
 # Fixed values of the reference's gate: the only accepted non-empty error texts.
 ACCEPTED_ERROR_TEXTS = ("[]", "{}")
+#: Bodies that a Python worker holds at once, each with all its elements.
+BODIES_AT_ONCE = 64
 
 
 def read_envelopes(spark: SparkSession, path, line_delimited: bool = False) -> DataFrame:
@@ -118,6 +122,8 @@ def _array(body: str, at: int) -> tuple[list, int]:
 
 def parse_envelopes(df: DataFrame, body_col: str = "body") -> DataFrame:
     """Adds the parsed wrapper ``env`` and ``raw`` (errors, response as received)."""
+    small_batches(df.sparkSession, BODIES_AT_ONCE)
+
     @F.pandas_udf("struct<errors:string,response:array<string>>")
     def raw(bodies: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([raw_parts(b) for b in bodies], columns=["errors", "response"])

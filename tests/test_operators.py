@@ -282,3 +282,16 @@ def test_one_scan_checks_all_foreign_keys(spark):
     assert plan_of(fk_checks(fact, "f", fks)).split("\n\n")[0].count("Scan") == 4  # the fact once, a dimension for each key
     assert failing_checks({"t": key_and_null_checks(fact, "t", ["home"], ["away"], [["date_key"]])}) == ["t.not_null", "t.unique", "t.unique0"]
     assert failing_checks({"t": key_and_null_checks(fact.limit(0), "t", ["home"], ["away"], [["date_key"]])}) == []
+
+
+def test_envelopes_reach_python_few_at_a_time(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 10000)
+    try:
+        df = spark.range(0, 500, 1, 1).selectExpr("id page", """concat('{"errors":[],"response":[{"id":', id, '}]}') body""")
+        good, bad = gate_errors(parse_envelopes(df))
+        assert 0 < int(spark.conf.get(key)) <= 64  # bodies, each with all its elements
+        assert explode_response(good, keep=["page"]).count() == 500 and bad.count() == 0
+    finally:
+        spark.conf.set(key, before)
