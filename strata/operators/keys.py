@@ -54,7 +54,7 @@ def materialize(df: DataFrame, label: str = "t", partition_by: tuple = ()) -> Da
     # one folder per application: a finished run's intermediates go together
     path = f"{base}/strata-tables/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     stored = with_known_rows(spark.read.schema(df.schema).parquet(path).select(*df.columns), seen.get["n"])
     stored._strata_path = path
     return stored

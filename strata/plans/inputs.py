@@ -308,7 +308,7 @@ def envelope_lines(payloads: DataFrame, get: str, page) -> DataFrame:
 
 
 def write_envelopes(spark: SparkSession, d: str, out: str) -> dict:
-    """Newline-delimited envelope files for every entity, derived from the
+    """Newline-delimited envelope files (gzip, one for each task) for every entity, derived from the
     driver tables: fixtures before and after kickoff, team and league documents and
     those re-sent (100 ids per page; one standings table per page). Records of one
     run share their load time; the later position in a page is the newer one."""
@@ -324,5 +324,5 @@ def write_envelopes(spark: SparkSession, d: str, out: str) -> dict:
     paths = {}
     for entity, df in sets.items():
         paths[entity] = f"{out}/{entity}"
-        df.write.mode("overwrite").text(paths[entity])
+        df.write.mode("overwrite").option("compression", "gzip").text(paths[entity])
     return paths

@@ -164,7 +164,7 @@ class LayerStore:
         if parts:  # small values share a task and a large one is split over several, once their sizes are known
             df = df.hint("rebalance", *parts)
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy(*parts).parquet(path)
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("compression", "zstd").partitionBy(*parts).parquet(path)
         return with_known_rows(self.spark.read.schema(df.schema).parquet(path).select(*df.columns), seen.get["n"])
 
     def versions(self, layer: str) -> list:
@@ -233,7 +233,7 @@ class LayerStore:
             self.delete(f"{root}/_compacted/{name}")
             return None
         rows = self.bronze(table).join(broadcast_if_small(old.filter("load > ''")), "load", "left_semi").drop("load")
-        rows.hint("rebalance").write.parquet(f"{root}/_compacted/{name}.rows")
+        rows.hint("rebalance").write.option("compression", "zstd").parquet(f"{root}/_compacted/{name}.rows")
         self.spark.createDataFrame([(table, name)], "bronze string, load string").write.mode("append").parquet(ledger)
         fs, source = self._path(f"{root}/_compacted/{name}.rows")
         if not fs.rename(source, self._path(f"{root}/load={name}")[1]):
@@ -259,5 +259,5 @@ class LayerStore:
         and a replayed load rewrites only itself. Returns the load as read
         back (its count is a Parquet metadata read)."""
         path = f"{self.table_path('bronze', table)}/load={load_id}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)

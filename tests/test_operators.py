@@ -295,3 +295,17 @@ def test_envelopes_reach_python_few_at_a_time(spark):
         assert explode_response(good, keep=["page"]).count() == 500 and bad.count() == 0
     finally:
         spark.conf.set(key, before)
+
+
+def test_envelopes_and_tables_are_written_compressed(spark, tmp_path):
+    import glob
+
+    from strata.operators.keys import materialize
+    from strata.plans import inputs
+    from strata.sources.envelope import read_envelopes
+    paths = inputs.write_envelopes(spark, "/root/testdata/sf0.001", str(tmp_path))
+    for path in paths.values():
+        assert glob.glob(path + "/part-*") and all(f.endswith(".gz") for f in glob.glob(path + "/part-*"))
+    stored = materialize(read_envelopes(spark, paths["teams"], True), "compressed")
+    assert stored.filter("body like '{%}'").count() == stored.count() > 0
+    assert all(f.endswith(".zstd.parquet") for f in stored.inputFiles())
