@@ -27,10 +27,13 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +57,10 @@ HEAD = struct.Struct("<4sBIIQQII")
 REMEMBERED = 600_000
 #: A piece of letters, and perhaps marks after them, is one or two words to a tokenizer
 #: that splits letters from marks.
-SIMPLE = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+([.,;:!?]*)")
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+SIMPLE = re.compile(f"[{LETTERS}]+([.,;:!?]*)")
+#: Where such a tokenizer always ends a word: a blank there changes nothing.
+BEFORE_MARKS = f"([{LETTERS}])([.,;:!?])"
 _ENCODERS: dict[tuple, "Encoder"] = {}
 
 
@@ -71,7 +77,9 @@ def id_kind(tokenizer, end_id: int) -> str:
 class Encoder:
     """Ids of whole texts as little-endian bytes. Pieces between blanks and line ends are
     encoded once and remembered: the tokenizer's words never cross white space, and its
-    normalizer changes nothing across it, so the ids are those of the whole text."""
+    normalizer changes nothing across it, so the ids are those of the whole text. Where the
+    tokenizer lower-cases, texts of Latin-1 are lower-cased first and marks cut off their words,
+    so that a word is one piece however it is written."""
 
     def __init__(self, path: str, end_id: int):
         import os
@@ -82,6 +90,8 @@ class Encoder:
         self.end = np.array([end_id], self.kind).tobytes()
         self.known: dict[str, bytes] = {"": b""}
         self.ends = self._word_ends()
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.folds = self._folds()
 
     @classmethod
     def of(cls, path: str, end_id: int) -> Encoder:
@@ -100,9 +110,39 @@ class Encoder:
         out[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         return out
 
+    def _folds(self) -> bool:
+        """Whether the tokenizer lower-cases, parts marks from letters, and gives a word in a-z as its model does."""
+        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        apart = not any(re.search(BEFORE_MARKS, t) for t in self.special)
+        return self.ends is not None and apart and ids("ABc D\u00c9. x,;y") == ids("abc d\u00e9 . x ,;y") and all(
+            self._model_ids(w) == ids(w) for w in ("a", "the", "abcdefghijklmnopqrstuvwxyz"))
+
+    def _model_ids(self, word: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
+
+    def _folded(self, text: str) -> str:
+        """The text in lower case, where that is what the tokenizer makes of it: beyond Latin-1, its
+        own normalizer works on characters in their context, and special tokens are read as written."""
+        if not text.isascii():
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text
+        low = text.lower()
+        return text if any(t in low for t in self.special) else low
+
     def _learn(self, pieces: list[str]) -> None:
-        """Ids of new pieces. Simple ones go through the tokenizer together, a blank between
-        two, and are told apart by the ids that end words."""
+        """Ids of new pieces. Words in a-z go through the tokenizer's model alone, other simple ones
+        through the tokenizer together, a blank between two, and are told apart by the ids that end words."""
+        if self.folds:
+            code = "H" if self.kind == "<u2" else "I"
+            other = []
+            for p in pieces:
+                if p.isascii() and p.isalpha() and p.islower():
+                    self.known[p] = array(code, self._model_ids(p)).tobytes()
+                else:
+                    other.append(p)
+            pieces = other
         rest = pieces
         if self.ends is not None:
             shapes = [SIMPLE.fullmatch(p) for p in pieces]
@@ -129,9 +169,20 @@ class Encoder:
         if len(self.known) > REMEMBERED:
             self.known = {"": b""}
         known = self.known
-        cuts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        self._learn(list({p for pieces in cuts for p in pieces if p not in known}))
-        return [b"".join([known[p] for p in pieces]) + self.end for pieces in cuts]
+        blanks = pc.replace_substring(pa.array([self._folded(t or "") if self.folds else t or "" for t in texts], pa.large_string()), "\n", " ")
+        cuts = pc.split_pattern(pc.replace_substring_regex(blanks, BEFORE_MARKS, r"\1 \2") if self.folds else blanks, " ")
+        coded = cuts.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(known.get, pieces))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        self._learn([pieces[k] for k in new])
+        for k in new:
+            found[k] = known[pieces[k]]
+        raw = pa.array(found, pa.large_binary()).take(coded.indices)
+        _, at, data = raw.buffers()
+        ends = np.frombuffer(at, np.int64)[cuts.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [data[x:y].tobytes() + self.end for x, y in zip(ends, ends[1:])]
 
 
 def tokens(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
@@ -273,14 +324,25 @@ def _times(a: int, b: int) -> int:
     return out
 
 
+def _powers() -> list[int]:
+    """x to the powers of two: what the bits of a length, counted in bits, multiply a checksum by."""
+    out = [0x40000000]
+    while len(out) < 64:
+        out.append(_times(out[-1], out[-1]))
+    return out
+
+
+POWERS = _powers()
+
+
 def joined_crc(first: int, second: int, length: int) -> int:
     """Checksum of two byte strings one after the other, the second ``length`` bytes long."""
-    shift, power, n = 0x80000000, 0x40000000, 8 * length  # 1 and x
-    while n:
+    n, k = 8 * length, 0
+    while n and first:
         if n & 1:
-            shift = _times(shift, power)
-        power, n = _times(power, power), n >> 1
-    return _times(first, shift) ^ second
+            first = _times(POWERS[k], first)
+        n, k = n >> 1, k + 1
+    return first ^ second
 
 
 def _parts_reader(tree_table, lanes: int):

@@ -443,6 +443,34 @@ def test_pieces_encode_as_whole_texts():
         assert list(np.frombuffer(encoder.batch([s])[0], encoder.kind)) == encoder.tokenizer.encode(s, add_special_tokens=False).ids + [2]
 
 
+def test_a_word_is_one_piece_however_it_is_written():
+    encoder = tokenout.Encoder(tokenout.tokenizer_path(), 2)
+    encoder.batch(["Word word, WORD. W\u00d6rd w\u00f6rd;\nword"])
+    assert set(encoder.known) == {"", "word", "w\u00f6rd", ",", ".", ";"}
+
+
+def test_folded_pieces_encode_as_whole_texts():
+    rng = random.Random(2)
+    encoder = tokenout.Encoder(tokenout.tokenizer_path(), 2)
+    parts = [chr(c) for c in range(256)] + ["The", "sAy's", "I'LL,", "H\u0331", "H.\u0331", "x.,;", "..", "<|ENDOFTEXT|>", "<|endoftext|>", "\u0130", "\u03a3.", "\u037e"] * 8
+    for _ in range(1000):
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(4)] + [None]
+        for s, got in zip(texts, encoder.batch(texts)):
+            assert np.frombuffer(got, encoder.kind).tolist() == encoder.tokenizer.encode(s or "", add_special_tokens=False).ids + [2]
+    assert encoder.batch([]) == []
+
+
+def test_only_what_the_tokenizer_folds_is_folded(monkeypatch):
+    from tokenizers import Tokenizer
+    from tokenizers.normalizers import NFC
+    cased = Tokenizer.from_file(tokenout.tokenizer_path())
+    cased.normalizer = NFC()
+    monkeypatch.setattr(Tokenizer, "from_file", lambda path: cased)
+    encoder = tokenout.Encoder("cased", 2)
+    s = "Some WORDS, cased."
+    assert not encoder.folds and np.frombuffer(encoder.batch([s])[0], encoder.kind).tolist() == cased.encode(s, add_special_tokens=False).ids + [2]
+
+
 def test_blocks_share_a_partition_up_to_a_batch(spark, scratch):
     full = tokenout.PART_BLOCKS * tokenout.BLOCK
     assert [tokenout.partitions(n, tokenout.BLOCK, 6) for n in (0, full // 100, full, 10 * full, 10 * full + 1)] == [1, 1, 5, 10, 11]
