@@ -5,9 +5,9 @@ orders the documents by id over range partitions, and writes blocks of at most
 ``BLOCK`` ids. A block is one frame of bytes: magic, counts, position, the
 documents it holds a part of, checksums, and the range coder's payload; it
 decodes without any other block. Frames are the rows of a Parquet table, so
-that any store Spark writes to takes part in the commit of its tasks; the
-prefix tree (symbols and code lengths, from the counts of all ids) is a small
-table beside them.
+that any store Spark writes to takes part in the commit of its tasks; the tree
+of frequencies (of all ids, and of what follows the most frequent ones, from the
+counts of all ids and pairs) is a small table beside them.
 
 ``read`` decodes the frames wherever they lie, checks both checksums of each,
 and puts each document's parts together by the checksum of a concatenation.
@@ -24,10 +24,10 @@ Defined results
 
 from __future__ import annotations
 
+import codecs
 import re
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,26 +41,27 @@ from strata.llm.common import as_text, cut, shared_path, small_batches
 
 #: Ids of a block; blocks coded side by side, at most; and how many a partition is meant to hold:
 #: the more blocks share a step, the less a step costs each, and one batch beats one and a bit.
-BLOCK, LANES, PART_BLOCKS = 4096, 4096, 2560
+BLOCK, LANES, PART_BLOCKS = 4096, 8192, 6144
 #: Blocks that a task is worth while some of the cluster's cores would have none.
-LEAST_BLOCKS = 512
-#: Coding decisions of a block, at most, as a multiple of ``BLOCK``: blocks of rarer ids, which
-#: take longer paths, hold fewer of them, so that blocks coded side by side end together.
-PATHS = 8
+LEAST_BLOCKS = 1200
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-MAGIC, VERSION = b"STRC", 1
+MAGIC, VERSION = b"STRC", 2
 #: magic, version, ids, documents, first id of the block and first document within
 #: the partition, checksum of the ids, payload bytes
 HEAD = struct.Struct("<4sBIIQQII")
-#: Pieces whose ids a worker remembers, at most.
-REMEMBERED = 600_000
+#: Pieces whose ids a worker remembers: so many new ones, and as many that it met before them.
+REMEMBERED = 400_000
+#: Characters whose pieces are looked up together, as far as documents allow.
+TOGETHER = 4_000_000
 #: A piece of letters, and perhaps marks after them, is one or two words to a tokenizer
 #: that splits letters from marks.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 SIMPLE = re.compile(f"[{LETTERS}]+([.,;:!?]*)")
+#: What lower case leaves of them; as bytes written as characters, that is what such a tokenizer's model takes.
+LOWER = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 #: Where such a tokenizer always ends a word: a blank there changes nothing.
-BEFORE_MARKS = f"([{LETTERS}])([.,;:!?])"
+BEFORE_MARKS = rf"([{LETTERS}])([.,;:!?$%&*#@=+~^_/\\()\[\]{{}}\"-])"
 _ENCODERS: dict[tuple, "Encoder"] = {}
 
 
@@ -89,6 +90,9 @@ class Encoder:
         self.kind = id_kind(self.tokenizer, end_id)
         self.end = np.array([end_id], self.kind).tobytes()
         self.known: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}  # what was known when there was last too much of it
+        self.model = self.tokenizer.model
+        self.bytewise = self._bytewise()
         self.ends = self._word_ends()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.folds = self._folds()
@@ -100,6 +104,11 @@ class Encoder:
             _ENCODERS[path, end_id] = cls(path, end_id)
         return _ENCODERS[path, end_id]
 
+    @staticmethod
+    def forget() -> None:
+        """Make room in a worker that has no more texts to encode."""
+        _ENCODERS.clear()
+
     def _word_ends(self) -> np.ndarray | None:
         """Whether an id ends a word, if this tokenizer marks the ends of its words."""
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
@@ -110,15 +119,23 @@ class Encoder:
         out[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         return out
 
+    @staticmethod
+    def _bytewise() -> str:
+        """The character that a byte-level model reads for each byte."""
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = iter(range(256, 512))
+        return "".join(chr(b) if b in plain else chr(next(other)) for b in range(256))
+
     def _folds(self) -> bool:
-        """Whether the tokenizer lower-cases, parts marks from letters, and gives a word in a-z as its model does."""
+        """Whether the tokenizer lower-cases, parts marks from letters, and gives a word of such letters as its model does."""
         ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
         apart = not any(re.search(BEFORE_MARKS, t) for t in self.special)
         return self.ends is not None and apart and ids("ABc D\u00c9. x,;y") == ids("abc d\u00e9 . x ,;y") and all(
-            self._model_ids(w) == ids(w) for w in ("a", "the", "abcdefghijklmnopqrstuvwxyz"))
+            self._model_ids(w) == ids(w) for w in ("a", "the", "abcdefghijklmnopqrstuvwxyz", "\u00e9t\u00e9", *(
+                f"{a}{chr(c)}{b}" for c in range(0xdf, 0x100) if c != 0xf7 for a, b in (("", ""), ("s", ""), ("e", "s")))))
 
     def _model_ids(self, word: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(word)]
+        return [t.id for t in self.model.tokenize(word if word.isascii() else codecs.charmap_decode(word.encode(), "strict", self.bytewise)[0])]
 
     def _folded(self, text: str) -> str:
         """The text in lower case, where that is what the tokenizer makes of it: beyond Latin-1, its
@@ -132,17 +149,18 @@ class Encoder:
         return text if any(t in low for t in self.special) else low
 
     def _learn(self, pieces: list[str]) -> None:
-        """Ids of new pieces. Words in a-z go through the tokenizer's model alone, other simple ones
+        """Ids of new pieces. Words in lower case go through the tokenizer's model alone, other simple ones
         through the tokenizer together, a blank between two, and are told apart by the ids that end words."""
         if self.folds:
-            code = "H" if self.kind == "<u2" else "I"
-            other = []
-            for p in pieces:
-                if p.isascii() and p.isalpha() and p.islower():
-                    self.known[p] = array(code, self._model_ids(p)).tobytes()
-                else:
-                    other.append(p)
-            pieces = other
+            lower = list(map(LOWER.fullmatch, pieces))
+            words = [p for p, m in zip(pieces, lower) if m]
+            pieces = [p for p, m in zip(pieces, lower) if not m]
+            ids, stops, size = [], [0], np.dtype(self.kind).itemsize
+            for p in words:
+                ids += self._model_ids(p)
+                stops.append(size * len(ids))
+            raw = np.array(ids, self.kind).tobytes()
+            self.known.update((p, raw[x:y]) for p, x, y in zip(words, stops, stops[1:]))
         rest = pieces
         if self.ends is not None:
             shapes = [SIMPLE.fullmatch(p) for p in pieces]
@@ -167,15 +185,17 @@ class Encoder:
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known = self.known
+            self.known, self.before = {"": b""}, self.known
+        known, before = self.known, self.before
         blanks = pc.replace_substring(pa.array([self._folded(t or "") if self.folds else t or "" for t in texts], pa.large_string()), "\n", " ")
         cuts = pc.split_pattern(pc.replace_substring_regex(blanks, BEFORE_MARKS, r"\1 \2") if self.folds else blanks, " ")
         coded = cuts.flatten().dictionary_encode()
         pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = list(map(known.get, pieces))
         new = [k for k, ids in enumerate(found) if ids is None]
-        self._learn([pieces[k] for k in new])
+        if before:
+            known.update((p, ids) for p in (pieces[k] for k in new) if (ids := before.get(p)) is not None)
+        self._learn([p for k in new if (p := pieces[k]) not in known])
         for k in new:
             found[k] = known[pieces[k]]
         raw = pa.array(found, pa.large_binary()).take(coded.indices)
@@ -190,9 +210,20 @@ def tokens(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int)
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder.of(path, end_id)
+        encoder, held, size = Encoder.of(path, end_id), [], 0
+
+        def coded():
+            pdf = pd.concat(held, ignore_index=True)
+            return pd.DataFrame({"doc_id": pdf["doc_id"], "h": pdf["h"], "ids": encoder.batch(list(pdf["t"]))})
+
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "h": pdf["h"], "ids": encoder.batch(list(pdf["t"]))})
+            held.append(pdf)
+            size += int(pdf["t"].str.len().sum())
+            if size >= TOGETHER:
+                yield coded()
+                held, size = [], 0
+        if held:
+            yield coded()
 
     rows = docs.select(as_text(F.col(id_col)).alias("doc_id"), F.col(text_col).alias("t"),
                        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
@@ -213,6 +244,55 @@ def id_counts(found: DataFrame, kind: str) -> DataFrame:
     return found.select("ids").mapInPandas(run, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
 
 
+#: Pairs of ids that a task counts at once.
+PAIRS = 1 << 21
+
+
+def pair_counts(found: DataFrame, kind: str, end_id: int, symbols: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Arrays of last, symbol, count and the count of last, over all ids that follow one of the most frequent;
+    an end id precedes each document. Pairs too rare for the tree's scale stay behind."""
+    from strata.llm.rangecoder import SCALE, branches, by_rank
+    spark = found.sparkSession
+    top = by_rank(symbols, counts)[:branches(len(symbols))]
+    sent = spark.sparkContext.broadcast((np.sort(symbols), top))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        symbols, top = sent.value
+        n = len(symbols)
+        number, row = np.zeros(int(symbols[-1]) + 1, np.int64), np.full(int(symbols[-1]) + 1, len(top), np.int64)
+        number[symbols], row[top] = np.arange(n), np.arange(len(top))
+        row *= n
+        total, held, size = np.zeros((len(top) + 1) * n, np.int64), [], 0
+        end = np.array([end_id], kind).tobytes()
+
+        def add():
+            ids = np.frombuffer(b"".join(held), kind)
+            key = row.take(ids[:-1])
+            key += number.take(ids[1:])
+            total[:] += np.bincount(key, minlength=len(total))
+
+        for pdf in batches:
+            for raw in pdf["ids"]:
+                held.append(raw)
+                size += len(raw)
+                if size >= PAIRS * len(end):
+                    held.insert(0, end)
+                    add()
+                    held, size = [], 0
+        if held:
+            held.insert(0, end)
+            add()
+        at = total[:len(top) * n].nonzero()[0]
+        yield pd.DataFrame({"last": top[at // n], "symbol": symbols[at % n], "n": total[at]})
+
+    by_symbol = np.argsort(symbols)
+    whole = counts[by_symbol][np.searchsorted(symbols[by_symbol], top)]
+    often = spark.createDataFrame(list(zip(top.tolist(), whole.tolist())), "last long, whole long")
+    rows = (found.select("ids").mapInPandas(run, "last long, symbol long, n long").groupBy("last", "symbol").agg(F.sum("n").alias("n"))
+            .join(F.broadcast(often), "last").filter(F.col("n") * F.lit(1 << SCALE) >= F.col("whole")).toArrow())
+    return tuple(rows[c].to_numpy() for c in ("last", "symbol", "n", "whole"))
+
+
 def frame(ids: np.ndarray, payload: bytes, first: int, first_doc: int, docs: list[tuple]) -> bytes:
     """docs: (id or None, ids in this block, whether it begins here, whether it ends here)."""
     head = HEAD.pack(MAGIC, VERSION, len(ids), len(docs), first, first_doc,
@@ -238,17 +318,17 @@ def _block_writer(tree_table, kind: str, block: int, lanes: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from strata.llm.rangecoder import Tree, encode_blocks
         from pyspark import TaskContext
+        Encoder.forget()
         tree, part = Tree(*tree_table.value), TaskContext.get().partitionId()
-        most = max(block * PATHS, int(tree.lengths.max()))
-        ready, current, listed, room, paths = [], [], [], block, most
+        ready, current, listed, room = [], [], [], block
         first, doc, first_doc, number = 0, 0, 0, 0
 
         def close():
-            nonlocal current, listed, room, paths, first, first_doc
+            nonlocal current, listed, room, first, first_doc
             ids = np.concatenate(current)
             ready.append((ids, first, first_doc, listed))
             first, first_doc = first + len(ids), doc
-            current, listed, room, paths = [], [], block, most
+            current, listed, room = [], [], block
             return len(ready) == lanes
 
         def flush():
@@ -262,10 +342,8 @@ def _block_writer(tree_table, kind: str, block: int, lanes: int):
         for pdf in batches:
             for doc_id, raw in zip(pdf["doc_id"], pdf["ids"]):
                 ids, at = np.frombuffer(raw, kind), 0
-                upto = np.concatenate([[0], np.cumsum(tree.lengths[tree.rank[ids]])])
                 while at < len(ids):
-                    fits = int(np.searchsorted(upto, upto[at] + paths, side="right")) - 1 - at
-                    take = min(room, len(ids) - at, fits)
+                    take = min(room, len(ids) - at)
                     if not take:
                         if close():
                             yield flush()
@@ -273,7 +351,7 @@ def _block_writer(tree_table, kind: str, block: int, lanes: int):
                     current.append(ids[at:at + take])
                     ends = at + take == len(ids)
                     listed.append((None if pd.isna(doc_id) else int(doc_id), take, at == 0, ends))
-                    room, paths = room - take, paths - int(upto[at + take] - upto[at])
+                    room -= take
                     at += take
                     doc += ends
         if current:
@@ -299,9 +377,11 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     found = cut(tokens(docs, id_col, text_col, tokenizer, end_id), "tokens")
     seen = id_counts(found, kind).toPandas()  # at most one row per id of the vocabulary
     from strata.llm.rangecoder import Tree
-    tree = Tree.of_counts(seen["symbol"].to_numpy(np.int64), seen["n"].to_numpy(np.int64))
-    spark.createDataFrame(pd.DataFrame({"symbol": tree.symbols, "length": tree.lengths})).coalesce(1).write.parquet(f"{path}/tree")
-    sent = spark.sparkContext.broadcast((tree.symbols, tree.lengths))
+    symbols, counts = seen["symbol"].to_numpy(np.int64), seen["n"].to_numpy(np.int64)
+    tree = Tree.of_counts(symbols, counts, pair_counts(found, kind, end_id, symbols, counts) if len(symbols) else None)
+    packed = tuple(x.astype("<i4").tobytes() for x in tree.rows)  # in one row: their order counts
+    spark.createDataFrame([packed], TREE).coalesce(1).write.parquet(f"{path}/tree")
+    sent = spark.sparkContext.broadcast(tree.rows)
     keys = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
     placed = found.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(
         partitions(int(seen["n"].sum()), block, spark.sparkContext.defaultParallelism), *keys, "tie")
@@ -310,6 +390,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
      .write.parquet(f"{path}/blocks"))
 
 
+TREE = "last binary, symbol binary, freq binary"
 POLY = 0xEDB88320
 
 
@@ -377,8 +458,8 @@ def _parts_reader(tree_table, lanes: int):
 def read(spark: SparkSession, path: str, lanes: int = LANES) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of every document."""
     small_batches(spark)
-    tree = spark.read.parquet(f"{path}/tree").toPandas()
-    sent = spark.sparkContext.broadcast((tree["symbol"].to_numpy(np.int64), tree["length"].to_numpy(np.int64)))
+    tree = spark.read.schema(TREE).parquet(f"{path}/tree").first()
+    sent = spark.sparkContext.broadcast(tuple(np.frombuffer(x, "<i4") for x in tree))
     frames = spark.read.parquet(f"{path}/blocks")
     pieces = cut(frames.select("part", "block", "frame").mapInPandas(
         _parts_reader(sent, lanes), "part int, doc long, doc_id string, at long, n long, crc long, whole boolean")

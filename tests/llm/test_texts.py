@@ -418,6 +418,59 @@ def test_blocks_are_long_enough_for_contexts_to_come_again():
     assert size(tokenout.BLOCK) < 0.9 * size(1024)
 
 
+def test_an_id_takes_one_mixed_decision(monkeypatch):
+    rng = np.random.default_rng(4)
+    ids = (rng.zipf(1.2, 3000) % 5000).astype(np.int64)
+    tree = rangecoder.Tree.of_counts(*np.unique(ids, return_counts=True))
+    predict, steps = rangecoder._Model.predict, []
+    monkeypatch.setattr(rangecoder._Model, "predict", lambda *a: steps.append(1) or predict(*a))
+    blocks = [ids[:1000], ids[1000:1900], ids[1900:]]
+    coded = rangecoder.encode_blocks(tree, blocks)
+    assert len(steps) == 1100
+    assert all((a == b).all() for a, b in zip(rangecoder.decode_blocks(tree, coded, [1000, 900, 1100]), blocks))
+    assert len(steps) == 2200
+
+
+def test_frequencies_after_an_id_shorten_blocks_and_rare_ids_come_back():
+    rng = np.random.default_rng(6)
+    after = rng.integers(0, 90_000, (200, 40))
+    ids = [0]
+    for turn in rng.integers(0, 40, 40_000):
+        ids.append(int(after[ids[-1] % 200, turn]))
+    ids = np.array(ids)
+    symbols, counts = np.unique(ids, return_counts=True)
+    number, top = np.arange(symbols[-1] + 1), rangecoder.by_rank(symbols, counts)[:rangecoder.branches(len(symbols))]
+    last, symbol = ids[:-1][np.isin(ids[:-1], top)], ids[1:][np.isin(ids[:-1], top)]
+    pair, n = np.unique(np.stack([last, symbol]), axis=1, return_counts=True)
+    trees = [rangecoder.Tree.of_counts(symbols, counts), rangecoder.Tree.of_counts(symbols, counts, (*pair, n, counts[np.searchsorted(symbols, pair[0])]))]
+    blocks, sizes = [ids[i:i + 4096] for i in range(0, len(ids), 4096)], []
+    for tree in trees:
+        coded = rangecoder.encode_blocks(rangecoder.Tree(*tree.rows), blocks)
+        assert all((a == b).all() for a, b in zip(rangecoder.decode_blocks(tree, coded, list(map(len, blocks))), blocks))
+        sizes.append(sum(map(len, coded)))
+    assert sizes[1] < 0.95 * sizes[0] and len(number) > 1 << 16
+    many = rng.integers(0, 150_000, 200_000)
+    tree = rangecoder.Tree.of_counts(*np.unique(many, return_counts=True))
+    assert tree.high and (rangecoder.decode_blocks(tree, rangecoder.encode_blocks(tree, [many[:5000]]), [5000])[0] == many[:5000]).all()
+
+
+def test_frequencies_fill_their_scale():
+    for counts in ([1], [0], [1] * (1 << 14), [1] * 40_000, [10 ** 12, 1, 1], list(range(1, 3000))):
+        found = rangecoder.scaled(np.array(counts), sum(counts))
+        assert found.sum() == 1 << rangecoder.SCALE and found[0] > 0 and (found >= 0).all()
+
+
+def test_pairs_are_counted_across_documents_after_an_end_id(spark, monkeypatch):
+    monkeypatch.setattr(tokenout, "PAIRS", 5)
+    docs = [[5, 6, 5, 6, 2], [2], [6, 6, 2], [5, 2]]
+    found = spark.createDataFrame([(np.array(d, "<u2").tobytes(),) for d in docs], "ids binary").coalesce(1)
+    symbols, counts = np.unique(np.concatenate(docs), return_counts=True)
+    want = Counter((a, b) for d in docs for a, b in zip([2, *d], d))
+    got = tokenout.pair_counts(found, "<u2", 2, symbols, counts)
+    assert Counter({(a, b): n for a, b, n, _ in zip(*(x.tolist() for x in got))}) == want
+    assert all(dict(zip(symbols.tolist(), counts.tolist()))[a] == w for a, _, _, w in zip(*(x.tolist() for x in got)))
+
+
 def test_frames_tell_damage():
     data = tokenout.frame(np.array([5, 6, 7]), b"payload", 10, 4, [(None, 1, False, True), (-3, 2, True, False)])
     assert tokenout.parse(data)[4] == [(None, 1, False, True), (-3, 2, True, False)]
@@ -449,6 +502,18 @@ def test_a_word_is_one_piece_however_it_is_written():
     assert set(encoder.known) == {"", "word", "w\u00f6rd", ",", ".", ";"}
 
 
+def test_marks_of_all_kinds_are_cut_off_words_and_words_met_before_are_kept(monkeypatch):
+    encoder = tokenout.Encoder(tokenout.tokenizer_path(), 2)
+    encoder.batch(["some$$$ words&& \u00e9t\u00e9* (and)"])
+    assert set(encoder.known) == {"", "some", "$$$", "words", "&&", "\u00e9t\u00e9", "*", "(and", ")"}
+    monkeypatch.setattr(tokenout, "REMEMBERED", 4)
+    learned, learn = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda p: learned.extend(p) or learn(p))
+    for text in ("words new", "some other", "words"):
+        assert np.frombuffer(encoder.batch([text])[0], encoder.kind).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids + [2]
+    assert learned == ["new", "other"]
+
+
 def test_folded_pieces_encode_as_whole_texts():
     rng = random.Random(2)
     encoder = tokenout.Encoder(tokenout.tokenizer_path(), 2)
