@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.keys import known_rows
-from strata.operators.lookup import DEFAULT_BROADCAST_BYTES, size_in_bytes
+from strata.operators.lookup import broadcast_budget, size_in_bytes
 
 
 class DataQualityError(Exception):
@@ -60,14 +60,15 @@ def key_and_null_checks(df: DataFrame, name: str, keys: list, not_null: list, un
     return out
 
 
-def fk_checks(fact: DataFrame, name: str, fks: list, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def fk_checks(fact: DataFrame, name: str, fks: list, max_bytes: int | None = None) -> DataFrame:
     """DQ-3 of all foreign keys of a fact in one scan: the names (``check``) of those with orphans.
     Dimensions are unique on these columns (DQ-1); a repeated key would only repeat a marker.
 
     ``fks``: ``(fact columns, dimension, dimension columns)`` each. Every dimension's keys are
     joined as a marker (broadcast as far as one budget of bytes goes), and the names of the
     keys that are not NULL and found no marker come out of the one pass."""
-    out, missed, left = fact.select(*sorted({c for cols, _, _ in fks for c in cols})), [], max_bytes
+    out, missed = fact.select(*sorted({c for cols, _, _ in fks for c in cols})), []
+    left = broadcast_budget(fact.sparkSession) if max_bytes is None else max_bytes
     for i, (cols, dim, dim_cols) in enumerate(fks):
         names = [f"__fk{i}_{j}" for j in range(len(cols))]
         d = dim.select(*[F.col(c).alias(n) for c, n in zip(dim_cols, names)])
@@ -86,18 +87,19 @@ def dq_one_current(dim: DataFrame, key: list, flag: str = "is_current") -> DataF
     return dq_unique(dim.filter(F.col(flag)), key)
 
 
-def failing_checks(checks: dict) -> list:
-    """Names of the checks that found violations, in one Spark action. A frame of the one column
-    ``check`` holds such names itself; any other frame holds the violations of the check
+def failing_checks(checks: dict, at_once: int | None = None) -> list:
+    """Names of the checks that found violations, in one Spark action, or one for every ``at_once``
+    frames: the driver holds the plans and broadcast keys of an action's frames together. A frame of the one
+    column ``check`` holds such names itself; any other frame holds the violations of the check
     it is filed under, and contributes at most one row."""
-    if not checks:
-        return []
     parts = [df if df.columns == ["check"] else df.select(F.lit(name).alias("check")).limit(1) for name, df in checks.items()]
-    return sorted({r["check"] for r in reduce(DataFrame.unionByName, parts).collect()})
+    step = at_once or max(1, len(parts))
+    jobs = [reduce(DataFrame.unionByName, parts[i:i + step]) for i in range(0, len(parts), step)]
+    return sorted({r["check"] for job in jobs for r in job.collect()})
 
 
-def assert_clean(checks: dict) -> None:
+def assert_clean(checks: dict, at_once: int | None = None) -> None:
     """Raise ``DataQualityError`` naming every check that found violations."""
-    bad = failing_checks(checks)
+    bad = failing_checks(checks, at_once)
     if bad:
         raise DataQualityError("data-quality checks failed: " + ", ".join(bad))

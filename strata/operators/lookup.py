@@ -7,7 +7,7 @@ join (FILT-2), so the join is a plain equi-join the optimizer can broadcast.
 Broadcast policy: a dimension is broadcast only after its size in bytes is
 checked (rows, by proof or by count, times the width of its fixed columns, plus
 the measured bytes of its strings). All dimensions of one fact share one budget
-of ``max_bytes``. Only the join columns, the surrogate key and any requested
+of ``max_bytes`` (default: ``broadcast_budget``). Only the join columns, the surrogate key and any requested
 attributes are projected before the broadcast. Beyond the budget the join is
 left to the optimizer (sort-merge; AQE may still convert it at runtime).
 """
@@ -16,13 +16,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import driver_heap
+
 DEFAULT_BROADCAST_BYTES = 128 * 1024 * 1024
+#: The driver builds all tables of a fact at the same time, and each takes up to some five times its bytes meanwhile.
+HEAP_SHARE = 16
 _ROW_BYTES = 16  # of a row's header
 
 
+def broadcast_budget(spark: SparkSession) -> int:
+    """Bytes that one query may broadcast: ``DEFAULT_BROADCAST_BYTES``, less on a small driver."""
+    return min(DEFAULT_BROADCAST_BYTES, driver_heap(spark) // HEAP_SHARE)
+
+
 def size_in_bytes(df: DataFrame, known_rows: int | None = None) -> int:
     """Bytes of ``df``'s rows: fixed-width columns by type, strings as measured.
     ``known_rows`` saves the count when the row count is proven and no column varies."""
@@ -35,13 +44,14 @@ def size_in_bytes(df: DataFrame, known_rows: int | None = None) -> int:
     return row["n"] * (fixed + 8 * len(texts)) + sum(row[f"b{i}"] for i in range(len(texts)))
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None,
                        known_rows: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_bytes``.
+    """``F.broadcast(df)`` when ``df`` has at most ``max_bytes`` (default: ``broadcast_budget``).
 
     ``known_rows`` skips the count when the size is proven by construction
     (e.g. a calendar of ``end - start + 1`` days)."""
     known_rows = known_rows if known_rows is not None else getattr(df, "_strata_rows", None)
+    max_bytes = broadcast_budget(df.sparkSession) if max_bytes is None else max_bytes
     return F.broadcast(df) if size_in_bytes(df, known_rows) <= max_bytes else df
 
 
@@ -81,21 +91,22 @@ def _fact_side(fact: DataFrame, lk: Lookup, names: list) -> DataFrame:
     return fact
 
 
-def lookup_keys(fact: DataFrame, lookups: list, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def lookup_keys(fact: DataFrame, lookups: list, max_bytes: int | None = None) -> DataFrame:
     """Add one surrogate-key column per lookup; inner lookups drop facts with
     no match, left lookups keep them with a NULL key (JOIN-5)."""
-    left = [max_bytes]
+    left = [broadcast_budget(fact.sparkSession) if max_bytes is None else max_bytes]
     for i, lk in enumerate(lookups):
         d, names = _prepared(lk, i, left)
         fact = _fact_side(fact, lk, names).join(d, names, lk.how).drop(*names)
     return fact
 
 
-def rejected_rows(fact: DataFrame, lookups: list, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def rejected_rows(fact: DataFrame, lookups: list, max_bytes: int | None = None) -> DataFrame:
     """Fact rows an inner lookup would drop, with the failing lookup's name.
     A row that fails several lookups is listed once per failure. One pass over
     the fact: every lookup marks its hits, and the names without one are exploded."""
-    cols, left, missed = fact.columns, [max_bytes], []
+    left = [broadcast_budget(fact.sparkSession) if max_bytes is None else max_bytes]
+    cols, missed = fact.columns, []
     out = fact
     for i, lk in enumerate(lookups):
         if lk.how != "inner":

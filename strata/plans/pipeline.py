@@ -7,7 +7,8 @@ facts (plus the rows their inner lookups drop) and marts into a new gold
 version, check and publish it. Independent steps run as concurrent Spark
 jobs, as many at a time as the driver's memory has room for their plans. Each table
 is written once and read back, so later steps never recompute earlier ones and key
-assignments are fixed on storage; a layer is checked in one job.
+assignments are fixed on storage; a layer is checked in one job, or on a small
+driver a few tables at a time.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from strata.operators.merge import insert_absent
 from strata.plans import football, gold
 from strata.plans.store import LayerStore
 from strata.schemas import FOREIGN_KEYS, UNIQUE, keys_of, not_null_of
-from strata.session import apply_sql_conf
+from strata.session import apply_sql_conf, driver_heap
 from strata.sources.bronze import BRONZE_TABLES, arrival_ids, land_bronze
 from strata.sources.envelope import parse_envelopes, read_envelopes, staged as staged_envelopes
 
@@ -49,7 +50,7 @@ class LoadRejected(Exception):
 
 def stage(spark: SparkSession, entity: str, path, line_delimited: bool = False) -> DataFrame:
     """SRC-1/2: parse each envelope once and stage the gate verdict with the
-    raw ``response`` elements as a written table (checkpoint folder)."""
+    raw ``response`` elements, a row each, as a written table (checkpoint folder)."""
     return materialize(staged_envelopes(parse_envelopes(read_envelopes(spark, path, line_delimited))), f"envelopes_{entity}")
 
 
@@ -59,9 +60,9 @@ def rejected(staged: DataFrame) -> bool:
 
 
 def append(store: LayerStore, entity: str, staged: DataFrame, run_ts: dt.datetime) -> int:
-    """SINK-1: explode the staged arrays, whose elements the gate's parser has read
-    as JSON (Hard 8), and append them as received to bronze, with ids above the
-    current maximum in the order of arrival; no payload is sorted or shuffled."""
+    """SINK-1: append the staged elements, which the gate's parser has read as JSON
+    (Hard 8), as received to bronze, with ids above the current maximum in the
+    order of arrival; no payload is sorted or shuffled."""
     rows = arrival_ids(staged, next_key_start(store.read("bronze", entity), "id"))
     landed = land_bronze(rows, entity, F.lit(run_ts).cast("timestamp"), id_col="id")
     written = store.append_bronze(entity, landed,
@@ -97,13 +98,14 @@ def land_all(spark: SparkSession, store: LayerStore, envelopes: dict, run_ts: dt
 
 #: Steps at a time at most, and the driver's heap that each of them is given.
 MAX_CONCURRENT_STEPS, STEP_HEAP_BYTES = 8, 1 << 30
+#: Checks (see ``failing_checks``) that have the room of a step.
+CHECKS_A_STEP = 3
 
 
 def concurrent_steps() -> int:
     """How many steps the driver's heap has room for: a step's plans, generated classes and
     task results live there while it runs."""
-    heap = SparkSession.active().sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
-    return max(1, min(MAX_CONCURRENT_STEPS, heap // STEP_HEAP_BYTES))
+    return max(1, min(MAX_CONCURRENT_STEPS, driver_heap(SparkSession.active()) // STEP_HEAP_BYTES))
 
 
 def concurrently(tasks: dict) -> dict:
@@ -156,7 +158,7 @@ def run_silver(spark: SparkSession, store: LayerStore, incremental: bool = False
     checks = {}
     for entity in SILVER_ORDER:
         checks.update(_layer_checks(entity, written[entity], "silver"))
-    assert_clean(checks)
+    assert_clean(checks, CHECKS_A_STEP * concurrent_steps())
     store.publish("silver", version)
     for df in parsed.values():
         discard(df)
@@ -221,7 +223,7 @@ def run_gold(spark: SparkSession, store: LayerStore, run_date: dt.date,
     checks["dim_venue.one_current"] = dq_one_current(out["dim_venue"], ["venue_id"])
     for fact, fks in FOREIGN_KEYS.items():
         checks[f"{fact}.fk"] = fk_checks(out[fact], fact, [(fcols, out[dim], dcols) for fcols, dim, dcols in fks])
-    assert_clean(checks)
+    assert_clean(checks, CHECKS_A_STEP * concurrent_steps())
     store.publish("gold", version)
     return version
 

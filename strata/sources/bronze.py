@@ -41,23 +41,21 @@ def check_target(table: str) -> str:
 
 
 def arrival_ids(staged: DataFrame, start: int) -> DataFrame:
-    """One row per element of the ``response`` of written ``staged`` envelopes, with its ``id``
-    above ``start``: source_file, source_params, pos, payload, id.
+    """The elements of written ``staged`` envelopes, each with its ``id`` above ``start``:
+    source_file, source_params, pos, payload, id.
 
     An input split owns a range of ids, as many as its lines times its longest array; the
     ranges follow each other by file and place in the file. Within a split the line and
     the array position are the offset. So ids are unique, ascend with arrival and need no
     sort: the one aggregation has a row per input split (the splits are what the driver has
-    listed to read them), and the payloads stay where they are read.
+    listed to read them) and reads no payload, and the payloads stay where they are read.
     """
     splits = staged.groupBy("source_file", "block").agg(
-        F.min("line").alias("first"), F.count(F.lit(1)).alias("lines"),
-        F.max(F.greatest(F.coalesce(F.size("response"), F.lit(0)), F.lit(1))).alias("width"))
+        F.min("line").alias("first"), (F.max("line") - F.min("line") + 1).alias("lines"),
+        (F.coalesce(F.max("pos"), F.lit(0)) + 1).alias("width"))
     before = Window.orderBy("source_file", "block").rowsBetween(Window.unboundedPreceding, -1)
     splits = materialize(splits.withColumn("base", F.coalesce(F.sum(F.col("lines") * F.col("width")).over(before), F.lit(0))), "splits")
-    at = staged.join(broadcast_if_small(splits.drop("lines")), ["source_file", "block"])
-    rows = at.select("source_file", "source_params", "base", "first", "width", "line",
-                     F.posexplode("response").alias("pos", "payload"))
+    rows = staged.filter(F.col("pos").isNotNull()).join(broadcast_if_small(splits.drop("lines")), ["source_file", "block"])
     place = F.col("base") + (F.col("line") - F.col("first")) * F.col("width") + F.col("pos")
     return rows.select("source_file", "source_params", "pos", "payload", (F.lit(start + 1) + place).cast("bigint").alias("id"))
 

@@ -147,10 +147,16 @@ def gate_errors(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def staged(parsed: DataFrame, *more: str) -> DataFrame:
-    """What a load keeps of parsed envelopes: where each arrived, the gate's verdict ``ok``,
-    the elements of ``response``, and the columns ``more``. To be written once: ``line`` is that of this evaluation."""
-    return parsed.select("source_file", "block", "line", accepted().alias("ok"),
-                         F.col("env.parameters").alias("source_params"), F.col("raw.response").alias("response"), *more)
+    """What a load keeps of parsed envelopes: where each arrived, the gate's verdict ``ok`` and a row
+    for each element of ``response`` (``pos``, ``payload``), so that who reads them back in batches of
+    thousands of rows holds as many elements, not as many pages. A rejected or empty envelope has one row
+    without element. The columns ``more`` stand in an envelope's first row. To be written once: ``line``
+    is that of this evaluation."""
+    pages = parsed.select("source_file", "block", "line", accepted().alias("ok"),
+                          F.col("env.parameters").alias("source_params"), F.col("raw.response").alias("response"), *more)
+    rows = pages.select("source_file", "block", "line", "ok", "source_params", *more,
+                        F.posexplode_outer(F.when(F.col("ok"), F.col("response"))).alias("pos", "payload"))
+    return rows.withColumns({c: F.when(F.coalesce(F.col("pos"), F.lit(0)) == 0, F.col(c)) for c in more})
 
 
 def explode_response(good: DataFrame, keep: list = ()) -> DataFrame:

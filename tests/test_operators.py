@@ -309,3 +309,42 @@ def test_envelopes_and_tables_are_written_compressed(spark, tmp_path):
     stored = materialize(read_envelopes(spark, paths["teams"], True), "compressed")
     assert stored.filter("body like '{%}'").count() == stored.count() > 0
     assert all(f.endswith(".zstd.parquet") for f in stored.inputFiles())
+
+
+def test_staged_envelopes_are_read_back_by_the_element(spark, tmp_path):
+    """No stored row holds a page: the reader's batches are of elements. Every envelope keeps a row, and a rejected one its body."""
+    import json
+    from strata.operators.keys import materialize
+    from strata.sources.bronze import arrival_ids
+    from strata.sources.envelope import parse_envelopes, read_envelopes, staged
+    pages = [([], [{"n": k} for k in range(3)]), ([], []), ({"token": "bad"}, [{"n": 7}, {"n": 8}]), ([], [{"n": 9}])]
+    (tmp_path / "p.json").write_text("".join(json.dumps({"get": "teams", "errors": e, "response": r}) + "\n" for e, r in pages))
+    whole = materialize(staged(parse_envelopes(read_envelopes(spark, str(tmp_path), True)), "body"))
+    assert not any(f.dataType.typeName() in ("array", "map", "struct") for f in whole.schema)
+    assert rows(whole, "line", "ok", "pos", "payload") == sorted(
+        [(0, True, k, f'{{"n": {k}}}') for k in range(3)] + [(1, True, None, None), (2, False, None, None), (3, True, 0, '{"n": 9}')], key=str)
+    bodies = {r["line"]: r["body"] for r in whole.filter("body is not null").collect()}
+    assert whole.filter("body is not null").count() == 4 and '"bad"' in bodies[2]
+    assert rows(arrival_ids(whole.drop("body"), 10), "id", "payload") == [(11, '{"n": 0}'), (12, '{"n": 1}'), (13, '{"n": 2}'), (20, '{"n": 9}')]
+    tree = plan_of(arrival_ids(whole, 10))
+    assert "Generate" not in tree and "body" not in tree.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_broadcasts_and_checks_fit_the_driver(spark, monkeypatch):
+    from strata.operators import lookup
+    from strata.operators.dq import failing_checks
+    dim, fact = spark.createDataFrame([(1, 10), (2, 20)], "k int, id int"), spark.createDataFrame([(10,), (30,)], "team int")
+    lookups = [lookup.Lookup("team", dim, [("team", "id")], "k", "team_key")]
+    assert lookup.broadcast_budget(spark) <= lookup.driver_heap(spark) // lookup.HEAP_SHARE
+    assert "ResolvedHint" in logical(lookup.lookup_keys(fact, lookups))
+    monkeypatch.setattr(lookup, "driver_heap", lambda spark: 16 * lookup.HEAP_SHARE)
+    assert "ResolvedHint" not in logical(lookup.lookup_keys(fact, lookups))
+    assert rows(lookup.lookup_keys(fact, lookups), "team", "team_key") == [(10, 1)]
+    assert rows(lookup.rejected_rows(fact, lookups), "team", "failed_lookup") == [(30, "team")]
+    twice = spark.createDataFrame([(1,), (1,)], "k int")
+    checks = {"a": dq_unique(twice, ["k"]), "b": dq_unique(dim, ["k"]), "c": dq_unique(twice, ["k"])}
+    assert failing_checks(checks) == failing_checks(checks, 1) == failing_checks(checks, 2) == ["a", "c"]
+
+
+def logical(df):
+    return df._jdf.queryExecution().analyzed().toString()
