@@ -36,8 +36,8 @@ ENVELOPE_SCHEMA = T.StructType([
 ])
 # Fixed values of the reference's gate: the only accepted non-empty error texts.
 ACCEPTED_ERROR_TEXTS = ("[]", "{}")
-#: Bodies that a Python worker holds at once, each with all its elements.
-BODIES_AT_ONCE = 64
+#: Bodies that a Python worker holds at once, each with all its elements, and their bytes (or one body).
+BODIES_AT_ONCE, BYTES_AT_ONCE = 64, 4 << 20
 
 
 def read_envelopes(spark: SparkSession, path, line_delimited: bool = False) -> DataFrame:
@@ -122,7 +122,7 @@ def _array(body: str, at: int) -> tuple[list, int]:
 
 def parse_envelopes(df: DataFrame, body_col: str = "body") -> DataFrame:
     """Adds the parsed wrapper ``env`` and ``raw`` (errors, response as received)."""
-    small_batches(df.sparkSession, BODIES_AT_ONCE)
+    small_batches(df.sparkSession, BODIES_AT_ONCE, BYTES_AT_ONCE)
 
     @F.pandas_udf("struct<errors:string,response:array<string>>")
     def raw(bodies: pd.Series) -> pd.DataFrame:

@@ -297,6 +297,31 @@ def test_envelopes_reach_python_few_at_a_time(spark):
         spark.conf.set(key, before)
 
 
+def test_long_envelopes_reach_python_in_several_batches(spark):
+    from strata.session import small_batches
+    from strata.sources.envelope import BYTES_AT_ONCE
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        spark.conf.set(keys[1], "64m")
+        df = spark.range(0, 50, 1, 1).selectExpr("id page", f"""concat('{{"errors":[],"response":["', repeat('x', {BYTES_AT_ONCE // 10}), id, '"]}}') body""")
+        parsed = parse_envelopes(df)
+        assert int(spark.conf.get(keys[1])) == BYTES_AT_ONCE
+        assert explode_response(gate_errors(parsed)[0], keep=["page"]).count() == 50
+
+        @F.pandas_udf("int")
+        def at_once(bodies):
+            import pandas as pd
+            return pd.Series([len(bodies)] * len(bodies))
+        assert df.select(at_once("body").alias("n")).agg(F.max("n")).first()[0] <= 10
+        spark.conf.set(keys[1], "1m")
+        small_batches(spark, 64, BYTES_AT_ONCE)
+        assert spark.conf.get(keys[1]) == "1m"  # a smaller bound stays
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+
+
 def test_envelopes_and_tables_are_written_compressed(spark, tmp_path):
     import glob
 
